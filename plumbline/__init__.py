@@ -1 +1,8 @@
 """Distributed binary-classification workbench on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task-side helpers travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from plumbline.operators.binning import Bins
 from plumbline.session import drop_path, keep, scratch_path
 
-ROUNDS_PER_CHECKPOINT = 10
+PASSES_PER_CHECKPOINT = 6
 FITS_PER_PASS = 64  # bounds what a row carries
+CUTS_PER_PASS = 200_000  # bounds what a pass returns
 HELD_OUT = -1  # fold number of the rows no fit trains on
 
 _CELL = "bins array<tinyint>, label int, fold int, n bigint"
@@ -106,14 +107,14 @@ class BoostFit:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``prediction``: 1 where the learners voting 1 outweigh the others."""
-        learners = df.sparkSession.sparkContext.broadcast((self.trees, self.alphas))
+        learners = list(zip(self.trees, self.alphas))  # a few nodes per round, sent with the job
 
         @F.arrow_udf("double")
         def vote(rows: pa.Array) -> pa.Array:
             flat = rows.flatten().to_numpy(zero_copy_only=False)
             bins = flat.reshape(len(rows), -1) if len(rows) else flat.reshape(0, 1)
             margin = np.zeros(len(bins))
-            for tree, alpha in zip(*learners.value):
+            for tree, alpha in learners:
                 margin += alpha * (2 * tree.predict(bins) - 1)
             return pa.array((margin > 1e-9).astype("float64"))
 
@@ -185,8 +186,10 @@ def fit_boosted(
     fit on all training rows.
     """
     fits, scores = [], []
-    for start in range(0, len(specs), FITS_PER_PASS):
-        some, counted = _fit_together(cell_table, bins, list(specs[start : start + FITS_PER_PASS]), score_at)
+    widest = len(bins.features) * 2 ** (max(s.base_max_depth for s in specs) - 1)
+    together = max(1, min(FITS_PER_PASS, CUTS_PER_PASS // widest))
+    for start in range(0, len(specs), together):
+        some, counted = _fit_together(cell_table, bins, list(specs[start : start + together]), score_at)
         counted["fit"] += start
         fits += some
         scores.append(counted)
@@ -198,35 +201,31 @@ def _fit_together(cell_table, bins, specs, score_at):
     fits = [BoostFit(bins, s) for s in specs]
     state = keep(cell_table.withColumn("missed", F.array_repeat(F.lit(0.0), len(fits))))
     shift = np.zeros(len(fits))  # log of the current weight total per fit, which normalises the weights
-    stale, written = None, None
+    pending: dict[int, list] = {}  # learners the state does not hold yet; every pass applies them
+    passes, written = 0, None
     last = max(s.n_estimators for s in specs)
     scores: dict[int, pd.DataFrame] = {}
     for round_no in range(1, last + 1):
         growing = [j for j, f in enumerate(fits) if not f.stopped and len(f.trees) < f.spec.n_estimators]
         if not growing:
             break
-        grown = _grow(state, bins, fits, growing, shift)
-        if stale is not None:
-            stale.unpersist()  # the passes above have read, and so cached, all of its successor
-            stale = None
-        added = {j: learner for j in growing if (learner := _accept(fits[j], *grown[j])) is not None}
-        if added:
-            following = state.mapInArrow(_updater(added), _STATE)
-            if round_no % ROUNDS_PER_CHECKPOINT:
-                stale, state = state, keep(following)
-            else:
-                path = scratch_path(spark, "boost")
-                following.write.parquet(path)
-                state.unpersist()
-                if written:
-                    drop_path(spark, written)
-                written, state = path, keep(spark.read.schema(_STATE).parquet(path))
+        if passes >= PASSES_PER_CHECKPOINT:
+            path = scratch_path(spark, "boost")
+            state.mapInArrow(_updater(pending), _STATE).write.parquet(path)
+            state.unpersist()
+            if written:
+                drop_path(spark, written)
+            written, state = path, keep(spark.read.schema(_STATE).parquet(path))
+            pending, passes = {}, 0
+        grown = _grow(state, bins, fits, growing, shift, pending)
+        passes += max(fits[j].spec.base_max_depth for j in growing)
+        for j in growing:
+            if (learner := _accept(fits[j], *grown[j])) is not None:
+                pending.setdefault(j, []).append(learner)
         if round_no in score_at and round_no < last:
-            scores[round_no] = _score(state, fits)
-    final = _score(state, fits)
-    for frame in (stale, state):
-        if frame is not None:
-            frame.unpersist()
+            scores[round_no] = _score(state.mapInArrow(_updater(pending), _STATE), fits)
+    final = _score(state.mapInArrow(_updater(pending), _STATE), fits)
+    state.unpersist()
     if written:
         drop_path(spark, written)
     parts = [scores.get(p, final).assign(n_trees=p) for p in sorted({*score_at, last}) if p <= last]
@@ -250,7 +249,7 @@ def _accept(fit: BoostFit, tree: SmallTree, error: float) -> tuple[SmallTree, fl
     return tree, alpha
 
 
-def _grow(state, bins, fits, growing, shift) -> dict[int, tuple[SmallTree, float]]:
+def _grow(state, bins, fits, growing, shift, pending) -> dict[int, tuple[SmallTree, float]]:
     """One weighted tree per growing fit, level by level; moves ``shift`` to the new totals."""
     trees = {j: SmallTree(fits[j].spec.base_max_depth) for j in growing}
     weights: dict[int, dict[int, tuple[float, float]]] = {j: {} for j in growing}
@@ -259,7 +258,7 @@ def _grow(state, bins, fits, growing, shift) -> dict[int, tuple[SmallTree, float
     trained = state.where(F.col("fold") > HELD_OUT)
     for level in range(max(t.depth for t in trees.values())):
         counted = {j: (trees[j], fits[j].spec.without_fold, float(shift[j]), nodes) for j, nodes in open_nodes.items()}
-        best = {(r["fit"], r["node"]): r["best"] for r in _best_cuts(trained.mapInArrow(_counter(counted, bins.counts, level), _COUNTS))}
+        best = _best_cuts(trained.mapInArrow(_counter(counted, pending, bins.counts, level), _COUNTS))
         following: dict[int, list[int]] = {}
         for j, tree in trees.items():
             if level >= tree.depth:
@@ -308,11 +307,14 @@ def _close(trees, weights, level: int) -> None:
                     weights[j][left], tree.vote[left] = weights[j][node + offset], tree.vote[node + offset]
 
 
-def _best_cuts(counts: DataFrame) -> list:
-    """Lowest weighted Gini impurity of the two sides per (fit, node), ties to the first feature and
-    bin. Returns one row per node; ``score`` is NULL where the rows cannot be told apart."""
+def _best_cuts(counts: DataFrame) -> dict:
+    """Cut with the lowest weighted Gini impurity of its two sides per (fit, node), ties to the first
+    feature and bin; ``score`` is NULL where no feature tells the rows apart.
+
+    One shuffle: the rows a task sends are its own sums, and summing, running totals and the choice
+    per feature share a partitioning. One row per (fit, node, feature) comes back.
+    """
     key = ["fit", "node", "feature"]
-    # the tasks have summed their own rows already, so what moves here is one short table per task
     sums = counts.repartition(*key).groupBy(*key, "bin").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"))
     upto = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     behind = Window.partitionBy(*key).orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
@@ -329,17 +331,26 @@ def _best_cuts(counts: DataFrame) -> list:
         score.isNull().alias("uncut"), score.alias("score"), "feature", "bin", "l0", "l1", "r0", "r1",
         F.coalesce(l0 + r0, l0).alias("t0"), F.coalesce(l1 + r1, l1).alias("t1"),
     )
-    return sides.groupBy("fit", "node").agg(F.min(best).alias("best")).collect()
+    out: dict = {}
+    for r in sides.groupBy(*key).agg(F.min(best).alias("best")).collect():
+        at, b = (r["fit"], r["node"]), r["best"]
+        if at not in out or _rank(b) < _rank(out[at]):
+            out[at] = b
+    return out
+
 
+def _rank(b) -> tuple:
+    return b["uncut"], b["score"] or 0.0, b["feature"]
 
-def _counter(counted: dict, bin_counts: list[int], level: int):
+
+def _counter(counted: dict, pending: dict, bin_counts: list[int], level: int):
     """Task side of a pass: weighted rows per (fit, open node, feature, bin) and class."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {j: [np.zeros(2**level * b * 2) for b in bin_counts] for j in counted}
         for batch in batches:
             bins, label, fold = _matrix(batch, "bins"), _vector(batch, "label"), _vector(batch, "fold")
-            n, missed = _vector(batch, "n"), _matrix(batch, "missed")
+            n, missed = _vector(batch, "n"), _missed(batch, bins, label, pending)
             first = [bins[:, f].astype(np.int64) * 2 + label for f in range(len(bin_counts))]
             for j, (tree, without, shift, _) in counted.items():
                 weight = n * np.exp(missed[:, j] - shift)
@@ -362,15 +373,13 @@ def _counter(counted: dict, bin_counts: list[int], level: int):
     return count
 
 
-def _updater(added: dict):
-    """Task side of the update: add alpha to every row a new learner gets wrong."""
+def _updater(pending: dict):
+    """Task side of the update: the same cells with the pending learners counted in."""
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bins, label = _matrix(batch, "bins"), _vector(batch, "label")
-            missed = _matrix(batch, "missed").copy()
-            for j, (tree, alpha) in added.items():
-                missed[:, j] += alpha * (tree.predict(bins) != label)
+            missed = _missed(batch, bins, label, pending)
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype="int32") * missed.shape[1])
             lists = pa.ListArray.from_arrays(offsets, pa.array(missed.ravel()))
             columns = [batch.column(c) for c in ("bins", "label", "fold", "n")]
@@ -402,6 +411,15 @@ def _score(state: DataFrame, fits: list[BoostFit]) -> pd.DataFrame:
     return rows.toPandas()
 
 
+def _missed(batch: pa.RecordBatch, bins: np.ndarray, label: np.ndarray, pending: dict) -> np.ndarray:
+    """Summed alphas of the learners that got a row wrong, one column per fit."""
+    missed = _matrix(batch, "missed").copy()
+    for j, learners in pending.items():
+        for tree, alpha in learners:
+            missed[:, j] += alpha * (tree.predict(bins) != label)
+    return missed
+
+
 def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
     flat = batch.column(column).flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)

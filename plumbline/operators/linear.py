@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 TOLERANCE = 1e-10
 
@@ -37,6 +37,11 @@ class LinearFit:
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "LinearFit":
+        pipeline = PipelineModel.load(f"{path}/pipeline")
+        return LinearFit(list(pipeline.stages[0].getInputCols()), pipeline, 0)
+
 
 def fit_linear(
     train: DataFrame, features: Sequence[str], label: str, n_rows: int, C: float = 1.0, max_iter: int = 100
