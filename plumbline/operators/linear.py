@@ -1,65 +1,210 @@
-"""Logistic regression with an inverse-strength penalty."""
+"""Logistic regression with an inverse-strength penalty, many fits side by side.
+
+The objective ``|w|²/2 + C · Σ logloss`` (intercept free) is smooth and strictly convex, so every
+solver ends at one point. Newton's method gets there in a handful of passes, and one pass serves
+every strength and fold: each task sums loss, gradient and curvature of its own rows per fit, Spark
+adds the sums, and the driver solves one small system per fit. Tables too wide for that curvature
+matrix go to MLlib's estimator, fit by fit.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from operator import add
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from functools import reduce
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-TOLERANCE = 1e-10
+from plumbline.sources.tables import assemble
 
+SUMS_PER_PASS = 2_000_000  # numbers one task may send back
+TOLERANCE = 1e-12
+HELD_OUT = -1
 
-@dataclass(frozen=True)
-class LinearFit:
-    features: list[str]
-    pipeline: PipelineModel
-    iterations: int
 
-    @property
-    def coefficients(self) -> list[float]:
-        return [float(x) for x in self.pipeline.stages[-1].coefficients]
+@dataclass
+class LinearSpec:
+    """One fit: its strength and the fold it leaves out (None trains on all training rows)."""
+
+    C: float = 1.0
+    max_iter: int = 100
+    without_fold: int | None = None
 
-    @property
-    def intercept(self) -> float:
-        return float(self.pipeline.stages[-1].intercept)
+
+@dataclass
+class LinearFit:
+    features: list[str]
+    coefficients: list[float]
+    intercept: float
+    iterations: int = 0
+    converged: bool = True
 
     def importances(self) -> dict[str, float]:
         """Signed coefficients."""
         return dict(zip(self.features, self.coefficients))
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.transform(df).drop("features", "rawPrediction", "probability")
+        """Add ``prediction``: 1 where the margin is positive; a missing feature stops the job."""
+        margin = reduce(add, [_value(f) * F.lit(w) for f, w in self.importances().items()], F.lit(self.intercept))
+        known = margin.isNotNull() & ~F.isnan(margin)
+        bad = F.raise_error(F.lit("missing value in a feature of the linear model")).cast("double")
+        return df.withColumn("prediction", F.when(known, (margin > 0).cast("double")).otherwise(bad))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.active()
+        terms = [(i, f, w) for i, (f, w) in enumerate(self.importances().items())] + [(-1, None, self.intercept)]
+        table = spark.createDataFrame(terms, "position int, feature string, weight double")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "LinearFit":
-        pipeline = PipelineModel.load(f"{path}/pipeline")
-        return LinearFit(list(pipeline.stages[0].getInputCols()), pipeline, 0)
+        rows = spark.read.parquet(f"{path}/terms").orderBy("position").collect()
+        return LinearFit([r["feature"] for r in rows[1:]], [r["weight"] for r in rows[1:]], rows[0]["weight"])
 
 
 def fit_linear(
-    train: DataFrame, features: Sequence[str], label: str, n_rows: int, C: float = 1.0, max_iter: int = 100
-) -> LinearFit:
-    """Minimise ``|w|²/2 + C · Σ logloss``, the intercept free.
+    train: DataFrame, features: Sequence[str], label: str, fold, specs: Sequence[LinearSpec]
+) -> list[LinearFit]:
+    """Fit all specs on the rows of ``train``; ``fold`` is the column that ``without_fold`` refers to."""
+    width = len(features) + 1
+    sums = width * width + width + 1
+    if sums > SUMS_PER_PASS:
+        return [_fit_wide(train, features, label, fold, s) for s in specs]
+    rows = _slim(train, features, label, fold)
+    together = max(1, SUMS_PER_PASS // sums)
+    fits = []
+    for start in range(0, len(specs), together):
+        fits += _newton(rows, list(features), list(specs[start : start + together]))
+    return fits
+
+
+def score_linear(
+    df: DataFrame, features: Sequence[str], label: str, fold, specs: Sequence[LinearSpec], fits: Sequence[LinearFit]
+) -> pd.DataFrame:
+    """(fit, label, prediction, n) on the fold each fit left out, all fits in one pass."""
+    weights = np.array([[f.intercept, *f.coefficients] for f in fits])
+    folds = [HELD_OUT if s.without_fold is None else s.without_fold for s in specs]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(folds), 2, 2), dtype=np.int64)
+        for batch in batches:
+            x, y, fold_of = _arrays(batch)
+            for j, left_out in enumerate(folds):
+                mine = fold_of == left_out
+                cell = y[mine].astype(np.int64) * 2 + (x[mine] @ weights[j] > 0)
+                counts[j] += np.bincount(cell, minlength=4).reshape(2, 2)
+        fit, actual, vote = np.nonzero(counts >= 0)
+        arrays = [pa.array(c.astype("int32")) for c in (fit, actual, vote)] + [pa.array(counts.ravel())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["fit", "label", "prediction", "n"])
+
+    counted = _slim(df, features, label, fold).mapInArrow(score, "fit int, label int, prediction int, n bigint")
+    return counted.groupBy("fit", "label", "prediction").agg(F.sum("n").alias("n")).toPandas()
+
+
+def _newton(rows: DataFrame, features: list[str], specs: list[LinearSpec]) -> list[LinearFit]:
+    width = len(features) + 1
+    ridge = np.diag([0.0] + [1.0] * len(features))
+    now = [np.zeros(width) for _ in specs]
+    step = [np.zeros(width) for _ in specs]
+    cost = [np.inf] * len(specs)
+    rounds, done = [0] * len(specs), [False] * len(specs)
+    while True:
+        open_fits = [j for j, s in enumerate(specs) if not done[j] and rounds[j] <= s.max_iter]
+        if not open_fits:
+            break
+        tried = {j: now[j] + step[j] for j in open_fits}
+        sums = _sums(rows, {j: (tried[j], specs[j].without_fold) for j in open_fits}, width)
+        for j in open_fits:
+            C, w = specs[j].C, tried[j]
+            loss = C * sums[j][0] + 0.5 * w @ ridge @ w
+            if not loss <= cost[j] + 1e-9 * abs(cost[j]) and np.abs(step[j]).max() > 0:
+                step[j] = step[j] / 2  # too far: try half the way
+                rounds[j] += 1
+                continue
+            now[j], cost[j] = w, loss
+            gradient = C * sums[j][1 : width + 1] + ridge @ w
+            curvature = C * sums[j][width + 1 :].reshape(width, width) + ridge
+            step[j] = -_solve(curvature, gradient)
+            done[j] = bool(-gradient @ step[j] <= TOLERANCE * (1 + loss))
+            rounds[j] += 1
+    return [
+        LinearFit(features, [float(v) for v in w[1:]], float(w[0]), n - 1, ok)
+        for w, n, ok in zip(now, rounds, done)
+    ]
+
+
+def _solve(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solve after scaling to a unit diagonal, since raw features differ by orders of magnitude."""
+    scale = 1 / np.sqrt(np.maximum(np.diag(matrix), 1e-300))
+    return scale * np.linalg.lstsq(matrix * np.outer(scale, scale), scale * right, rcond=1e-14)[0]
+
+
+def _sums(rows: DataFrame, at: dict, width: int) -> dict[int, np.ndarray]:
+    """Loss, gradient and curvature per fit, summed over its training rows."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {j: np.zeros(1 + width + width * width) for j in at}
+        for batch in batches:
+            x, y, fold_of = _arrays(batch)
+            for j, (w, without) in at.items():
+                mine = slice(None) if without is None else fold_of != without
+                xs, ys = x[mine], y[mine]
+                margin = xs @ w
+                share = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+                spread = share * (1 - share)
+                totals[j][0] += (np.logaddexp(0, margin) - ys * margin).sum()
+                totals[j][1 : width + 1] += xs.T @ (share - ys)
+                totals[j][width + 1 :] += (xs.T @ (xs * spread[:, None])).ravel()
+        fits = pa.array(list(totals), pa.int32())
+        lists = pa.array([t for t in totals.values()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([fits, lists], names=["fit", "sums"])
+
+    sent = rows.where(F.col("fold") > HELD_OUT).mapInArrow(add_up, "fit int, sums array<double>")
+    added = sent.select("fit", F.posexplode("sums").alias("i", "v")).groupBy("fit", "i").agg(F.sum("v").alias("v"))
+    out = {j: np.zeros(1 + width + width * width) for j in at}
+    table = added.toPandas()
+    for j, part in table.groupby("fit"):
+        out[int(j)][part["i"].to_numpy()] = part["v"].to_numpy()
+    return out
+
+
+def _slim(df: DataFrame, features: Sequence[str], label: str, fold) -> DataFrame:
+    values = F.array(*[_required(f) for f in features])
+    return df.select(values.alias("x"), F.col(label).cast("int").alias("y"), F.coalesce(fold, F.lit(HELD_OUT)).cast("int").alias("fold"))
+
+
+def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+    x = flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 0)
+    y, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold"))
+    return np.column_stack([np.ones(batch.num_rows), x]), y, fold
+
+
+def _value(feature: str):
+    return F.col(f"`{feature}`").cast("double")
+
+
+def _required(feature: str):
+    bad = F.raise_error(F.lit(f"missing value in feature {feature}")).cast("double")
+    return F.when(_value(feature).isNotNull() & ~F.isnan(_value(feature)), _value(feature)).otherwise(bad)
+
 
-    MLlib minimises the mean loss plus ``regParam · |w|²/2``, so ``regParam`` is ``1/(C·n)`` with n
-    the rows of this very fit, and the penalty applies to the coefficients of the raw features.
-    """
+def _fit_wide(train: DataFrame, features: Sequence[str], label: str, fold, spec: LinearSpec) -> LinearFit:
+    """MLlib minimises the mean loss plus ``regParam · |w|²/2``: ``regParam`` is ``1/(C·n)`` with n the
+    rows of this very fit, and the penalty is meant for the coefficients of the raw features."""
+    rows = train if spec.without_fold is None else train.where(fold != spec.without_fold)
     estimator = LogisticRegression(
-        featuresCol="features",
-        labelCol=label,
-        maxIter=max_iter,
-        regParam=1.0 / (C * n_rows),
-        elasticNetParam=0.0,
-        standardization=False,
-        tol=TOLERANCE,
+        featuresCol="features", labelCol=label, maxIter=spec.max_iter, regParam=1.0 / (spec.C * rows.count()),
+        elasticNetParam=0.0, standardization=False, tol=1e-9,
+    )
+    model = estimator.fit(assemble(rows, features))
+    used = model.summary.totalIterations
+    return LinearFit(
+        list(features), [float(v) for v in model.coefficients], float(model.intercept), used, used < spec.max_iter
     )
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    model = Pipeline(stages=[assembler, estimator]).fit(train)
-    return LinearFit(list(features), model, model.stages[-1].summary.totalIterations)

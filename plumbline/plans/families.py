@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.metrics import confusion_counts, fold_accuracy, with_quality
 from plumbline.operators.boosting import BoostFit, BoostSpec, fit_boosted
-from plumbline.operators.linear import LinearFit, fit_linear
+from plumbline.operators.linear import LinearFit, LinearSpec, fit_linear, score_linear
 from plumbline.operators.trees import Pruning, TreeFit, fit_forest, fit_tree, forest_votes, leaf_table
 from plumbline.plans.prepared import FOLDS, Prepared
 
@@ -72,40 +72,35 @@ class Linear:
     name = "lr"
 
     def fit(self, p: Prepared, params: Mapping) -> LinearFit:
-        return self._fit(p, p.train, p.rows(), params)
+        return fit_linear(p.train, p.features, p.label, F.lit(0), [_linear_spec(params)])[0]
 
     def cross_validate(self, p: Prepared, params: Mapping, fold_col: str) -> DataFrame:
-        return _validate(p, fold_col, lambda k: self._without(p, fold_col, k, params))
+        """All folds share every pass."""
+        scores = self.grid_scores(p, [params], fold_col)
+        return p.spark.createDataFrame([s[1:] for s in scores], "fold int, accuracy double")
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
-        """One fit per (C, fold); it serves every solver, and every larger iteration limit once it
-        has converged within a smaller one."""
-        strengths = list(dict.fromkeys(c["C"] for c in candidates))
-
-        def scores(task) -> list[Score]:
-            strength, k = task
-            mine = [(i, c) for i, c in enumerate(candidates) if c["C"] == strength]
-            out, fitted, accuracy = [], None, None
-            for i, c in sorted(mine, key=lambda ic: ic[1]["max_iter"]):
-                if fitted is None or (fitted.iterations >= limit and c["max_iter"] > limit):
-                    fitted, limit = self._without(p, fold_col, k, c), c["max_iter"]
-                    accuracy = _accuracy(fitted.predict(_fold(p, fold_col, k)), p.label)
-                out.append((i, k, accuracy))
-            return out
-
-        return _flat(_parallel(scores, [(s, k) for s in strengths for k in range(FOLDS)]))
-
-    def _without(self, p, fold_col, k, params):
-        return self._fit(p, p.train.where(F.col(fold_col) != k), p.rows(fold_col, k), params)
-
-    def _fit(self, p, rows, n, params):
-        settings = dict(params)
-        if settings.pop("penalty", "l2") != "l2":
-            raise ValueError("the only penalty is 'l2'")
-        solver = settings.pop("solver", "lbfgs")
-        if solver not in GRIDS["lr"]["solver"]:
-            raise ValueError(f"unknown solver {solver!r}")  # all of them reach the same optimum
-        return fit_linear(rows, p.features, p.label, n, **settings)
+        """One fit per (C, fold), all in the same passes; it serves every solver, and every larger
+        iteration limit once it has converged within a smaller one."""
+        settings = [_linear_spec(c) for c in candidates]
+        pending = sorted({(s.C, s.max_iter) for s in settings})
+        accuracy: dict[tuple[float, int, int], float] = {}
+        while pending:
+            first = [next(t for t in pending if t[0] == C) for C in sorted({C for C, _ in pending})]
+            specs = [LinearSpec(C, limit, k) for C, limit in first for k in range(FOLDS)]
+            fold = F.col(fold_col)
+            fits = fit_linear(p.train, p.features, p.label, fold, specs)
+            counts = score_linear(p.train, p.features, p.label, fold, specs, fits)
+            for j, s in enumerate(specs):
+                accuracy[s.C, s.max_iter, s.without_fold] = _share_right(counts[counts["fit"] == j])
+            served = set(first)
+            for C, limit in first:
+                if all(f.converged for s, f in zip(specs, fits) if s.C == C):
+                    larger = [t for t in pending if t[0] == C]
+                    served.update(larger)
+                    accuracy |= {(C, t[1], k): accuracy[C, limit, k] for t in larger for k in range(FOLDS)}
+            pending = [t for t in pending if t not in served]
+        return sorted((i, k, accuracy[s.C, s.max_iter, k]) for i, s in enumerate(settings) for k in range(FOLDS))
 
 
 class Tree:
@@ -132,7 +127,7 @@ class Tree:
             return [(i, k, found[v]) for v, (i, _) in enumerate(group)]
 
         groups = _grouped(candidates, ("criterion", "min_samples_leaf"))
-        return _flat(_parallel(scores, [(g, k) for g in groups for k in range(FOLDS)]))
+        return _flat(_parallel(p, scores, [(g, k) for g in groups for k in range(FOLDS)]))
 
     def _without(self, p, fold_col, k, params):
         rows = p.binned.where(F.col(fold_col) != k)
@@ -164,7 +159,7 @@ class Forest:
             return [(i, k, found[distinct.index(pr), c["n_estimators"]]) for pr, (i, c) in zip(prunings, group)]
 
         groups = _grouped(candidates, ("min_samples_leaf", "max_features"))
-        return _flat(_parallel(scores, [(g, k) for g in groups for k in range(FOLDS)]))
+        return _flat(_parallel(p, scores, [(g, k) for g in groups for k in range(FOLDS)]))
 
     def _without(self, p, fold_col, k, params):
         rows = p.binned.where(F.col(fold_col) != k)
@@ -214,9 +209,19 @@ def family(name: str):
     return FAMILIES[name]
 
 
+def _linear_spec(params: Mapping) -> LinearSpec:
+    settings = dict(params)
+    if settings.pop("penalty", "l2") != "l2":
+        raise ValueError("the only penalty is 'l2'")
+    solver = settings.pop("solver", "lbfgs")
+    if solver not in GRIDS["lr"]["solver"]:
+        raise ValueError(f"unknown solver {solver!r}")  # all of them reach the same optimum
+    return LinearSpec(**settings)
+
+
 def _validate(p: Prepared, fold_col: str, fit_without: Callable) -> DataFrame:
     """(fold, accuracy) of a model refitted without each fold in turn."""
-    fits = _parallel(fit_without, range(FOLDS))
+    fits = _parallel(p, fit_without, range(FOLDS))
     parts = [
         fit.predict(_fold(p, fold_col, k)).select(F.lit(k).alias("fold"), p.label, "prediction")
         for k, fit in enumerate(fits)
@@ -228,10 +233,6 @@ def _fold(p: Prepared, fold_col: str, k: int) -> DataFrame:
     return p.train.where(F.col(fold_col) == k)
 
 
-def _accuracy(scored: DataFrame, label: str) -> float:
-    return with_quality(confusion_counts(scored, label)).first()["accuracy"]
-
-
 def _share_right(counts) -> float:
     right = counts.loc[counts["label"] == counts["prediction"], "n"].sum()
     return float(right / counts["n"].sum())
@@ -255,9 +256,9 @@ def _prunings(group) -> tuple[dict, list[Pruning]]:
     return shared, [Pruning(c.get("max_depth"), max(c.get("min_samples_split", 2), 2 * leaf)) for _, c in group]
 
 
-def _parallel(task: Callable, items: Iterable) -> list:
+def _parallel(p: Prepared, task: Callable, items: Iterable) -> list:
     with ThreadPool(PARALLEL_FITS) as pool:
-        return pool.map(inheritable_thread_target(task), list(items), chunksize=1)
+        return pool.map(inheritable_thread_target(p.spark)(task), list(items), chunksize=1)
 
 
 def _flat(lists: Iterable[list]) -> list:
