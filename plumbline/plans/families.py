@@ -57,6 +57,19 @@ GRIDS = {
         "min_samples_leaf": [1, 2, 4],
     },
 }
+# The column types of the parameters.
+PARAM_TYPES = {
+    "lr": {"C": "double", "penalty": "string", "solver": "string", "max_iter": "int"},
+    "rf": {
+        "n_estimators": "int",
+        "max_depth": "int",
+        "min_samples_split": "int",
+        "min_samples_leaf": "int",
+        "max_features": "string",
+    },
+    "adaboost": {"n_estimators": "int", "learning_rate": "double", "base_max_depth": "int"},
+    "dt": {"criterion": "string", "max_depth": "int", "min_samples_split": "int", "min_samples_leaf": "int"},
+}
 # The long names, in the order that breaks ties.
 LONG_NAMES = {
     "lr": "logistic_regression",
