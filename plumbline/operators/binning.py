@@ -17,6 +17,8 @@ from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import keep
+
 MAX_BINS = 32
 SLICES = 1024
 
@@ -63,20 +65,21 @@ def exact_bins(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS)
     low, high, n = _ranges(df, names)
     if n == 0:
         raise ValueError("no rows to take bin edges from")
-    values = df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in names])).alias("f", "v"))
     moving = [i for i in range(len(names)) if low[i] < high[i]]
     edges = {i: [low[i]] for i in range(len(names)) if i not in moving}
     if moving:
-        first = values.where(F.col("f").isin(moving)) if edges else values
-        first = first.withColumn("slice", _slice(F.col("v"), _pick(low), _pick(high)))
-        edges |= _small(first, moving, max_bins)
-        wanted = sorted({n * j // max_bins for j in range(1, max_bins)})
+        values = df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in names])).alias("f", "v"))
+        sliced = values.where(F.col("f").isin(moving)).select(
+            "f", "v", F.lit(0).alias("range"), _slice(F.col("v"), _pick(low), _pick(high)).alias("slice")
+        )
+        counted = keep(_counted(sliced))  # at most SLICES rows per feature
+        edges |= _small(sliced, counted, max_bins)
         large = [i for i in moving if i not in edges]
-        if large:
-            targets = [(i, 0, t) for i in large for t in wanted]
-            found = _order_statistics(df, first.where(F.col("f").isin(large)), targets)
-            for i in large:
-                edges[i] = sorted(found[i] - {low[i]}) or [high[i]]
+        targets = [(i, 0, t) for i in large for t in sorted({n * j // max_bins for j in range(1, max_bins)})]
+        found = _order_statistics(sliced, counted, targets)
+        counted.unpersist()
+        for i in large:
+            edges[i] = sorted(found[i] - {low[i]}) or [high[i]]
     return Bins(names, [edges[i] for i in range(len(names))])
 
 
@@ -103,10 +106,15 @@ def _slice(v, low, high):
     return F.when(high > low, F.least(F.floor(share * SLICES), F.lit(SLICES - 1))).otherwise(0).cast("int")
 
 
-def _small(sliced: DataFrame, moving: list[int], max_bins: int) -> dict[int, list[float]]:
+def _counted(sliced: DataFrame) -> DataFrame:
+    return sliced.groupBy("f", "range", "slice").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+
+
+def _small(sliced: DataFrame, counted: DataFrame, max_bins: int) -> dict[int, list[float]]:
     """Edges of the features that have at most ``max_bins`` distinct values."""
-    slices = sliced.groupBy("f", "slice").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    shape = slices.groupBy("f").agg(
+    shape = counted.groupBy("f").agg(
         F.count(F.lit(1)).alias("filled"),
         F.max((F.col("lo") < F.col("hi")).cast("int")).alias("mixed"),
         F.sort_array(F.collect_list("lo")).alias("values"),  # at most SLICES numbers
@@ -114,8 +122,8 @@ def _small(sliced: DataFrame, moving: list[int], max_bins: int) -> dict[int, lis
     rows = shape.where(F.col("filled") <= max_bins).collect()
     small = {r["f"]: r["values"][1:] for r in rows if not r["mixed"]}
     unclear = [r["f"] for r in rows if r["mixed"]]
-    if unclear:
-        distinct = sliced.where(F.col("f").isin(unclear)).groupBy("f", "v").agg(F.lit(1))
+    if unclear:  # few slices, some with several values: count the values themselves
+        distinct = sliced.where(F.col("f").isin(unclear)).select("f", "v").distinct()
         sizes = {r["f"]: r["count"] for r in distinct.groupBy("f").count().collect()}
         few = [f for f in unclear if sizes[f] <= max_bins]
         listed = distinct.where(F.col("f").isin(few)).collect() if few else []
@@ -124,23 +132,17 @@ def _small(sliced: DataFrame, moving: list[int], max_bins: int) -> dict[int, lis
     return small
 
 
-def _order_statistics(df: DataFrame, sliced: DataFrame, targets) -> dict[int, set[float]]:
+def _order_statistics(sliced: DataFrame, counted: DataFrame, targets) -> dict[int, set[float]]:
     """The values at 0-based positions; ``targets`` are (feature, range, position in the range)."""
-    spark = df.sparkSession
+    spark = sliced.sparkSession
     found: dict[int, set[float]] = {}
+    running = Window.partitionBy("f", "range").orderBy("slice")
     while targets:
-        if "range" not in sliced.columns:
-            sliced = sliced.withColumn("range", F.lit(0))
-        running = Window.partitionBy("f", "range").orderBy("slice")
-        counted = (
-            sliced.groupBy("f", "range", "slice")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .withColumn("upto", F.sum("n").over(running))
-        )
         goals = spark.createDataFrame(targets, "f int, range int, t bigint")
         inside = (F.col("t") < F.col("upto")) & (F.col("t") >= F.col("upto") - F.col("n"))
         hits = (
-            counted.join(F.broadcast(goals), ["f", "range"])  # under max_bins rows per feature
+            counted.withColumn("upto", F.sum("n").over(running))
+            .join(F.broadcast(goals), ["f", "range"])  # under max_bins rows per feature
             .where(inside)
             .select("f", "range", "slice", "lo", "hi", (F.col("t") - F.col("upto") + F.col("n")).alias("t"))
             .collect()
@@ -157,9 +159,8 @@ def _order_statistics(df: DataFrame, sliced: DataFrame, targets) -> dict[int, se
             narrowed = spark.createDataFrame(
                 [(*k, i) for k, i in ids.items()], "f int, range int, slice int, lo double, hi double, next int"
             )
-            sliced = (
-                sliced.join(F.broadcast(narrowed), ["f", "range", "slice"])
-                .withColumn("slice", _slice(F.col("v"), F.col("lo"), F.col("hi")))
-                .select("f", "v", F.col("next").alias("range"), "slice")
+            sliced = sliced.join(F.broadcast(narrowed), ["f", "range", "slice"]).select(
+                "f", "v", F.col("next").alias("range"), _slice(F.col("v"), F.col("lo"), F.col("hi")).alias("slice")
             )
+            counted = _counted(sliced)
     return found

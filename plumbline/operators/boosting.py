@@ -161,7 +161,8 @@ class BoostFit:
 
 def binned_array(df: DataFrame, bins: Bins) -> DataFrame:
     """Add the bin numbers as the array ``bins``."""
-    packed = F.array(*[F.col(c).cast("tinyint") for c in bins.columns()])
+    missing = F.raise_error(F.lit("missing value in a feature")).cast("tinyint")
+    packed = F.array(*[F.coalesce(F.col(c).cast("tinyint"), missing) for c in bins.columns()])
     return bins.bucketizer().transform(df).withColumn("bins", packed).drop(*bins.columns())
 
 

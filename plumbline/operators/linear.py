@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from functools import reduce
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,8 +131,9 @@ def _newton(rows: DataFrame, features: list[str], specs: list[LinearSpec]) -> li
             gradient = C * sums[j][1 : width + 1] + ridge @ w
             curvature = C * sums[j][width + 1 :].reshape(width, width) + ridge
             step[j] = -_solve(curvature, gradient)
-            done[j] = bool(-gradient @ step[j] <= TOLERANCE * (1 + loss))
             rounds[j] += 1
+            if -gradient @ step[j] <= TOLERANCE * (1 + loss):
+                done[j], now[j] = True, w + step[j]  # the last step is already solved for
     return [
         LinearFit(features, [float(v) for v in w[1:]], float(w[0]), n - 1, ok)
         for w, n, ok in zip(now, rounds, done)

@@ -151,7 +151,7 @@ class Forest:
     name = "rf"
 
     def fit(self, p: Prepared, params: Mapping) -> TreeFit:
-        return fit_forest(p.binned, p.bins, p.label, p.rows(), seed=p.seed, **params)
+        return fit_forest(p.laid_out, p.bins, p.label, p.rows(), seed=p.seed, **params)
 
     def cross_validate(self, p: Prepared, params: Mapping, fold_col: str) -> DataFrame:
         return _validate(p, fold_col, lambda k: self._without(p, fold_col, k, params))
@@ -164,7 +164,7 @@ class Forest:
             shared, prunings = _prunings(group)
             sizes = sorted({c["n_estimators"] for _, c in group})
             fit = self._without(p, fold_col, k, {**shared, "n_estimators": sizes[-1]})
-            scored = fit.model.transform(p.binned.where(F.col(fold_col) == k))
+            scored = fit.model.transform(p.laid_out.where(F.col(fold_col) == k))
             distinct = list(dict.fromkeys(prunings))
             votes = forest_votes(scored, fit.nodes, distinct, sizes, [p.label])
             rows = with_quality(confusion_counts(votes, p.label, by=["variant", "n_trees"])).collect()
@@ -175,7 +175,7 @@ class Forest:
         return _flat(_parallel(p, scores, [(g, k) for g in groups for k in range(FOLDS)]))
 
     def _without(self, p, fold_col, k, params):
-        rows = p.binned.where(F.col(fold_col) != k)
+        rows = p.laid_out.where(F.col(fold_col) != k)
         return fit_forest(rows, p.bins, p.label, p.rows(fold_col, k), seed=p.seed, **params)
 
 

@@ -67,9 +67,13 @@ class Prepared:
 
     @cached_property
     def binned(self) -> DataFrame:
-        """Training rows with the vector ``bins``, laid out by key so that forests are repeatable."""
-        slim = self.bins.apply(self.train).select(*self.key_cols, "bins", self.label, "cv_fold", "grid_fold")
-        return self._keep(canonical_layout(slim, self.key_cols, self.rows()))
+        """Training rows with the vector ``bins``."""
+        return self._keep(self.bins.apply(self.train).select(*self.key_cols, "bins", self.label, "cv_fold", "grid_fold"))
+
+    @cached_property
+    def laid_out(self) -> DataFrame:
+        """The same rows placed by key, so that the bootstrap of a forest is repeatable."""
+        return self._keep(canonical_layout(self.binned, self.key_cols, self.rows()))
 
     def cells(self, fold_col: str | None = None) -> DataFrame:
         """Training rows as weighted cells for boosting; with folds, test rows too, as held out."""
