@@ -2,7 +2,7 @@
 
 A bin edge is an order statistic of the training rows, so it depends on the rows alone and not on
 how they are laid out. The order statistics come from repeated counting: every pass splits the
-value range that holds a wanted position into equal slices, counts the slices of all features in
+value range that holds a wanted position into slices, counts the slices of all features in
 one job, and keeps the slice that holds the position together with the least and greatest value
 actually seen in it. A slice with one value is an answer.
 """
@@ -70,7 +70,7 @@ def exact_bins(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS)
     if moving:
         values = df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in names])).alias("f", "v"))
         sliced = values.where(F.col("f").isin(moving)).select(
-            "f", "v", F.lit(0).alias("range"), _slice(F.col("v"), _pick(low), _pick(high)).alias("slice")
+            "f", "v", F.lit(0).alias("range"), _slice(F.col("v"), _pick(low), _pick(high), False).alias("slice")
         )
         counted = keep(_counted(sliced))  # at most SLICES rows per feature
         edges |= _small(sliced, counted, max_bins)
@@ -100,10 +100,21 @@ def _pick(numbers: list[float]):
     return F.element_at(F.array(*[F.lit(float(x)) for x in numbers]), F.col("f") + 1)
 
 
-def _slice(v, low, high):
-    """Number of the equal slice of [low, high] that holds v; halves keep the range finite."""
-    share = (v * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)
-    return F.when(high > low, F.least(F.floor(share * SLICES), F.lit(SLICES - 1))).otherwise(0).cast("int")
+def _slice(v, low, high, by_magnitude: bool):
+    """Number of the slice of [low, high] that holds v; low is in the first, high in the last slice.
+
+    Slices are equally wide in the value (halves keep the width finite) or in its magnitude.
+    """
+    share = (v * 0.5 - low * 0.5) / F.nullif(high * 0.5 - low * 0.5, F.lit(0.0))
+    if by_magnitude:
+        width = F.nullif(_magnitude(high) - _magnitude(low), F.lit(0.0))
+        share = F.coalesce((_magnitude(v) - _magnitude(low)) / width, share)
+    return F.coalesce(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)), F.lit(0)).cast("int")
+
+
+def _magnitude(v):
+    """Ascending in v: the binary logarithm with the sign of v, lifted above that of any double."""
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + 1100))
 
 
 def _counted(sliced: DataFrame) -> DataFrame:
@@ -137,6 +148,7 @@ def _order_statistics(sliced: DataFrame, counted: DataFrame, targets) -> dict[in
     spark = sliced.sparkSession
     found: dict[int, set[float]] = {}
     running = Window.partitionBy("f", "range").orderBy("slice")
+    by_magnitude = True  # passes take turns, so neither outliers nor many orders of magnitude stall
     while targets:
         goals = spark.createDataFrame(targets, "f int, range int, t bigint")
         inside = (F.col("t") < F.col("upto")) & (F.col("t") >= F.col("upto") - F.col("n"))
@@ -160,7 +172,8 @@ def _order_statistics(sliced: DataFrame, counted: DataFrame, targets) -> dict[in
                 [(*k, i) for k, i in ids.items()], "f int, range int, slice int, lo double, hi double, next int"
             )
             sliced = sliced.join(F.broadcast(narrowed), ["f", "range", "slice"]).select(
-                "f", "v", F.col("next").alias("range"), _slice(F.col("v"), F.col("lo"), F.col("hi")).alias("slice")
+                "f", "v", F.col("next").alias("range"), _slice(F.col("v"), F.col("lo"), F.col("hi"), by_magnitude).alias("slice")
             )
+            by_magnitude = not by_magnitude
             counted = _counted(sliced)
     return found
