@@ -7,7 +7,7 @@ import json
 from oracles.chains import (
     BIN_COLS, COUNTS, EVENTS, FACTORS, FEATURES, FOLDED, LINEITEM, SIX_FITS, SPLIT,
     boosted, boosted_votes, cells, edges, fits, judged, linear_votes, measured, newton, shuffled, sql, stratified, stumps,
-    tree, tree_path, tree_votes, unpivot,
+    tree, tree_importances, tree_path, tree_votes, unpivot,
 )
 
 TRAIN_ONLY = "split = 'train'"
@@ -270,6 +270,7 @@ def _models() -> dict[str, str]:
         f"SELECT '{f}' AS feature, w{i + 1} * {c!r} AS raw FROM theta_{STEPS}" for i, (f, c) in enumerate(zip(FEATURES, FACTORS))
     )
     margin = " + ".join(f"w{i} * x{i}" for i in range(len(FEATURES) + 1))
+    names = ", ".join(f"('{f}', {i})" for i, f in enumerate(FEATURES))
     edge_rows = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, CAST(generate_subscripts(e, 1) - 1 AS INTEGER) AS position, unnest(e) AS edge FROM edges_{i}"
         for i, f in enumerate(FEATURES)
@@ -292,6 +293,14 @@ FROM ({stumps(ROUNDS)})""",
         ),
         "importance_adaboost": boosted_importance(place=True),
         "importance_sink": boosted_importance(place=False),
+        "importance_dt": sql(
+            *one,
+            tree(6),
+            tree_importances(6),
+            select=f"""SELECT feature, round(raw, 9) AS importance, {PLACED} FROM (
+  SELECT name AS feature, coalesce(sum(fall), 0) / (SELECT sum(fall) FROM inner_nodes) AS raw
+  FROM (VALUES {names}) AS t(name, id) LEFT JOIN inner_nodes ON f = id GROUP BY name)""",
+        ),
         "importance_lr": sql(
             *linear(ONE_FIT, "cv_fold"),
             f"coefficient AS ({weights})",

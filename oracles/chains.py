@@ -229,7 +229,7 @@ tree_gain_{level} AS (
          - (r0 + r1) / t * (1.0::DOUBLE - (r0 / (r0 + r1)) * (r0 / (r0 + r1)) - (r1 / (r0 + r1)) * (r1 / (r0 + r1))) AS gain
   FROM (SELECT *, l0 + l1 + r0 + r1 AS t FROM tree_sides_{level} WHERE r0 IS NOT NULL)),
 cut_{level} AS MATERIALIZED (
-  SELECT fit, node, f, bin FROM tree_gain_{level} WHERE gain > 0
+  SELECT fit, node, f, bin, gain FROM tree_gain_{level} WHERE gain > 0
   QUALIFY row_number() OVER (PARTITION BY fit, node ORDER BY gain DESC, f, bin) = 1),
 at_{level + 1} AS MATERIALIZED (
   SELECT a.fit, a.without, {BIN_COLS}, a.label, a.fold, a.n, a.training,
@@ -267,6 +267,21 @@ def tree_votes(depth: int, min_split: int = 2) -> str:
     return f"(SELECT fit, label, {out} AS prediction, n FROM walked)"
 
 
+def tree_importances(depth: int) -> str:
+    """Impurity decrease per feature of fit -1; two leaves of one node that agree count as one leaf."""
+    parts = [f"merged_{depth} AS (SELECT node, TRUE AS leaf, n1 > n0 AS vote, NULL AS f, 0.0 AS fall FROM node_{depth} WHERE fit = -1)"]
+    for level in reversed(range(depth)):
+        parts.append(
+            f"""merged_{level} AS MATERIALIZED (
+  SELECT k.node, c.f IS NULL OR (l.leaf AND r.leaf AND l.vote = r.vote) AS leaf, k.n1 > k.n0 AS vote, c.f, c.gain * (k.n0 + k.n1) AS fall
+  FROM node_{level} k LEFT JOIN cut_{level} c ON c.fit = k.fit AND c.node = k.node
+       LEFT JOIN merged_{level + 1} l ON l.node = 2 * k.node + 1 LEFT JOIN merged_{level + 1} r ON r.node = 2 * k.node + 2
+  WHERE k.fit = -1)"""
+        )
+    inner = " UNION ALL ".join(f"SELECT f, fall FROM merged_{level} WHERE NOT leaf" for level in range(depth))
+    return ",\n".join([*parts, f"inner_nodes AS ({inner})"])
+
+
 # ---- logistic regression ---------------------------------------------------------------------
 
 FACTORS = [0.02, 0.00001, 10.0, 10.0]  # the chain works on scaled features and scales back

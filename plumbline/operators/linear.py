@@ -154,14 +154,15 @@ def _sums(rows: DataFrame, at: dict, width: int) -> dict[int, np.ndarray]:
         for batch in batches:
             x, y, fold_of = _arrays(batch)
             for j, (w, without) in at.items():
-                mine = slice(None) if without is None else fold_of != without
-                xs, ys = x[mine], y[mine]
-                margin = xs @ w
+                margin = x @ w
                 share = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
-                spread = share * (1 - share)
-                totals[j][0] += (np.logaddexp(0, margin) - ys * margin).sum()
-                totals[j][1 : width + 1] += xs.T @ (share - ys)
-                totals[j][width + 1 :] += (xs.T @ (xs * spread[:, None])).ravel()
+                error, spread, loss = share - y, share * (1 - share), np.logaddexp(0, margin) - y * margin
+                if without is not None:
+                    mine = fold_of != without
+                    error, spread, loss = error * mine, spread * mine, loss * mine
+                totals[j][0] += loss.sum()
+                totals[j][1 : width + 1] += error @ x
+                totals[j][width + 1 :] += (x.T @ (x * spread[:, None])).ravel()
         fits = pa.array(list(totals), pa.int32())
         lists = pa.array([t for t in totals.values()], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([fits, lists], names=["fit", "sums"])

@@ -8,6 +8,7 @@ were not reached) are read off that fit.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -81,16 +82,23 @@ LONG_NAMES = {
 Score = tuple[int, int, float]  # ordinal, fold, accuracy
 
 
+def cross_validate(p: Prepared, name: str, params: Mapping, fold_col: str = "cv_fold") -> DataFrame:
+    """(fold, accuracy) of a family refitted without each fold in turn."""
+    return family(name).fit_with_folds(p, params, fold_col)[1]
+
+
 class Linear:
     name = "lr"
 
     def fit(self, p: Prepared, params: Mapping) -> LinearFit:
         return fit_linear(p.train, p.features, p.label, F.lit(0), [_linear_spec(params)])[0]
 
-    def cross_validate(self, p: Prepared, params: Mapping, fold_col: str) -> DataFrame:
-        """All folds share every pass."""
-        scores = self.grid_scores(p, [params], fold_col)
-        return p.spark.createDataFrame([s[1:] for s in scores], "fold int, accuracy double")
+    def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[LinearFit, DataFrame]:
+        """The fit on all training rows and those without each fold share every pass."""
+        specs = [replace(_linear_spec(params), without_fold=k) for k in (None, *range(FOLDS))]
+        fits = fit_linear(p.train, p.features, p.label, F.col(fold_col), specs)
+        counts = score_linear(p.train, p.features, p.label, F.col(fold_col), specs[1:], fits[1:])
+        return fits[0], _fold_frame(p, counts)
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
         """One fit per (C, fold), all in the same passes; it serves every solver, and every larger
@@ -122,8 +130,8 @@ class Tree:
     def fit(self, p: Prepared, params: Mapping) -> TreeFit:
         return fit_tree(p.binned, p.bins, p.label, p.rows(), seed=p.seed, **params)
 
-    def cross_validate(self, p: Prepared, params: Mapping, fold_col: str) -> DataFrame:
-        return _validate(p, fold_col, lambda k: self._without(p, fold_col, k, params))
+    def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[TreeFit, DataFrame]:
+        return _fit_apart(self, p, params, fold_col)
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
         """One fit per (criterion, leaf size, fold), scored under every pruning by one job: rows are
@@ -153,8 +161,8 @@ class Forest:
     def fit(self, p: Prepared, params: Mapping) -> TreeFit:
         return fit_forest(p.laid_out, p.bins, p.label, p.rows(), seed=p.seed, **params)
 
-    def cross_validate(self, p: Prepared, params: Mapping, fold_col: str) -> DataFrame:
-        return _validate(p, fold_col, lambda k: self._without(p, fold_col, k, params))
+    def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[TreeFit, DataFrame]:
+        return _fit_apart(self, p, params, fold_col)
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
         """One forest per (leaf size, features per split, fold), read at every pruning and size."""
@@ -186,12 +194,11 @@ class Boosted:
         fits, _ = fit_boosted(p.cells(), p.bins, [BoostSpec(**params)])
         return fits[0]
 
-    def cross_validate(self, p: Prepared, params: Mapping, fold_col: str) -> DataFrame:
-        """All folds grow in the same passes."""
-        specs = [BoostSpec(**params, without_fold=k) for k in range(FOLDS)]
-        _, counts = fit_boosted(p.cells(fold_col), p.bins, specs)
-        rows = [(k, _share_right(counts[counts["fit"] == k])) for k in range(FOLDS)]
-        return p.spark.createDataFrame(rows, "fold int, accuracy double")
+    def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[BoostFit, DataFrame]:
+        """The fit on all training rows and those without each fold grow in the same passes."""
+        specs = [BoostSpec(**params, without_fold=k) for k in (None, *range(FOLDS))]
+        fits, counts = fit_boosted(p.cells(fold_col), p.bins, specs)
+        return fits[0], _fold_frame(p, counts.assign(fit=counts["fit"] - 1))
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
         """All learning rates, depths and folds grow in the same passes; the numbers of rounds are
@@ -232,14 +239,23 @@ def _linear_spec(params: Mapping) -> LinearSpec:
     return LinearSpec(**settings)
 
 
-def _validate(p: Prepared, fold_col: str, fit_without: Callable) -> DataFrame:
-    """(fold, accuracy) of a model refitted without each fold in turn."""
-    fits = _parallel(p, fit_without, range(FOLDS))
+def _fit_apart(chosen, p: Prepared, params: Mapping, fold_col: str):
+    """A model fitted on all training rows, and (fold, accuracy) of it refitted without each fold."""
+
+    def task(k):
+        return chosen.fit(p, params) if k is None else chosen._without(p, fold_col, k, params)
+
+    whole, *fits = _parallel(p, task, (None, *range(FOLDS)))
     parts = [
         fit.predict(_fold(p, fold_col, k)).select(F.lit(k).alias("fold"), p.label, "prediction")
         for k, fit in enumerate(fits)
     ]
-    return fold_accuracy(reduce(DataFrame.unionByName, parts), p.label)
+    return whole, fold_accuracy(reduce(DataFrame.unionByName, parts), p.label)
+
+
+def _fold_frame(p: Prepared, counts) -> DataFrame:
+    rows = [(k, _share_right(counts[counts["fit"] == k])) for k in range(FOLDS)]
+    return p.spark.createDataFrame(rows, "fold int, accuracy double")
 
 
 def _fold(p: Prepared, fold_col: str, k: int) -> DataFrame:

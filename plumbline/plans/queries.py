@@ -21,7 +21,7 @@ from plumbline.plans.select import best_candidate, expand_grid, winner
 from plumbline.plans.train import load_fit, metrics_frame, train_one
 from plumbline.plans.tune import grid_plan, tune, tune_all
 from plumbline.plans.workloads import LINEITEM_FEATURES, embeddings_labelled, events_labelled, lineitem_labelled
-from plumbline.session import scratch_path
+from plumbline.session import keep, scratch_path
 from plumbline.sources.sinks import (
     RunLog, input_example, read_metrics, read_pointer, signature, write_importances, write_metrics, write_pointer,
 )
@@ -113,7 +113,7 @@ def keyless_split(spark, sf_dir):
     slim = t.select(
         F.col("l_quantity").cast("int").alias("quantity"), "l_linenumber", (F.col("l_discount") > 0.05).cast("int").alias("label")
     )
-    parted = stratified_split(with_row_key(slim), "label", KEY)
+    parted = stratified_split(keep(with_row_key(slim)), "label", KEY)
     return parted.groupBy("quantity", "l_linenumber", "label", "split").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.metrics import mean_accuracy
 from plumbline.plans import train, tune
-from plumbline.plans.families import DEFAULTS, FAMILIES, GRIDS, LONG_NAMES, family
+from plumbline.plans.families import DEFAULTS, FAMILIES, GRIDS, LONG_NAMES, cross_validate, family
 from plumbline.plans.prepared import FOLDS, Prepared
 from plumbline.plans.select import expand_grid, winner
 from plumbline.sources.sinks import RunLog, input_example, read_pointer, signature
@@ -69,7 +69,7 @@ def test_grid_scores_equal_single_fits(p, name):
     scores = tune.grid_frame(p, name, candidates).collect()
     assert len(scores) == len(candidates) * FOLDS
     for i in (0, len(candidates) // 2, len(candidates) - 1):
-        alone = family(name).cross_validate(p, candidates[i], "grid_fold").collect()
+        alone = cross_validate(p, name, candidates[i], "grid_fold").collect()
         assert {r["fold"]: r["accuracy"] for r in scores if r["ordinal"] == i} == {r["fold"]: r["accuracy"] for r in alone}
 
 
@@ -77,7 +77,7 @@ def test_forest_grid_at_its_largest_equals_single_fits(p):
     candidates = expand_grid(SMALL["rf"])
     largest = next(i for i, c in enumerate(candidates) if c["n_estimators"] == 3 and c["max_depth"] == 4 and c["min_samples_split"] == 2)
     scores = tune.grid_frame(p, "rf", candidates).collect()
-    alone = family("rf").cross_validate(p, candidates[largest], "grid_fold").collect()
+    alone = cross_validate(p, "rf", candidates[largest], "grid_fold").collect()
     assert {r["fold"]: r["accuracy"] for r in scores if r["ordinal"] == largest} == {r["fold"]: r["accuracy"] for r in alone}
 
 
@@ -131,7 +131,7 @@ def test_grid_plan(p):
 
 
 def test_cross_validation_uses_stratified_folds(p):
-    scores = family("dt").cross_validate(p, {"max_depth": 3}, "cv_fold")
+    scores = cross_validate(p, "dt", {"max_depth": 3})
     assert sorted(r["fold"] for r in scores.collect()) == list(range(FOLDS))
     mean = mean_accuracy(scores).first()[0]
     assert mean == pytest.approx(np.mean([r["accuracy"] for r in scores.collect()]))
