@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.ranking import boundaries, hash_order, with_part
-from plumbline.session import SEED
+from plumbline.session import SEED, keep
 from plumbline.sources.tables import binary_counts, label_group
 
 COPIES_PER_CHUNK = 100_000
@@ -59,47 +59,68 @@ def stratified_split(
     output: str = "split",
 ) -> DataFrame:
     """Add ``split`` = train or test, each class cut in the same proportion."""
-    order, group = hash_order("split", seed, key_cols), label_group(label)
+    return _split_by(df, label, key_cols, seed, output, _split_bounds(df, label, key_cols, test_size, seed))
 
-    def cuts(counts):
-        return {c: [n] for c, n in train_sizes(binary_counts(counts, label), test_size).items()}
 
-    out = with_part(df, order, group, boundaries(df, order, group, cuts), output)
-    return out.withColumn(output, F.when(F.col(output) == 0, "train").otherwise("test"))
+def stratified_folds(
+    df: DataFrame, label: str, key_cols: Sequence[str], k: int = 5, seed: int = SEED, output: str = "fold"
+) -> DataFrame:
+    """Add ``fold`` = 0..k-1 with the class shares of the table in every fold."""
+    bounds = _stratified_bounds(df, label, key_cols, k, seed)
+    return with_part(df, hash_order("fold", seed, key_cols), label_group(label), bounds, output)
 
 
-def stratified_folds(
-    df: DataFrame,
-    label: str,
-    key_cols: Sequence[str],
-    k: int = 5,
-    seed: int = SEED,
-    output: str = "fold",
-    rows: Column | None = None,
+def shuffled_folds(
+    df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = SEED, output: str = "fold"
 ) -> DataFrame:
-    """Add ``fold`` = 0..k-1 with the class shares of the table in every fold.
+    """Add ``fold`` = 0..k-1 regardless of the label."""
+    bounds = _shuffled_bounds(df, key_cols, k, seed)
+    return with_part(df, hash_order("kfold", seed, key_cols), F.lit(0), bounds, output)
+
+
+def split_with_folds(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = SEED, k: int = 5) -> DataFrame:
+    """Add ``split`` and, on the training rows, both kinds of folds.
 
-    With ``rows`` only the rows that satisfy it are dealt out; the others get NULL.
+    ``cv_fold`` (stratified) serves the cross-validation of one model, ``grid_fold`` (shuffled) the
+    grid search; both are NULL on test rows. All boundaries come from a slim copy of keys and label;
+    the table itself is only projected.
     """
-    order, group = hash_order("fold", seed, key_cols), label_group(label)
+    slim = keep(df.select(*key_cols, label))
+    split_at = _split_bounds(slim, label, key_cols, 0.2, seed)
+    train = F.col("split") == "train"
+    slim_train = _split_by(slim, label, key_cols, seed, "split", split_at).where(train)
+    strata_at = _stratified_bounds(slim_train, label, key_cols, k, seed)
+    shuffle_at = _shuffled_bounds(slim_train, key_cols, k, seed)
+    slim.unpersist()
+    out = _split_by(df, label, key_cols, seed, "split", split_at)
+    out = with_part(out, hash_order("fold", seed, key_cols), label_group(label), strata_at, "cv_fold", train)
+    return with_part(out, hash_order("kfold", seed, key_cols), F.lit(0), shuffle_at, "grid_fold", train)
+
+
+def _split_by(df, label, key_cols, seed, output, bounds):
+    out = with_part(df, hash_order("split", seed, key_cols), label_group(label), bounds, output)
+    return out.withColumn(output, F.when(F.col(output) == 0, "train").otherwise("test"))
+
+
+def _split_bounds(df, label, key_cols, test_size, seed):
+    def cuts(counts):
+        return {c: [n] for c, n in train_sizes(binary_counts(counts, label), test_size).items()}
+
+    return boundaries(df, hash_order("split", seed, key_cols), label_group(label), cuts)
 
+
+def _stratified_bounds(df, label, key_cols, k, seed):
     def cuts(counts):
         return {c: _cuts(s) for c, s in stratified_fold_sizes(binary_counts(counts, label), k).items()}
 
-    return _with_folds(df, order, group, cuts, output, rows)
+    return boundaries(df, hash_order("fold", seed, key_cols), label_group(label), cuts)
 
 
-def shuffled_folds(
-    df: DataFrame,
-    key_cols: Sequence[str],
-    k: int = 5,
-    seed: int = SEED,
-    output: str = "fold",
-    rows: Column | None = None,
-) -> DataFrame:
-    """Add ``fold`` = 0..k-1 regardless of the label."""
-    order, group = hash_order("kfold", seed, key_cols), F.lit(0)
-    return _with_folds(df, order, group, lambda n: {0: _cuts(fold_sizes(n.get(0, 0), k))}, output, rows)
+def _shuffled_bounds(df, key_cols, k, seed):
+    def cuts(counts):
+        return {0: _cuts(fold_sizes(counts.get(0, 0), k))}
+
+    return boundaries(df, hash_order("kfold", seed, key_cols), F.lit(0), cuts)
 
 
 def with_row_key(df: DataFrame, output: str = "row_key") -> DataFrame:
@@ -129,25 +150,6 @@ def with_row_key(df: DataFrame, output: str = "row_key") -> DataFrame:
     return few.unionByName(many).select(*cols, key.alias(output))
 
 
-def split_with_folds(
-    df: DataFrame, label: str, key_cols: Sequence[str], seed: int = SEED, k: int = 5
-) -> DataFrame:
-    """Add ``split`` and, on the training rows, both kinds of folds.
-
-    ``cv_fold`` (stratified) serves the cross-validation of one model, ``grid_fold`` (shuffled) the
-    grid search; both are NULL on test rows.
-    """
-    train = F.col("split") == "train"
-    out = stratified_split(df, label, key_cols, seed=seed)
-    out = stratified_folds(out, label, key_cols, k, seed, "cv_fold", train)
-    return shuffled_folds(out, key_cols, k, seed, "grid_fold", train)
-
-
-def _with_folds(df, order, group, cuts, output, rows):
-    dealt = df if rows is None else df.where(rows)
-    return with_part(df, order, group, boundaries(dealt, order, group, cuts), output, rows)
-
-
 def _cuts(sizes: list[int]) -> list[int]:
     total, cuts = 0, []
     for s in sizes[:-1]:

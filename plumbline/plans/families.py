@@ -22,8 +22,6 @@ from plumbline.operators.linear import LinearFit, LinearSpec, fit_linear, score_
 from plumbline.operators.trees import Pruning, TreeFit, fit_forest, fit_tree, forest_votes, leaf_table
 from plumbline.plans.prepared import FOLDS, Prepared
 
-PARALLEL_FITS = 4  # jobs submitted at a time; each is a distributed fit of its own
-
 # Parameters of the plain training run.
 DEFAULTS = {
     "lr": {"C": 1.0, "max_iter": 100},
@@ -286,7 +284,7 @@ def _prunings(group) -> tuple[dict, list[Pruning]]:
 
 
 def _parallel(p: Prepared, task: Callable, items: Iterable) -> list:
-    with ThreadPool(PARALLEL_FITS) as pool:
+    with ThreadPool(p.parallel_fits) as pool:
         return pool.map(inheritable_thread_target(p.spark)(task), list(items), chunksize=1)
 
 

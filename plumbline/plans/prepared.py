@@ -28,18 +28,24 @@ class Prepared:
         key_cols: Sequence[str] = (),
         seed: int = SEED,
         max_bins: int = MAX_BINS,
+        parallel_fits: int = 4,
     ):
-        if not key_cols:
+        """``parallel_fits`` is the number of tree fits submitted at a time; each is distributed and
+        keeps its own copy of the binned rows while it runs."""
+        keyless = not key_cols
+        if keyless:
             feature_columns(df, label)
-            df, key_cols = with_row_key(df), ["row_key"]
+            df, key_cols = keep(with_row_key(df)), ["row_key"]
         self.label, self.key_cols, self.seed, self.max_bins = label, list(key_cols), seed, max_bins
+        self.parallel_fits = parallel_fits
         self.features = feature_columns(df, label, self.key_cols)
-        self._source = keep(spread(labelled(df, label, self.key_cols), *self.key_cols))
-        self.df = keep(split_with_folds(self._source, label, self.key_cols, seed, FOLDS))
+        source = spread(labelled(df, label, self.key_cols), *self.key_cols)
+        self.df = keep(split_with_folds(source, label, self.key_cols, seed, FOLDS))
         sizes = self.df.groupBy("split", label, "cv_fold", "grid_fold").count().collect()
-        self._source.unpersist()
         self._sizes = [r.asDict() for r in sizes]  # at most 2 x (1 + 25) rows
         self._kept = [self.df]
+        if keyless:
+            df.unpersist()
 
     @property
     def spark(self):

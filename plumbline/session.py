@@ -20,7 +20,7 @@ def scratch_root(spark: SparkSession) -> str:
     machine-local folder would be invisible to the other executors, so that is refused.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if root:
         return root
     if not sc.master.startswith("local"):

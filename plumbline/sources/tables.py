@@ -61,6 +61,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return cells.select(typed)
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A Parquet table if the path says so, a CSV file or folder otherwise."""
+    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path, schema)
+
+
 def feature_columns(df: DataFrame, label: str, key_cols: Sequence[str] = ()) -> list[str]:
     """Every column but the label and the key; all must be numeric or boolean."""
     missing = [c for c in (label, *key_cols) if c not in df.columns]

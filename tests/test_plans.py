@@ -156,3 +156,20 @@ def test_signature_and_example(p):
     assert not {r["name"]: r["required"] for r in signature(gap, "y", ["k"]).collect()}["a"]
     first = input_example(df, ["a", "b"], ["k"]).collect()
     assert [tuple(r) for r in first] == [tuple(r) for r in df.orderBy("k").select("a", "b").limit(5).collect()]
+
+
+def test_from_files(spark, tmp_path):
+    """The whole way from a CSV file to the pointer."""
+    from plumbline.plans.run import train_file, tune_file
+
+    path = str(tmp_path / "t.csv")
+    DATA.rename(columns={"y": "diabetes"}).to_csv(path, index=False)
+    result = train_file(spark, path, "dt", str(tmp_path / "one"), key_cols=["k"])
+    assert result.params == DEFAULTS["dt"] and result.metrics["accuracy"] > 0.7
+    grids = {n: {k: v[-1:] for k, v in g.items()} for n, g in SMALL.items()}
+    board = tune_file(spark, path, str(tmp_path / "all"), key_cols=["k"], grids=grids)
+    assert board.count() == 4
+    pointer = read_pointer(spark, str(tmp_path / "all/models_tuned/best_tuned_model_run_id")).first()["run_id"]
+    assert pointer == winner(board).first()["run_id"]
+    with pytest.raises(KeyError):
+        train_file(spark, path, "dt", str(tmp_path / "none"), label="absent")
