@@ -198,41 +198,59 @@ def fit_boosted(
 
 
 def _fit_together(cell_table, bins, specs, score_at):
-    spark = cell_table.sparkSession
     fits = [BoostFit(bins, s) for s in specs]
-    state = keep(cell_table.withColumn("missed", F.array_repeat(F.lit(0.0), len(fits))))
     shift = np.zeros(len(fits))  # log of the current weight total per fit, which normalises the weights
-    pending: dict[int, list] = {}  # learners the state does not hold yet; every pass applies them
-    passes, written = 0, None
     last = max(s.n_estimators for s in specs)
     scores: dict[int, pd.DataFrame] = {}
-    for round_no in range(1, last + 1):
-        growing = [j for j, f in enumerate(fits) if not f.stopped and len(f.trees) < f.spec.n_estimators]
-        if not growing:
-            break
-        if passes >= PASSES_PER_CHECKPOINT:
-            path = scratch_path(spark, "boost")
-            state.mapInArrow(_updater(pending), _STATE).write.parquet(path)
-            state.unpersist()
-            if written:
-                drop_path(spark, written)
-            written, state = path, keep(spark.read.schema(_STATE).parquet(path))
-            pending, passes = {}, 0
-        grown = _grow(state, bins, fits, growing, shift, pending)
-        passes += max(fits[j].spec.base_max_depth for j in growing)
-        for j in growing:
-            if (learner := _accept(fits[j], *grown[j])) is not None:
-                pending.setdefault(j, []).append(learner)
-        if round_no in score_at and round_no < last:
-            scores[round_no] = _score(state.mapInArrow(_updater(pending), _STATE), fits)
-    final = _score(state.mapInArrow(_updater(pending), _STATE), fits)
-    state.unpersist()
-    if written:
-        drop_path(spark, written)
+    state = _State(cell_table, len(fits))
+    try:
+        for round_no in range(1, last + 1):
+            growing = [j for j, f in enumerate(fits) if not f.stopped and len(f.trees) < f.spec.n_estimators]
+            if not growing:
+                break
+            state.settle()
+            grown = _grow(state, bins, fits, growing, shift)
+            for j in growing:
+                if (learner := _accept(fits[j], *grown[j])) is not None:
+                    state.pending.setdefault(j, []).append(learner)
+            if round_no in score_at and round_no < last:
+                scores[round_no] = _score(state.current(), fits)
+        final = _score(state.current(), fits)
+    finally:
+        state.release()
     parts = [scores.get(p, final).assign(n_trees=p) for p in sorted({*score_at, last}) if p <= last]
     return fits, pd.concat(parts, ignore_index=True)
 
 
+class _State:
+    """The cells with their summed alphas. Learners wait in ``pending``, applied by every pass, until
+    enough passes have gone by to write the cells anew to the shared folder."""
+
+    def __init__(self, cell_table: DataFrame, n_fits: int):
+        self.spark = cell_table.sparkSession
+        self.table = keep(cell_table.withColumn("missed", F.array_repeat(F.lit(0.0), n_fits)))
+        self.pending: dict[int, list] = {}
+        self.passes = 0
+        self.path: str | None = None
+
+    def current(self) -> DataFrame:
+        return self.table.mapInArrow(_updater(self.pending), _STATE)
+
+    def settle(self) -> None:
+        if self.passes < PASSES_PER_CHECKPOINT:
+            return
+        path = scratch_path(self.spark, "boost")
+        self.current().write.parquet(path)
+        self.release()
+        self.path, self.table = path, keep(self.spark.read.schema(_STATE).parquet(path))
+        self.pending, self.passes = {}, 0
+
+    def release(self) -> None:
+        self.table.unpersist()
+        if self.path:
+            drop_path(self.spark, self.path)
+
+
 def _accept(fit: BoostFit, tree: SmallTree, error: float) -> tuple[SmallTree, float] | None:
     """Add the learner unless it is no better than a coin; a perfect learner ends the fit."""
     if error >= 0.5:
@@ -250,16 +268,17 @@ def _accept(fit: BoostFit, tree: SmallTree, error: float) -> tuple[SmallTree, fl
     return tree, alpha
 
 
-def _grow(state, bins, fits, growing, shift, pending) -> dict[int, tuple[SmallTree, float]]:
+def _grow(state, bins, fits, growing, shift) -> dict[int, tuple[SmallTree, float]]:
     """One weighted tree per growing fit, level by level; moves ``shift`` to the new totals."""
     trees = {j: SmallTree(fits[j].spec.base_max_depth) for j in growing}
     weights: dict[int, dict[int, tuple[float, float]]] = {j: {} for j in growing}
     root: dict[int, float] = {}
     open_nodes = {j: [0] for j in growing}
-    trained = state.where(F.col("fold") > HELD_OUT)
+    trained = state.table.where(F.col("fold") > HELD_OUT)
     for level in range(max(t.depth for t in trees.values())):
         counted = {j: (trees[j], fits[j].spec.without_fold, float(shift[j]), nodes) for j, nodes in open_nodes.items()}
-        best = _best_cuts(trained.mapInArrow(_counter(counted, pending, bins.counts, level), _COUNTS))
+        best = _best_cuts(trained.mapInArrow(_counter(counted, state.pending, bins.counts, level), _COUNTS))
+        state.passes += 1
         following: dict[int, list[int]] = {}
         for j, tree in trees.items():
             if level >= tree.depth:

@@ -73,7 +73,7 @@ def fit_linear(
 ) -> list[LinearFit]:
     """Fit all specs on the rows of ``train``; ``fold`` is the column that ``without_fold`` refers to."""
     width = len(features) + 1
-    sums = width * width + width + 1
+    sums = 1 + width + width * (width + 1) // 2
     if sums > SUMS_PER_PASS:
         return [_fit_wide(train, features, label, fold, s) for s in specs]
     rows = _slim(train, features, label, fold)
@@ -129,7 +129,7 @@ def _newton(rows: DataFrame, features: list[str], specs: list[LinearSpec]) -> li
                 continue
             now[j], cost[j] = w, loss
             gradient = C * sums[j][1 : width + 1] + ridge @ w
-            curvature = C * sums[j][width + 1 :].reshape(width, width) + ridge
+            curvature = C * _square(sums[j][width + 1 :], width) + ridge
             step[j] = -_solve(curvature, gradient)
             rounds[j] += 1
             if -gradient @ step[j] <= TOLERANCE * (1 + loss):
@@ -146,11 +146,19 @@ def _solve(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
     return scale * np.linalg.lstsq(matrix * np.outer(scale, scale), scale * right, rcond=1e-14)[0]
 
 
+def _square(upper: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((width, width))
+    out[np.triu_indices(width)] = upper
+    return out + np.triu(out, 1).T
+
+
 def _sums(rows: DataFrame, at: dict, width: int) -> dict[int, np.ndarray]:
-    """Loss, gradient and curvature per fit, summed over its training rows."""
+    """Loss, gradient and upper half of the curvature per fit, summed over its training rows."""
+    upper = np.triu_indices(width)
+    length = 1 + width + len(upper[0])
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = {j: np.zeros(1 + width + width * width) for j in at}
+        totals = {j: np.zeros(length) for j in at}
         for batch in batches:
             x, y, fold_of = _arrays(batch)
             for j, (w, without) in at.items():
@@ -162,16 +170,15 @@ def _sums(rows: DataFrame, at: dict, width: int) -> dict[int, np.ndarray]:
                     error, spread, loss = error * mine, spread * mine, loss * mine
                 totals[j][0] += loss.sum()
                 totals[j][1 : width + 1] += error @ x
-                totals[j][width + 1 :] += (x.T @ (x * spread[:, None])).ravel()
+                totals[j][width + 1 :] += (x.T @ (x * spread[:, None]))[upper]
         fits = pa.array(list(totals), pa.int32())
-        lists = pa.array([t for t in totals.values()], pa.list_(pa.float64()))
+        lists = pa.array(list(totals.values()), pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([fits, lists], names=["fit", "sums"])
 
     sent = rows.where(F.col("fold") > HELD_OUT).mapInArrow(add_up, "fit int, sums array<double>")
     added = sent.select("fit", F.posexplode("sums").alias("i", "v")).groupBy("fit", "i").agg(F.sum("v").alias("v"))
-    out = {j: np.zeros(1 + width + width * width) for j in at}
-    table = added.toPandas()
-    for j, part in table.groupby("fit"):
+    out = {j: np.zeros(length) for j in at}
+    for j, part in added.toPandas().groupby("fit"):
         out[int(j)][part["i"].to_numpy()] = part["v"].to_numpy()
     return out
 

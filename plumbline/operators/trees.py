@@ -28,6 +28,7 @@ DEPTH_LIMIT = 30  # MLlib refuses deeper trees
 MEMORY_MB = 1024
 BROADCAST_BYTES = 256 << 20
 ROWS_PER_PARTITION = 500_000
+SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -321,8 +322,11 @@ def _votes_by_join(rows, nodes, table, prunings, sizes, carry):
     answers = spark.createDataFrame(pd.concat(parts), "tree int, leaf double, variant int, share double")
     path = F.md5(F.array_join(F.col("leaf").cast("array<string>"), ","))
     rows = rows.withColumn("__path", path)
+    # one path or leaf may hold a third of the rows: its rows meet copies of the small side
+    salt, copies = (F.spark_partition_id() % SALTS).alias("__salt"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     paths = rows.select("__path", "leaf").dropDuplicates(["__path"])
-    joined = paths.select("__path", F.posexplode("leaf").alias("tree", "leaf")).join(answers, ["tree", "leaf"])
+    listed_paths = paths.select("__path", salt, F.posexplode("leaf").alias("tree", "leaf"))
+    joined = listed_paths.join(answers.withColumn("__salt", copies), ["tree", "leaf", "__salt"])
     sums = joined.groupBy("__path", "variant").agg(
         *[F.sum(F.when(F.col("tree") < s, F.col("share"))).alias(f"s{s}") for s in sizes]
     )
@@ -331,7 +335,10 @@ def _votes_by_join(rows, nodes, table, prunings, sizes, carry):
         for s in sizes
     ]
     voted = sums.select("__path", "variant", F.explode(F.array(*votes)).alias("v")).select("__path", "variant", "v.*")
-    return rows.join(voted, "__path").select(*carry, "variant", "n_trees", "prediction")
+    salted = rows.select(*carry, "__path", salt)
+    return salted.join(voted.withColumn("__salt", copies), ["__path", "__salt"]).select(
+        *carry, "variant", "n_trees", "prediction"
+    )
 
 
 def _fitted(model, bins: Bins, pruning: Pruning, n_trees: int = 1) -> TreeFit:

@@ -27,7 +27,7 @@ SMALL = {
     "lr": {"C": [0.1, 10.0], "penalty": ["l2"], "solver": ["sag", "lbfgs"], "max_iter": [100, 500]},
     "rf": {"n_estimators": [2, 3], "max_depth": [2, 4], "min_samples_split": [2, 60], "min_samples_leaf": [1], "max_features": ["sqrt"]},
     "adaboost": {"n_estimators": [1, 3], "learning_rate": [0.1, 1.0], "base_max_depth": [1, 2]},
-    "dt": {"criterion": ["gini", "entropy"], "max_depth": [None, 3], "min_samples_split": [2, 60], "min_samples_leaf": [1, 4]},
+    "dt": {"criterion": ["gini", "entropy"], "max_depth": [6, 3], "min_samples_split": [2, 60], "min_samples_leaf": [4]},
 }
 
 
@@ -120,7 +120,7 @@ def test_tune_all(spark, p, tmp_path):
     logged = log.values.where("kind = 'metric'").groupBy("run_id").count().collect()
     assert {r["count"] for r in logged} == {11}
     assert log.values.where("kind = 'importance'").select("run_id").distinct().count() == 4
-    assert json.loads(rows[0]["params"])
+    assert json.loads(rows[0]["params"]) and not any(r["truncated"] for r in rows)
 
 
 def test_grid_plan(p):
