@@ -83,7 +83,10 @@ class Nodes:
         return out[self.is_leaf]
 
     def truncated(self) -> bool:
-        """Would a deeper tree still have split a leaf at the depth limit?"""
+        """Is there a mixed leaf at the depth limit, which a deeper tree might have split?
+
+        MLlib joins two leaves that agree, so a mixed pair that agrees is not seen here.
+        """
         mixed = (self.positive > 0) & (self.positive < self.weight)
         return bool((self.is_leaf & (self.depth >= DEPTH_LIMIT) & mixed).any())
 

@@ -77,3 +77,10 @@ def test_boolean_becomes_number(spark):
     df = spark.range(4).select((F.col("id") % 2 == 0).alias("b"), F.col("id").alias("a"))
     packed = tables.assemble(df, ["b", "a"]).select("features").collect()
     assert sorted(tuple(r[0].toArray()) for r in packed) == [(0.0, 1.0), (0.0, 3.0), (1.0, 0.0), (1.0, 2.0)]
+
+
+def test_read_table_by_name(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, 0)], "a int, y int").write.parquet(path)
+    assert tables.read_table(spark, path).columns == ["a", "y"]
+    assert tables.read_table(spark, write(tmp_path, "a,y\n1,0\n")).dtypes == [("a", "bigint"), ("y", "bigint")]

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 from plumbline.functions.metrics import evaluate
+from plumbline.operators import trees
 from plumbline.operators.binning import exact_bins
 from plumbline.operators.trees import Pruning, TreeFit, canonical_layout, fit_forest, fit_tree, forest_votes
 
@@ -91,11 +92,11 @@ def test_min_samples_split_is_kept_by_the_fit(binned, bins):
 
 
 def test_layout_does_not_change_the_tree(table, bins):
-    trees = []
+    texts = []
     for parts in (1, 3, 8):
         rows = bins.apply(table.repartition(parts)).cache()
-        trees.append(fit_tree(rows, bins, "y", N, max_depth=6).model.toDebugString.split("\n", 1)[1])
-    assert trees[0] == trees[1] == trees[2]
+        texts.append(fit_tree(rows, bins, "y", N, max_depth=6).model.toDebugString.split("\n", 1)[1])
+    assert texts[0] == texts[1] == texts[2]
 
 
 def test_layout_does_not_change_the_forest(table, bins):
@@ -157,3 +158,8 @@ def test_missing_feature_stops_scoring(spark, deep):
 
 def test_bins_are_not_categories(binned):
     assert not binned.schema["bins"].metadata
+
+
+def test_truncation_is_noticed(binned, bins, monkeypatch):
+    monkeypatch.setattr(trees, "DEPTH_LIMIT", 3)
+    assert fit_tree(binned, bins, "y", N).nodes.truncated()
