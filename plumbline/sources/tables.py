@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,10 +141,6 @@ def assemble(df: DataFrame, names: Sequence[str], output: str = "features") -> D
     return VectorAssembler(inputCols=list(names), outputCol=output, handleInvalid="error").transform(wide)
 
 
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
 def _missing_to_null(cell: Column) -> Column:
     return F.when(~cell.isin(*NA_TOKENS), cell)
 
