@@ -44,4 +44,51 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-ORACLE_SQL = {"op9_line_dedup": LINE_DEDUP, "op10_decontamination": DECONTAMINATION}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+JACCARD = f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT o.a, o.b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2) o
+  JOIN n m ON m.doc_id = o.a JOIN n k ON k.doc_id = o.b
+  WHERE 100 * common >= 90 * (m.n + k.n - common)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r USING (doc_id) LEFT JOIN n USING (doc_id)
+GROUP BY d.doc_id
+"""
+
+SUFFIX_DEDUP = """
+WITH t AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM t WHERE len(h) >= 400)
+), often AS (SELECT m FROM windows GROUP BY m HAVING count(*) > 1),
+hits AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM windows JOIN often USING (m)),
+numbered AS (SELECT doc_id, i, sum(CASE WHEN gap <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM hits),
+spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, k),
+ends AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last FROM spans GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, a, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS x
+  FROM spans JOIN t USING (doc_id)
+), front AS (SELECT doc_id, string_agg(x, '' ORDER BY a) AS x FROM pieces GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(front.x, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN ends USING (doc_id) LEFT JOIN front USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op4_suffix_dedup": SUFFIX_DEDUP,
+    "op8_jaccard": JACCARD,
+    "op9_line_dedup": LINE_DEDUP,
+    "op10_decontamination": DECONTAMINATION,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, decontamination, line_dedup, token_counts
+from plumbline.llm import bpe, decontamination, fingerprints, html_extract, jaccard_join, lang_id, line_dedup, lm_scoring, suffix_dedup, token_counts
 from plumbline.llm.tables import id_text, table
 
 MAX_TOKENS = 4096
@@ -25,6 +25,35 @@ def op1_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     )
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = lang_id.remainder(F.col("doc_id"), 3) == 1
+    parser = lang_id.fit(docs.where(~held_out))
+    out = lang_id.with_language(docs.select("doc_id", "text", held_out.alias("held_out")), parser)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id",
+        (F.octet_length("kept") + n_removed).alias("n_bytes"),
+        n_removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     model = Path(path or public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
     docs = id_text(table(spark, sf_dir, "documents"))
@@ -33,6 +62,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
     return out.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = lang_id.remainder(F.col("doc_id"), 7) == 2
+    out = lm_scoring.score(docs.withColumn("held_out", held_out), docs.where(~held_out))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score")
+
+
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, n_lines="n_lines", n_dropped="n_dropped")
@@ -54,7 +94,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_language": op2_language,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_html": op5_html,
     "op6_token_counts": op6_token_counts,
+    "op7_lm": op7_lm,
+    "op8_jaccard": op8_jaccard,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }

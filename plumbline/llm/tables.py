@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from plumbline.session import scratch_path
 
 PIECE_ROWS = 1024
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
