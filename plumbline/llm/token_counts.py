@@ -60,8 +60,10 @@ class Lengths(dict):
     def _encode(self, keys: list[str]) -> list[int]:
         if self.coder is None:
             self.coder = sentencepiece.SentencePieceProcessor(model_proto=self.model)
-        # the empty pre-token is a single blank, which the coder only puts before other characters
-        return [len(x) - 1 if not k else len(x) for k, x in zip(keys, self.coder.encode([k or "\n" for k in keys], num_threads=1))]
+        # one string a call: a call with a list starts threads. The empty pre-token is a single blank,
+        # which the coder only puts before other characters
+        encode = self.coder.encode
+        return [len(encode(k)) if k else len(encode("\n")) - 1 for k in keys]
 
     def count(self, text: str) -> int:
         return sum(map(self.__getitem__, pre_tokens(text)))
