@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.lanes import Lanes
-from plumbline.llm.tables import fresh, map_pieces, pieces, written
+from plumbline.llm.tables import fresh, largest, map_pieces, pieces, written
 
-DEPTH = 7  # symbols of the longest context
+DEPTH = 5  # symbols of the longest context
 MIN_COUNT = 16  # occurrences of a context that may be kept
 MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its occurrences
 MAX_CONTEXTS = 40_000  # kept contexts, those that save most: bounds the broadcast
-MAX_WORDS = 300_000  # entries of the broadcast table of frequent words
+MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_ROWS = 2_000_000  # distinct symbol strings a task holds before it passes them on
 TASK_WORDS = 200_000  # distinct words likewise
@@ -131,12 +131,13 @@ def count_strings(docs: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN, limit: int = MAX_CONTEXTS) -> list[tuple[int, int, dict[int, int]]]:
-    """(length, code, next-symbol counts) of the contexts that pass the divergence test.
+def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN, limit: int = MAX_CONTEXTS) -> list[tuple]:
+    """(length, code, next symbols, their counts) of the contexts that pass the divergence test.
 
     A context passes if its occurrences are at least ``min_count`` and coding their next symbols with
     its own distribution instead of the shorter context's saves at least ``min_gain`` nats: occurrences
     times the divergence of the two distributions. The empty context and all of one symbol are kept.
+    Of the others, the classes that save most are kept, up to ``limit`` contexts.
     """
     levels = [strings]
     for d in range(depth, 0, -1):
@@ -161,12 +162,18 @@ def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, mi
         if d > 1:
             kept = kept.where(F.col("gain") >= min_gain)
         else:
-            kept = kept.withColumn("gain", F.lit(float("inf")))
-        kept = kept.select(F.lit(d).alias("d"), "context", "gain", "next")
+            kept = kept.withColumn("gain", F.lit(None).cast("double"))
+        kept = kept.select(F.lit(d).alias("d"), "context", "gain", F.col("next.s").alias("s"), F.col("next.n").alias("n"))
         found = kept if found is None else found.unionByName(kept)
         shorter = rows.select(F.col("code").alias("parent"), F.col("share").alias("shorter_share"))
-    best = found.orderBy(F.desc("gain"), "d", "context").limit(limit).collect()
-    return [(r.d, r.context, {x.s: x.n for x in r.next}) for r in best]
+    found = written(found, "contexts")
+    best = found.where("d < 2").unionByName(largest(found.where("d > 1"), "gain", limit)).select("d", "context", "s", "n").toArrow()
+    out = []
+    for batch in best.to_batches():
+        d, context = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        lists = [batch.column(i) for i in (2, 3)]
+        out += [(int(d[i]), int(context[i]), lists[0][i].values.to_numpy(), lists[1][i].values.to_numpy()) for i in range(len(d))]
+    return out
 
 
 class SuffixTree:
@@ -177,11 +184,11 @@ class SuffixTree:
     distribution. Bytes without a symbol of their own share symbol 0 evenly.
     """
 
-    def __init__(self, kept: list[tuple[int, int, dict[int, int]]], table: np.ndarray):
+    def __init__(self, kept: list[tuple], table: np.ndarray):
         self.table, self.size = table, int(table.max()) + 1
         shared = int((table == 0).sum())
-        contexts = {self._symbols(d, code): counts for d, code, counts in kept}
-        contexts.setdefault((), {})
+        contexts = {self._symbols(d, code): counts for d, code, *counts in kept}
+        contexts.setdefault((), (np.zeros(0, np.int64), np.zeros(0, np.int64)))
         order = sorted(contexts, key=lambda s: (len(s), s))
         number = {s: i for i, s in enumerate(order)}
         p = np.zeros((len(order), self.size))
@@ -193,12 +200,13 @@ class SuffixTree:
                 base = p[number[shorter]]
             else:
                 base = np.full(self.size, 1 / self.size)
-            counts = contexts[s]
-            m = max(1, len(counts))
+            seen, times = contexts[s]
+            m = max(1, len(seen))
             p[i] = m * base
-            p[i, list(counts)] += list(counts.values())
-            p[i] /= m + sum(counts.values())
-        logs = np.log10(p)
+            p[i, seen] += times
+            p[i] /= m + times.sum()
+        del contexts
+        logs = np.log10(p, out=p)
         logs[:, 0] -= np.log10(max(1, shared))
         # states: all beginnings of contexts; where nothing goes on, the longest suffix that does
         children: list[dict[int, int]] = [{}]
@@ -282,7 +290,8 @@ class Scorer:
             c = np.array([frequent.get(w, 0) for w in found], np.float64)
             last = np.zeros(len(found))
             last[-1:] = 1
-            own = np.where(c > 0, counts.known(c, tree[: len(c)], last), counts.unknown(last))
+            with np.errstate(divide="ignore"):
+                own = np.where(c > 0, counts.known(c, tree[: len(c)], last), counts.unknown(last))
             n_tokens.append(len(found) + 1)
             n_known.append(int((c > 0).sum()) + (ends > 0))
             base.append(float(np.log10(c + 1).sum() + np.log10(ends + 1)))
@@ -318,8 +327,8 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", depth: int =
         F.count(F.when(~end & (F.col("n") == 1), 1)).alias("once"),
     ).first()
     known = Counts(*sums)
-    top = counts.where(F.octet_length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(MAX_WORDS)
-    frequent = {bytes(r.word): r.n for r in top.collect()} | ({b"\n": sums.texts} if sums.texts else {})
+    top = largest(counts.where(F.octet_length("word") <= WORD_BYTES), "n", MAX_WORDS).toArrow().to_pydict()
+    frequent = dict(zip(top["word"], top["n"])) | ({b"\n": sums.texts} if sums.texts else {})
     table = byte_symbols(training)
     strings = written(count_strings(training, table, depth), "symbol-strings")
     tree = SuffixTree(kept_contexts(strings, depth), table)

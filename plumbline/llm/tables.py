@@ -37,18 +37,20 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Slices of at most PIECE_ROWS rows and about PIECE_BYTES bytes in column ``text``."""
+def pieces(batches: Iterator[pa.RecordBatch], text: int, nbytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of at most PIECE_ROWS rows and about ``nbytes`` bytes in column ``text``. Memory that Arrow
+    no longer uses is given back at the end, as the worker goes on to other work."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
         start, n = 0, batch.num_rows
         while start < n:
             before = ends[start - 1] if start else 0
-            stop = int(np.searchsorted(ends, before + PIECE_BYTES, "right"))
+            stop = int(np.searchsorted(ends, before + nbytes, "right"))
             stop = min(max(stop, start + 1), start + PIECE_ROWS, n)
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def map_pieces(
@@ -57,6 +59,7 @@ def map_pieces(
     inputs: Sequence[str],
     outputs: dict[str, str],
     keep: Sequence[str] | None = None,
+    nbytes: int = PIECE_BYTES,
 ) -> DataFrame:
     """Add or replace the columns ``outputs`` (name to type) of ``df``, piece by piece.
 
@@ -75,7 +78,7 @@ def map_pieces(
 
     def run(batches):
         types = to_arrow_schema(schema).types
-        for piece in pieces(batches, at[0]):
+        for piece in pieces(batches, at[0], nbytes):
             made = iter(f(*[piece.column(i).to_pylist() for i in at]))
             arrays = []
             for i, kind in zip(source, types):
@@ -92,3 +95,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def largest(df: DataFrame, value: str, limit: int) -> DataFrame:
+    """The rows of the largest positive values, at most ``limit`` of them: values are put in classes of
+    a sixteenth of a power of two, and the upper classes that fit are taken whole. Nothing is sorted,
+    and only class sizes come to the driver. ``df`` is read twice, so it should be a written table."""
+    step = F.floor(F.log2(F.col(value).cast("double")) * 16)
+    sizes = sorted(((r["step"], r["count"]) for r in df.groupBy(step.alias("step")).count().collect()), reverse=True)
+    least, total = None, 0
+    for at, n in sizes:
+        total += n
+        if total > limit:
+            break
+        least = at
+    return df.where(step >= least) if least is not None else df.where(F.lit(False))

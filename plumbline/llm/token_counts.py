@@ -16,7 +16,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.tables import fresh, map_pieces
+from plumbline.llm.tables import fresh, largest, map_pieces, written
 
 FREQUENT = 65_536  # entries of the broadcast table
 LONGEST = 64  # code points of its longest key, so it has a few MB at most
@@ -97,8 +97,8 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", limit: int = FREQUE
         yield pa.RecordBatch.from_pydict({"k": pa.array([x[0] for x in top], pa.string()), "n": pa.array([x[1] for x in top], pa.int64())})
 
     counted = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "k string, n long")
-    rows = counted.groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").limit(limit).collect()
-    return [r.k for r in rows]
+    summed = written(counted.groupBy("k").agg(F.sum("n").alias("n")), "pre-tokens")
+    return largest(summed, "n", limit).select("k").toArrow().column(0).to_pylist()
 
 
 def with_token_counts(docs: DataFrame, model: bytes, text: str = "text", output: str = "n_tokens", limit: int = FREQUENT) -> DataFrame:
