@@ -16,7 +16,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +26,11 @@ from plumbline.llm.tables import fresh, map_pieces, written
 WORDS = 5
 PERCENT = 80
 LIST_ROWS = 4096  # sets of an index list that are searched together; longer lists go in pairs of blocks
+SHORT_LIST = 12  # sets of an index list whose pairs are looked at one by one
 BLOCK_SHINGLES = 500_000  # shingles of a block of sets that are compared together
-ORDER_SAMPLE = 8192  # texts that show which shingles are frequent; decides the order, never a result
-FREQUENT = 4  # texts of that sample that share a frequent shingle
+PIECE = 1 << 19  # bytes of text that are hashed together
+ORDER_SAMPLE = 65_536  # texts that show which shingles are frequent; decides the order, never a result
+FREQUENT = 4  # texts of that sample that share a frequent shingle, so a quarter of its shingles are broadcast at most
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -56,7 +58,7 @@ class Shingler:
         n = len(data)
         if len(self.powers) < n:
             for name, base in (("powers", _BASE), ("inverses", _INVERSE)):
-                steps = np.full(2 * n, base, np.uint64)
+                steps = np.full(n, base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.multiply.accumulate(steps))
         space = _IS_SPACE[data]
@@ -112,48 +114,70 @@ def least_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def candidate_edges(sizes: np.ndarray, positions: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+def candidate_edges(sizes: np.ndarray, positions: np.ndarray, sketches: list[bytes], percent: int, tied: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Edges that tie together all sets of one index list that may be similar, directly or through others.
+    ``tied`` numbers the groups in which sets are tied already.
 
     Two sets may be similar if the overlap that sizes and positions allow is enough, and the buckets
     of their sketches do not show too many differing shingles. Neither bound ever excludes a similar
     pair in the list of the first shingle that the two share.
     """
-    m = len(sizes)
-    order = np.lexsort((sizes, positions))
-    sizes, positions = sizes[order], positions[order]
-    kinds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    lengths = np.array([len(sketches[i]) for i in order])
-    row = np.zeros(m, np.int64)
-    for kind in np.unique(lengths).tolist():
-        at = np.flatnonzero(lengths == kind)
-        row[at] = np.arange(len(at))
-        kinds[kind] = at, np.frombuffer(b"".join([sketches[order[i]] for i in at]), np.uint8).reshape(-1, kind).astype(np.int16)
-    edges, left = [], np.arange(m)
-    while len(left) > 1:
-        stack, left = [left[0]], left[1:]
-        while stack and len(left):
-            x = stack.pop()
-            size, position = sizes[x], positions[x]
-            # a set may have at most size * 100 / percent shingles, of which it must share these
-            latest = size * 100 // percent - -(-percent * size // 100)
-            block = left[: np.searchsorted(positions[left], latest, "right")]
-            needed = least_overlap(size, sizes[block], percent)
-            possible = 1 + np.minimum(size - position - 1, sizes[block] - positions[block] - 1)
-            block = block[(possible >= needed) & (np.minimum(size, sizes[block]) >= needed)]
-            mine = kinds[int(lengths[x])][1][row[x]]
-            near = []
-            for kind in np.unique(lengths[block]).tolist():
-                some = block[lengths[block] == kind]
-                both = min(kind, len(mine))
-                theirs = kinds[kind][1][row[some]].reshape(len(some), -1, both).sum(axis=1)
-                apart = np.abs(theirs - mine.reshape(-1, both).sum(axis=0)).sum(axis=1)
-                near.append(some[apart <= size + sizes[some] - 2 * least_overlap(size, sizes[some], percent)])
-            if near and len(found := np.concatenate(near)):
-                edges.extend((int(order[x]), int(order[y])) for y in found)
-                stack.extend(found.tolist())
-                left = left[~np.isin(left, found)]
-    return edges
+    search = _ListSearch(sizes, positions, sketches, percent)
+    label = np.arange(len(sizes)) if tied is None else np.unique(tied, return_inverse=True)[1][search.order]
+    edges = []
+    largest = np.bincount(label).argmax()
+    outside = np.flatnonzero(label != largest)
+    if 2 * len(outside) < len(label):  # most are tied: only look around the others
+        for x in outside:
+            for y in search.near(x, np.flatnonzero(label != label[x])):
+                if label[x] != label[y]:
+                    edges.append((x, y))
+                    label[label == label[y]] = label[x]
+    else:  # go from set to set; what has been reached is not looked at again
+        left = np.arange(len(label))
+        while len(left) > 1:
+            stack, left = [left[0]], left[1:]
+            while stack and len(left):
+                x = stack.pop()
+                found = search.near(x, left)
+                if len(found):
+                    edges.extend((x, y) for y in found)
+                    stack.extend(found.tolist())
+                    left = left[~np.isin(left, found)]
+    return [(int(search.order[x]), int(search.order[y])) for x, y in edges]
+
+
+class _ListSearch:
+    """The sets of an index list in order of position, which makes its blocks."""
+
+    def __init__(self, sizes: np.ndarray, positions: np.ndarray, sketches: list[bytes], percent: int):
+        self.percent, self.order = percent, np.lexsort((sizes, positions))
+        self.sizes, self.positions = sizes[self.order], positions[self.order]
+        self.lengths = np.array([len(sketches[i]) for i in self.order])
+        self.row = np.zeros(len(sizes), np.int64)
+        self.buckets: dict[int, np.ndarray] = {}
+        for kind in np.unique(self.lengths).tolist():
+            at = np.flatnonzero(self.lengths == kind)
+            self.row[at] = np.arange(len(at))
+            self.buckets[kind] = np.frombuffer(b"".join([sketches[self.order[i]] for i in at]), np.uint8).reshape(-1, kind).astype(np.int16)
+
+    def near(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` (ascending) that may be similar to ``x``."""
+        size, position, percent = self.sizes[x], self.positions[x], self.percent
+        # a set may have at most size * 100 / percent shingles, of which it must share these
+        latest = size * 100 // percent - -(-percent * size // 100)
+        block = others[: np.searchsorted(self.positions[others], latest, "right")]
+        needed = least_overlap(size, self.sizes[block], percent)
+        possible = 1 + np.minimum(size - position - 1, self.sizes[block] - self.positions[block] - 1)
+        block = block[(possible >= needed) & (np.minimum(size, self.sizes[block]) >= needed)]
+        mine, out = self.buckets[int(self.lengths[x])][self.row[x]], [np.zeros(0, np.int64)]
+        for kind in np.unique(self.lengths[block]).tolist():
+            some = block[self.lengths[block] == kind]
+            both = min(kind, len(mine))
+            theirs = self.buckets[kind][self.row[some]].reshape(len(some), -1, both).sum(axis=1)
+            apart = np.abs(theirs - mine.reshape(-1, both).sum(axis=0)).sum(axis=1)
+            out.append(some[apart <= size + self.sizes[some] - 2 * least_overlap(size, self.sizes[some], percent)])
+        return np.concatenate(out)
 
 
 def similar_edges(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -173,6 +197,14 @@ def similar_edges(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
         at = np.repeat(first[tokens] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.bincount(lists[at], minlength=m)
 
+    def overlaps_of_few(x: int, few: np.ndarray) -> np.ndarray:
+        """How many shingles of ``x`` the sets ``few`` have, from their own shingles."""
+        mark = np.zeros(len(first) - 1, np.int64)
+        mark[own[x]] = 1
+        out = np.zeros(m, np.int64)
+        out[few] = np.add.reduceat(mark[np.concatenate([own[z] for z in few])], np.cumsum(sizes[few]) - sizes[few])
+        return out
+
     edges, left = [], np.ones(m, bool)
     last, counts = None, None
     for seed in range(m):
@@ -182,6 +214,11 @@ def similar_edges(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
         stack = [seed]
         while stack and left.any():
             x = stack.pop()
+            few = np.flatnonzero(left)
+            if 16 * len(few) < m:
+                last, now = None, overlaps_of_few(x, few)
+                _reached(x, now, left, sizes, percent, edges, stack)
+                continue
             gained = lost = None
             if last is not None:
                 gained, lost = np.setdiff1d(own[x], own[last], assume_unique=True), np.setdiff1d(own[last], own[x], assume_unique=True)
@@ -190,13 +227,18 @@ def similar_edges(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
             else:
                 counts = overlaps(own[x])
             last = x
-            similar = np.flatnonzero(left & (100 * counts >= percent * (sizes + sizes[x] - counts)))
-            left[similar] = False
-            edges.extend((x, int(y)) for y in similar)
-            stack.extend(similar.tolist())
+            _reached(x, counts, left, sizes, percent, edges, stack)
     return edges
 
 
+def _reached(x: int, counts: np.ndarray, left: np.ndarray, sizes: np.ndarray, percent: int, edges: list, stack: list) -> None:
+    """Take the sets that are left and similar to ``x``, which shares ``counts`` shingles with each."""
+    similar = np.flatnonzero(left & (100 * counts >= percent * (sizes + sizes[x] - counts)))
+    left[similar] = False
+    edges.extend((x, int(y)) for y in similar)
+    stack.extend(similar.tolist())
+
+
 def _pairs_of_blocks(df: DataFrame, blocks: str, own: str) -> DataFrame:
     """Every row once for each pair (i, j) of blocks its own block is part of; once if there is one block."""
     other = F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
@@ -236,7 +278,7 @@ def _labelled(docs: DataFrame, id_col: str, text: str, words: int, percent: int)
         return [node_of(s) for s in sets], [len(s) for s in sets], [sketch_of(s) if len(s) else b"" for s in sets], prefix
 
     outputs = {"node": "bigint", "n_shingles": "bigint", "sketch": "binary", "prefix": "array<bigint>"}
-    base = written(map_pieces(texts, describe, ["text"], outputs, ["doc_id", "key"]), "shingle-sets")
+    base = written(map_pieces(texts, describe, ["text"], outputs, ["doc_id", "key"], PIECE), "shingle-sets")
     by_node = base.where("n_shingles > 0").groupBy("node")
     nodes = written(by_node.agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")), "nodes")
 
@@ -258,26 +300,47 @@ def _frequent_shingles(texts: DataFrame, shingler: Shingler) -> np.ndarray:
     """
     total = texts.count()
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) <= int((1 << 30) * min(1.0, ORDER_SAMPLE / max(1, total))))
-    sets = map_pieces(sample.dropDuplicates(["text"]), lambda v: ([s.astype(np.int64) for s in shingler.sets(v)],), ["text"], {"s": "array<bigint>"}, [])
-    rows = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).select("s").toPandas()
-    return np.sort(rows["s"].to_numpy(np.int64).astype(np.uint64))
+    sets = map_pieces(sample.dropDuplicates(["text"]), lambda v: ([s.astype(np.int64) for s in shingler.sets(v)],), ["text"], {"s": "array<bigint>"}, [], PIECE)
+    rows = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).select("s").toArrow()
+    return np.sort(rows.column("s").to_numpy().astype(np.uint64))
 
 
 def _candidate_clusters(reps: DataFrame, percent: int) -> DataFrame:
-    """(node, cluster): nodes that may be connected by similarity are in one cluster."""
+    """(node, cluster): nodes that may be connected by similarity are in one cluster.
+
+    The pairs of a short list go through the sketches once each, however many lists they are in; the
+    sets of a long list are searched with their sketches at hand, in pairs of blocks if they are very
+    many.
+    """
     rows = reps.select("node", F.col("n_shingles").cast("int").alias("size"), F.posexplode("prefix").alias("position", "shingle"))
-    rows = rows.repartition("shingle")  # one shuffle serves the count and the join
-    lists = rows.groupBy("shingle").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most")
-    several = rows.join(lists.select("shingle", "n"), "shingle").dropDuplicates(["shingle", "node"])
-    blocks = F.ceil(F.col("n") / LIST_ROWS).cast("int")
-    several = several.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    several = several.join(reps.select("node", "sketch").dropDuplicates(["node"]), "node")
-    placed = _pairs_of_blocks(several, "blocks", "block").select("shingle", "i", "j", "node", "size", "position", "sketch")
-    laid = placed.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
+    laid = rows.select("shingle", "node", "size", "position").repartition("shingle").sortWithinPartitions("shingle")
+    split = lambda batches: _pairs_of_short_lists(batches, percent)
+    found = written(laid.mapInArrow(split, "a bigint, b bigint, shingle bigint, size int, position int"), "index-lists")
+    sketches = reps.select("node", "sketch").dropDuplicates(["node"])
+
+    pairs = found.where("b is not null").select("a", "b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.withColumnsRenamed({"node": side, "sketch": f"sketch_{side}"}), side)
+    sizes = reps.select("node", F.col("n_shingles").cast("int").alias("n")).dropDuplicates(["node"])
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.withColumnsRenamed({"node": side, "n": f"n_{side}"}), side)
+
+    def near(batches):
+        for batch in batches:
+            a, b = batch.column("a"), batch.column("b")
+            columns = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "n_a", "n_b")]
+            kept = pa.array([_may_be_similar(*row, percent) for row in zip(*columns)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])
+
+    tied = pairs.mapInArrow(near, "a bigint, b bigint")
+
+    entries = found.where("b is null").select("shingle", F.col("a").alias("node"), "size", "position").dropDuplicates(["shingle", "node"])
+    lists = entries.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / LIST_ROWS).cast("int").alias("blocks"))
+    entries = entries.join(lists, "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = _pairs_of_blocks(entries, "blocks", "block").join(sketches, "node").select("shingle", "i", "j", "node", "size", "position", "sketch")
+    in_lists = placed.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
 
     def search(batches):
-        import pyarrow as pa
-
         tied = Tied()
 
         def rows():
@@ -285,15 +348,85 @@ def _candidate_clusters(reps: DataFrame, percent: int) -> DataFrame:
             return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         for node, size, position, sketch in _groups(batches, 3):
-            if len({tied.root(x) for x in node}) > 1:
-                for x, y in candidate_edges(np.array(size), np.array(position), sketch, percent):
+            roots = [tied.root(x) for x in node]
+            if len(set(roots)) > 1:
+                for x, y in candidate_edges(np.array(size), np.array(position), sketch, percent, np.array(roots)):
                     tied.tie(node[x], node[y])
                 if len(tied.edges) > 200_000:
                     yield rows()
                     tied = Tied()
         yield rows()
 
-    return connected(laid.mapInArrow(search, "a long, b long").distinct()).withColumnRenamed("label", "cluster")
+    edges = tied.unionByName(in_lists.mapInArrow(search, "a bigint, b bigint")).distinct()
+    return connected(edges).withColumnRenamed("label", "cluster")
+
+
+def _may_be_similar(a: bytes, b: bytes, size_a: int, size_b: int, percent: int) -> bool:
+    """Do the buckets of two sketches leave few enough differing shingles?"""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int16), np.frombuffer(b, np.uint8).astype(np.int16)
+    both = min(len(x), len(y))
+    apart = np.abs(x.reshape(-1, both).sum(axis=0) - y.reshape(-1, both).sum(axis=0)).sum()
+    return bool(apart <= size_a + size_b - 2 * least_overlap(size_a, size_b, percent))
+
+
+def _pairs_of_short_lists(batches, percent: int):
+    """From rows (shingle, node, size, position) sorted by shingle: (a, b) for the pairs of lists of up to
+    SHORT_LIST sets whose sizes and positions allow enough overlap, and the rows of longer lists."""
+    def pairs(columns):
+        shingle, node, size, position = columns
+        starts = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]])) if len(shingle) else np.zeros(0, np.int64)
+        length = np.repeat(np.diff(np.append(starts, len(shingle))), np.diff(np.append(starts, len(shingle))))
+        out = []
+        for d in range(1, min(SHORT_LIST, len(shingle))):
+            i = np.flatnonzero((shingle[d:] == shingle[:-d]) & (length[d:] <= SHORT_LIST))
+            j = i + d
+            needed = least_overlap(size[i], size[j], percent)
+            possible = 1 + np.minimum(size[i] - position[i] - 1, size[j] - position[j] - 1)
+            good = (possible >= needed) & (np.minimum(size[i], size[j]) >= needed) & (node[i] != node[j])
+            i, j = i[good], j[good]
+            out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
+        found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
+        long = length > SHORT_LIST
+        return found, [c[long] for c in columns]
+
+    def batch_of(found, long):
+        n, m = found.shape[1], len(long[0])
+        none, some = [None] * n, [None] * m
+        return pa.RecordBatch.from_pydict(
+            {
+                "a": pa.array(np.concatenate([found[0], long[1]]), pa.int64()),
+                "b": pa.concat_arrays([pa.array(found[1], pa.int64()), pa.array(some, pa.int64())]),
+                "shingle": pa.concat_arrays([pa.array(none, pa.int64()), pa.array(long[0], pa.int64())]),
+                "size": pa.concat_arrays([pa.array(none, pa.int32()), pa.array(long[2].astype(np.int32))]),
+                "position": pa.concat_arrays([pa.array(none, pa.int32()), pa.array(long[3].astype(np.int32))]),
+            }
+        )
+
+    nothing = np.zeros((2, 0), np.int64)
+    rest, in_long = [np.zeros(0, np.int64)] * 4, None  # the list at the end of a batch goes on in the next
+    for batch in batches:
+        own = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+        if in_long is not None and len(own[0]):
+            n = int(np.searchsorted(own[0] != in_long, True)) if own[0][0] == in_long else 0
+            n = len(own[0]) if n == 0 and own[0][0] == in_long else n
+            if n:
+                yield batch_of(nothing, [c[:n] for c in own])
+                own = [c[n:] for c in own]
+            if len(own[0]):
+                in_long = None
+        columns = [np.concatenate([a, b]) for a, b in zip(rest, own)]
+        if not len(columns[0]):
+            rest = columns
+            continue
+        last = int(np.searchsorted(columns[0], columns[0][-1], "left"))
+        if len(columns[0]) - last > SHORT_LIST:
+            yield batch_of(nothing, [c[last:] for c in columns])
+            in_long = columns[0][-1]
+            rest = [np.zeros(0, np.int64)] * 4
+        else:
+            rest = [c[last:] for c in columns]
+        yield batch_of(*pairs([c[:last] for c in columns]))
+    yield batch_of(*pairs(rest))
 
 
 class Tied:
@@ -336,24 +469,24 @@ def _similar_links(texts: DataFrame, nodes: DataFrame, shingler: Shingler, clust
     members = clusters.join(nodes, "node")
     sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     members = members.join(sizes, "cluster")
-    found = texts.join(members.select("key", "node", "cluster", "blocks"), "key")
+    found = texts.select("key", "text").join(members.select("key", "node", "cluster", "blocks"), "key").drop("key")
 
     def sets(values, nodes):
         made = shingler.sets(values)  # rows that share an id may have another text: only the node's own counts
         return ([s.tobytes() if node_of(s) == node else None for s, node in zip(made, nodes)],)
 
-    sets_of = map_pieces(found, sets, ["text", "node"], {"shingles": "binary"}, ["node", "cluster", "blocks"]).where("shingles is not null")
+    sets_of = map_pieces(found, sets, ["text", "node"], {"shingles": "binary"}, ["node", "cluster", "blocks"], PIECE).where("shingles is not null")
     placed = _pairs_of_blocks(sets_of.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "blocks", "block")
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node")
-        node = rows["node"].to_numpy()
-        edges = similar_edges([np.frombuffer(s, np.uint64) for s in rows["shingles"]], percent) if len(rows) > 1 else []
+    def compare(rows: pa.Table) -> pa.Table:
+        own = dict(zip(rows.column("node").to_pylist(), rows.column("shingles").to_pylist()))
+        node = np.array(list(own), np.int64)
+        edges = similar_edges([np.frombuffer(s, np.uint64) for s in own.values()], percent) if len(own) > 1 else []
         at = np.array(edges, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": node[at[:, 0]], "b": node[at[:, 1]]})
+        return pa.table({"a": node[at[:, 0]], "b": node[at[:, 1]]})
 
     grouped = placed.select("cluster", "i", "j", "node", "shingles").groupBy("cluster", "i", "j")
-    return grouped.applyInPandas(compare, "a long, b long")
+    return grouped.applyInArrow(compare, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
