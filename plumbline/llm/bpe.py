@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from plumbline.llm.tables import map_pieces
 
-CACHE = 200_000  # words a worker keeps between blocks
+CACHE = 120_000  # words a worker keeps between blocks
 
 #: Unicode white space as the vocabulary's normaliser understands it.
 SPACE = r"[\t-\r \x85\xa0  -     　]"

@@ -18,9 +18,9 @@ from plumbline.llm.lanes import Lanes
 from plumbline.llm.tables import map_pieces
 
 SAMPLE_TEXTS = 128  # labelled texts per language that the automata are fitted on
-SAMPLE_CHARS = 32_768  # code points per language, all of them together
-TOTAL_CHARS = 1 << 20  # code points over all languages: bounds the broadcast
-LETTERS = 94  # letters with a symbol of their own
+SAMPLE_CHARS = 16_384  # code points per language, all of them together
+TOTAL_CHARS = 1 << 19  # code points over all languages: bounds the broadcast
+LETTERS = 62  # letters with a symbol of their own
 BLOCK = 512  # code points parsed in one go; phrases end with a block
 UNKNOWN = "und"
 
