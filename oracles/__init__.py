@@ -6,7 +6,7 @@ import json
 
 from oracles.chains import (
     BIN_COLS, COUNTS, EVENTS, FACTORS, FEATURES, FOLDED, LINEITEM, SIX_FITS, SPLIT,
-    boosted, boosted_votes, cells, edges, fits, judged, linear_votes, measured, newton, shuffled, sql, stratified, stumps,
+    boosted, boosted_votes, cells, edges, fits, forest, forest_importances, forest_votes, judged, linear_votes, measured, newton, shuffled, sql, stratified, stumps,
     tree, tree_importances, tree_path, tree_votes, unpivot,
 )
 
@@ -31,7 +31,9 @@ FOLD_SIZES = """fold_n AS (
 BINNED = ",\n".join([FOLDED, edges()])
 PLACED = "CAST(row_number() OVER (ORDER BY raw DESC, feature) AS INTEGER) AS place"
 ONE_FIT = [(-1, -1, 1.0)]
-ROUNDS = 10  # boosting rounds of the single fits
+ROUNDS = 50  # boosting rounds of the single fits
+DEPTH = 10  # of the single trees
+TREES = 100  # of the single forest
 STEPS = 9  # Newton steps
 
 
@@ -102,33 +104,20 @@ def of_rate(votes: str, i: int) -> tuple[str, str]:
 
 
 def tune_lr() -> str:
-    strengths = [0.01, 1.0, 100.0]
+    strengths = [0.01, 0.1, 1.0, 10.0, 100.0]  # fixed values: the searched grid
     chain = [*linear(several(strengths), "grid_fold"), f"vote AS MATERIALIZED (SELECT * FROM {linear_votes(STEPS, 'grid_fold')})"]
     variants, params = [], []
     for i, c in enumerate(strengths):
-        for max_iter in (100, 500):
-            for solver in ("lbfgs", "saga"):
+        for max_iter in (100, 500, 1000):
+            for solver in ("lbfgs", "newton-cg", "sag", "saga"):
                 variants.append(of_rate("vote", i))
                 params.append({"C": c, "max_iter": max_iter, "penalty": "l2", "solver": solver})
     return tuned(chain, variants, params)
 
 
-def tune_adaboost() -> str:
-    rates, sizes = [0.5, 1.0], [2, 4]
-    chain = [BINNED, cells("grid_fold"), fits(several(rates)), boosted(max(sizes))]
-    variants = [of_rate(boosted_votes(n), i) for i in range(len(rates)) for n in sizes]
-    return tuned(chain, variants, [{"base_max_depth": 1, "learning_rate": r, "n_estimators": n} for r in rates for n in sizes])
-
-
-def tune_dt() -> str:
-    chain = [BINNED, cells("grid_fold"), fits(SIX_FITS), tree(6), tree_path(6)]
-    variants, params = [], []
-    for depth in (3, 6):
-        for split in (2, 200):
-            votes = tree_votes(depth, split)
-            variants.append((f"(SELECT * FROM {votes} WHERE fit >= 0)", f"(SELECT * FROM {votes} WHERE fit < 0)"))
-            params.append({"criterion": "gini", "max_depth": depth, "min_samples_leaf": 1, "min_samples_split": split})
-    return tuned(chain, variants, params)
+def texts(*columns: str) -> str:
+    """Values with their lengths."""
+    return " || ".join(f"length(CAST({c} AS VARCHAR)) || ':' || {c}" for c in columns)
 
 
 def _tables() -> dict[str, str]:
@@ -148,6 +137,17 @@ def _tables() -> dict[str, str]:
             select="""SELECT row_key, l_quantity, l_extendedprice, l_discount, CASE WHEN l_tax <> 0.04 THEN l_tax END AS l_tax,
   CAST(label AS BIGINT) AS label, l_discount > 0.05 AS discounted FROM base""",
         ),
+        "csv_with_schema": """SELECT 1000000000000000000 + l_orderkey AS long_key, 'line' || chr(10) || l_linenumber AS note,
+  CASE WHEN l_tax <> 0.04 THEN l_tax END AS l_tax FROM lineitem""",
+        "parquet_folder": sql(EVENTS, select="SELECT event_id, value, label FROM base"),
+        "repeating_key_split": sql(
+            f"""keyed AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_discount > 0.05 AS INTEGER) AS label FROM lineitem),
+base AS MATERIALIZED (SELECT *, {texts('l_orderkey', 'l_linenumber')} AS row_key,
+  md5({texts('l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', 'label')}) AS content FROM keyed)""",
+            SPLIT.replace("|| row_key))", "|| row_key) || content)"),
+            select="SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, split FROM parted",
+        ),
         "class_profile": sql(
             EVENTS, SPLIT, select="SELECT split, label, count(*) AS n_rows, 3 AS n_columns FROM parted GROUP BY split, label"
         ),
@@ -188,6 +188,8 @@ def _metrics() -> dict[str, str]:
             LINEITEM, SPLIT, ruled, select="SELECT metric, value FROM (SELECT COLUMNS(*)::DOUBLE FROM m) UNPIVOT (value FOR metric IN (*))"
         ),
         "metrics_sink": sql(LINEITEM, SPLIT, select=measured(TEST_RULED, rates=True)),
+        "invalid_predictions": """SELECT l_linenumber, count(*) AS n_rows, count(*) FILTER (l_quantity <= 2) AS n_missing,
+  count(*) FILTER (l_quantity > 2 AND l_quantity <= 4) AS n_other FROM lineitem GROUP BY l_linenumber""",
         "confusion_table": sql(
             LINEITEM,
             SPLIT,
@@ -224,6 +226,7 @@ FROM (VALUES ('lr', '2500.0', 2500.0), ('rf', '3000.0', 3000.0), ('adaboost', '3
 
 
 def _grids() -> dict[str, str]:
+    # fixed values: the searched grids
     whole = "INTEGER"
     limits = {"max_depth": whole, "min_samples_split": whole, "min_samples_leaf": whole}
     return {
@@ -295,26 +298,39 @@ FROM ({stumps(ROUNDS)})""",
         "importance_sink": boosted_importance(place=False),
         "importance_dt": sql(
             *one,
-            tree(6),
-            tree_importances(6),
+            tree(DEPTH),
+            tree_importances(DEPTH),
             select=f"""SELECT feature, round(raw, 9) AS importance, {PLACED} FROM (
   SELECT name AS feature, coalesce(sum(fall), 0) / (SELECT sum(fall) FROM inner_nodes) AS raw
   FROM (VALUES {names}) AS t(name, id) LEFT JOIN inner_nodes ON f = id GROUP BY name)""",
         ),
+        "importance_rf": sql(
+            BINNED,
+            forest(TREES, DEPTH),
+            forest_importances(DEPTH),
+            select=f"""SELECT feature, round(raw, 9) AS importance, {PLACED} FROM (
+  SELECT name AS feature, coalesce(raw, 0) AS raw FROM (VALUES {names}) AS t(name, id) LEFT JOIN per_feature ON f = id)""",
+        ),
+        "predict_rf": sql(
+            BINNED,
+            forest(TREES, DEPTH),
+            forest_votes(TREES, DEPTH),
+            select=f"SELECT row_key, prediction FROM binned JOIN answer USING ({BIN_COLS}) WHERE split = 'test'",
+        ),
         "importance_lr": sql(
             *linear(ONE_FIT, "cv_fold"),
             f"coefficient AS ({weights})",
             select=f"SELECT feature, round(raw, 7) AS importance, {PLACED} FROM coefficient",
         ),
         "train_lr": sql(*linear(SIX_FITS, "cv_fold"), f"vote AS ({linear_votes(STEPS, 'cv_fold')})", select=judged("vote")),
-        "train_dt": sql(*trees, tree(10), tree_path(10), f"vote AS {tree_votes(10)}", select=judged("vote")),
+        "train_dt": sql(*trees, tree(DEPTH), tree_path(DEPTH), f"vote AS {tree_votes(DEPTH)}", select=judged("vote")),
         "train_adaboost": sql(*trees, boosted(ROUNDS), f"vote AS {boosted_votes(ROUNDS)}", select=judged("vote")),
         "predict_lr": sql(
             *linear(ONE_FIT, "cv_fold"),
             select=f"SELECT row_key, CAST({margin} > 0 AS INTEGER) AS prediction FROM scaled, theta_{STEPS} WHERE split = 'test'",
         ),
-        "predict_dt": predict_tree(6, 2),
-        "predict_dt_pruned": predict_tree(6, 500),
+        "predict_dt": predict_tree(DEPTH, 2),
+        "predict_dt_pruned": predict_tree(DEPTH, 500),
         "predict_adaboost": sql(
             *one,
             boosted(ROUNDS),
@@ -322,8 +338,6 @@ FROM ({stumps(ROUNDS)})""",
             select=f"SELECT row_key, prediction FROM binned JOIN answer USING ({BIN_COLS}) WHERE split = 'test'",
         ),
         "tune_lr": tune_lr(),
-        "tune_adaboost": tune_adaboost(),
-        "tune_dt": tune_dt(),
         "model_round_trip": sql(
             LINEITEM,
             SPLIT,

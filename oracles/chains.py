@@ -6,6 +6,8 @@ trees, boosting and logistic regression are unrolled chains of common table expr
 
 from __future__ import annotations
 
+import math
+
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SEED = 20250531
 F = range(len(FEATURES))
@@ -108,7 +110,7 @@ def judged(scored: str, rates: bool = False) -> str:
 # ---- bins ------------------------------------------------------------------------------------
 
 
-def edges(max_bins: int = 32) -> str:
+def edges(max_bins: int = 256) -> str:
     positions = ", ".join(str(j) for j in range(1, max_bins))
     per_feature = [
         f"""sorted_{i} AS MATERIALIZED (
@@ -224,13 +226,13 @@ tree_sides_{level} AS (
   FROM tree_hist_{level} WINDOW upto AS (PARTITION BY fit, node, f ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
        behind AS (PARTITION BY fit, node, f ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
 tree_gain_{level} AS (
-  SELECT *, 1.0::DOUBLE - ((l0 + r0) / t) * ((l0 + r0) / t) - ((l1 + r1) / t) * ((l1 + r1) / t)
-         - (l0 + l1) / t * (1.0::DOUBLE - (l0 / (l0 + l1)) * (l0 / (l0 + l1)) - (l1 / (l0 + l1)) * (l1 / (l0 + l1)))
-         - (r0 + r1) / t * (1.0::DOUBLE - (r0 / (r0 + r1)) * (r0 / (r0 + r1)) - (r1 / (r0 + r1)) * (r1 / (r0 + r1))) AS gain
-  FROM (SELECT *, l0 + l1 + r0 + r1 AS t FROM tree_sides_{level} WHERE r0 IS NOT NULL)),
+  SELECT *, (l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1) + r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1)) / t AS score,
+         (t - ((l0 + r0) * (l0 + r0) + (l1 + r1) * (l1 + r1)) / t) / t AS whole
+  FROM (SELECT *, l0 + l1 + r0 + r1 AS t FROM tree_sides_{level} WHERE r0 IS NOT NULL)
+  WHERE l0 + r0 > 0 AND l1 + r1 > 0),
 cut_{level} AS MATERIALIZED (
-  SELECT fit, node, f, bin, gain FROM tree_gain_{level} WHERE gain > 0
-  QUALIFY row_number() OVER (PARTITION BY fit, node ORDER BY gain DESC, f, bin) = 1),
+  SELECT fit, node, f, bin, greatest(0, whole - score) AS gain FROM tree_gain_{level}
+  QUALIFY row_number() OVER (PARTITION BY fit, node ORDER BY round(score, 9), f, bin) = 1),
 at_{level + 1} AS MATERIALIZED (
   SELECT a.fit, a.without, {BIN_COLS}, a.label, a.fold, a.n, a.training,
          2 * a.node + 1 + CAST(CASE c.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > c.bin AS BIGINT) AS node
@@ -268,18 +270,103 @@ def tree_votes(depth: int, min_split: int = 2) -> str:
 
 
 def tree_importances(depth: int) -> str:
-    """Impurity decrease per feature of fit -1; two leaves of one node that agree count as one leaf."""
-    parts = [f"merged_{depth} AS (SELECT node, TRUE AS leaf, n1 > n0 AS vote, NULL AS f, 0.0 AS fall FROM node_{depth} WHERE fit = -1)"]
-    for level in reversed(range(depth)):
+    """Impurity decrease of every inner node of fit -1."""
+    inner = " UNION ALL ".join(
+        f"SELECT c.f, c.gain * (k.n0 + k.n1) AS fall FROM cut_{v} c JOIN node_{v} k ON k.fit = c.fit AND k.node = c.node WHERE c.fit = -1"
+        for v in range(depth)
+    )
+    return f"inner_nodes AS ({inner})"
+
+
+# ---- random forest ---------------------------------------------------------------------------
+
+# Poisson steps: a 16-bit number reaches as many of them as its row is drawn times
+DRAW_STEPS = [int(65536 * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(8)]
+
+
+def _hash16(text: str, at: str) -> str:
+    """The 16 bits number ``at`` of the md5 of ``text``."""
+    return f"CAST('0x' || substr(md5({text}), 1 + 4 * ({at}), 4) AS INTEGER)"
+
+
+def forest(trees: int, depth: int, looked_at: int = 2) -> str:
+    """Gini trees on Poisson bootstraps of the training rows, all at once; a node is its path of L and R."""
+    u = _hash16(f"'{SEED}:boot:' || (tree // 8) || ':' || row_key", "tree % 8")
+    times = " + ".join(f"CAST(u >= {t} AS INTEGER)" for t in DRAW_STEPS)
+    parts = [
+        f"grove AS (SELECT unnest(range({trees})) AS tree)",
+        f"""drawn AS (
+  SELECT tree, {BIN_COLS}, label, {times} AS w FROM (SELECT tree, {BIN_COLS}, label, {u} AS u FROM binned, grove WHERE split = 'train')),
+wood_0 AS MATERIALIZED (
+  SELECT tree, {BIN_COLS}, label, CAST(sum(w) AS DOUBLE) AS w, '' AS path FROM drawn WHERE w > 0 GROUP BY tree, {BIN_COLS}, label)""",
+    ]
+    ones = "SELECT tree, path, sum(CASE WHEN label = 0 THEN w ELSE 0 END) AS n0, sum(CASE WHEN label = 1 THEN w ELSE 0 END) AS n1"
+    for v in range(depth + 1):
+        parts.append(f"stem_{v} AS MATERIALIZED ({ones} FROM wood_{v} GROUP BY tree, path)")
+        if v == depth:
+            break
+        u = _hash16(f"'{SEED}:' || tree || ':' || path || ':0'", "f")
         parts.append(
-            f"""merged_{level} AS MATERIALIZED (
-  SELECT k.node, c.f IS NULL OR (l.leaf AND r.leaf AND l.vote = r.vote) AS leaf, k.n1 > k.n0 AS vote, c.f, c.gain * (k.n0 + k.n1) AS fall
-  FROM node_{level} k LEFT JOIN cut_{level} c ON c.fit = k.fit AND c.node = k.node
-       LEFT JOIN merged_{level + 1} l ON l.node = 2 * k.node + 1 LEFT JOIN merged_{level + 1} r ON r.node = 2 * k.node + 2
-  WHERE k.fit = -1)"""
+            f"""ring_{v} AS MATERIALIZED (
+  SELECT tree, path, f, bin, sum(CASE WHEN label = 0 THEN w ELSE 0 END) AS c0, sum(CASE WHEN label = 1 THEN w ELSE 0 END) AS c1
+  FROM ({unpivot(f"wood_{v}", "tree, path, label, w")}) JOIN (SELECT tree, path FROM stem_{v} WHERE n0 > 0 AND n1 > 0) USING (tree, path)
+  GROUP BY tree, path, f, bin),
+several_{v} AS (
+  SELECT tree, path, f, count(*) > 1 AS several, row_number() OVER (PARTITION BY tree, path ORDER BY {u}, f) AS place
+  FROM ring_{v} GROUP BY tree, path, f),
+looked_{v} AS (
+  SELECT tree, path, f FROM (
+    SELECT *, bool_or(several AND place <= {looked_at}) OVER mine AS enough,
+           min(CASE WHEN several THEN place END) OVER mine AS next FROM several_{v} WINDOW mine AS (PARTITION BY tree, path))
+  WHERE several AND (place <= {looked_at} OR (NOT enough AND place = next))),
+bent_{v} AS (
+  SELECT tree, path, f, bin, sum(c0) OVER upto AS l0, sum(c1) OVER upto AS l1, sum(c0) OVER behind AS r0, sum(c1) OVER behind AS r1
+  FROM ring_{v} JOIN looked_{v} USING (tree, path, f)
+  WINDOW upto AS (PARTITION BY tree, path, f ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         behind AS (PARTITION BY tree, path, f ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+saw_{v} AS MATERIALIZED (
+  SELECT tree, path, f, bin, t * greatest(0, whole - score) AS fall FROM (
+    SELECT *, (l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1) + r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1)) / t AS score,
+           (t - ((l0 + r0) * (l0 + r0) + (l1 + r1) * (l1 + r1)) / t) / t AS whole
+    FROM (SELECT *, l0 + l1 + r0 + r1 AS t FROM bent_{v} WHERE r0 IS NOT NULL))
+  QUALIFY row_number() OVER (PARTITION BY tree, path ORDER BY round(score, 9), f, bin) = 1),
+wood_{v + 1} AS MATERIALIZED (
+  SELECT a.tree, {BIN_COLS}, a.label, a.w, a.path || CASE WHEN {_bin_of('c')} > c.bin THEN 'R' ELSE 'L' END AS path
+  FROM wood_{v} a JOIN saw_{v} c ON c.tree = a.tree AND c.path = a.path)"""
+        )
+    return ",\n".join(parts)
+
+
+def _bin_of(cut: str) -> str:
+    return f"CASE {cut}.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END"
+
+
+def forest_votes(trees: int, depth: int) -> str:
+    """(b0.., prediction) per test cell: the share of class 1 where the row stops in each tree, averaged."""
+    parts = [f"visit_0 AS (SELECT tree, {BIN_COLS}, '' AS path FROM (SELECT DISTINCT {BIN_COLS} FROM binned WHERE split = 'test'), grove)"]
+    stops = []
+    for v in range(depth + 1):
+        cut = f"LEFT JOIN saw_{v} c ON c.tree = a.tree AND c.path = a.path" if v < depth else ""
+        stops.append(
+            f"SELECT {BIN_COLS}, a.tree, n1 / (n0 + n1) AS share FROM visit_{v} a JOIN stem_{v} s ON s.tree = a.tree AND s.path = a.path {cut}"
+            + (" WHERE c.f IS NULL" if v < depth else "")
         )
-    inner = " UNION ALL ".join(f"SELECT f, fall FROM merged_{level} WHERE NOT leaf" for level in range(depth))
-    return ",\n".join([*parts, f"inner_nodes AS ({inner})"])
+        if v < depth:
+            parts.append(
+                f"""visit_{v + 1} AS MATERIALIZED (
+  SELECT a.tree, {BIN_COLS}, a.path || CASE WHEN {_bin_of('c')} > c.bin THEN 'R' ELSE 'L' END AS path
+  FROM visit_{v} a JOIN saw_{v} c ON c.tree = a.tree AND c.path = a.path)"""
+            )
+    parts.append(f"answer AS (SELECT {BIN_COLS}, CAST(sum(share) > {trees} / 2.0 + 1e-9 AS INTEGER) AS prediction FROM ({' UNION ALL '.join(stops)}) GROUP BY {BIN_COLS})")
+    return ",\n".join(parts)
+
+
+def forest_importances(depth: int) -> str:
+    """(f, raw): shares of the fall per tree, averaged over the trees."""
+    inner = " UNION ALL ".join(f"SELECT tree, f, fall FROM saw_{v}" for v in range(depth))
+    return f"""falls AS MATERIALIZED ({inner}),
+per_tree AS (SELECT tree, f, sum(fall) / (SELECT sum(fall) FROM falls g WHERE g.tree = falls.tree) AS share FROM falls GROUP BY tree, f),
+per_feature AS (SELECT f, sum(share) / (SELECT sum(share) FROM per_tree) AS raw FROM per_tree GROUP BY f)"""
 
 
 # ---- logistic regression ---------------------------------------------------------------------

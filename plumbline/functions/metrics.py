@@ -25,16 +25,41 @@ def confusion_counts(
     """True and false negatives and positives, one row per value of ``by``.
 
     ``weight`` names a row count when the input is already grouped. Without ``by`` an empty input
-    gives one row of zeros.
+    gives one row of zeros. A label or prediction that is neither 0 nor 1 (NULL, NaN and fractions
+    included) stops the job; ``invalid_predictions`` counts them.
     """
-    y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
     n = F.lit(1) if weight is None else F.col(weight)
+    actual, said, usable = _classes(label, prediction)
     cells = zip(COUNTS, ((0, 0), (0, 1), (1, 0), (1, 1)))
-    sums = [
-        F.coalesce(F.sum(F.when((y == a) & (p == b), n)), F.lit(0)).cast("bigint").alias(name)
-        for name, (a, b) in cells
-    ]
-    return (df.groupBy(*by) if by else df.groupBy()).agg(*sums)
+    sums = [_total(F.when((actual == a) & (said == b), n)).alias(name) for name, (a, b) in cells]
+    counted = (df.groupBy(*by) if by else df.groupBy()).agg(*sums, _total(F.when(~usable, n)).alias("__bad"))
+    refused = F.raise_error(F.concat(F.col("__bad").cast("string"), F.lit(" rows have a label or prediction that is neither 0 nor 1")))
+    checked = [F.when(F.col("__bad") == 0, F.col(c)).otherwise(refused.cast("bigint")).alias(c) for c in COUNTS]
+    return counted.select(*by, *checked)
+
+
+def invalid_predictions(df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """(n_rows, n_missing, n_other): rows, those whose label or prediction is NULL or NaN, and those with
+    another value than 0 and 1."""
+    _, _, usable = _classes(label, prediction)
+    missing = F.lit(False)
+    for c in (label, prediction):
+        value = F.col(c).cast("double")
+        missing = missing | value.isNull() | F.coalesce(F.isnan(value), F.lit(False))
+    return (df.groupBy(*by) if by else df.groupBy()).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(missing, 1)).alias("n_missing"),
+        F.count(F.when(~missing & ~usable, 1)).alias("n_other"),
+    )
+
+
+def _classes(label: str, prediction: str) -> tuple[Column, Column, Column]:
+    actual, said = F.col(label).cast("double"), F.col(prediction).cast("double")
+    return actual, said, F.coalesce(actual.isin(0.0, 1.0) & said.isin(0.0, 1.0), F.lit(False))
+
+
+def _total(n: Column) -> Column:
+    return F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
 
 
 def with_quality(counts: DataFrame) -> DataFrame:
@@ -90,14 +115,17 @@ def fold_accuracy(
     fold: str = "fold",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Accuracy of every fold on its own."""
-    out = with_quality(confusion_counts(df, label, prediction, [*by, fold]))
+    """Accuracy of every fold on its own; a row without a fold stops the job."""
+    none = F.raise_error(F.lit("a row has no fold")).cast(df.schema[fold].dataType)
+    out = with_quality(confusion_counts(df.withColumn(fold, F.coalesce(F.col(fold), none)), label, prediction, [*by, fold]))
     return out.select(*by, fold, "accuracy")
 
 
 def mean_accuracy(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Unweighted mean over the folds, rounded at the 12th digit so equal candidates tie."""
-    mean = F.round(F.avg("accuracy"), 12).alias("accuracy_crossval")
+    """Unweighted mean over the folds, rounded at the 12th digit so equal candidates tie; NULL if a fold
+    has no score."""
+    complete = F.count("accuracy") == F.count(F.lit(1))
+    mean = F.when(complete, F.round(F.avg("accuracy"), 12)).alias("accuracy_crossval")
     return (scores.groupBy(*by) if by else scores.groupBy()).agg(mean)
 
 

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from plumbline.session import keep
 
-MAX_BINS = 32
+MAX_BINS = 256  # a feature with no more values keeps every threshold between them
+MOST_BINS = 32_767  # bin numbers are 16-bit
 SLICES = 1024
 
 
@@ -62,6 +63,8 @@ def exact_bins(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS)
     infinite value is an error.
     """
     names = list(features)
+    if not 2 <= max_bins <= MOST_BINS:
+        raise ValueError(f"max_bins must be between 2 and {MOST_BINS}")
     low, high, n = _ranges(df, names)
     if n == 0:
         raise ValueError("no rows to take bin edges from")
@@ -133,7 +136,10 @@ def _small(sliced: DataFrame, counted: DataFrame, max_bins: int) -> dict[int, li
     rows = shape.where(F.col("filled") <= max_bins).collect()
     small = {r["f"]: r["values"][1:] for r in rows if not r["mixed"]}
     unclear = [r["f"] for r in rows if r["mixed"]]
-    if unclear:  # few slices, some with several values: count the values themselves
+    if unclear:  # few slices, some with several values: an outlier may hold many values in one slice
+        rough = sliced.where(F.col("f").isin(unclear)).groupBy("f").agg(F.approx_count_distinct("v", 0.02).alias("about"))
+        unclear = [r["f"] for r in rough.collect() if r["about"] <= 2 * max_bins]
+    if unclear:  # about as many values as bins, so the values themselves are few
         distinct = sliced.where(F.col("f").isin(unclear)).select("f", "v").distinct()
         sizes = {r["f"]: r["count"] for r in distinct.groupBy("f").count().collect()}
         few = [f for f in unclear if sizes[f] <= max_bins]
@@ -177,3 +183,10 @@ def _order_statistics(sliced: DataFrame, counted: DataFrame, targets) -> dict[in
             by_magnitude = not by_magnitude
             counted = _counted(sliced)
     return found
+
+
+def binned_array(df: DataFrame, bins: Bins) -> DataFrame:
+    """Add the bin numbers as the array ``bins``."""
+    missing = F.raise_error(F.lit("missing value in a feature")).cast("smallint")
+    packed = F.array(*[F.coalesce(F.col(c).cast("smallint"), missing) for c in bins.columns()])
+    return bins.bucketizer().transform(df).withColumn("bins", packed).drop(*bins.columns())

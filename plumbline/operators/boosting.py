@@ -11,6 +11,7 @@ back. A tree of depth d takes d passes whatever the number of fits.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -20,15 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.binning import Bins
+from plumbline.operators.binning import Bins, binned_array
+from plumbline.operators.growth import GrowSpec, TreeNodes, grow
 from plumbline.session import drop_path, keep, scratch_path
 
 PASSES_PER_CHECKPOINT = 6
 FITS_PER_PASS = 64  # bounds what a row carries
 CUTS_PER_PASS = 200_000  # bounds what a pass returns
 HELD_OUT = -1  # fold number of the rows no fit trains on
+NO_CUT = 32_767  # above every bin number
+DEEPEST = 12  # of a boosted tree, which is stored with all 2^depth places
+LOCAL_BYTES = 64 << 20  # of a cell table that is broadcast
 
-_CELL = "bins array<tinyint>, label int, fold int, n bigint"
+_CELL = "bins array<smallint>, label int, fold int, n bigint"
 _STATE = f"{_CELL}, missed array<double>"
 _COUNTS = "fit int, node int, feature int, bin int, w0 double, w1 double"
 _SCORES = "fit int, label int, prediction int, n bigint"
@@ -47,7 +52,7 @@ class SmallTree:
     def __post_init__(self):
         inner = 2**self.depth - 1
         self.feature = np.zeros(inner, dtype=np.int32)
-        self.cut = np.full(inner, 255, dtype=np.int32)
+        self.cut = np.full(inner, NO_CUT, dtype=np.int32)
         self.gain = np.zeros(inner)
         self.vote = np.zeros(2 * inner + 1, dtype=np.int32)
 
@@ -63,6 +68,24 @@ class SmallTree:
     def predict(self, bins: np.ndarray) -> np.ndarray:
         return self.vote[self.nodes_of(bins, self.depth) + 2**self.depth - 1]
 
+    @staticmethod
+    def of(nodes: TreeNodes, depth: int) -> "SmallTree":
+        """The same tree with all its places; a leaf hands its rows down the left side."""
+        tree, root = SmallTree(depth), nodes.w0[0] + nodes.w1[0]
+        place = np.zeros(len(nodes.feature), np.int64)
+        for i, f in enumerate(nodes.feature.tolist()):
+            at, vote = int(place[i]), _vote(nodes.w0[i], nodes.w1[i])
+            tree.vote[at] = vote
+            if f >= 0:
+                tree.feature[at], tree.cut[at] = f, nodes.cut[i]
+                tree.gain[at] = nodes.gain[i] * (nodes.w0[i] + nodes.w1[i]) / root
+                place[nodes.left[i]], place[nodes.right[i]] = 2 * at + 1, 2 * at + 2
+                continue
+            while 2 * at + 1 < len(tree.vote):
+                at = 2 * at + 1
+                tree.vote[at] = vote
+        return tree
+
     def importances(self, n_features: int) -> np.ndarray:
         table = np.bincount(self.feature, weights=self.gain, minlength=n_features)
         return table / table.sum() if table.sum() > 0 else table
@@ -107,6 +130,8 @@ class BoostFit:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``prediction``: 1 where the learners voting 1 outweigh the others."""
+        if not self.trees:
+            raise ValueError("boosting could not start: its first learner is no better than a coin")
         learners = list(zip(self.trees, self.alphas))  # a few nodes per round, sent with the job
 
         @F.arrow_udf("double")
@@ -159,33 +184,32 @@ class BoostFit:
         return fit
 
 
-def binned_array(df: DataFrame, bins: Bins) -> DataFrame:
-    """Add the bin numbers as the array ``bins``."""
-    missing = F.raise_error(F.lit("missing value in a feature")).cast("tinyint")
-    packed = F.array(*[F.coalesce(F.col(c).cast("tinyint"), missing) for c in bins.columns()])
-    return bins.bucketizer().transform(df).withColumn("bins", packed).drop(*bins.columns())
-
-
 def cells(df: DataFrame, bins: Bins, label: str, fold) -> DataFrame:
     """Rows with equal bins, label and fold always share one weight: count them once.
 
     The partial count runs before the shuffle, so a cell with very many rows is no hot spot.
     """
-    if max(bins.counts) > 127:
-        raise ValueError("boosting needs at most 127 bins per feature")
     rows = binned_array(df, bins).select("bins", F.col(label).cast("int").alias("label"), fold.cast("int").alias("fold"))
     return rows.groupBy("bins", "label", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_boosted(
-    cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], score_at: Sequence[int] = ()
+    cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], score_at: Sequence[int] = (), local_bytes: int = LOCAL_BYTES
 ) -> tuple[list[BoostFit], pd.DataFrame]:
     """Fit all specs on one table of ``cells``.
 
     Also returns (fit, n_trees, label, prediction, n) on the rows each fit left out, after every
     number of rounds in ``score_at`` and after the last: its own fold, or the held-out rows for a
-    fit on all training rows.
+    fit on all training rows. A fit whose first learner is no better than a coin has no learners and
+    no scores.
+
+    A cell table of at most ``local_bytes`` goes to the executors whole, and the fits run side by side,
+    a task each; on a larger one all fits share the passes over the distributed cells.
     """
+    if max(s.base_max_depth for s in specs) > DEEPEST:
+        raise ValueError(f"a boosted tree has at most depth {DEEPEST}")
+    if cell_table.count() * (2 * len(bins.features) + 16) <= local_bytes:
+        return _fit_local(cell_table, bins, specs, score_at)
     fits, scores = [], []
     widest = len(bins.features) * 2 ** (max(s.base_max_depth for s in specs) - 1)
     together = max(1, min(FITS_PER_PASS, CUTS_PER_PASS // widest))
@@ -197,6 +221,66 @@ def fit_boosted(
     return fits, pd.concat(scores, ignore_index=True)
 
 
+def _fit_local(cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], score_at: Sequence[int]):
+    spark, counts = cell_table.sparkSession, bins.counts
+    table = cell_table.select("bins", "label", "fold", "n").toArrow()
+    columns = [table.column(c).to_numpy() for c in ("label", "fold", "n")]
+    cells = table.column("bins").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+    shared = spark.sparkContext.broadcast((cells, *columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                made = pickle.dumps(_boosted(*shared.value, specs[i], counts, score_at))
+                yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "made": pa.array([made], pa.binary())})
+
+    tasks = spark.range(0, len(specs), 1, min(len(specs), 4 * spark.sparkContext.defaultParallelism))
+    rows = {r["i"]: pickle.loads(r["made"]) for r in tasks.mapInArrow(run, "i int, made binary").collect()}
+    shared.destroy()
+    fits, scores = [], []
+    last = max(s.n_estimators for s in specs)
+    for i, spec in enumerate(specs):
+        trees, alphas, errors, stopped, scored = rows[i]
+        learners = [SmallTree(spec.base_max_depth) for _ in trees]
+        for tree, (tree.feature, tree.cut, tree.vote, tree.gain) in zip(learners, trees):
+            pass
+        fits.append(BoostFit(bins, spec, learners, alphas, errors, stopped))
+        for p in sorted({*score_at, last}):
+            if p <= last and scored:
+                cells_at = scored[max(k for k in scored if k <= p)]
+                scores += [(i, label, vote, int(cells_at[label, vote]), p) for label in (0, 1) for vote in (0, 1)]
+    return fits, pd.DataFrame(scores, columns=["fit", "label", "prediction", "n", "n_trees"])
+
+
+def _boosted(bins, label, fold, n, spec: BoostSpec, bin_counts, score_at):
+    """One fit on cells in memory: learners, alphas, errors, whether it stopped, and the confusion cells
+    of the left-out rows after the rounds in ``score_at`` and the last."""
+    mine = (fold > HELD_OUT) & (fold != (HELD_OUT if spec.without_fold is None else spec.without_fold))
+    out = fold == (HELD_OUT if spec.without_fold is None else spec.without_fold)
+    own_bins, y, times = bins[mine], label[mine], n[mine]
+    missed, votes, shift = np.zeros(len(y)), np.zeros(int(out.sum())), 0.0
+    fit, scored = BoostFit(None, spec), {}
+    how = GrowSpec(max_depth=spec.base_max_depth)
+    for round_no in range(1, spec.n_estimators + 1):
+        weight = times * np.exp(missed - shift)
+        root = weight.sum()
+        tree = SmallTree.of(grow(own_bins, y, weight, times, bin_counts, how), spec.base_max_depth)
+        wrong = tree.predict(own_bins) != y
+        if (learner := _accept(fit, tree, float(weight[wrong].sum() / root))) is None:
+            break
+        shift += math.log(float(root))
+        missed += learner[1] * wrong
+        votes += learner[1] * (2 * tree.predict(bins[out]) - 1)
+        if round_no in score_at or round_no == spec.n_estimators or fit.stopped:
+            cell = label[out] * 2 + (votes > 1e-9)
+            scored[round_no] = np.bincount(cell, weights=n[out], minlength=4).astype(np.int64).reshape(2, 2)
+        if fit.stopped:
+            break
+    if fit.trees:
+        scored.setdefault(len(fit.trees), np.bincount(label[out] * 2 + (votes > 1e-9), weights=n[out], minlength=4).astype(np.int64).reshape(2, 2))
+    return [(t.feature, t.cut, t.vote, t.gain) for t in fit.trees], fit.alphas, fit.errors, fit.stopped, scored
+
+
 def _fit_together(cell_table, bins, specs, score_at):
     fits = [BoostFit(bins, s) for s in specs]
     shift = np.zeros(len(fits))  # log of the current weight total per fit, which normalises the weights
@@ -219,7 +303,8 @@ def _fit_together(cell_table, bins, specs, score_at):
     finally:
         state.release()
     parts = [scores.get(p, final).assign(n_trees=p) for p in sorted({*score_at, last}) if p <= last]
-    return fits, pd.concat(parts, ignore_index=True)
+    scored = pd.concat(parts, ignore_index=True)
+    return fits, scored[scored["fit"].isin([j for j, f in enumerate(fits) if f.trees])]
 
 
 class _State:
@@ -255,8 +340,6 @@ def _accept(fit: BoostFit, tree: SmallTree, error: float) -> tuple[SmallTree, fl
     """Add the learner unless it is no better than a coin; a perfect learner ends the fit."""
     if error >= 0.5:
         fit.stopped = True
-        if not fit.trees:
-            raise ValueError(f"the first learner errs on {error:.3f} of the weight, boosting cannot start")
         return None
     if error <= 0:
         fit.stopped, alpha = True, 1.0

@@ -1,30 +1,30 @@
 """Logistic regression with an inverse-strength penalty, many fits side by side.
 
 The objective ``|w|²/2 + C · Σ logloss`` (intercept free) is smooth and strictly convex, so every
-solver ends at one point. Newton's method gets there in a handful of passes, and one pass serves
-every strength and fold: each task sums loss, gradient and curvature of its own rows per fit, Spark
-adds the sums, and the driver solves one small system per fit. Tables too wide for that curvature
-matrix go to MLlib's estimator, fit by fit.
+solver ends at one point. One pass over the rows serves every strength and fold: each task sums loss,
+gradient and curvature of its own rows per fit, Spark adds the sums, and the driver takes one step per
+fit. With the whole curvature matrix these are Newton steps, a handful of passes. Where that matrix
+would be too large for a task's result, the step comes from gradients alone (limited-memory BFGS on
+features scaled by their curvature at 0), to the same accuracy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.sources.tables import assemble
+from plumbline.operators.sums import array_sums
+from plumbline.session import drop_path, scratch_path
 
 SUMS_PER_PASS = 2_000_000  # numbers one task may send back
-TOLERANCE = 1e-12
+TOLERANCE = 1e-12  # half the squared Newton decrement, relative to the objective
+MEMORY = 20  # gradients that limited-memory BFGS remembers
 HELD_OUT = -1
 
 
@@ -51,7 +51,8 @@ class LinearFit:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``prediction``: 1 where the margin is positive; a missing feature stops the job."""
-        margin = reduce(add, [_value(f) * F.lit(w) for f, w in self.importances().items()], F.lit(self.intercept))
+        terms = F.zip_with(F.array(*[_value(f) for f in self.features]), F.array(*[F.lit(w) for w in self.coefficients]), lambda x, w: x * w)
+        margin = F.aggregate(terms, F.lit(self.intercept), lambda total, term: total + term)
         known = margin.isNotNull() & ~F.isnan(margin)
         bad = F.raise_error(F.lit("missing value in a feature of the linear model")).cast("double")
         return df.withColumn("prediction", F.when(known, (margin > 0).cast("double")).otherwise(bad))
@@ -73,14 +74,13 @@ def fit_linear(
 ) -> list[LinearFit]:
     """Fit all specs on the rows of ``train``; ``fold`` is the column that ``without_fold`` refers to."""
     width = len(features) + 1
-    sums = 1 + width + width * (width + 1) // 2
-    if sums > SUMS_PER_PASS:
-        return [_fit_wide(train, features, label, fold, s) for s in specs]
+    curvature = 1 + width + width * (width + 1) // 2
+    solve, sums = (_newton, curvature) if curvature <= SUMS_PER_PASS else (_gradient_steps, 1 + width)
     rows = _slim(train, features, label, fold)
     together = max(1, SUMS_PER_PASS // sums)
     fits = []
     for start in range(0, len(specs), together):
-        fits += _newton(rows, list(features), list(specs[start : start + together]))
+        fits += solve(rows, list(features), list(specs[start : start + together]))
     return fits
 
 
@@ -140,6 +140,71 @@ def _newton(rows: DataFrame, features: list[str], specs: list[LinearSpec]) -> li
     ]
 
 
+def _gradient_steps(rows: DataFrame, features: list[str], specs: list[LinearSpec]) -> list[LinearFit]:
+    """Limited-memory BFGS for all fits in shared passes, in variables scaled by the curvature at 0."""
+    width = len(features) + 1
+    path = scratch_path(rows.sparkSession, "wide-rows")  # so that a pass does not plan thousands of columns
+    rows.write.parquet(path)
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    ridge = np.array([0.0] + [1.0] * len(features))
+    squares = _sums(rows, {j: (np.zeros(width), s.without_fold) for j, s in enumerate(specs)}, width, "diagonal")
+    states = [_Descent(s, 1 / np.sqrt(np.maximum(s.C * squares[j][1 + width :] + ridge, 1e-300)), ridge) for j, s in enumerate(specs)]
+    while any(not d.done for d in states):
+        at = {j: (d.tried * d.scale, d.spec.without_fold) for j, d in enumerate(states) if not d.done}
+        for j, sums in _sums(rows, at, width, "gradient").items():
+            states[j].take(sums[0], sums[1:])
+    drop_path(rows.sparkSession, path)
+    return [LinearFit(features, [float(v) for v in d.now[1:] * d.scale[1:]], float(d.now[0] * d.scale[0]), d.rounds, d.converged) for d in states]
+
+
+class _Descent:
+    """One fit's way down: the point, the last gradients, and the point tried next."""
+
+    def __init__(self, spec: LinearSpec, scale: np.ndarray, ridge: np.ndarray):
+        self.spec, self.scale, self.ridge = spec, scale, ridge
+        self.now = self.tried = np.zeros(len(scale))
+        self.cost, self.gradient, self.step = np.inf, None, None
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.rounds, self.done, self.converged = 0, False, False
+
+    def take(self, loss: float, slope: np.ndarray) -> None:
+        """What a pass has found at the tried point."""
+        w = self.tried * self.scale
+        cost = self.spec.C * loss + 0.5 * w @ (self.ridge * w)
+        gradient = self.scale * (self.spec.C * slope + self.ridge * w)
+        if self.gradient is not None:
+            if not cost <= self.cost + 1e-4 * self.gradient @ self.step + 1e-13 * abs(self.cost):
+                self.step = self.step / 4  # too far
+                if np.abs(self.step).max() <= 1e-14 * (1 + np.abs(self.now).max()):
+                    self.done = self.converged = True
+                self.tried = self.now + self.step
+                return
+            moved, bent = self.tried - self.now, gradient - self.gradient
+            if moved @ bent > 1e-14 * (bent @ bent):
+                self.pairs = [*self.pairs[1 - MEMORY :], (moved, bent)]
+            self.rounds += 1
+        self.now, self.cost, self.gradient = self.tried, cost, gradient
+        self.step = self._downhill()
+        if -gradient @ self.step <= TOLERANCE * (1 + cost):
+            self.done = self.converged = True
+        elif self.rounds >= self.spec.max_iter:
+            self.done = True
+        self.tried = self.now + self.step
+
+    def _downhill(self) -> np.ndarray:
+        q, parts = self.gradient.copy(), []
+        for moved, bent in reversed(self.pairs):
+            a = (moved @ q) / (moved @ bent)
+            q -= a * bent
+            parts.append(a)
+        if self.pairs:
+            moved, bent = self.pairs[-1]
+            q *= (moved @ bent) / (bent @ bent)
+        for (moved, bent), a in zip(self.pairs, reversed(parts)):
+            q += (a - (bent @ q) / (moved @ bent)) * moved
+        return -q
+
+
 def _solve(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Solve after scaling to a unit diagonal, since raw features differ by orders of magnitude."""
     scale = 1 / np.sqrt(np.maximum(np.diag(matrix), 1e-300))
@@ -152,10 +217,11 @@ def _square(upper: np.ndarray, width: int) -> np.ndarray:
     return out + np.triu(out, 1).T
 
 
-def _sums(rows: DataFrame, at: dict, width: int) -> dict[int, np.ndarray]:
-    """Loss, gradient and upper half of the curvature per fit, summed over its training rows."""
+def _sums(rows: DataFrame, at: dict, width: int, what: str = "curvature") -> dict[int, np.ndarray]:
+    """Loss and gradient per fit, summed over its training rows, with the upper half of the curvature,
+    its diagonal, or neither."""
     upper = np.triu_indices(width)
-    length = 1 + width + len(upper[0])
+    length = 1 + width + {"curvature": len(upper[0]), "diagonal": width, "gradient": 0}[what]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = {j: np.zeros(length) for j in at}
@@ -170,22 +236,24 @@ def _sums(rows: DataFrame, at: dict, width: int) -> dict[int, np.ndarray]:
                     error, spread, loss = error * mine, spread * mine, loss * mine
                 totals[j][0] += loss.sum()
                 totals[j][1 : width + 1] += error @ x
-                totals[j][width + 1 :] += (x.T @ (x * spread[:, None]))[upper]
+                if what == "curvature":
+                    totals[j][width + 1 :] += (x.T @ (x * spread[:, None]))[upper]
+                elif what == "diagonal":
+                    totals[j][width + 1 :] += spread @ (x * x)
         fits = pa.array(list(totals), pa.int32())
         lists = pa.array(list(totals.values()), pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([fits, lists], names=["fit", "sums"])
 
     sent = rows.where(F.col("fold") > HELD_OUT).mapInArrow(add_up, "fit int, sums array<double>")
-    added = sent.select("fit", F.posexplode("sums").alias("i", "v")).groupBy("fit", "i").agg(F.sum("v").alias("v"))
-    out = {j: np.zeros(length) for j in at}
-    for j, part in added.toPandas().groupby("fit"):
-        out[int(j)][part["i"].to_numpy()] = part["v"].to_numpy()
-    return out
+    return {j: np.zeros(length) for j in at} | array_sums(sent, "fit", length)
 
 
 def _slim(df: DataFrame, features: Sequence[str], label: str, fold) -> DataFrame:
-    values = F.array(*[_required(f) for f in features])
-    return df.select(values.alias("x"), F.col(label).cast("int").alias("y"), F.coalesce(fold, F.lit(HELD_OUT)).cast("int").alias("fold"))
+    values = F.array(*[_value(f) for f in features])
+    rows = df.select(values.alias("x"), F.col(label).cast("int").alias("y"), F.coalesce(fold, F.lit(HELD_OUT)).cast("int").alias("fold"))
+    bad = F.raise_error(F.lit("missing value in a feature of the linear model")).cast("array<double>")
+    missing = F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    return rows.withColumn("x", F.when(missing, bad).otherwise(F.col("x")))
 
 
 def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,23 +265,3 @@ def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _value(feature: str):
     return F.col(f"`{feature}`").cast("double")
-
-
-def _required(feature: str):
-    bad = F.raise_error(F.lit(f"missing value in feature {feature}")).cast("double")
-    return F.when(_value(feature).isNotNull() & ~F.isnan(_value(feature)), _value(feature)).otherwise(bad)
-
-
-def _fit_wide(train: DataFrame, features: Sequence[str], label: str, fold, spec: LinearSpec) -> LinearFit:
-    """MLlib minimises the mean loss plus ``regParam · |w|²/2``: ``regParam`` is ``1/(C·n)`` with n the
-    rows of this very fit, and the penalty is meant for the coefficients of the raw features."""
-    rows = train if spec.without_fold is None else train.where(fold != spec.without_fold)
-    estimator = LogisticRegression(
-        featuresCol="features", labelCol=label, maxIter=spec.max_iter, regParam=1.0 / (spec.C * rows.count()),
-        elasticNetParam=0.0, standardization=False, tol=1e-9,
-    )
-    model = estimator.fit(assemble(rows, features))
-    used = model.summary.totalIterations
-    return LinearFit(
-        list(features), [float(v) for v in model.coefficients], float(model.intercept), used, used < spec.max_iter
-    )

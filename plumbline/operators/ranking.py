@@ -14,17 +14,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIGITS_PER_PASS = 3
-HASH_DIGITS = 32
+HASH_DIGITS = 64  # 32 of the key, 32 of the content
 EDGE_ROWS = 200_000  # a prefix this small is ranked in one task
 
 _BEFORE_ALL = ""
 _AFTER_ALL = "g"
 
 
-def hash_order(salt: str, seed: int, key_cols: Sequence[str]) -> Column:
-    """md5 of ``salt:seed:key`` in hex, the key columns joined by a colon."""
-    key = F.concat_ws(":", *[F.col(f"`{c}`").cast("string") for c in key_cols])
-    return F.md5(F.concat(F.lit(f"{salt}:{seed}:"), key))
+def key_text(key_cols: Sequence[str]) -> Column:
+    """One text per key: the value of a single column, else values with their lengths, NULL apart."""
+    texts = [F.col(f"`{c}`").cast("string") for c in key_cols]
+    if len(texts) == 1:
+        return F.coalesce(texts[0], F.lit("\0"))
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
+def content_hash(df: DataFrame) -> Column:
+    """md5 of all columns of a row."""
+    return F.md5(F.concat(key_text(df.columns), F.lit("")))
+
+
+def hash_order(salt: str, seed: int, key_cols: Sequence[str], content: Column | None = None) -> Column:
+    """md5 of ``salt:seed:key`` in hex, then the hash of the row's content, which sets rows of one key
+    apart."""
+    own = F.md5(F.concat(F.lit(f"{salt}:{seed}:"), key_text(key_cols)))
+    return own if content is None else F.concat(own, content)
 
 
 def boundaries(
@@ -59,7 +73,7 @@ def boundaries(
     while open_cuts and max(n for _, _, n in open_cuts.values()) > edge_rows:
         digits += DIGITS_PER_PASS
         if digits > HASH_DIGITS:
-            raise ValueError("one key value fills a whole edge of the cut: the key is not unique")
+            raise ValueError("copies of one row fill a whole edge of a cut: give them a key with with_row_key")
         finer: dict[tuple[int, str], dict[str, int]] = {}
         for r in _prefix_counts(_inside(rows, open_cuts), digits).collect():
             finer.setdefault((r["g"], r["p"][: digits - DIGITS_PER_PASS]), {})[r["p"]] = r["n"]
@@ -125,6 +139,6 @@ def _rank_edges(rows: DataFrame, open_cuts, digits: int) -> dict[tuple[int, int]
     for (g, position), (prefix, rest, _) in open_cuts.items():
         last = at[g, prefix, rest]
         if at.get((g, prefix, rest + 1)) == last:
-            raise ValueError("two rows with one key lie on both sides of a cut: the key is not unique")
+            raise ValueError("copies of one row lie on both sides of a cut: give them a key with with_row_key")
         found[g, position] = last
     return found

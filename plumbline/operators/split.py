@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.ranking import boundaries, hash_order, with_part
+from plumbline.operators.ranking import boundaries, content_hash, hash_order, with_part
 from plumbline.session import SEED, keep
 from plumbline.sources.tables import binary_counts, label_group
 
@@ -58,47 +58,66 @@ def stratified_split(
     seed: int = SEED,
     output: str = "split",
 ) -> DataFrame:
-    """Add ``split`` = train or test, each class cut in the same proportion."""
-    return _split_by(df, label, key_cols, seed, output, _split_bounds(df, label, key_cols, test_size, seed))
+    """Add ``split`` = train or test, each class cut in the same proportion.
+
+    Rows are ordered by the hash of the key and then of their content, so a key may repeat. Only
+    copies of a whole row that lie on both sides of a cut are refused.
+    """
+    rows = _with_content(df)
+    return _split_by(rows, label, key_cols, seed, output, _split_bounds(rows, label, key_cols, test_size, seed)).drop(_CONTENT)
 
 
 def stratified_folds(
     df: DataFrame, label: str, key_cols: Sequence[str], k: int = 5, seed: int = SEED, output: str = "fold"
 ) -> DataFrame:
     """Add ``fold`` = 0..k-1 with the class shares of the table in every fold."""
-    bounds = _stratified_bounds(df, label, key_cols, k, seed)
-    return with_part(df, hash_order("fold", seed, key_cols), label_group(label), bounds, output)
+    rows = _with_content(df)
+    bounds = _stratified_bounds(rows, label, key_cols, k, seed)
+    return with_part(rows, _order("fold", seed, key_cols), label_group(label), bounds, output).drop(_CONTENT)
 
 
 def shuffled_folds(
     df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = SEED, output: str = "fold"
 ) -> DataFrame:
     """Add ``fold`` = 0..k-1 regardless of the label."""
-    bounds = _shuffled_bounds(df, key_cols, k, seed)
-    return with_part(df, hash_order("kfold", seed, key_cols), F.lit(0), bounds, output)
+    rows = _with_content(df)
+    bounds = _shuffled_bounds(rows, key_cols, k, seed)
+    return with_part(rows, _order("kfold", seed, key_cols), F.lit(0), bounds, output).drop(_CONTENT)
 
 
 def split_with_folds(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = SEED, k: int = 5) -> DataFrame:
     """Add ``split`` and, on the training rows, both kinds of folds.
 
     ``cv_fold`` (stratified) serves the cross-validation of one model, ``grid_fold`` (shuffled) the
-    grid search; both are NULL on test rows. All boundaries come from a slim copy of keys and label;
-    the table itself is only projected.
+    grid search; both are NULL on test rows. All boundaries come from a slim copy of keys, label and
+    content hash; the table itself is only projected.
     """
-    slim = keep(df.select(*key_cols, label))
+    rows = _with_content(df)
+    slim = keep(rows.select(*key_cols, label, _CONTENT))
     split_at = _split_bounds(slim, label, key_cols, 0.2, seed)
     train = F.col("split") == "train"
     slim_train = _split_by(slim, label, key_cols, seed, "split", split_at).where(train)
     strata_at = _stratified_bounds(slim_train, label, key_cols, k, seed)
     shuffle_at = _shuffled_bounds(slim_train, key_cols, k, seed)
     slim.unpersist()
-    out = _split_by(df, label, key_cols, seed, "split", split_at)
-    out = with_part(out, hash_order("fold", seed, key_cols), label_group(label), strata_at, "cv_fold", train)
-    return with_part(out, hash_order("kfold", seed, key_cols), F.lit(0), shuffle_at, "grid_fold", train)
+    out = _split_by(rows, label, key_cols, seed, "split", split_at)
+    out = with_part(out, _order("fold", seed, key_cols), label_group(label), strata_at, "cv_fold", train)
+    return with_part(out, _order("kfold", seed, key_cols), F.lit(0), shuffle_at, "grid_fold", train).drop(_CONTENT)
+
+
+_CONTENT = "__content"
+
+
+def _with_content(df: DataFrame) -> DataFrame:
+    return df.withColumn(_CONTENT, content_hash(df))
+
+
+def _order(salt: str, seed: int, key_cols: Sequence[str]):
+    return hash_order(salt, seed, key_cols, F.col(_CONTENT))
 
 
 def _split_by(df, label, key_cols, seed, output, bounds):
-    out = with_part(df, hash_order("split", seed, key_cols), label_group(label), bounds, output)
+    out = with_part(df, _order("split", seed, key_cols), label_group(label), bounds, output)
     return out.withColumn(output, F.when(F.col(output) == 0, "train").otherwise("test"))
 
 
@@ -106,21 +125,21 @@ def _split_bounds(df, label, key_cols, test_size, seed):
     def cuts(counts):
         return {c: [n] for c, n in train_sizes(binary_counts(counts, label), test_size).items()}
 
-    return boundaries(df, hash_order("split", seed, key_cols), label_group(label), cuts)
+    return boundaries(df, _order("split", seed, key_cols), label_group(label), cuts)
 
 
 def _stratified_bounds(df, label, key_cols, k, seed):
     def cuts(counts):
         return {c: _cuts(s) for c, s in stratified_fold_sizes(binary_counts(counts, label), k).items()}
 
-    return boundaries(df, hash_order("fold", seed, key_cols), label_group(label), cuts)
+    return boundaries(df, _order("fold", seed, key_cols), label_group(label), cuts)
 
 
 def _shuffled_bounds(df, key_cols, k, seed):
     def cuts(counts):
         return {0: _cuts(fold_sizes(counts.get(0, 0), k))}
 
-    return boundaries(df, hash_order("kfold", seed, key_cols), F.lit(0), cuts)
+    return boundaries(df, _order("kfold", seed, key_cols), F.lit(0), cuts)
 
 
 def with_row_key(df: DataFrame, output: str = "row_key") -> DataFrame:

@@ -1,34 +1,41 @@
 """Decision trees and forests on binned features, and every smaller tree they contain.
 
 A greedy tree never looks below a node before splitting it, so the tree for a smaller depth or a
-larger ``min_samples_split`` is the big tree with some nodes closed. Closing nodes only changes
-what a leaf of the big tree answers: one fit and one table (leaf, answer per pruning) serve all of
-these settings.
+larger ``min_samples_split`` is the big tree with some nodes closed. Closing nodes only changes what a
+leaf of the big tree answers: one tree serves all of these settings.
+
+Training rows come as cells (equal bins, label and fold, counted) or, for forests, as rows with their
+key, from which each tree's bootstrap draws are read. A table of at most LOCAL_BYTES goes to the
+executors whole and the trees of all fits are grown side by side, a task for a few trees. A larger
+table stays where it is: histograms of the large nodes are summed by Spark level by level, and a node
+of at most LOCAL_ROWS rows is finished by one task. Both ways give the same trees.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators.binning import Bins
-from plumbline.session import SEED, drop_path, scratch_path
+from plumbline.operators.binning import Bins, binned_array
+from plumbline.operators.growth import GrowSpec, TreeNodes, choose, draws, feature_ranks, grow, impurity
+from plumbline.session import SEED, drop_path, keep, scratch_path
 
-DEPTH_LIMIT = 30  # MLlib refuses deeper trees
-MEMORY_MB = 1024
-BROADCAST_BYTES = 256 << 20
-ROWS_PER_PARTITION = 500_000
-SALTS = 8
+LOCAL_BYTES = 64 << 20  # of a training table that is broadcast
+LOCAL_ROWS = 200_000  # rows of a node that one task finishes
+MODEL_BYTES = 64 << 20  # of the trees in one broadcast
+TREES_PER_TASK = 8
+TREES_TOGETHER = 16  # of a forest on a large table
+HELD_OUT = -1
+
+_ROW = "bins array<smallint>, label int, fold int, n bigint, key string"
+_NODE_ROW = "tree int, path string, bins array<smallint>, label int, w double, n bigint"
 
 
 @dataclass(frozen=True)
@@ -39,118 +46,63 @@ class Pruning:
     min_samples_split: int = 2
 
 
-@dataclass(frozen=True)
-class Nodes:
-    """All nodes of all trees, children by position; the root of a tree has depth 0."""
-
-    tree: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    feature: np.ndarray
-    gain: np.ndarray
-    count: np.ndarray
-    weight: np.ndarray
-    positive: np.ndarray
-    prediction: np.ndarray
-    depth: np.ndarray
-    leaf: np.ndarray  # number of the leaf inside its tree, -1 for inner nodes
-
-    @property
-    def is_leaf(self) -> np.ndarray:
-        return self.left < 0
-
-    @property
-    def share(self) -> np.ndarray:
-        return self.positive / self.weight
-
-    def closed(self, pruning: Pruning) -> np.ndarray:
-        """Nodes at which the pruned tree ends, and everything below them."""
-        depth = DEPTH_LIMIT if pruning.max_depth is None else pruning.max_depth
-        out = self.is_leaf | (self.depth >= depth) | (self.count < pruning.min_samples_split)
-        for level in range(int(self.depth.max()) + 1):
-            inner = (self.depth == level) & ~self.is_leaf & out
-            out[self.left[inner]] = True
-            out[self.right[inner]] = True
-        return out
-
-    def answers(self, pruning: Pruning) -> np.ndarray:
-        """Share of class 1 that each leaf of the full tree answers in the pruned tree."""
-        closed, out = self.closed(pruning), self.share.copy()
-        for level in range(int(self.depth.max()) + 1):
-            stop = (self.depth == level) & ~self.is_leaf & closed
-            out[self.left[stop]] = out[stop]
-            out[self.right[stop]] = out[stop]
-        return out[self.is_leaf]
-
-    def truncated(self) -> bool:
-        """Is there a mixed leaf at the depth limit, which a deeper tree might have split?
-
-        MLlib joins two leaves that agree, so a mixed pair that agrees is not seen here.
-        """
-        mixed = (self.positive > 0) & (self.positive < self.weight)
-        return bool((self.is_leaf & (self.depth >= DEPTH_LIMIT) & mixed).any())
-
-    def importances(self, n_features: int, pruning: Pruning = Pruning()) -> np.ndarray:
-        """Impurity decrease per feature, per tree summing to 1, averaged over the trees."""
-        inner = ~self.closed(pruning)
-        n_trees = int(self.tree.max()) + 1
-        table = np.zeros((n_trees, n_features))
-        np.add.at(table, (self.tree[inner], self.feature[inner]), self.gain[inner] * self.weight[inner])
-        per_tree = table.sum(axis=1, keepdims=True)
-        mean = np.divide(table, per_tree, out=np.zeros_like(table), where=per_tree > 0).sum(axis=0)
-        return mean / mean.sum() if mean.sum() > 0 else mean
-
-
 @dataclass(frozen=True)
 class TreeFit:
     """A fitted tree or forest together with its bin edges and the pruning in force."""
 
     bins: Bins
-    pipeline: PipelineModel
+    trees: list[TreeNodes] = field(repr=False)
     pruning: Pruning = Pruning()
-    n_trees: int = 1
-    cache: dict = field(default_factory=dict, compare=False, repr=False)
 
     @property
-    def model(self):
-        return self.pipeline.stages[-1]
+    def n_trees(self) -> int:
+        return len(self.trees)
 
     @property
     def features(self) -> list[str]:
         return self.bins.features
 
-    @property
-    def nodes(self) -> Nodes:
-        if "nodes" not in self.cache:
-            self.cache["nodes"] = read_nodes(self.model)
-        return self.cache["nodes"]
-
     def with_pruning(self, pruning: Pruning) -> "TreeFit":
-        return TreeFit(self.bins, self.pipeline, pruning, self.n_trees, self.cache)
+        return TreeFit(self.bins, self.trees, pruning)
+
+    def first(self, n_trees: int) -> "TreeFit":
+        """The forest of the first trees."""
+        return TreeFit(self.bins, self.trees[:n_trees], self.pruning)
 
     def importances(self) -> dict[str, float]:
-        shares = self.nodes.importances(len(self.features), self.pruning)
-        return dict(zip(self.features, map(float, shares)))
+        """Impurity decrease per feature, per tree summing to 1, averaged over the trees."""
+        limits = (self.pruning.max_depth, self.pruning.min_samples_split)
+        table = sum(t.importances(len(self.features), *limits) for t in self.trees)
+        total = table.sum()
+        return dict(zip(self.features, map(float, table / total if total > 0 else table)))
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``prediction``."""
-        scored = self.pipeline.transform(df).drop(*self.bins.columns(), "bins", "rawPrediction", "probability")
-        if self.pruning == Pruning():
-            return scored.drop("leaf")
-        plain = scored.drop("prediction")
-        if self.n_trees == 1:
-            table = leaf_table(df.sparkSession, self.nodes, [self.pruning]).drop("variant")
-            return plain.join(table, "leaf").drop("leaf")
-        names = [c for c in plain.columns if c != "leaf"]
-        votes = forest_votes(plain, self.nodes, [self.pruning], [self.n_trees], names)
-        return votes.drop("variant", "n_trees")
+        """Add ``prediction``: 1 where the mean share of class 1 over the trees is above one half.
+
+        A projection: the trees go to the executors in sets of at most MODEL_BYTES, whose sums are
+        added up row by row.
+        """
+        spark, binned = df.sparkSession, binned_array(df, self.bins)
+        total = F.lit(0.0)
+        for part in _sets(self.trees):
+            limits = (self.pruning.max_depth, self.pruning.min_samples_split)
+            total = total + _summed(spark.sparkContext.broadcast([(t, t.answers(*limits)) for t in part]))("bins")
+        return binned.withColumn("prediction", (total > self.n_trees / 2 + 1e-9).cast("double")).drop("bins")
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """(tree, node, feature, cut, left, right, w0, w1, n, depth, gain): one row per node."""
+        frames = [
+            pd.DataFrame({"tree": np.int32(i), "node": np.arange(len(t.feature), dtype=np.int32), **{k: getattr(t, k) for k in _NODE_COLUMNS}})
+            for i, t in enumerate(self.trees)
+        ]
+        schema = "tree int, node int, feature int, cut int, left int, right int, w0 double, w1 double, n bigint, depth int, gain double"
+        return spark.createDataFrame(pd.concat(frames), schema)
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        row = [(self.pruning.max_depth, self.pruning.min_samples_split, self.n_trees)]
-        table = spark.createDataFrame(row, "max_depth int, min_samples_split int, n_trees int")
-        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/pruning")
+        self.nodes(spark).write.mode("overwrite").parquet(f"{path}/nodes")
+        row = [(self.pruning.max_depth, self.pruning.min_samples_split)]
+        spark.createDataFrame(row, "max_depth int, min_samples_split int").coalesce(1).write.mode("overwrite").parquet(f"{path}/pruning")
         edges = [(i, f, e) for i, (f, e) in enumerate(zip(self.bins.features, self.bins.edges))]
         edges = spark.createDataFrame(edges, "position int, feature string, edges array<double>")
         edges.coalesce(1).write.mode("overwrite").parquet(f"{path}/bins")
@@ -160,199 +112,398 @@ class TreeFit:
         p = spark.read.parquet(f"{path}/pruning").first()
         edges = spark.read.parquet(f"{path}/bins").orderBy("position").collect()
         bins = Bins([r["feature"] for r in edges], [list(r["edges"]) for r in edges])
-        pipeline = PipelineModel.load(f"{path}/pipeline")
-        return TreeFit(bins, pipeline, Pruning(p["max_depth"], p["min_samples_split"]), p["n_trees"])
+        table = spark.read.parquet(f"{path}/nodes").toPandas().sort_values(["tree", "node"])
+        trees = [TreeNodes(*[part[k].to_numpy() for k in _NODE_COLUMNS]) for _, part in table.groupby("tree")]
+        return TreeFit(bins, trees, Pruning(None if pd.isna(p["max_depth"]) else int(p["max_depth"]), p["min_samples_split"]))
 
 
-def sample_bins(n_rows: int) -> int:
-    """``maxBins`` for MLlib. It looks for thresholds in a sample of about ``maxBins²`` rows, so a
-    large value makes it see every bin number; memory follows the bins that really occur."""
-    return max(64, math.isqrt(min(n_rows, 1 << 24)) + 1)
+_NODE_COLUMNS = ("feature", "cut", "left", "right", "w0", "w1", "n", "depth", "gain")
 
 
-def fit_tree(
-    binned: DataFrame,
-    bins: Bins,
-    label: str,
-    n_rows: int,
-    max_depth: int | None = None,
-    min_samples_split: int = 2,
-    min_samples_leaf: int = 1,
-    criterion: str = "gini",
-    seed: int = SEED,
-) -> TreeFit:
-    """Decision tree on the vector ``bins``."""
-    estimator = DecisionTreeClassifier(
-        featuresCol="bins", labelCol=label, leafCol="leaf", impurity=criterion, seed=seed,
-        maxDepth=_depth(max_depth), maxBins=sample_bins(n_rows), minInstancesPerNode=min_samples_leaf,
-        maxMemoryInMB=MEMORY_MB,
-    )
-    return _fitted(estimator.fit(binned), bins, _pruning(min_samples_split, min_samples_leaf))
-
-
-def fit_forest(
-    binned: DataFrame,
-    bins: Bins,
-    label: str,
-    n_rows: int,
+def tree_spec(
+    max_depth: int | None = None, min_samples_split: int = 2, min_samples_leaf: int = 1, criterion: str = "gini", seed: int = SEED
+) -> GrowSpec:
+    return GrowSpec(criterion, max_depth, min_samples_split, min_samples_leaf, seed=seed)
+
+
+def forest_spec(
+    n_features: int,
     n_estimators: int = 100,
     max_depth: int | None = None,
     min_samples_split: int = 2,
     min_samples_leaf: int = 1,
     max_features: str | None = "sqrt",
     seed: int = SEED,
-) -> TreeFit:
-    """Random forest on the vector ``bins``; repeatable when the rows come in ``canonical_layout``."""
+) -> GrowSpec:
+    """Every tree on its own bootstrap; a node looks at the root of the number of features."""
     if max_features not in ("sqrt", None):
         raise ValueError(f"max_features must be 'sqrt' or None, not {max_features!r}")
-    subset = "all" if max_features is None else str(max(1, math.isqrt(len(bins.features))))
-    estimator = RandomForestClassifier(
-        featuresCol="bins", labelCol=label, leafCol="leaf", seed=seed, numTrees=n_estimators,
-        maxDepth=_depth(max_depth), maxBins=sample_bins(n_rows), minInstancesPerNode=min_samples_leaf,
-        featureSubsetStrategy=subset, maxMemoryInMB=MEMORY_MB,
-    )
-    pruning = _pruning(min_samples_split, min_samples_leaf)
-    return _fitted(estimator.fit(binned), bins, pruning, n_estimators)
-
-
-def canonical_layout(df: DataFrame, key_cols: Sequence[str], n_rows: int) -> DataFrame:
-    """Partitions and row order that depend on the rows only, which bootstrap sampling needs."""
-    parts = max(8, math.ceil(n_rows / ROWS_PER_PARTITION))
-    return df.repartition(parts, *key_cols).sortWithinPartitions(*key_cols)
-
-
-def read_nodes(model) -> Nodes:
-    """The node table of a fitted model, as big as the model the driver already holds."""
-    spark = SparkSession.active()
-    path = scratch_path(spark, "nodes")
-    model.write().save(path)
-    saved = spark.read.parquet(f"{path}/data")
-    forest = "treeID" in saved.columns
-    node = "nodeData." if forest else ""
-    table = (
-        saved.select(
-            (F.col("treeID") if forest else F.lit(0)).alias("tree"),
-            *[F.col(node + c).alias(c) for c in ("id", "leftChild", "rightChild", "gain", "rawCount", "prediction")],
-            F.col(node + "split.featureIndex").alias("feature"),
-            F.col(node + "impurityStats")[0].alias("zeros"),
-            F.col(node + "impurityStats")[1].alias("ones"),
-        )
-        .toPandas()
-        .sort_values(["tree", "id"], ignore_index=True)
-    )
-    drop_path(spark, path)
-    tree = table["tree"].to_numpy()
-    starts = np.concatenate([[0], np.cumsum(np.bincount(tree))[:-1]])
-    left, right = table["leftChild"].to_numpy(), table["rightChild"].to_numpy()
-    is_leaf = left < 0
-    left, right = np.where(is_leaf, -1, left + starts[tree]), np.where(is_leaf, -1, right + starts[tree])
-    depth = np.zeros(len(tree), dtype=np.int32)
-    level = starts
-    while len(level):
-        inner = level[~is_leaf[level]]
-        depth[left[inner]] = depth[right[inner]] = depth[inner] + 1 if len(inner) else 0
-        level = np.concatenate([left[inner], right[inner]])
-    leaves_before = np.cumsum(is_leaf) - is_leaf
-    leaf = np.where(is_leaf, leaves_before - leaves_before[starts][tree], -1)
-    ones = table["ones"].to_numpy()
-    return Nodes(
-        tree, left, right, table["feature"].to_numpy(), table["gain"].to_numpy(), table["rawCount"].to_numpy(),
-        table["zeros"].to_numpy() + ones, ones, table["prediction"].to_numpy(), depth, leaf,
-    )
-
-
-def leaf_table(spark: SparkSession, nodes: Nodes, prunings: Sequence[Pruning]) -> DataFrame:
-    """(leaf, variant, prediction) of one tree: what every leaf answers under every pruning.
-
-    A plain local table, so Spark broadcasts it or shuffles it by its size.
-    """
-    parts = []
-    for v, pruning in enumerate(prunings):
-        share = nodes.answers(pruning)
-        leaf = nodes.leaf[nodes.is_leaf].astype("float64")
-        parts.append(pd.DataFrame({"leaf": leaf, "variant": v, "prediction": (share > 0.5).astype("float64")}))
-    return spark.createDataFrame(pd.concat(parts), "leaf double, variant int, prediction double")
-
-
-def forest_votes(
-    scored: DataFrame,
-    nodes: Nodes,
-    prunings: Sequence[Pruning],
-    sizes: Sequence[int],
-    carry: Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """One row per input row, pruning and forest size: (carry…, variant, n_trees, prediction).
-
-    ``scored`` has the vector ``leaf`` of a forest; a forest of ``s`` trees is the first ``s``. The
-    vote is the mean share of class 1 over the trees, a draw goes to class 0. The leaf answers go to
-    the executors once if they are small; otherwise the leaves of each row are joined to them.
+    looked_at = None if max_features is None else max(1, math.isqrt(n_features))
+    return GrowSpec("gini", max_depth, min_samples_split, min_samples_leaf, looked_at, n_estimators, True, seed)
+
+
+class Grower:
+    """A table of training rows (bins, label, fold, n, key) on which trees are grown.
+
+    ``fold`` is HELD_OUT for rows no fit trains on; a fit also leaves out its own fold. ``key`` decides
+    the bootstrap draws of a row (n is 1 then); cells need none.
     """
-    table = np.stack([nodes.answers(p) for p in prunings])
-    starts = np.concatenate([[0], np.cumsum(np.bincount(nodes.tree[nodes.is_leaf]))[:-1]])
-    rows = scored.select(*carry, vector_to_array("leaf").alias("leaf"))
-    if table.nbytes > broadcast_bytes:
-        return _votes_by_join(rows, nodes, table, prunings, sizes, carry)
-    spark = scored.sparkSession
-    shared = spark.sparkContext.broadcast((table, starts, list(sizes)))
-
-    def vote(batches):
-        answers, first, prefix = shared.value
-        ends = np.asarray(prefix) - 1
+
+    def __init__(self, table: DataFrame, bins: Bins, local_bytes: int = LOCAL_BYTES, local_rows: int = LOCAL_ROWS):
+        self.bins, self.local_rows = bins, local_rows
+        kinds = {"label": "int", "fold": "int", "n": "bigint", "key": "string"}
+        self.table = keep(table.select("bins", *[F.col(c).cast(k).alias(c) for c, k in kinds.items()]))
+        size = self.table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("key")).alias("k")).first()
+        self.local = (2 * len(bins.features) + 24) * size["n"] + (size["k"] or 0) <= local_bytes
+        if self.local:
+            self.shared = self.spark.sparkContext.broadcast(_Rows.of(self.table.toArrow()))
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.table.sparkSession
+
+    def release(self) -> None:
+        self.table.unpersist()
+        if self.local:
+            self.shared.destroy()
+
+    def fits(self, specs: Sequence[GrowSpec]) -> list[list[TreeNodes]]:
+        """The trees of each spec."""
+        if not self.local:
+            return [self._large(s) for s in specs]
+        tasks = [(j, trees) for j, s in enumerate(specs) for trees in _chunks(s.n_trees, [s.n_trees])]
+        counts, shared = self.bins.counts, self.shared
+
+        def run(batches):
+            for batch in batches:
+                for i in batch.column(0).to_pylist():
+                    j, trees = tasks[i]
+                    grown = [t.packed() for t in shared.value.grow(specs[j], trees, counts)]
+                    yield pa.RecordBatch.from_pydict({"i": pa.array([i] * len(grown), pa.int32()), "nodes": pa.array(grown, pa.binary())})
+
+        rows = self._tasks(len(tasks)).mapInArrow(run, "i int, nodes binary").toArrow().to_pydict()
+        made: dict[int, list] = {}
+        for i, nodes in zip(rows["i"], rows["nodes"]):
+            made.setdefault(i, []).append(TreeNodes.unpacked(nodes))
+        out: list[list[TreeNodes]] = [[] for _ in specs]
+        for i, (j, _) in enumerate(tasks):
+            out[j] += made[i]
+        return out
+
+    def scores(self, specs: Sequence[GrowSpec], prunings: Sequence[Sequence[Pruning]], sizes: Sequence[Sequence[int]]) -> pd.DataFrame:
+        """(fit, variant, n_trees, label, prediction, n) on the rows each fit left out: for every one of
+        its prunings, and for every size of a forest, of which the first trees are taken."""
+        if not self.local:
+            parts = [_large_scores(self.table, s, self._large(s), p, z).assign(fit=j) for j, (s, p, z) in enumerate(zip(specs, prunings, sizes))]
+            return pd.concat(parts, ignore_index=True)
+        tasks = [(j, trees) for j, (s, z) in enumerate(zip(specs, sizes)) for trees in _chunks(max(z), z)]
+        counts, shared = self.bins.counts, self.shared
+
+        def run(batches):
+            for batch in batches:
+                for i in batch.column(0).to_pylist():
+                    j, trees = tasks[i]
+                    sums = shared.value.sums(specs[j], trees, counts, prunings[j])
+                    yield pa.RecordBatch.from_pydict(
+                        {"fit": pa.array([j], pa.int32()), "upto": pa.array([trees.stop], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())}
+                    )
+
+        def vote(part: pd.DataFrame) -> pd.DataFrame:
+            j, rows = int(part["fit"].iloc[0]), []
+            label, n = shared.value.left_out(specs[j])
+            part = part.sort_values("upto")
+            arrays = [np.frombuffer(s).reshape(len(prunings[j]), -1) for s in part["sums"]]
+            for size in sizes[j]:
+                total = sum(a for a, upto in zip(arrays, part["upto"]) if upto <= size)
+                for v in range(len(prunings[j])):
+                    votes = (total[v] > size / 2 + 1e-9).astype(int)
+                    cells = np.bincount(label * 2 + votes, weights=n, minlength=4)
+                    rows += [(j, v, size, c // 2, c % 2, int(cells[c])) for c in range(4)]
+            return pd.DataFrame(rows, columns=["fit", "variant", "n_trees", "label", "prediction", "n"])
+
+        sums = self._tasks(len(tasks)).mapInArrow(run, "fit int, upto int, sums binary")
+        return sums.groupBy("fit").applyInPandas(vote, "fit int, variant int, n_trees int, label int, prediction int, n bigint").toPandas()
+
+    def _tasks(self, n: int) -> DataFrame:
+        return self.spark.range(0, n, 1, max(1, min(n, 4 * self.spark.sparkContext.defaultParallelism)))
+
+    def _large(self, spec: GrowSpec) -> list[TreeNodes]:
+        out = []
+        for trees in _chunks(spec.n_trees, [spec.n_trees], TREES_TOGETHER):
+            out += _LargeGrowth(self, spec, trees).run()
+        return out
+
+
+class _Rows:
+    """A training table in memory."""
+
+    def __init__(self, bins, label, fold, n, key):
+        self.bins, self.label, self.fold, self.n, self.key = bins, label, fold, n, key
+
+    @staticmethod
+    def of(table: pa.Table) -> "_Rows":
+        bins = table.column("bins").combine_chunks()
+        rest = [table.column(c).to_numpy() for c in ("label", "fold", "n")]
+        return _Rows(_matrix(bins), *rest, table.column("key").to_pylist())
+
+    def grow(self, spec: GrowSpec, trees: range, bin_counts: list[int]) -> list[TreeNodes]:
+        mine = np.flatnonzero((self.fold > HELD_OUT) & (self.fold != (HELD_OUT if spec.without_fold is None else spec.without_fold)))
+        bins, label, n = self.bins[mine], self.label[mine], self.n[mine]
+        if not spec.bootstrap:
+            return [grow(bins, label, n.astype(float), n, bin_counts, spec, t) for t in trees]
+        drawn, out = draws(spec.seed, trees, [self.key[i] for i in mine]), []
+        for t, times in zip(trees, drawn.T):
+            some = times > 0
+            out.append(grow(bins[some], label[some], times[some].astype(float), n[some], bin_counts, spec, t))
+        return out
+
+    def left_out(self, spec: GrowSpec) -> tuple[np.ndarray, np.ndarray]:
+        mine = self._left_out(spec)
+        return self.label[mine].astype(np.int64), self.n[mine]
+
+    def _left_out(self, spec: GrowSpec) -> np.ndarray:
+        return self.fold == (HELD_OUT if spec.without_fold is None else spec.without_fold)
+
+    def sums(self, spec: GrowSpec, trees: range, bin_counts: list[int], prunings: Sequence[Pruning]) -> np.ndarray:
+        """Summed shares of class 1, [pruning, left-out row]."""
+        bins = self.bins[self._left_out(spec)]
+        out = np.zeros((len(prunings), len(bins)))
+        for tree in self.grow(spec, trees, bin_counts):
+            leaf = tree.leaf_of(bins)
+            for v, p in enumerate(prunings):
+                out[v] += tree.answers(p.max_depth, p.min_samples_split)[leaf]
+        return out
+
+
+class _LargeGrowth:
+    """Some trees of one spec on a table that stays distributed. Rows (tree, path, …) move down the
+    trees; what the driver holds is one record per large node and, in the end, the trees."""
+
+    def __init__(self, grower: Grower, spec: GrowSpec, trees: range):
+        self.grower, self.spec, self.trees = grower, spec, trees
+        self.counts = grower.bins.counts
+        self.nodes: dict[tuple[int, str], dict] = {}
+        self.finished: dict[tuple[int, str], TreeNodes] = {}
+
+    def run(self) -> list[TreeNodes]:
+        spark, path = self.grower.spark, None
+        rows = self._rows()
+        while True:
+            written = scratch_path(spark, "growth")
+            rows.write.parquet(written)
+            if path:
+                drop_path(spark, path)
+            path, rows = written, spark.read.schema(_NODE_ROW).parquet(written)
+            ones = F.col("w") * F.col("label")
+            sizes = rows.groupBy("tree", "path").agg(
+                F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.sum(F.col("w") - ones).alias("w0"), F.sum(ones).alias("w1")
+            )
+            large = []
+            small = []
+            for r in sizes.collect():  # two per large node of the level above
+                at, depth = (r["tree"], r["path"]), len(r["path"])
+                if r["rows"] <= self.grower.local_rows:
+                    small.append(at)
+                    continue
+                self.nodes[at] = {"w0": r["w0"], "w1": r["w1"], "n": r["n"], "depth": depth}
+                enough = r["n"] >= max(self.spec.min_samples_split, 2 * self.spec.min_samples_leaf)
+                if min(r["w0"], r["w1"]) > 0 and enough and (self.spec.max_depth is None or depth < self.spec.max_depth):
+                    large.append(at)
+            if small:
+                self._finish(rows, small)
+            cuts = self._cuts(rows, large) if large else {}
+            if not cuts:
+                break
+            rows = rows.mapInArrow(_descend(cuts), _NODE_ROW)
+        drop_path(spark, path)
+        return [self._assembled(t) for t in self.trees]
+
+    def _rows(self) -> DataFrame:
+        spec, trees = self.spec, self.trees
+        fold = F.col("fold")
+        trained = self.grower.table.where((fold > HELD_OUT) & (fold != (HELD_OUT if spec.without_fold is None else spec.without_fold)))
+
+        def start(batches):
+            for batch in batches:
+                times = draws(spec.seed, trees, batch.column("key").to_pylist()) if spec.bootstrap else batch.column("n").to_numpy()[:, None]
+                for t, w in zip(trees, times.T):
+                    some = pa.array(np.flatnonzero(w > 0))
+                    part, n = batch.take(some), len(some)
+                    columns = [pa.array(np.full(n, t), pa.int32()), pa.array([""] * n, pa.string()), part.column("bins"), part.column("label")]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(w[w > 0].astype(float)), part.column("n")], names=_names(_NODE_ROW))
+
+        return trained.mapInArrow(start, _NODE_ROW)
+
+    def _finish(self, rows: DataFrame, small: list) -> None:
+        spec, counts = self.spec, self.counts
+        chosen = self.grower.spark.createDataFrame(small, "tree int, path string")
+
+        def finish(part: pd.DataFrame) -> pd.DataFrame:
+            tree, path = int(part["tree"].iloc[0]), part["path"].iloc[0]
+            bins = np.stack(part["bins"].to_numpy()).astype(np.int64)
+            grown = grow(bins, part["label"].to_numpy(), part["w"].to_numpy(), part["n"].to_numpy(), counts, spec, tree, path)
+            return pd.DataFrame({"tree": [tree], "path": [path], "nodes": [grown.packed()]})
+
+        own = rows.join(F.broadcast(chosen), ["tree", "path"])  # two records per large node at most
+        for r in own.groupBy("tree", "path").applyInPandas(finish, "tree int, path string, nodes binary").toLocalIterator():
+            self.finished[r["tree"], r["path"]] = TreeNodes.unpacked(bytes(r["nodes"]))
+
+    def _cuts(self, rows: DataFrame, large: list) -> dict:
+        spec, counts = self.spec, self.counts
+        number = {at: i for i, at in enumerate(large)}
+
+        def count(batches):
+            tables = [np.zeros((len(large), b, 3)) for b in counts]
+            for batch in batches:
+                slot = np.array([number.get(at, -1) for at in zip(batch.column("tree").to_pylist(), batch.column("path").to_pylist())])
+                mine = slot >= 0
+                slot, bins = slot[mine], _matrix(batch.column("bins"))[mine]
+                label, w, n = (batch.column(c).to_numpy()[mine] for c in ("label", "w", "n"))
+                for f, table in enumerate(tables):
+                    at = slot * table.shape[1] + bins[:, f]
+                    for k, weights in enumerate((w * (label == 0), w * (label == 1), n)):
+                        table[:, :, k] += np.bincount(at, weights=weights, minlength=table[:, :, k].size).reshape(table.shape[:2])
+            for f, table in enumerate(tables):
+                node, cell = np.nonzero(table[:, :, 2])
+                columns = [pa.array(x.astype("int32")) for x in (node, np.full(len(node), f), cell)] + [pa.array(table[node, cell, k]) for k in range(3)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "feature", "bin", "w0", "w1", "n"])
+
+        def best(part: pd.DataFrame) -> pd.DataFrame:
+            node = int(part["node"].iloc[0])
+            tree, path = large[node]
+            tables = []
+            for f, b in enumerate(counts):
+                own, filled = part[part["feature"] == f], np.zeros((3, 1, b))
+                filled[:, 0, own["bin"].to_numpy()] = own[["w0", "w1", "n"]].to_numpy().T
+                tables.append(tuple(filled))
+            subset = spec.max_features is not None and spec.max_features < len(counts)
+            wanted = feature_ranks(spec.seed, tree, [path], len(counts), spec.max_features) if subset else None
+            feature, cut = choose(tables, 1, spec.criterion, spec.min_samples_leaf, wanted)
+            sides = [float(t[k][0, : cut[0] + 1].sum()) for k in (0, 1) for t in (tables[max(0, feature[0])],)]
+            return pd.DataFrame({"node": [node], "feature": [int(feature[0])], "cut": [int(cut[0])], "l0": [sides[0]], "l1": [sides[1]]})
+
+        sums = rows.mapInArrow(count, "node int, feature int, bin int, w0 double, w1 double, n double")
+        sums = sums.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("w0", "w1", "n")])
+        out = {}
+        for r in sums.groupBy("node").applyInPandas(best, "node int, feature int, cut int, l0 double, l1 double").collect():
+            if r["feature"] < 0:
+                continue
+            at = large[r["node"]]
+            here = self.nodes[at]
+            sides = impurity(np.array([r["l0"], here["w0"] - r["l0"]]), np.array([r["l1"], here["w1"] - r["l1"]]), spec.criterion).sum()
+            whole = impurity(np.array([here["w0"]]), np.array([here["w1"]]), spec.criterion)[0]
+            here |= {"feature": r["feature"], "cut": r["cut"], "gain": max(0.0, whole - sides) / (here["w0"] + here["w1"])}
+            out[at] = (r["feature"], r["cut"])
+        return out
+
+    def _assembled(self, tree: int) -> TreeNodes:
+        if (tree, "") in self.finished:
+            return self.finished[tree, ""]
+        paths = sorted((p for t, p in self.nodes if t == tree), key=lambda p: (len(p), p))
+        place = {p: i for i, p in enumerate(paths)}
+        made, grafts = len(paths), []
+        for p in sorted((p for t, p in self.finished if t == tree), key=lambda p: (len(p), p)):
+            place[p] = made
+            graft = self.finished[tree, p]
+            grafts.append(replace(graft, left=np.where(graft.left < 0, -1, graft.left + made), right=np.where(graft.right < 0, -1, graft.right + made)))
+            made += len(graft.feature)
+        own = [self.nodes[tree, p] for p in paths]
+        split = ["feature" in x for x in own]
+        top = TreeNodes(
+            np.array([x.get("feature", -1) for x in own], np.int64),
+            np.array([x.get("cut", 0) for x in own], np.int64),
+            np.array([place[p + "L"] if s else -1 for p, s in zip(paths, split)], np.int64),
+            np.array([place[p + "R"] if s else -1 for p, s in zip(paths, split)], np.int64),
+            *[np.array([x[k] for x in own]) for k in ("w0", "w1", "n", "depth")],
+            np.array([x.get("gain", 0.0) for x in own]),
+        )
+        return TreeNodes(*[np.concatenate([getattr(t, k) for t in (top, *grafts)]) for k in _NODE_COLUMNS])
+
+
+def _summed(shared):
+    """Column function: the sum over the broadcast trees of the share of class 1 where a row ends."""
+
+    @F.arrow_udf("double")
+    def shares(rows: pa.Array) -> pa.Array:
+        bins = _matrix(rows)
+        return pa.array(sum((answer[tree.leaf_of(bins)] for tree, answer in shared.value), np.zeros(len(bins))))
+
+    return shares
+
+
+def _descend(cuts: dict):
+    """Task side of a level: rows of cut nodes go to a child, others have arrived."""
+
+    def step(batches):
         for batch in batches:
-            leaves = batch.column("leaf").flatten().to_numpy(zero_copy_only=False)
-            at = leaves.reshape(batch.num_rows, -1).astype(np.int64) + first
-            kept = [batch.column(c) for c in carry]
-            for v in range(len(answers)):
-                sums = np.cumsum(answers[v][at], axis=1)[:, ends]
-                for s, size in enumerate(prefix):
-                    ones = (sums[:, s] > size / 2 + 1e-9).astype("float64")
-                    n = batch.num_rows
-                    own = [pa.array(np.full(n, v, "int32")), pa.array(np.full(n, size, "int32")), pa.array(ones)]
-                    yield pa.RecordBatch.from_arrays(kept + own, names=[*carry, "variant", "n_trees", "prediction"])
-
-    schema = scored.select(*carry).schema
-    schema = schema.add("variant", "integer").add("n_trees", "integer").add("prediction", "double")
-    return rows.mapInArrow(vote, schema)
-
-
-def _votes_by_join(rows, nodes, table, prunings, sizes, carry):
-    """The same votes with the leaf answers as a table: rows that share all leaves vote once."""
-    spark = rows.sparkSession
-    leaves = nodes.is_leaf
-    listed = {"tree": nodes.tree[leaves], "leaf": nodes.leaf[leaves].astype("float64")}
-    parts = [pd.DataFrame({**listed, "variant": v, "share": table[v]}) for v in range(len(prunings))]
-    answers = spark.createDataFrame(pd.concat(parts), "tree int, leaf double, variant int, share double")
-    path = F.md5(F.array_join(F.col("leaf").cast("array<string>"), ","))
-    rows = rows.withColumn("__path", path)
-    # one path or leaf may hold a third of the rows: its rows meet copies of the small side
-    salt, copies = (F.spark_partition_id() % SALTS).alias("__salt"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    paths = rows.select("__path", "leaf").dropDuplicates(["__path"])
-    listed_paths = paths.select("__path", salt, F.posexplode("leaf").alias("tree", "leaf"))
-    joined = listed_paths.join(answers.withColumn("__salt", copies), ["tree", "leaf", "__salt"])
-    sums = joined.groupBy("__path", "variant").agg(
-        *[F.sum(F.when(F.col("tree") < s, F.col("share"))).alias(f"s{s}") for s in sizes]
-    )
-    votes = [
-        F.struct(F.lit(s).alias("n_trees"), (F.col(f"s{s}") > s / 2 + 1e-9).cast("double").alias("prediction"))
-        for s in sizes
-    ]
-    voted = sums.select("__path", "variant", F.explode(F.array(*votes)).alias("v")).select("__path", "variant", "v.*")
-    salted = rows.select(*carry, "__path", salt)
-    return salted.join(voted.withColumn("__salt", copies), ["__path", "__salt"]).select(
-        *carry, "variant", "n_trees", "prediction"
-    )
-
-
-def _fitted(model, bins: Bins, pruning: Pruning, n_trees: int = 1) -> TreeFit:
-    pipeline = PipelineModel(stages=[bins.bucketizer(), bins.assembler(), model])
-    return TreeFit(bins, pipeline, pruning, n_trees)
-
-
-def _depth(max_depth: int | None) -> int:
-    return DEPTH_LIMIT if max_depth is None else min(max_depth, DEPTH_LIMIT)
-
-
-def _pruning(min_samples_split: int, min_samples_leaf: int) -> Pruning:
-    """What the fit itself has not enforced: two leaves already need ``2 · min_samples_leaf`` rows."""
-    return Pruning(None, min_samples_split) if min_samples_split > max(2, 2 * min_samples_leaf) else Pruning()
+            trees, paths = batch.column("tree").to_pylist(), batch.column("path").to_pylist()
+            bins = _matrix(batch.column("bins"))
+            found = [cuts.get(at) for at in zip(trees, paths)]
+            rows = [i for i, c in enumerate(found) if c]
+            below = [paths[i] + ("R" if bins[i, found[i][0]] > found[i][1] else "L") for i in rows]
+            part = batch.take(pa.array(rows, pa.int64()))
+            columns = [pa.array(below, pa.string()) if c == "path" else part.column(c) for c in _names(_NODE_ROW)]
+            yield pa.RecordBatch.from_arrays(columns, names=_names(_NODE_ROW))
+
+    return step
+
+
+def _large_scores(table: DataFrame, spec: GrowSpec, trees: list[TreeNodes], prunings: Sequence[Pruning], sizes: Sequence[int]) -> pd.DataFrame:
+    """Votes on the left-out rows; the trees visit them in sets, sums travel with the rows."""
+    spark = table.sparkSession
+    width = len(prunings) * len(sizes)
+    left_out = F.col("fold") == (HELD_OUT if spec.without_fold is None else spec.without_fold)
+    rows = table.where(left_out).select("bins", "label", "n", F.array_repeat(F.lit(0.0), width).alias("sums"))
+    schema, start = "bins array<smallint>, label int, n bigint, sums array<double>", 0
+    for part in _sets(trees):
+        numbered = list(enumerate(part, start))
+        shared = spark.sparkContext.broadcast([(i, t, [t.answers(p.max_depth, p.min_samples_split) for p in prunings]) for i, t in numbered])
+        start += len(part)
+
+        def add(batches, shared=shared):
+            for batch in batches:
+                bins, sums = _matrix(batch.column("bins")), _matrix(batch.column("sums")).copy()
+                for i, tree, answers in shared.value:
+                    leaf = tree.leaf_of(bins)
+                    for v, answer in enumerate(answers):
+                        for k, size in enumerate(sizes):
+                            if i < size:
+                                sums[:, v * len(sizes) + k] += answer[leaf]
+                offsets = pa.array(np.arange(batch.num_rows + 1, dtype="int32") * width)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("bins", "label", "n")], lists], names=_names(schema))
+
+        rows = rows.mapInArrow(add, schema)
+    half = F.array(*[F.lit(s / 2 + 1e-9) for _ in prunings for s in sizes])
+    voted = rows.select("label", "n", F.posexplode(F.zip_with("sums", half, lambda s, h: (s > h).cast("int"))).alias("at", "prediction"))
+    counted = voted.groupBy("at", "label", "prediction").agg(F.sum("n").alias("n")).toPandas()
+    counted["variant"], counted["n_trees"] = counted["at"] // len(sizes), [sizes[i % len(sizes)] for i in counted["at"]]
+    return counted[["variant", "n_trees", "label", "prediction", "n"]]
+
+
+def _chunks(n_trees: int, sizes: Sequence[int], together: int = TREES_PER_TASK) -> list[range]:
+    """Ranges of trees, none across a forest size that is asked for."""
+    ends = sorted({*sizes, n_trees, *range(together, n_trees, together)})
+    ends = [e for e in ends if e <= n_trees]
+    return [range(a, b) for a, b in zip([0, *ends], ends)]
+
+
+def _sets(trees: Sequence[TreeNodes]) -> list[list[TreeNodes]]:
+    """The trees in order, in sets of at most MODEL_BYTES or one tree."""
+    out, size = [[]], 0
+    for t in trees:
+        if out[-1] and size + t.nbytes > MODEL_BYTES:
+            out.append([])
+            size = 0
+        out[-1].append(t)
+        size += t.nbytes
+    return out
+
+
+def _matrix(rows: pa.Array) -> np.ndarray:
+    flat = rows.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(rows), -1) if len(rows) else flat.reshape(0, 1)
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]

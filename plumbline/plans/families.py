@@ -7,19 +7,16 @@ were not reached) are read off that fit.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
-from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.metrics import confusion_counts, fold_accuracy, with_quality
 from plumbline.operators.boosting import BoostFit, BoostSpec, fit_boosted
+from plumbline.operators.growth import GrowSpec
 from plumbline.operators.linear import LinearFit, LinearSpec, fit_linear, score_linear
-from plumbline.operators.trees import Pruning, TreeFit, fit_forest, fit_tree, forest_votes, leaf_table
+from plumbline.operators.trees import Pruning, TreeFit, forest_spec, tree_spec
 from plumbline.plans.prepared import FOLDS, Prepared
 
 # Parameters of the plain training run.
@@ -77,7 +74,7 @@ LONG_NAMES = {
     "dt": "decision_tree",
 }
 
-Score = tuple[int, int, float]  # ordinal, fold, accuracy
+Score = tuple[int, int, float | None]  # ordinal, fold, accuracy (None where a fit failed)
 
 
 def cross_validate(p: Prepared, name: str, params: Mapping, fold_col: str = "cv_fold") -> DataFrame:
@@ -123,66 +120,64 @@ class Linear:
 
 
 class Tree:
-    name = "dt"
-
-    def fit(self, p: Prepared, params: Mapping) -> TreeFit:
-        return fit_tree(p.binned, p.bins, p.label, p.rows(), seed=p.seed, **params)
-
-    def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[TreeFit, DataFrame]:
-        return _fit_apart(self, p, params, fold_col)
-
-    def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
-        """One fit per (criterion, leaf size, fold), scored under every pruning by one job: rows are
-        counted per leaf, and the leaf counts meet the leaf answers."""
-
-        def scores(task) -> list[Score]:
-            group, k = task
-            shared, prunings = _prunings(group)
-            fit = self._without(p, fold_col, k, shared)
-            leaves = fit.model.transform(p.binned.where(F.col(fold_col) == k)).groupBy(p.label, "leaf").count()
-            answers = leaf_table(p.spark, fit.nodes, prunings)
-            counts = confusion_counts(leaves.join(answers, "leaf"), p.label, by=["variant"], weight="count")
-            found = {r["variant"]: r["accuracy"] for r in with_quality(counts).collect()}
-            return [(i, k, found[v]) for v, (i, _) in enumerate(group)]
-
-        groups = _grouped(candidates, ("criterion", "min_samples_leaf"))
-        return _flat(_parallel(p, scores, [(g, k) for g in groups for k in range(FOLDS)]))
-
-    def _without(self, p, fold_col, k, params):
-        rows = p.binned.where(F.col(fold_col) != k)
-        return fit_tree(rows, p.bins, p.label, p.rows(fold_col, k), seed=p.seed, **params)
+    """Decision trees; forests differ in their spec and in growing on single rows."""
 
+    name = "dt"
+    keyed = False
 
-class Forest:
-    name = "rf"
+    def spec(self, p: Prepared, params: Mapping) -> GrowSpec:
+        return tree_spec(seed=p.seed, **params)
 
     def fit(self, p: Prepared, params: Mapping) -> TreeFit:
-        return fit_forest(p.laid_out, p.bins, p.label, p.rows(), seed=p.seed, **params)
+        grower = p.grower("cv_fold", self.keyed)
+        try:
+            return TreeFit(p.bins, grower.fits([self.spec(p, params)])[0])
+        finally:
+            grower.release()
 
     def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[TreeFit, DataFrame]:
-        return _fit_apart(self, p, params, fold_col)
+        """All fits grow side by side on one table; the folds' are only scored."""
+        whole = self.spec(p, params)
+        folds = [replace(whole, without_fold=k) for k in range(FOLDS)]
+        grower = p.grower(fold_col, self.keyed)
+        try:
+            fit = TreeFit(p.bins, grower.fits([whole])[0])
+            counts = grower.scores(folds, [[Pruning()]] * FOLDS, [[whole.n_trees]] * FOLDS)
+        finally:
+            grower.release()
+        return fit, _fold_frame(p, counts)
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
-        """One forest per (leaf size, features per split, fold), read at every pruning and size."""
+        """One fit per (settings that change the growth, fold), read at every pruning and size."""
+        groups = _grouped(candidates, ("criterion", "min_samples_leaf", "max_features"))
+        tasks = [(g, k) for g in groups for k in range(FOLDS)]
+        specs, prunings, sizes = [], [], []
+        for group, k in tasks:
+            shared, own = _prunings(group)
+            own_sizes = sorted({self.spec(p, c).n_trees for _, c in group})
+            largest = {"n_estimators": own_sizes[-1]} if self.keyed else {}
+            specs.append(replace(self.spec(p, {**shared, **largest}), without_fold=k))
+            prunings.append(list(dict.fromkeys(own)))
+            sizes.append(own_sizes)
+        grower = p.grower(fold_col, self.keyed)
+        try:
+            counts = grower.scores(specs, prunings, sizes)
+        finally:
+            grower.release()
+        found = {at: _share_right(part) for at, part in counts.groupby(["fit", "variant", "n_trees"])}
+        out = []
+        for f, (group, k) in enumerate(tasks):
+            for (i, c), pruning in zip(group, _prunings(group)[1]):
+                out.append((i, k, found[f, prunings[f].index(pruning), self.spec(p, c).n_trees]))
+        return sorted(out)
 
-        def scores(task) -> list[Score]:
-            group, k = task
-            shared, prunings = _prunings(group)
-            sizes = sorted({c["n_estimators"] for _, c in group})
-            fit = self._without(p, fold_col, k, {**shared, "n_estimators": sizes[-1]})
-            scored = fit.model.transform(p.laid_out.where(F.col(fold_col) == k))
-            distinct = list(dict.fromkeys(prunings))
-            votes = forest_votes(scored, fit.nodes, distinct, sizes, [p.label])
-            rows = with_quality(confusion_counts(votes, p.label, by=["variant", "n_trees"])).collect()
-            found = {(r["variant"], r["n_trees"]): r["accuracy"] for r in rows}
-            return [(i, k, found[distinct.index(pr), c["n_estimators"]]) for pr, (i, c) in zip(prunings, group)]
 
-        groups = _grouped(candidates, ("min_samples_leaf", "max_features"))
-        return _flat(_parallel(p, scores, [(g, k) for g in groups for k in range(FOLDS)]))
+class Forest(Tree):
+    name = "rf"
+    keyed = True
 
-    def _without(self, p, fold_col, k, params):
-        rows = p.laid_out.where(F.col(fold_col) != k)
-        return fit_forest(rows, p.bins, p.label, p.rows(fold_col, k), seed=p.seed, **params)
+    def spec(self, p: Prepared, params: Mapping) -> GrowSpec:
+        return forest_spec(len(p.features), seed=p.seed, **params)
 
 
 class Boosted:
@@ -190,17 +185,17 @@ class Boosted:
 
     def fit(self, p: Prepared, params: Mapping) -> BoostFit:
         fits, _ = fit_boosted(p.cells(), p.bins, [BoostSpec(**params)])
-        return fits[0]
+        return _started(fits[0])
 
     def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[BoostFit, DataFrame]:
         """The fit on all training rows and those without each fold grow in the same passes."""
         specs = [BoostSpec(**params, without_fold=k) for k in (None, *range(FOLDS))]
         fits, counts = fit_boosted(p.cells(fold_col), p.bins, specs)
-        return fits[0], _fold_frame(p, counts.assign(fit=counts["fit"] - 1))
+        return _started(fits[0]), _fold_frame(p, counts.assign(fit=counts["fit"] - 1))
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
-        """All learning rates, depths and folds grow in the same passes; the numbers of rounds are
-        read on the way."""
+        """All learning rates, depths and folds are fitted together; the numbers of rounds are read on
+        the way. A candidate that cannot start on some fold has no score there."""
         groups = _grouped(candidates, ("learning_rate", "base_max_depth"))
         sizes = sorted({c.get("n_estimators", 50) for c in candidates})
         tasks = [(g, k) for g in groups for k in range(FOLDS)]
@@ -237,18 +232,10 @@ def _linear_spec(params: Mapping) -> LinearSpec:
     return LinearSpec(**settings)
 
 
-def _fit_apart(chosen, p: Prepared, params: Mapping, fold_col: str):
-    """A model fitted on all training rows, and (fold, accuracy) of it refitted without each fold."""
-
-    def task(k):
-        return chosen.fit(p, params) if k is None else chosen._without(p, fold_col, k, params)
-
-    whole, *fits = _parallel(p, task, (None, *range(FOLDS)))
-    parts = [
-        fit.predict(_fold(p, fold_col, k)).select(F.lit(k).alias("fold"), p.label, "prediction")
-        for k, fit in enumerate(fits)
-    ]
-    return whole, fold_accuracy(reduce(DataFrame.unionByName, parts), p.label)
+def _started(fit: BoostFit) -> BoostFit:
+    if not fit.trees:
+        raise ValueError("boosting cannot start: the first learner is no better than a coin")
+    return fit
 
 
 def _fold_frame(p: Prepared, counts) -> DataFrame:
@@ -256,11 +243,9 @@ def _fold_frame(p: Prepared, counts) -> DataFrame:
     return p.spark.createDataFrame(rows, "fold int, accuracy double")
 
 
-def _fold(p: Prepared, fold_col: str, k: int) -> DataFrame:
-    return p.train.where(F.col(fold_col) == k)
-
-
-def _share_right(counts) -> float:
+def _share_right(counts) -> float | None:
+    if not len(counts):
+        return None
     right = counts.loc[counts["label"] == counts["prediction"], "n"].sum()
     return float(right / counts["n"].sum())
 
@@ -281,12 +266,3 @@ def _prunings(group) -> tuple[dict, list[Pruning]]:
     depths = [c.get("max_depth") for _, c in group]
     shared["max_depth"] = None if None in depths else max(depths)
     return shared, [Pruning(c.get("max_depth"), max(c.get("min_samples_split", 2), 2 * leaf)) for _, c in group]
-
-
-def _parallel(p: Prepared, task: Callable, items: Iterable) -> list:
-    with ThreadPool(p.parallel_fits) as pool:
-        return pool.map(inheritable_thread_target(p.spark)(task), list(items), chunksize=1)
-
-
-def _flat(lists: Iterable[list]) -> list:
-    return sorted(x for part in lists for x in part)

@@ -8,12 +8,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.binning import MAX_BINS, Bins, exact_bins
+from plumbline.operators.binning import MAX_BINS, Bins, binned_array, exact_bins
 from plumbline.operators.boosting import HELD_OUT, cells
+from plumbline.operators.ranking import key_text
 from plumbline.operators.split import split_with_folds, with_row_key
-from plumbline.operators.trees import canonical_layout
+from plumbline.operators.trees import Grower
 from plumbline.session import SEED, keep, spread
-from plumbline.sources.tables import feature_columns, labelled
+from plumbline.sources.tables import check_labels, feature_columns, labelled
 
 FOLDS = 5
 
@@ -28,16 +29,13 @@ class Prepared:
         key_cols: Sequence[str] = (),
         seed: int = SEED,
         max_bins: int = MAX_BINS,
-        parallel_fits: int = 4,
     ):
-        """``parallel_fits`` is the number of tree fits submitted at a time; each is distributed and
-        keeps its own copy of the binned rows while it runs."""
+        feature_columns(df, label, key_cols)
+        check_labels(df, label)
         keyless = not key_cols
         if keyless:
-            feature_columns(df, label)
             df, key_cols = keep(with_row_key(df)), ["row_key"]
         self.label, self.key_cols, self.seed, self.max_bins = label, list(key_cols), seed, max_bins
-        self.parallel_fits = parallel_fits
         self.features = feature_columns(df, label, self.key_cols)
         source = spread(labelled(df, label, self.key_cols), *self.key_cols)
         self.df = keep(split_with_folds(source, label, self.key_cols, seed, FOLDS))
@@ -76,17 +74,25 @@ class Prepared:
         """Training rows with the vector ``bins``."""
         return self._keep(self.bins.apply(self.train).select(*self.key_cols, "bins", self.label, "cv_fold", "grid_fold"))
 
-    @cached_property
-    def laid_out(self) -> DataFrame:
-        """The same rows placed by key, so that the bootstrap of a forest is repeatable."""
-        return self._keep(canonical_layout(self.binned, self.key_cols, self.rows()))
-
     def cells(self, fold_col: str | None = None) -> DataFrame:
-        """Training rows as weighted cells for boosting; with folds, test rows too, as held out."""
+        """Training rows as weighted cells; with folds, test rows too, as held out."""
         if fold_col is None:
             return cells(self.train, self.bins, self.label, F.lit(0))
         return cells(self.df, self.bins, self.label, F.coalesce(F.col(fold_col), F.lit(HELD_OUT)))
 
+    def grower(self, fold_col: str, keyed: bool) -> Grower:
+        """The rows trees are grown on: cells, or with ``keyed`` single rows with their key."""
+        if not keyed:
+            return Grower(self.cells(fold_col).withColumn("key", F.lit("")), self.bins)
+        rows = binned_array(self.df, self.bins).select(
+            "bins",
+            F.col(self.label).alias("label"),
+            F.coalesce(F.col(fold_col), F.lit(HELD_OUT)).alias("fold"),
+            F.lit(1).cast("bigint").alias("n"),
+            key_text(self.key_cols).alias("key"),
+        )
+        return Grower(rows, self.bins)
+
     def release(self) -> None:
         for df in self._kept:
             df.unpersist()

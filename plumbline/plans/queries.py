@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.explain import importance_frame
 from plumbline.functions.metrics import (
-    confusion_counts, confusion_table, evaluate, fold_accuracy, long_form, mean_accuracy, with_quality, with_rates,
+    confusion_counts, confusion_table, evaluate, fold_accuracy, invalid_predictions, long_form, mean_accuracy, with_quality,
+    with_rates,
 )
 from plumbline.operators.boosting import BoostSpec, fit_boosted
 from plumbline.operators.split import shuffled_folds, stratified_folds, stratified_split, with_row_key
-from plumbline.plans.families import GRIDS, LONG_NAMES, family
+from plumbline.plans.families import DEFAULTS, GRIDS, LONG_NAMES, family
 from plumbline.plans.prepared import FOLDS, Prepared
 from plumbline.plans.select import best_candidate, expand_grid, winner
 from plumbline.plans.train import load_fit, metrics_frame, train_one
@@ -25,26 +26,11 @@ from plumbline.session import keep, scratch_path
 from plumbline.sources.sinks import (
     RunLog, input_example, read_metrics, read_pointer, signature, write_importances, write_metrics, write_pointer,
 )
-from plumbline.sources.tables import assemble, class_profile, features, labels, read_csv
+from plumbline.sources.tables import assemble, class_profile, features, labels, read_csv, read_table
 
 KEY = ["row_key"]
 RULES = [2000.0, 3000.0, 3000.0, 4000.0]  # price times discount above which a rule says 1
 FAMILY_RULES = {"lr": 2500.0, "rf": 3000.0, "adaboost": 3000.0, "dt": 4000.0}
-SMALL_GRIDS = {
-    "lr": {"C": [0.01, 1.0, 100.0], "penalty": ["l2"], "solver": ["lbfgs", "saga"], "max_iter": [100, 500]},
-    "rf": {
-        "n_estimators": [5, 10],
-        "max_depth": [4, 8],
-        "min_samples_split": [2, 10],
-        "min_samples_leaf": [1],
-        "max_features": ["sqrt"],
-    },
-    "adaboost": {"n_estimators": [2, 4], "learning_rate": [0.5, 1.0], "base_max_depth": [1]},
-    "dt": {"criterion": ["gini"], "max_depth": [3, 6], "min_samples_split": [2, 200], "min_samples_leaf": [1]},
-}
-BOOST_ROUNDS = 10
-
-
 @lru_cache(maxsize=2)
 def _prepared(app: str, sf_dir: str) -> Prepared:
     return Prepared(lineitem_labelled(SparkSession.active(), sf_dir), "label", KEY)
@@ -89,6 +75,24 @@ def csv_round_trip(spark, sf_dir):
     return read_csv(spark, path)
 
 
+def csv_with_schema(spark, sf_dir):
+    """The same round trip with the types given, keys of 19 digits and line breaks inside cells."""
+    path = scratch_path(spark, "csv")
+    t = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    long_key = F.lit(1_000_000_000_000_000_000).cast("bigint") + F.col("l_orderkey")
+    note = F.concat(F.lit("line\n"), F.col("l_linenumber").cast("string"))
+    gap = F.when(F.col("l_tax") != 0.04, F.col("l_tax").cast("string")).otherwise("n/a")
+    t.select(long_key.alias("long_key"), note.alias("note"), gap.alias("l_tax")).write.csv(path, header=True)
+    return read_csv(spark, path, "long_key bigint, note string, l_tax double", multi_line=True)
+
+
+def parquet_folder(spark, sf_dir):
+    """A Parquet folder whose name does not say so."""
+    path = scratch_path(spark, "table")
+    events_labelled(spark, sf_dir).write.parquet(path)
+    return read_table(spark, path)
+
+
 def profile(spark, sf_dir):
     return class_profile(stratified_split(events_labelled(spark, sf_dir), "label", ["event_id"]), "label")
 
@@ -117,6 +121,13 @@ def keyless_split(spark, sf_dir):
     return parted.groupBy("quantity", "l_linenumber", "label", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
+def repeating_key_split(spark, sf_dir):
+    """The key (l_orderkey, l_linenumber) repeats; the rest of the row decides between its rows."""
+    t = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    slim = t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_discount") > 0.05).cast("int").alias("label"))
+    return stratified_split(slim, "label", ["l_orderkey", "l_linenumber"])
+
+
 def train_folds(spark, sf_dir):
     return prepared(spark, sf_dir).df.select("row_key", "split", "cv_fold", "grid_fold")
 
@@ -151,6 +162,14 @@ def two_by_two(spark, sf_dir):
     return confusion_table(confusion_counts(_ruled_test(spark, sf_dir)))
 
 
+def counted_invalid(spark, sf_dir):
+    """Predictions of which some are missing and some are no class, per line number."""
+    t = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    said = F.when(F.col("l_quantity") == 1, None).when(F.col("l_quantity") == 2, float("nan")).when(F.col("l_quantity") <= 4, 0.9)
+    rows = t.select("l_linenumber", (F.col("l_discount") > 0.05).cast("int").alias("label"), F.coalesce(said, F.when(F.col("l_quantity") > 1, 1.0)).alias("prediction"))
+    return invalid_predictions(rows, by=["l_linenumber"])
+
+
 def cv_mean_accuracy(spark, sf_dir):
     rows = prepared(spark, sf_dir).train.withColumn("prediction", discount_rule())
     return mean_accuracy(fold_accuracy(rows, fold="cv_fold"))
@@ -220,7 +239,7 @@ def stump_split(spark, sf_dir):
 
 def _boosted(spark, sf_dir):
     p = prepared(spark, sf_dir)
-    return family("adaboost").fit(p, {"n_estimators": BOOST_ROUNDS})
+    return family("adaboost").fit(p, DEFAULTS["adaboost"])
 
 
 def samme_rounds(spark, sf_dir):
@@ -277,7 +296,7 @@ def predicted(name, params):
 
 def tuned(name):
     def run(spark, sf_dir):
-        result = tune(prepared(spark, sf_dir), name, SMALL_GRIDS[name])
+        result = tune(prepared(spark, sf_dir), name)
         frame = metrics_frame(spark, result.metrics)
         best = json.dumps(result.params, sort_keys=True)
         return frame.withColumn("accuracy_crossval", F.lit(result.accuracy_crossval)).withColumn("params", F.lit(best))
@@ -286,7 +305,7 @@ def tuned(name):
 
 
 def all_tuned(spark, sf_dir):
-    board, _ = tune_all(prepared(spark, sf_dir), SMALL_GRIDS)
+    board, _ = tune_all(prepared(spark, sf_dir))
     return board.drop("run_id")
 
 
@@ -303,9 +322,8 @@ def wide_lr(spark, sf_dir):
 
 def model_round_trip(spark, sf_dir):
     p = prepared(spark, sf_dir)
-    settings = {"lr": {}, "rf": {"n_estimators": 3, "max_depth": 4}, "adaboost": {"n_estimators": 2}, "dt": {"max_depth": 4, "min_samples_split": 50}}
     parts = None
-    for name, params in settings.items():
+    for name, params in DEFAULTS.items():
         fit, path = family(name).fit(p, params), scratch_path(spark, f"model-{name}")
         fit.save(path)
         before = fit.predict(p.test).select(*KEY, F.col("prediction").alias("was"))
@@ -361,17 +379,21 @@ QUERIES = {
     "label_projection": label_projection,
     "assembled_features": assembled_features,
     "csv_round_trip": csv_round_trip,
+    "csv_with_schema": csv_with_schema,
+    "parquet_folder": parquet_folder,
     "class_profile": profile,
     "stratified_split": split_events,
     "stratified_folds": folds_events,
     "kfold_shuffled": kfold_events,
     "keyless_split": keyless_split,
+    "repeating_key_split": repeating_key_split,
     "train_folds": train_folds,
     "confusion_counts": confusion_by_candidate,
     "binary_metrics": binary_metrics,
     "rate_metrics": rate_metrics,
     "metrics_long": metrics_long,
     "confusion_table": two_by_two,
+    "invalid_predictions": counted_invalid,
     "cv_mean_accuracy": cv_mean_accuracy,
     "best_candidate": best_rule,
     "leaderboard_winner": leaderboard_winner,
@@ -385,17 +407,18 @@ QUERIES = {
     "samme_rounds": samme_rounds,
     "importance_adaboost": importance_adaboost,
     "importance_lr": importance_lr,
-    "importance_dt": importance_of_tree("dt", {"max_depth": 6}),
-    "importance_rf": importance_of_tree("rf", {"n_estimators": 5, "max_depth": 6}),
-    "train_lr": trained("lr"),
+    "importance_dt": importance_of_tree("dt", DEFAULTS["dt"]),
+    "importance_rf": importance_of_tree("rf", DEFAULTS["rf"]),
+    "train_lr": trained("lr", DEFAULTS["lr"]),
     "train_lr_wide": wide_lr,
-    "train_dt": trained("dt"),
-    "train_adaboost": trained("adaboost", {"n_estimators": BOOST_ROUNDS}),
-    "train_rf": trained("rf", {"n_estimators": 10, "max_depth": 10}),
-    "predict_lr": predicted("lr", {}),
-    "predict_dt": predicted("dt", {"max_depth": 6}),
-    "predict_dt_pruned": predicted("dt", {"max_depth": 6, "min_samples_split": 500}),
-    "predict_adaboost": predicted("adaboost", {"n_estimators": BOOST_ROUNDS}),
+    "train_dt": trained("dt", DEFAULTS["dt"]),
+    "train_adaboost": trained("adaboost", DEFAULTS["adaboost"]),
+    "train_rf": trained("rf", DEFAULTS["rf"]),
+    "predict_lr": predicted("lr", DEFAULTS["lr"]),
+    "predict_rf": predicted("rf", DEFAULTS["rf"]),
+    "predict_dt": predicted("dt", DEFAULTS["dt"]),
+    "predict_dt_pruned": predicted("dt", {**DEFAULTS["dt"], "min_samples_split": 500}),
+    "predict_adaboost": predicted("adaboost", DEFAULTS["adaboost"]),
     "tune_lr": tuned("lr"),
     "tune_rf": tuned("rf"),
     "tune_adaboost": tuned("adaboost"),

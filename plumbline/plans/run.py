@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.plans.families import DEFAULTS
 from plumbline.plans.prepared import Prepared
 from plumbline.plans.select import winner
 from plumbline.plans.train import Trained, train_one
@@ -27,10 +28,11 @@ def train_file(
     key_cols: Sequence[str] = (),
     params: Mapping | None = None,
 ) -> Trained:
-    """Read a labelled table, train one family with its defaults, judge and record it."""
+    """Read a labelled table, train one family, judge and record it; without ``params`` with those of the
+    plain training run."""
     p = Prepared(read_table(spark, path), label, key_cols)
     try:
-        result = train_one(p, name, params, out)
+        result = train_one(p, name, DEFAULTS.get(name) if params is None else params, out)
     finally:
         p.release()
     log.info("%s: accuracy %.4f, cross-validated %.4f, run %s", name, result.metrics["accuracy"], result.accuracy_crossval, result.run_id)

@@ -25,7 +25,10 @@ def events_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embeddings_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(vec_id, e0..e63, label): is the class number below 5."""
+    """(vec_id, e0, e1, ..., label): is the class number below 5. All embeddings must be equally long."""
     t = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    wide = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]
+    widths = [r["n"] for r in t.select(F.size("embedding").alias("n")).distinct().limit(2).collect()]
+    if len(widths) != 1:
+        raise ValueError(f"embeddings of one length are needed, found {widths}")
+    wide = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(widths[0])]
     return t.select("vec_id", *wide, (F.col("label") < 5).cast("int").alias("label"))

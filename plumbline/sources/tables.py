@@ -18,30 +18,40 @@ NA_TOKENS = (
 TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
 
-_INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|inf|Infinity)\s*$"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read a CSV file with a header row.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:
+    """Read a CSV file with a header row; missing-value tokens become NULL, a line with too many or too
+    few cells stops the job.
 
-    With a schema this is one scan. Without one the cells are read as text, the missing-value
-    tokens become NULL, and one aggregate over the whole file settles each column's type:
-    boolean, bigint, double, or string. An integer column with gaps becomes double.
+    With a schema every other cell must be a value of its column's type; one that is not stops the
+    job. Without one the cells are read as text, and one aggregate over the whole file settles each
+    column's type: boolean, bigint, double, or string. An integer column with gaps becomes double,
+    one with a number too large for a bigint stays text.
+
+    ``multi_line`` allows line breaks inside quoted cells; a file is then one task's work, so it is
+    for tables of many files.
     """
-    if schema is not None:
-        return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, mode="FAILFAST")
     names = raw.columns
     cells = raw.select([_missing_to_null(F.col(_q(c))).alias(c) for c in names])
+    if schema is not None:
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if wanted.names != names:
+            raise ValueError(f"the file has the columns {names}, the schema {wanted.names}")
+        return cells.select([_as_type(f).alias(f.name) for f in wanted])
     counts = []
     for i, c in enumerate(names):
         cell = F.col(_q(c))
+        whole = cell.rlike(_INTEGER)
+        fits = F.trim(cell).try_cast("bigint").isNotNull()
         counts += [
             F.count(F.lit(1)).alias("n"),
             F.count(cell).alias(f"filled_{i}"),
-            F.count(F.when(cell.rlike(_INTEGER), 1)).alias(f"integer_{i}"),
-            F.count(F.when(cell.rlike(_NUMBER), 1)).alias(f"number_{i}"),
+            F.count(F.when(whole & fits, 1)).alias(f"integer_{i}"),
+            F.count(F.when(cell.rlike(_NUMBER) & (~whole | fits), 1)).alias(f"number_{i}"),
             F.count(F.when(cell.isin(*TRUE_TOKENS, *FALSE_TOKENS), 1)).alias(f"boolean_{i}"),
         ]
     seen = cells.agg(*counts[:1], *[c for j, c in enumerate(counts) if j % 5]).first()
@@ -60,9 +70,40 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return cells.select(typed)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A Parquet table if the path says so, a CSV file or folder otherwise."""
-    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path, schema)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, kind: str | None = None) -> DataFrame:
+    """A ``kind`` of table, "parquet" or "csv"; if not told, Parquet where the path or a file below it
+    has that ending, CSV otherwise."""
+    kind = kind or ("parquet" if _holds_parquet(spark, path) else "csv")
+    if kind not in ("parquet", "csv"):
+        raise ValueError(f"a table is 'parquet' or 'csv', not {kind!r}")
+    return spark.read.parquet(path) if kind == "parquet" else read_csv(spark, path, schema)
+
+
+def _holds_parquet(spark: SparkSession, path: str) -> bool:
+    if path.rstrip("/").endswith(".parquet"):
+        return True
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place) or files.getFileStatus(place).isFile():
+        return False
+    below = files.listFiles(place, True)
+    while below.hasNext():
+        if below.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def _as_type(column: T.StructField) -> Column:
+    cell = F.col(_q(column.name))
+    if isinstance(column.dataType, T.StringType):
+        return cell
+    kind = column.dataType.simpleString()
+    if isinstance(column.dataType, T.BooleanType):
+        value = F.when(cell.isin(*TRUE_TOKENS), True).when(cell.isin(*FALSE_TOKENS), False)
+    else:
+        value = F.trim(cell).try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"not a value of {column.name} ({kind}): "), cell)).cast(kind)
+    return F.when(cell.isNotNull(), F.coalesce(value, bad))
 
 
 def feature_columns(df: DataFrame, label: str, key_cols: Sequence[str] = ()) -> list[str]:
@@ -96,12 +137,14 @@ def labels(df: DataFrame, label: str) -> DataFrame:
 
 
 def labelled(df: DataFrame, label: str, key_cols: Sequence[str] = ()) -> DataFrame:
-    """Key columns, features as double, label as int: the shape every fit reads."""
+    """Key columns, features as double, label as int: the shape every fit reads. A label that is neither
+    0 nor 1 stops the job."""
     names = feature_columns(df, label, key_cols)
+    bad = F.raise_error(F.concat(F.lit(f"{label} must be 0 or 1, not "), F.coalesce(F.col(_q(label)).cast("string"), F.lit("NULL")))).cast("int")
     return df.select(
         *[F.col(_q(c)) for c in key_cols],
         *[F.col(_q(c)).cast("double").alias(c) for c in names],
-        F.col(_q(label)).cast("int").alias(label),
+        F.when(label_group(label) >= 0, label_group(label)).otherwise(bad).alias(label),
     )
 
 

@@ -84,10 +84,11 @@ def answers(fit, table):
     return {r["k"]: int(r["prediction"]) for r in fit.predict(table).select("k", "prediction").collect()}
 
 
+@pytest.mark.parametrize("way", [{}, {"local_bytes": 0}])
 @pytest.mark.parametrize("depth,rounds,rate", [(1, 8, 1.0), (2, 5, 0.5), (3, 4, 1.0)])
-def test_step_by_step(table, bins, weighted_cells, depth, rounds, rate):
+def test_step_by_step(table, bins, weighted_cells, depth, rounds, rate, way):
     specs = [BoostSpec(rounds, rate, depth, k) for k in (None, 0, 3)]
-    fits, counts = fit_boosted(weighted_cells, bins, specs, [2, rounds])
+    fits, counts = fit_boosted(weighted_cells, bins, specs, [2, rounds], **way)
     for j, (spec, fit) in enumerate(zip(specs, fits)):
         rows = DATA[(DATA.fold >= 0) & (DATA.fold != (-9 if spec.without_fold is None else spec.without_fold))]
         predict, alphas, errors = samme(*arrays(rows), rounds, rate, depth)
@@ -128,9 +129,10 @@ def test_chunks_and_checkpoints_change_nothing(weighted_cells, bins, monkeypatch
     want = fit_boosted(weighted_cells, bins, specs)
     monkeypatch.setattr(boosting, "FITS_PER_PASS", 3)
     monkeypatch.setattr(boosting, "PASSES_PER_CHECKPOINT", 1)
-    got = fit_boosted(weighted_cells, bins, specs)
+    got = fit_boosted(weighted_cells, bins, specs, local_bytes=0)
     for f, g in zip(want[0], got[0]):
         assert f.alphas == pytest.approx(g.alphas)
+        assert f.importances() == pytest.approx(g.importances())
     key = ["fit", "n_trees", "label", "prediction"]
     assert want[1].sort_values(key)[key + ["n"]].values.tolist() == got[1].sort_values(key)[key + ["n"]].values.tolist()
 
@@ -141,20 +143,30 @@ def test_layout_changes_nothing(table, bins):
     assert answers(fits[0], table) == answers(fits[1], table)
 
 
-def test_perfect_first_learner_ends_the_fit(spark):
+@pytest.mark.parametrize("way", [{}, {"local_bytes": 0}])
+def test_perfect_first_learner_ends_the_fit(spark, way):
     df = spark.createDataFrame([(float(i % 10), int(i % 10 > 4)) for i in range(100)], "a double, y int")
     b = exact_bins(df, ["a"])
-    fit = fit_boosted(cells(df, b, "y", F.lit(0)), b, [BoostSpec(20)])[0][0]
+    fit = fit_boosted(cells(df, b, "y", F.lit(0)), b, [BoostSpec(20)], **way)[0][0]
     assert (fit.alphas, fit.errors) == ([1.0], [0.0])
     assert all(r["prediction"] == r["y"] for r in fit.predict(df).collect())
 
 
-def test_coin_flips_cannot_start(spark):
-    rows = [(float(a), y) for a in range(4) for y in (0, 1) for _ in range(5)]
-    df = spark.createDataFrame(rows, "a double, y int")
+@pytest.mark.parametrize("way", [{}, {"local_bytes": 0}])
+def test_coin_flips_cannot_start(spark, way):
+    """Such a fit has no learners and no scores; the others go on."""
+    rows = [(float(a), y, 0) for a in range(4) for y in (0, 1) for _ in range(5)] + [(9.0, 1, 1)] * 3
+    df = spark.createDataFrame(rows, "a double, y int, fold int")
     b = exact_bins(df, ["a"])
+    fits, counts = fit_boosted(cells(df, b, "y", F.col("fold")), b, [BoostSpec(3, without_fold=1), BoostSpec(3, without_fold=0)], **way)
+    assert not fits[0].trees and set(counts["fit"]) <= {1}
     with pytest.raises(ValueError, match="first learner"):
-        fit_boosted(cells(df, b, "y", F.lit(0)), b, [BoostSpec(3)])
+        fits[0].predict(df)
+
+
+def test_deep_boosted_trees_are_refused(weighted_cells, bins):
+    with pytest.raises(ValueError, match="depth"):
+        fit_boosted(weighted_cells, bins, [BoostSpec(3, base_max_depth=25)])
 
 
 def test_copies_count(spark):

@@ -48,10 +48,31 @@ def test_many_fits_share_passes(table, monkeypatch):
         np.testing.assert_allclose(f.coefficients, g.coefficients, rtol=1e-9)
 
 
-def test_wide_tables_use_the_estimator(table, monkeypatch):
-    monkeypatch.setattr(linear, "SUMS_PER_PASS", 1)
-    fit = fit_linear(table, NAMES, "y", F.col("fold"), [LinearSpec(1.0, 200, 2)])[0]
-    np.testing.assert_allclose([fit.intercept, *fit.coefficients], solve(X[FOLD != 2], Y[FOLD != 2], 1.0), rtol=1e-3)
+@pytest.mark.parametrize("C", [0.01, 1.0, 100.0])
+def test_gradient_steps_reach_the_same_optimum(table, monkeypatch, C):
+    monkeypatch.setattr(linear, "SUMS_PER_PASS", 14)
+    specs = [LinearSpec(C, 200, k) for k in (None, 2)]
+    for s, fit in zip(specs, fit_linear(table, NAMES, "y", F.col("fold"), specs)):
+        rows = slice(None) if s.without_fold is None else FOLD != s.without_fold
+        np.testing.assert_allclose([fit.intercept, *fit.coefficients], solve(X[rows], Y[rows], C), rtol=1e-4)
+        assert fit.converged
+
+
+def test_thousands_of_features(spark):
+    """Trained and scored end to end."""
+    n, names = 300, [f"f{i}" for i in range(3000)]
+    x = np.random.default_rng(1).normal(size=(n, len(names)))
+    y = (x[:, :5].sum(axis=1) > 0).astype(int)
+    wide = spark.createDataFrame([(v.tolist(), int(t)) for v, t in zip(x, y)], "x array<double>, y int")
+    df = wide.select("y", *[F.col("x")[i].alias(c) for i, c in enumerate(names)])
+    fit = fit_linear(df, names, "y", F.lit(0), [LinearSpec(1.0, 100)])[0]
+    w = np.array([fit.intercept, *fit.coefficients])
+    a = np.column_stack([np.ones(n), x])
+    p = 1 / (1 + np.exp(-a @ w))
+    gradient = a.T @ (p - y) + np.array([0.0, *fit.coefficients])
+    assert fit.converged and np.abs(gradient).max() < 1e-3
+    scored = fit.predict(df).select("y", "prediction").collect()
+    assert sum(r["prediction"] == r["y"] for r in scored) > 0.99 * n
 
 
 def test_separable_rows_converge(spark):

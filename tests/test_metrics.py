@@ -35,6 +35,31 @@ def test_metrics(spark, case):
     assert metrics.evaluate(scored(spark, CASES[case])).first().asDict() == by_hand(CASES[case])
 
 
+@pytest.mark.parametrize("bad", [None, float("nan"), 2.0, 0.9, -1.0])
+def test_predictions_that_are_no_class_stop_the_job(spark, bad):
+    rows = [(0, 0.0, 1), (1, 1.0, 1), (1, bad, 1)]
+    df = spark.createDataFrame(rows, "label int, prediction double, fold int")
+    for judged in (metrics.evaluate(df), metrics.fold_accuracy(df), metrics.confusion_counts(df, by=["fold"])):
+        with pytest.raises(Exception, match="neither 0 nor 1"):
+            judged.collect()
+    counts = metrics.invalid_predictions(df).first()
+    missing = bad is None or bad != bad
+    assert (counts["n_rows"], counts["n_missing"], counts["n_other"]) == (3, int(missing), int(not missing))
+
+
+def test_rows_without_a_fold_stop_the_job(spark):
+    df = spark.createDataFrame([(0, 0.0, 1), (1, 1.0, None)], "label int, prediction double, fold int")
+    with pytest.raises(Exception, match="no fold"):
+        metrics.fold_accuracy(df).collect()
+
+
+def test_a_candidate_without_a_score_comes_last(spark):
+    rows = [(0, 0, None), (0, 1, 0.9), (1, 0, 0.2), (1, 1, 0.1)]
+    means = metrics.mean_accuracy(spark.createDataFrame(rows, "ordinal int, fold int, accuracy double"), ["ordinal"])
+    assert {r["ordinal"]: r["accuracy_crossval"] for r in means.collect()} == {0: None, 1: 0.15}
+    assert best_candidate(means).first()["ordinal"] == 1
+
+
 def test_grouped_and_weighted(spark):
     pairs = CASES["mixed"]
     rows = [(i % 3, a, float(b), 1 + i % 4) for i, (a, b) in enumerate(pairs)]

@@ -62,7 +62,7 @@ def test_prepared_counts(p):
         assert p.rows("cv_fold", k) == p.train.where(F.col("cv_fold") != k).count()
 
 
-@pytest.mark.parametrize("name", ["dt", "adaboost", "lr"])
+@pytest.mark.parametrize("name", ["dt", "rf", "adaboost", "lr"])
 def test_grid_scores_equal_single_fits(p, name):
     """What a search reads off shared fits is what separate fits give."""
     candidates = expand_grid(SMALL[name])
@@ -73,14 +73,6 @@ def test_grid_scores_equal_single_fits(p, name):
         assert {r["fold"]: r["accuracy"] for r in scores if r["ordinal"] == i} == {r["fold"]: r["accuracy"] for r in alone}
 
 
-def test_forest_grid_at_its_largest_equals_single_fits(p):
-    candidates = expand_grid(SMALL["rf"])
-    largest = next(i for i, c in enumerate(candidates) if c["n_estimators"] == 3 and c["max_depth"] == 4 and c["min_samples_split"] == 2)
-    scores = tune.grid_frame(p, "rf", candidates).collect()
-    alone = cross_validate(p, "rf", candidates[largest], "grid_fold").collect()
-    assert {r["fold"]: r["accuracy"] for r in scores if r["ordinal"] == largest} == {r["fold"]: r["accuracy"] for r in alone}
-
-
 @pytest.mark.parametrize("name", list(SETTINGS))
 def test_train_one(spark, p, tmp_path, name):
     out = str(tmp_path)
@@ -120,7 +112,22 @@ def test_tune_all(spark, p, tmp_path):
     logged = log.values.where("kind = 'metric'").groupBy("run_id").count().collect()
     assert {r["count"] for r in logged} == {11}
     assert log.values.where("kind = 'importance'").select("run_id").distinct().count() == 4
-    assert json.loads(rows[0]["params"]) and not any(r["truncated"] for r in rows)
+    assert json.loads(rows[0]["params"])
+
+
+def test_a_candidate_that_cannot_start_does_not_end_the_search(spark):
+    """No feature tells the classes apart, so no boosted fit can start; the tree family still ranks."""
+    rows = [(i, float(i % 2), (i // 2) % 2) for i in range(400)]
+    q = Prepared(spark.createDataFrame(rows, "k int, a double, y int"), "y", ["k"])
+    scores = family("adaboost").grid_scores(q, [{"n_estimators": 2}], "grid_fold")
+    assert len(scores) == FOLDS and all(a is None or 0 <= a <= 1 for _, _, a in scores)
+    q.release()
+
+
+def test_left_out_parameters_are_the_estimators(p):
+    """An unlimited tree, not the depth of the plain run."""
+    whole = train.train_one(p, "dt", cross_validate=False)
+    assert whole.params == {} and whole.fit.trees[0].depth.max() > DEFAULTS["dt"]["max_depth"] - 1
 
 
 def test_grid_plan(p):

@@ -116,14 +116,29 @@ def test_placing_rows_needs_no_shuffle(spark):
 
 def test_repeated_key_on_a_cut_is_refused(spark):
     df = spark.createDataFrame([(7, i % 2) for i in range(100)], "k int, y int")
-    with pytest.raises(ValueError, match="not unique"):
+    with pytest.raises(ValueError, match="copies of one row"):
         split.stratified_split(df, "y", ["k"])
 
 
+def test_rows_of_one_key_are_told_apart_by_their_content(spark):
+    """However often a key repeats, sizes are exact and the layout does not matter."""
+    rows = [(i % 3, i, int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, a int, y int")
+    one = split.split_with_folds(df.repartition(1), "y", ["k"]).collect()
+    many = split.split_with_folds(df.repartition(9), "y", ["k"]).collect()
+    assert sorted(map(str, one)) == sorted(map(str, many))
+    assert sum(r["split"] == "test" for r in one) == 80
+
+
+def test_missing_key_parts_are_told_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a:b", "c"), ("a", "b:c")], "p string, q string")
+    assert df.select(ranking.hash_order("x", 1, ["p", "q"])).distinct().count() == 4
+
+
 def test_hot_key_is_refused_without_ranking_it(spark, monkeypatch):
     monkeypatch.setattr(ranking.boundaries, "__defaults__", (10,))
     df = spark.createDataFrame([(7, i % 2) for i in range(100)], "k int, y int")
-    with pytest.raises(ValueError, match="not unique"):
+    with pytest.raises(ValueError, match="copies of one row"):
         split.stratified_split(df, "y", ["k"])
 
 

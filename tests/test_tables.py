@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.plans.prepared import Prepared
+from plumbline.plans.run import train_file
 from plumbline.sources import tables
 
 
@@ -84,3 +86,48 @@ def test_read_table_by_name(spark, tmp_path):
     spark.createDataFrame([(1, 0)], "a int, y int").write.parquet(path)
     assert tables.read_table(spark, path).columns == ["a", "y"]
     assert tables.read_table(spark, write(tmp_path, "a,y\n1,0\n")).dtypes == [("a", "bigint"), ("y", "bigint")]
+
+
+@pytest.mark.parametrize("bad", [0.9, 1.4, 2.0, None, float("nan")])
+def test_wrong_labels_never_reach_a_fit(spark, tmp_path, bad):
+    rows = [(i, float(i % 7), float(i % 2)) for i in range(40)] + [(99, 1.0, bad)]
+    df = spark.createDataFrame(rows, "k int, a double, y double")
+    with pytest.raises(ValueError, match="neither 0 nor 1"):
+        Prepared(df, "y", ["k"])
+    with pytest.raises(Exception, match="must be 0 or 1"):
+        tables.labelled(df, "y", ["k"]).collect()
+    path = str(tmp_path / "t.parquet")
+    df.write.parquet(path)
+    with pytest.raises(ValueError, match="neither 0 nor 1"):
+        train_file(spark, path, "dt", str(tmp_path / "out"), "y", ["k"])
+
+
+def test_csv_with_schema_is_strict(spark, tmp_path):
+    df = tables.read_csv(spark, write(tmp_path, "a,b,y\n1.5,True,0\nNA,,1\n"), "a double, b boolean, y int")
+    assert sorted(map(tuple, df.collect()), key=str) == [(1.5, True, 0), (None, None, 1)]
+    with pytest.raises(Exception, match="not a value of a"):
+        tables.read_csv(spark, write(tmp_path, "a,y\nabc,0\n"), "a double, y int").collect()
+    with pytest.raises(ValueError, match="columns"):
+        tables.read_csv(spark, write(tmp_path, "a,z\n1,0\n"), "a double, y int")
+
+
+def test_long_integers_keep_their_digits(spark, tmp_path):
+    df = tables.read_csv(spark, write(tmp_path, "a,b\n1234567890123456789,1\n1234567890123456788,99999999999999999999\n"))
+    assert dict(df.dtypes) == {"a": "bigint", "b": "string"}
+    assert df.select("a").distinct().count() == 2
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    path = write(tmp_path, 'a,b\n"x\ny",1\n"z",2\n')
+    assert sorted(r["a"] for r in tables.read_csv(spark, path, multi_line=True).collect()) == ["x\ny", "z"]
+    with pytest.raises(Exception):
+        tables.read_csv(spark, path).collect()
+
+
+def test_parquet_folder_by_its_files(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.createDataFrame([(1, 0)], "a int, y int").write.parquet(path)
+    assert tables.read_table(spark, path).columns == ["a", "y"]
+    assert tables.read_table(spark, path, kind="parquet").count() == 1
+    with pytest.raises(ValueError, match="kind|parquet"):
+        tables.read_table(spark, path, kind="orc")

@@ -1,24 +1,25 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.functions.metrics import evaluate
 from plumbline.operators import trees
-from plumbline.operators.binning import exact_bins
-from plumbline.operators.trees import Pruning, TreeFit, canonical_layout, fit_forest, fit_tree, forest_votes
+from plumbline.operators.binning import binned_array, exact_bins
+from plumbline.operators.boosting import cells
+from plumbline.operators.growth import GrowSpec, TreeNodes, draws, feature_ranks
+from plumbline.operators.trees import Grower, Pruning, TreeFit, forest_spec, tree_spec
 
 RNG = np.random.default_rng(11)
-N = 3000
-DATA = pd.DataFrame(
-    {
-        "k": np.arange(N),
-        "a": RNG.random(N),
-        "b": RNG.integers(0, 6, N).astype(float),
-        "c": RNG.normal(size=N),
-    }
-)
+N = 1500
+DATA = pd.DataFrame({"k": np.arange(N), "a": RNG.integers(0, 40, N) / 40, "b": RNG.integers(0, 6, N).astype(float), "c": RNG.integers(0, 9, N) * 1.0})
 DATA["y"] = (((DATA.a > 0.4) & (DATA.b != 2)) ^ (RNG.random(N) < 0.15)).astype(int)
+DATA["fold"] = np.where(np.arange(N) % 6 == 5, -1, np.arange(N) % 6)
 NAMES = ["a", "b", "c"]
+X, Y = np.column_stack([np.round(DATA.a * 40), DATA.b, DATA.c]).astype(int), DATA.y.to_numpy()
+TRAINED = DATA.fold.to_numpy() >= 0
 
 
 @pytest.fixture(scope="module")
@@ -31,94 +32,218 @@ def bins(table):
     return exact_bins(table, NAMES)
 
 
+def keyed(table, bins):
+    return binned_array(table, bins).select("bins", F.col("y").alias("label"), "fold", F.lit(1).cast("bigint").alias("n"), F.col("k").cast("string").alias("key"))
+
+
 @pytest.fixture(scope="module")
-def binned(table, bins):
-    return canonical_layout(bins.apply(table), ["k"], N).cache()
+def growers(table, bins):
+    """The same rows in both ways: on the executors whole, and left distributed with small tasks."""
+    counted = cells(table, bins, "y", F.col("fold")).withColumn("key", F.lit(""))
+    made = {
+        ("dt", "local"): Grower(counted, bins),
+        ("dt", "large"): Grower(counted, bins, local_bytes=0, local_rows=100),
+        ("rf", "local"): Grower(keyed(table, bins), bins),
+        ("rf", "large"): Grower(keyed(table, bins), bins, local_bytes=0, local_rows=200),
+    }
+    yield made
+    for g in made.values():
+        g.release()
+
+
+def weight_of(impurity, criterion):
+    zero, one = impurity
+    t = zero + one
+    if not t:
+        return 0.0
+    if criterion == "gini":
+        return t - (zero * zero + one * one) / t
+    return -sum(w * math.log2(w / t) for w in (zero, one) if w)
+
+
+def tree_by_hand(x, y, w, spec, tree=0, path=""):
+    """One greedy tree, row by row; a dict of nodes by path."""
+    zero, one = w[y == 0].sum(), w[y == 1].sum()
+    nodes = {path: (None, None, zero, one, len(y))}
+    limit = max(spec.min_samples_split, 2 * spec.min_samples_leaf)
+    if min(zero, one) == 0 or len(y) < limit or (spec.max_depth is not None and len(path) >= spec.max_depth):
+        return nodes
+    look = list(range(x.shape[1]))
+    if spec.max_features is not None:
+        rank = feature_ranks(spec.seed, tree, [path], x.shape[1], spec.max_features)[0]
+        look = [f for f in look if rank[f] < 0]
+        several = [f for f in range(x.shape[1]) if len(set(x[:, f])) > 1]
+        if not set(look) & set(several):
+            look = sorted(several, key=lambda f: rank[f])[:1]
+    best = None
+    for f in sorted(look):
+        for b in sorted(set(x[:, f]))[:-1]:
+            left = x[:, f] <= b
+            if min(left.sum(), (~left).sum()) < spec.min_samples_leaf:
+                continue
+            sides = [(w[s & (y == 0)].sum(), w[s & (y == 1)].sum()) for s in (left, ~left)]
+            score = round(sum(weight_of(s, spec.criterion) for s in sides) / (zero + one), 9)
+            if best is None or score < best[0]:
+                best = (score, f, b)
+    if best is None:
+        return nodes
+    _, f, b = best
+    nodes[path] = (f, b, zero, one, len(y))
+    left = x[:, f] <= b
+    nodes |= tree_by_hand(x[left], y[left], w[left], spec, tree, path + "L")
+    return nodes | tree_by_hand(x[~left], y[~left], w[~left], spec, tree, path + "R")
+
+
+def by_path(t: TreeNodes):
+    out, stack = {}, [(0, "")]
+    while stack:
+        i, path = stack.pop()
+        inner = t.feature[i] >= 0
+        out[path] = (int(t.feature[i]) if inner else None, int(t.cut[i]) if inner else None, t.w0[i], t.w1[i], int(t.n[i]))
+        if inner:
+            stack += [(int(t.left[i]), path + "L"), (int(t.right[i]), path + "R")]
+    return out
+
+
+SPECS = [
+    tree_spec(),
+    tree_spec(max_depth=3),
+    tree_spec(criterion="entropy", min_samples_leaf=7),
+    tree_spec(min_samples_split=90, min_samples_leaf=4),
+    GrowSpec(min_samples_leaf=2, without_fold=2),
+]
+
+
+@pytest.mark.parametrize("way", ["local", "large"])
+def test_trees_by_hand(growers, way):
+    for spec, grown in zip(SPECS, growers["dt", way].fits(SPECS)):
+        mine = TRAINED & (DATA.fold.to_numpy() != (-9 if spec.without_fold is None else spec.without_fold))
+        assert by_path(grown[0]) == tree_by_hand(X[mine], Y[mine], np.ones(mine.sum()), spec)
+
+
+@pytest.mark.parametrize("way", ["local", "large"])
+def test_forests_by_hand(growers, way):
+    spec = forest_spec(3, 11, max_depth=6, min_samples_leaf=2, seed=5)
+    assert spec.max_features == 1 and spec.bootstrap
+    grown = growers["rf", way].fits([spec])[0]
+    drawn = draws(5, range(11), [str(k) for k in DATA.k])
+    for t, tree in enumerate(grown):
+        some = TRAINED & (drawn[:, t] > 0)
+        assert by_path(tree) == tree_by_hand(X[some], Y[some], drawn[some, t].astype(float), spec, t)
+
+
+def test_draws_are_poisson_and_belong_to_the_row():
+    keys = [str(i) for i in range(4000)]
+    drawn = draws(1, range(16), keys)
+    assert abs(drawn.mean() - 1) < 0.02 and abs((drawn == 0).mean() - math.exp(-1)) < 0.02
+    assert (draws(1, range(9, 13), keys[::-1])[::-1] == drawn[:, 9:13]).all()
+
+
+def shares_by_hand(nodes, row, pruning):
+    path = ""
+    while True:
+        f, b, zero, one, n = nodes[path]
+        if f is None or n < pruning.min_samples_split or (pruning.max_depth is not None and len(path) >= pruning.max_depth):
+            return one / (zero + one)
+        path += "R" if row[f] > b else "L"
+
+
+@pytest.mark.parametrize("way", ["local", "large"])
+@pytest.mark.parametrize("kind", ["dt", "rf"])
+def test_scores_of_prunings_and_sizes(growers, kind, way):
+    prunings, sizes = [Pruning(), Pruning(3), Pruning(None, 60)], [1] if kind == "dt" else [2, 9]
+    base = tree_spec() if kind == "dt" else forest_spec(3, 9, seed=2)
+    specs = [base, GrowSpec(**{**base.__dict__, "without_fold": 1})]
+    g = growers[kind, way]
+    counts = g.scores(specs, [prunings] * 2, [sizes] * 2)
+    for j, (spec, grown) in enumerate(zip(specs, g.fits(specs))):
+        out = DATA.fold.to_numpy() == (-1 if spec.without_fold is None else 1)
+        nodes = [by_path(t) for t in grown]
+        for v, pruning in enumerate(prunings):
+            for size in sizes:
+                votes = [sum(shares_by_hand(t, row, pruning) for t in nodes[:size]) > size / 2 + 1e-9 for row in X[out]]
+                part = counts[(counts.fit == j) & (counts.variant == v) & (counts.n_trees == size)]
+                got = {(r.label, r.prediction): r.n for r in part.itertuples() if r.n}
+                assert got == {(a, b): n for a in (0, 1) for b in (0, 1) if (n := sum((y, int(p)) == (a, b) for y, p in zip(Y[out], votes)))}
 
 
 @pytest.fixture(scope="module")
-def deep(binned, bins):
-    return fit_tree(binned, bins, "y", N)
+def deep(growers, bins):
+    return TreeFit(bins, growers["dt", "local"].fits([tree_spec()])[0])
 
 
 @pytest.fixture(scope="module")
-def forest(binned, bins):
-    return fit_forest(binned, bins, "y", N, n_estimators=4, max_depth=7)
+def forest(growers, bins):
+    return TreeFit(bins, growers["rf", "local"].fits([forest_spec(3, 6, max_depth=7)])[0])
 
 
 def answers(fit, table):
     return {r["k"]: r["prediction"] for r in fit.predict(table).select("k", "prediction").collect()}
 
 
+@pytest.mark.parametrize("pruning", [Pruning(), Pruning(2), Pruning(None, 150)])
+def test_predictions(table, deep, forest, pruning, monkeypatch):
+    for fit in (deep, forest):
+        nodes = [by_path(t) for t in fit.trees]
+        want = {k: float(sum(shares_by_hand(t, row, pruning) for t in nodes) > len(nodes) / 2 + 1e-9) for k, row in zip(DATA.k, X)}
+        assert answers(fit.with_pruning(pruning), table) == want
+        with monkeypatch.context() as m:
+            m.setattr(trees, "MODEL_BYTES", 1)  # a broadcast for each tree
+            assert answers(fit.with_pruning(pruning), table) == want
+
+
 @pytest.mark.parametrize("depth", [1, 4])
-def test_a_smaller_depth_is_a_pruning(table, binned, bins, deep, depth):
-    small = fit_tree(binned, bins, "y", N, max_depth=depth)
+def test_a_smaller_depth_is_a_pruning(table, growers, bins, deep, depth):
+    small = TreeFit(bins, growers["dt", "local"].fits([tree_spec(max_depth=depth)])[0])
     assert answers(deep.with_pruning(Pruning(depth)), table) == answers(small, table)
+    assert deep.with_pruning(Pruning(depth)).importances() == pytest.approx(small.importances())
 
 
-def test_min_samples_split_by_hand(table, deep):
-    """Walk every row down the node table and stop at the first node with too few rows."""
-    limit, nodes = 150, deep.nodes
-    model = deep.model
-    depth_first = {}
-    text = model.toDebugString
-    assert text.count("If (") == int((~nodes.is_leaf).sum())
-    leaves = deep.pipeline.transform(table).select("k", "leaf").collect()
-    parent = {}
-    for i in range(len(nodes.left)):
-        if nodes.left[i] >= 0:
-            parent[nodes.left[i]] = parent[nodes.right[i]] = i
-    at_leaf = {int(nodes.leaf[i]): i for i in range(len(nodes.leaf)) if nodes.is_leaf[i]}
-    for r in leaves:
-        path = [at_leaf[int(r["leaf"])]]
-        while path[-1] in parent:
-            path.append(parent[path[-1]])
-        stop = next((i for i in reversed(path) if nodes.count[i] < limit), path[0])
-        depth_first[r["k"]] = float(nodes.positive[stop] > nodes.weight[stop] / 2)
-    assert answers(deep.with_pruning(Pruning(None, limit)), table) == depth_first
+def test_scoring_is_a_projection(table, growers, bins):
+    """No exchange and no join, however many leaves there are."""
+    many = 100_000
+    left = np.concatenate([np.arange(1, 2 * many, 2), np.full(many + 1, -1)])
+    n = len(left)
+    wide = TreeNodes(np.where(left > 0, 0, -1), np.zeros(n, int), left, np.where(left > 0, left + 1, -1), np.ones(n), np.ones(n), np.ones(n, int), np.zeros(n, int), np.zeros(n))
+    scored = TreeFit(bins, [wide], Pruning(None, 500)).predict(table.select(*NAMES, "k"))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Repartition" not in plan and "Aggregate" not in plan
 
 
 def test_importances(deep, forest):
     for fit in (deep, forest):
-        np.testing.assert_allclose(list(fit.importances().values()), fit.model.featureImportances.toArray(), rtol=1e-9)
-        assert sum(fit.importances().values()) == pytest.approx(1)
-    stump = deep.with_pruning(Pruning(1)).importances()
-    assert sorted(stump.values()) == [0, 0, 1]
-
-
-def test_min_samples_split_is_kept_by_the_fit(binned, bins):
-    assert fit_tree(binned, bins, "y", N, min_samples_split=40).pruning == Pruning(None, 40)
-    assert fit_tree(binned, bins, "y", N, min_samples_split=4, min_samples_leaf=2).pruning == Pruning()
-
-
-def test_layout_does_not_change_the_tree(table, bins):
-    texts = []
-    for parts in (1, 3, 8):
-        rows = bins.apply(table.repartition(parts)).cache()
-        texts.append(fit_tree(rows, bins, "y", N, max_depth=6).model.toDebugString.split("\n", 1)[1])
-    assert texts[0] == texts[1] == texts[2]
-
-
-def test_layout_does_not_change_the_forest(table, bins):
-    forests = []
-    for parts in (2, 7):
-        rows = canonical_layout(bins.apply(table.repartition(parts)), ["k"], N).cache()
-        forests.append(fit_forest(rows, bins, "y", N, n_estimators=3, max_depth=5).model.toDebugString.split("\n", 1)[1])
-    assert forests[0] == forests[1]
-
-
-def test_forest_votes(table, forest):
-    prunings, sizes = [Pruning(), Pruning(3), Pruning(None, 200)], [2, 4]
-    scored = forest.pipeline.transform(table)
-    votes = forest_votes(scored, forest.nodes, prunings, sizes, ["k", "y"])
-    joined = forest_votes(scored, forest.nodes, prunings, sizes, ["k", "y"], broadcast_bytes=0)
-    key = ["k", "variant", "n_trees"]
-    assert votes.exceptAll(joined).count() == 0 and joined.exceptAll(votes).count() == 0
-    assert votes.count() == N * 6 == votes.select(*key).distinct().count()
-    whole = {r["k"]: r["prediction"] for r in votes.where("variant = 0 AND n_trees = 4").collect()}
-    assert whole == answers(forest, table)
-    cut = {r["k"]: r["prediction"] for r in votes.where("variant = 1 AND n_trees = 4").collect()}
-    assert cut == answers(forest.with_pruning(Pruning(3)), table)
+        want = np.zeros(3)
+        for t in fit.trees:
+            own = np.zeros(3)
+            nodes = by_path(t)
+            for path, (f, _, zero, one, _) in nodes.items():
+                if f is not None:
+                    own[f] += weight_of((zero, one), "gini") - sum(weight_of(nodes[path + s][2:4], "gini") for s in "LR")
+            want += own / own.sum()
+        np.testing.assert_allclose(list(fit.importances().values()), want / want.sum(), rtol=1e-9)
+
+
+def test_layout_changes_nothing(table, bins):
+    grown = []
+    for parts in (1, 7):
+        g = Grower(keyed(table.repartition(parts), bins), bins)
+        grown.append([by_path(t) for t in g.fits([forest_spec(3, 3)])[0]])
+        g.release()
+    assert grown[0] == grown[1]
+
+
+@pytest.mark.parametrize("way", [{}, {"local_bytes": 0, "local_rows": 3}])
+def test_deep_trees_heavy_weights_and_rare_bins(spark, way):
+    """Far more than 2^24 rows' worth of weight, a tree deeper than 30, and a rare bin that decides."""
+    rows = [(float(i), 0.0, i % 2, 2**i) for i in range(40)] + [(0.0, 1.0, 1, 3)]
+    df = spark.createDataFrame(rows, "a double, rare double, y int, n bigint")
+    b = exact_bins(df, ["a", "rare"])
+    table = binned_array(df, b).select("bins", F.col("y").alias("label"), F.lit(0).alias("fold"), "n", F.lit("").alias("key"))
+    g = Grower(table, b, **way)
+    fit = TreeFit(b, g.fits([tree_spec()])[0])
+    g.release()
+    assert fit.trees[0].depth.max() > 30
+    assert all(r["prediction"] == r["y"] for r in fit.predict(df).collect())
 
 
 def test_forest_is_better_than_a_guess(table, forest):
@@ -131,35 +256,19 @@ def test_save_and_load(spark, table, deep, forest, tmp_path, pruning):
         fit = fit.with_pruning(pruning)
         fit.save(str(tmp_path / name))
         again = TreeFit.load(spark, str(tmp_path / name))
+        assert again.pruning == pruning
         assert answers(again, table) == answers(fit, table)
         assert again.importances() == pytest.approx(fit.importances())
 
 
-def test_depths_beyond_the_limit(binned, bins, deep):
-    assert not deep.nodes.truncated()
-    assert fit_tree(binned, bins, "y", N, max_depth=50).nodes.depth.max() == deep.nodes.depth.max()
-
-
-def test_unknown_max_features(binned, bins):
+def test_unknown_settings():
     with pytest.raises(ValueError):
-        fit_forest(binned, bins, "y", N, max_features="log2")
-
-
-def test_criterion_changes_the_tree(binned, bins, deep):
-    entropy = fit_tree(binned, bins, "y", N, criterion="entropy")
-    assert entropy.model.getImpurity() == "entropy" and entropy.model.numNodes != deep.model.numNodes
+        forest_spec(3, max_features="log2")
+    with pytest.raises(ValueError):
+        tree_spec(criterion="error")
 
 
 def test_missing_feature_stops_scoring(spark, deep):
     df = spark.createDataFrame([(0.5, None, 1.0)], "a double, b double, c double")
     with pytest.raises(Exception):
         deep.predict(df).collect()
-
-
-def test_bins_are_not_categories(binned):
-    assert not binned.schema["bins"].metadata
-
-
-def test_truncation_is_noticed(binned, bins, monkeypatch):
-    monkeypatch.setattr(trees, "DEPTH_LIMIT", 3)
-    assert fit_tree(binned, bins, "y", N).nodes.truncated()
