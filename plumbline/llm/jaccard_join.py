@@ -492,13 +492,16 @@ def _similar_links(texts: DataFrame, nodes: DataFrame, shingler: Shingler, clust
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, and of the smallest set hash
     among rows that share this id. Texts without shingles and rows without an id all stay."""
+    key, kept_node, node = fresh(docs, "__key", "__kept", "__node")
     found = _labelled(docs, id_col, text, words, percent).where("doc_id is not null")
     chosen = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "node")).alias("x")).select("x.doc_id", "x.node")
-    kept = written(chosen.union(found.where("n_shingles = 0").select("doc_id", "node")).toDF("__id", "__node").distinct(), "kept-rows")
+    kept = written(chosen.union(found.where("n_shingles = 0").select("doc_id", "node")).toDF(key, kept_node).distinct(), "kept-rows")
     ident = F.col(f"`{id_col}`")
-    out = docs.join(kept, ident == F.col("__id"), "left_semi")
+    out = docs.join(kept, ident == F.col(key), "left_semi")
     if docs.groupBy(ident).count().where(ident.isNotNull() & (F.col("count") > 1)).limit(1).count():
-        shingler, node = Shingler(words), fresh(docs, "__node")[0]
+        shingler = Shingler(words)
         out = map_pieces(out, lambda v: ([node_of(s) for s in shingler.sets(v)],), [text], {node: "bigint"})
-        out = out.join(kept, (ident == F.col("__id")) & (F.col(node) == kept["__node"]), "left_semi").dropDuplicates([id_col, node]).drop(node)
+        out = out.join(kept, (ident == F.col(key)) & (F.col(node) == F.col(kept_node)), "left_semi")
+        wordless = F.col(node) == node_of(np.zeros(0, np.uint64))
+        out = out.where(~wordless).dropDuplicates([id_col, node]).unionByName(out.where(wordless)).drop(node)
     return out.unionByName(docs.where(ident.isNull()))

@@ -71,7 +71,7 @@ def test_tokens_are_the_library_s(stages):
 
 def test_odd_rows_pass_every_stage(spark, data):
     rows = [(None, None, None, None, None), (1, None, "en", "s", 1), (2, "", "en", None, 0), (3, "some words of english prose", "en", "s", 1)]
-    rows += [(4, "some words of english prose", None, "s", 1)] * 2 + [(5, "9 8 7", "de", "s", 5), (6, "word " * 30000, "en", "s", None)]
+    rows += [(4, "some words of english prose", None, "t", 1)] * 2 + [(5, "9 8 7", "de", "s", 5), (6, "word " * 30000, "en", "s", None)]
     docs = spark.createDataFrame(rows, StructType.fromDDL(COLUMNS)).withColumns({"__host": F.lit("x"), "lang_pred": F.lit(1), "node": F.lit(2)})
     for _, stage in corpus_pipeline.STAGES:
         out = written(stage(spark, docs, data), "odd")

@@ -192,20 +192,15 @@ def test_hit_spans_are_cut(spark):
 
 
 def phrases_by_hand(text, sample, block):
+    """A symbol that does not go on a phrase begins the next one; one the sample lacks only ends it."""
     n = 0
     for start in range(0, len(text), block):
-        part, i = text[start : start + block], 0
-        n += 1
-        while i < len(part):
-            j = i
-            while j < len(part) and tuple(part[i : j + 1]) in sample:
-                j += 1
-            if j == len(part):
-                break
-            n += 1  # the phrase ends here; a symbol the sample lacks starts none
-            i = j if j > i else j + 1
-            if j > i and tuple(part[j : j + 1]) not in sample:
-                i = j + 1
+        n, phrase = n + 1, ()
+        for c in text[start : start + block]:
+            if (*phrase, c) in sample:
+                phrase = (*phrase, c)
+            else:
+                n, phrase = n + 1, ((c,) if (c,) in sample else ())
     return n
 
 
@@ -215,7 +210,7 @@ def test_cross_parsing_by_hand(monkeypatch):
     parser = lang_id.CrossParser(samples)
     text = parser.symbols.of("Abra cadabra hocus zz! cab")
     for language, counted in zip(parser.languages, parser.phrases([text])):
-        learned = [x for t in samples[language] for x in [*parser.symbols.of(t).tolist(), 0]]
+        learned = [x for t in sorted(samples[language], key=len) for x in [*parser.symbols.of(t).tolist(), 0]]
         substrings = {tuple(learned[i:j]) for i in range(len(learned)) for j in range(i + 1, min(len(learned), i + 8) + 1)}
         assert counted[0] == phrases_by_hand(text.tolist(), substrings, 7)
     assert parser.predict(["cadabra", "pocus", None, "", "123 !?", "日本"])[0] == ["b", "a", "und", "und", "und", "a"]
