@@ -3,7 +3,8 @@
 Symbols are the bytes of the words, a blank after each word but the last, and an end sign. The tree
 keeps contexts of up to ``depth`` symbols whose next-symbol distribution diverges from that of the
 context without its oldest symbol. A symbol is scored by the longest kept suffix of what stands
-before it; kept contexts are laid out as an automaton, so finding that suffix is one look-up.
+before it. Contexts are ordered by their symbols from the newest to the oldest, which cuts the tree
+into sets of bounded size that are broadcast and looked into one after the other.
 
 A text's probability is the product over its words, each together with what follows it, another word
 or the end (t: how often that is so after a training word). As in the base, all words that training
@@ -17,25 +18,23 @@ what is unseen), n the training words and c those equal to w:
 
 from __future__ import annotations
 
-from collections import Counter, deque
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.lanes import Lanes
-from plumbline.llm.tables import fresh, largest, map_pieces, pieces, written
+from plumbline.llm.tables import PIECE_BYTES, fresh, largest, map_pieces, pieces, written
 
 DEPTH = 5  # symbols of the longest context
 MIN_COUNT = 16  # occurrences of a context that may be kept
 MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its occurrences
-MAX_CONTEXTS = 40_000  # kept contexts, those that save most: bounds the broadcast
+SET_ENTRIES = 4_000_000  # (context, next symbol) pairs of a broadcast set
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_ROWS = 2_000_000  # distinct symbol strings a task holds before it passes them on
 TASK_WORDS = 200_000  # distinct words likewise
-BLOCK = 1024
 
 END = 10  # a line feed: no word has one, so it can stand for the end and for what is before a text
 SYMBOL_BITS = 7
@@ -131,13 +130,13 @@ def count_strings(docs: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN, limit: int = MAX_CONTEXTS) -> list[tuple]:
-    """(length, code, next symbols, their counts) of the contexts that pass the divergence test.
+def passing_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
+    """(d, context, s, n): length, code, next symbols and their counts of the contexts that pass the
+    divergence test, all of them, as a written table.
 
     A context passes if its occurrences are at least ``min_count`` and coding their next symbols with
     its own distribution instead of the shorter context's saves at least ``min_gain`` nats: occurrences
     times the divergence of the two distributions. The empty context and all of one symbol are kept.
-    Of the others, the classes that save most are kept, up to ``limit`` contexts.
     """
     levels = [strings]
     for d in range(depth, 0, -1):
@@ -161,98 +160,198 @@ def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, mi
         kept = saved.groupBy("context").agg(F.sum("gain").alias("gain"), after)
         if d > 1:
             kept = kept.where(F.col("gain") >= min_gain)
-        else:
-            kept = kept.withColumn("gain", F.lit(None).cast("double"))
-        kept = kept.select(F.lit(d).alias("d"), "context", "gain", F.col("next.s").alias("s"), F.col("next.n").alias("n"))
+        kept = kept.select(F.lit(d).alias("d"), "context", F.col("next.s").alias("s"), F.col("next.n").alias("n"))
         found = kept if found is None else found.unionByName(kept)
         shorter = rows.select(F.col("code").alias("parent"), F.col("share").alias("shorter_share"))
-    found = written(found, "contexts")
-    best = found.where("d < 2").unionByName(largest(found.where("d > 1"), "gain", limit)).select("d", "context", "s", "n").toArrow()
+    return written(found, "contexts")
+
+
+def collected(found: DataFrame) -> list[tuple]:
+    """(length, code, next symbols, their counts) of contexts on the driver."""
     out = []
-    for batch in best.to_batches():
-        d, context = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    for batch in found.select("d", "context", "s", "n").toArrow().to_batches():
+        d, context = (batch.column(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 1))
         lists = [batch.column(i) for i in (2, 3)]
-        out += [(int(d[i]), int(context[i]), lists[0][i].values.to_numpy(), lists[1][i].values.to_numpy()) for i in range(len(d))]
+        ends = lists[0].offsets.to_numpy()
+        s, n = (x.values.to_numpy() for x in lists)
+        out += [(d[i], context[i], s[ends[i] : ends[i + 1]], n[ends[i] : ends[i + 1]]) for i in range(len(d))]
     return out
 
 
+def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> list[tuple]:
+    """``passing_contexts`` of a small table, on the driver."""
+    return collected(passing_contexts(strings, depth, min_count, min_gain))
+
+
+def newest_first(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Codes of at most ``depth`` symbols with the newest symbol first, filled up with zeros."""
+    out = np.zeros(len(codes), np.int64)
+    for k in range(depth):
+        out |= (codes >> SYMBOL_BITS * k & MAX_SYMBOLS - 1) << SYMBOL_BITS * (depth - 1 - k)
+    return out
+
+
+def context_sets(found: DataFrame, table: np.ndarray, depth: int, entries: int) -> ContextSets:
+    """The contexts as broadcast sets of about ``entries`` (context, next symbol) pairs: ranges of the
+    order by newest symbols, each with the contexts that are suffixes of all it begins with. One set at
+    a time is on the driver."""
+    spark = found.sparkSession
+
+    place = F.lit(0).cast("long")
+    for k in range(depth):
+        digit = F.shiftright("context", SYMBOL_BITS * k).bitwiseAND(F.lit(MAX_SYMBOLS - 1))
+        place = place + F.shiftleft(digit, SYMBOL_BITS * (depth - 1 - k))
+    placed = found.withColumn("place", place)
+    total = found.agg(F.sum(F.size("s"))).first()[0] or 0
+    n_sets = max(1, -(-total // entries))
+    starts = [0]
+    if n_sets > 1:  # places have at most 49 bits, which a double holds
+        cuts = placed.select("place", F.explode("s")).approxQuantile("place", [i / n_sets for i in range(1, n_sets)], 0.1 / n_sets)
+        starts = sorted({0, *map(int, cuts)})
+    sets = []
+    for lo, hi in zip(starts, [*starts[1:], None]):
+        inside = F.col("place") >= lo
+        if hi is not None:
+            inside &= F.col("place") < hi
+        for d in range(depth + 1):  # suffixes of what the set begins with
+            low = SYMBOL_BITS * (depth - d)
+            inside |= (F.col("d") == d) & (F.col("place") == (lo >> low) << low)
+        tree = SuffixTree(collected(placed.where(inside)), table, depth)
+        sets.append(spark.sparkContext.broadcast(tree))
+        del tree
+    return ContextSets(sets, starts, table, depth)
+
+
 class SuffixTree:
-    """Kept contexts with smoothed distributions, as an automaton over symbols.
+    """Kept contexts with smoothed distributions, found by search.
 
     p(a | s) = (n(s, a) + m p(a | shorter)) / (n(s) + m), m the number of different symbols seen after
     s and ``shorter`` the longest kept proper suffix; the empty context is mixed with a uniform
     distribution. Bytes without a symbol of their own share symbol 0 evenly.
+
+    Contexts that end with s fill a range of places (codes with the newest symbol first), and contexts
+    are numbered in the order of places, so ascending look-ups read ascending memory. ``bounds`` cuts the
+    places so that each piece has one longest context, ``owner``.
+    Only symbols seen after a context have a probability there, others take the shorter one's times m /
+    (n(s) + m).
     """
 
-    def __init__(self, kept: list[tuple], table: np.ndarray):
+    def __init__(self, kept: list[tuple], table: np.ndarray, depth: int | None = None):
         self.table, self.size = table, int(table.max()) + 1
-        shared = int((table == 0).sum())
-        contexts = {self._symbols(d, code): counts for d, code, *counts in kept}
-        contexts.setdefault((), (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        order = sorted(contexts, key=lambda s: (len(s), s))
-        number = {s: i for i, s in enumerate(order)}
-        p = np.zeros((len(order), self.size))
-        for i, s in enumerate(order):
-            if s:
-                shorter = s[1:]
-                while shorter not in number:
-                    shorter = shorter[1:]
-                base = p[number[shorter]]
-            else:
-                base = np.full(self.size, 1 / self.size)
-            seen, times = contexts[s]
-            m = max(1, len(seen))
-            p[i] = m * base
-            p[i, seen] += times
-            p[i] /= m + times.sum()
-        del contexts
-        logs = np.log10(p, out=p)
-        logs[:, 0] -= np.log10(max(1, shared))
-        # states: all beginnings of contexts; where nothing goes on, the longest suffix that does
-        children: list[dict[int, int]] = [{}]
-        kept_at: list[int] = [number[()]]
-        for s in order:
-            state = 0
-            for a in s:
-                if a not in children[state]:
-                    children[state][a] = len(children)
-                    children.append({})
-                    kept_at.append(-1)
-                state = children[state][a]
-            kept_at[state] = number[s]
-        goto = np.zeros((len(children), self.size), np.int32)
-        suffix = np.zeros(len(children), np.int32)
-        queue = deque([0])
-        while queue:
-            state = queue.popleft()
-            goto[state] = goto[suffix[state]] if state else 0
-            if kept_at[state] < 0:
-                kept_at[state] = kept_at[suffix[state]]
-            for a, child in children[state].items():
-                suffix[child] = goto[state, a] if state else 0
-                goto[state, a] = child
-                queue.append(child)
-        self.goto = (goto * self.size).reshape(-1)
-        self.logs = logs.astype(np.float32)[np.array(kept_at)].reshape(-1)
-        self.depth = max(map(len, order))
+        if not any(x[0] == 0 for x in kept):
+            kept = [(0, 0, np.zeros(0, np.int64), np.zeros(0, np.int64)), *kept]
+        self.depth = depth if depth is not None else max(x[0] for x in kept)
+        d = np.array([x[0] for x in kept], np.int64)
+        place = newest_first(np.array([x[1] for x in kept], np.int64), self.depth)
+        order = np.lexsort((d, place))
+        d, place, kept = d[order], place[order], [kept[i] for i in order]
+        n = len(kept)
+        seen = np.array([len(x[2]) for x in kept], np.int64)
+        context = np.repeat(np.arange(n), seen)
+        symbol = np.concatenate([x[2] for x in kept]).astype(np.int64)
+        times = np.concatenate([x[3] for x in kept]).astype(np.float64)
+        total, m = np.bincount(context, times, n), np.maximum(1, seen).astype(np.float64)
+        del kept
+        # the longest context of every piece of places, painted by length
+        end = place + (np.int64(1) << SYMBOL_BITS * (self.depth - d))
+        self.bounds = np.unique(np.concatenate([place, end]))
+        first, stop = np.searchsorted(self.bounds, place), np.searchsorted(self.bounds, end)
+        self.owner, self.shorter = np.zeros(len(self.bounds), np.int32), np.zeros(n, np.int32)
+        for k in range(1, self.depth + 1):
+            own = np.flatnonzero(d == k)
+            self.shorter[own] = self.owner[first[own]]
+            length = stop[own] - first[own]
+            at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length - first[own], length)
+            self.owner[at] = np.repeat(own, length)
+        # the empty context has all symbols
+        keep = context > 0
+        root = np.bincount(symbol[~keep], times[~keep], self.size)
+        self.keys = np.concatenate([np.arange(self.size), context[keep] << SYMBOL_BITS | symbol[keep]])
+        times = np.concatenate([root, times[keep]])
+        order = np.argsort(self.keys, kind="stable")
+        self.keys, times = self.keys[order], times[order]
+        self.less = np.log10(m / (total + m))
+        self.found = np.zeros(len(self.keys))
+        context = self.keys >> SYMBOL_BITS
+        self.found[: self.size] = np.log10((times[: self.size] + m[0] / self.size) / (total[0] + m[0]))
+        level = d[context]
+        for k in range(1, self.depth + 1):
+            part = np.flatnonzero(level == k)
+            own = context[part]
+            base = 10 ** self._log(self.shorter[own], self.keys[part] & (MAX_SYMBOLS - 1))
+            self.found[part] = np.log10((times[part] + m[own] * base) / (total[own] + m[own]))
+        # symbol 0 is only divided among its bytes now: above, it is one symbol
+        self.found[self.keys & (MAX_SYMBOLS - 1) == 0] -= np.log10(max(1, int((table == 0).sum())))
+        self.found, self.less = self.found.astype(np.float32), self.less.astype(np.float32)
+
+    def _log(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """log10 p(symbol | context) of context numbers."""
+        out = np.zeros(len(context))
+        left, context = np.arange(len(context)), context.astype(np.int64)
+        while len(left):
+            key = context << SYMBOL_BITS | symbol[left]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[at] == key
+            out[left] += np.where(hit, self.found[at], self.less[context])
+            left, context = left[~hit], self.shorter[context[~hit]].astype(np.int64)
+        return out
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """log10 p of symbols; a key is the place of what stands before, then the symbol."""
+        owner = self.owner[np.searchsorted(self.bounds, keys >> SYMBOL_BITS, "right") - 1]
+        return self._log(owner, keys & (MAX_SYMBOLS - 1))
+
+    @property
+    def logs(self) -> np.ndarray:
+        """log10 p of all symbols after every context, one after the other."""
+        n = len(self.shorter)
+        return self._log(np.repeat(np.arange(n), self.size), np.tile(np.arange(self.size), n))
 
     @staticmethod
     def _symbols(d: int, code: int) -> tuple[int, ...]:
         return tuple(code >> SYMBOL_BITS * k & MAX_SYMBOLS - 1 for k in range(d - 1, -1, -1))
 
+    def word_logs(self, texts: list[list[bytes]]) -> np.ndarray:
+        return ContextSets([self], [0], self.table, self.depth).word_logs(texts)
+
+
+class ContextSets:
+    """Trees over ranges of places, each for what stands in its range; broadcast ones are loaded one
+    after the other, and only a single one stays loaded."""
+
+    def __init__(self, sets: list, starts: list[int], table: np.ndarray, depth: int):
+        self.sets, self.starts, self.table, self.depth = sets, starts, table, depth
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """log10 p of ascending keys."""
+        out = np.zeros(len(keys))
+        ends = np.searchsorted(keys, np.array([*self.starts[1:]], np.int64) << SYMBOL_BITS)
+        for one, a, b in zip(self.sets, [0, *ends], [*ends, len(keys)]):
+            if a < b:
+                tree = one if isinstance(one, SuffixTree) else one.value
+                out[a:b] = tree.look_up(keys[a:b])
+                if len(self.sets) > 1:
+                    vars(one).pop("_value", None)
+        return out
+
     def word_logs(self, texts: list[list[bytes]]) -> np.ndarray:
         """log10 of the tree's probability of each word and the sign after it, all texts' words in a
         row; a text without words has one entry, for its end sign."""
         raw = [symbol_bytes(t, self.depth) for t in texts]
-        lanes = Lanes([self.table[np.frombuffer(r, np.uint8)] for r in raw], BLOCK, self.depth)
-        state = np.zeros(len(lanes.length), np.int32)
-        logs = np.zeros(len(lanes.data))
-        for step, n, symbols in lanes.steps():
-            at = state[:n] + symbols
-            if step >= self.depth:
-                logs[lanes.start[:n] + step] = self.logs[at]
-            state[:n] = self.goto[at]
-        after = np.sort(np.concatenate([np.flatnonzero(np.frombuffer(b"".join(raw), np.uint8) == 32), np.cumsum([len(r) for r in raw], dtype=np.int64) - 1]))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        symbols, depth = self.table[data].astype(np.int64), self.depth
+        keys = symbols[depth:].copy()
+        for k in range(1, depth + 1):
+            keys |= symbols[depth - k : len(symbols) - k] << SYMBOL_BITS * (depth + 1 - k)
+        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+        own = np.ones(len(symbols), bool)
+        for k in range(depth):
+            own[np.concatenate([[0], ends[:-1]]) + k] = False
+        own = np.flatnonzero(own)
+        different, which = np.unique(keys[own - depth], return_inverse=True)
+        logs = np.zeros(len(symbols))
+        logs[own] = self.look_up(different)[which]
+        after = np.sort(np.concatenate([np.flatnonzero(data == 32), ends - 1]))
         return np.diff(np.cumsum(logs)[after], prepend=0.0)
 
 
@@ -274,7 +373,7 @@ class Counts:
 
 
 class Scorer:
-    def __init__(self, tree: SuffixTree, counts: Counts, frequent: dict[bytes, int]):
+    def __init__(self, tree: SuffixTree | ContextSets, counts: Counts, frequent: dict[bytes, int]):
         self.tree, self.counts, self.frequent = tree, counts, frequent
 
     def rows(self, texts: list[str | None]):
@@ -314,7 +413,8 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", depth: int =
     - Other columns pass through; columns with the names of the six results are replaced.
 
     The counts of the MAX_WORDS most frequent words are broadcast; a text's other words are joined to
-    the word counts, a row for each. The tree has at most MAX_CONTEXTS contexts.
+    the word counts, a row for each. All contexts that pass are in the tree; it goes out in sets of about
+    SET_ENTRIES (context, next symbol) pairs.
     """
     spark = docs.sparkSession
     training = training.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -331,7 +431,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", depth: int =
     frequent = dict(zip(top["word"], top["n"])) | ({b"\n": sums.texts} if sums.texts else {})
     table = byte_symbols(training)
     strings = written(count_strings(training, table, depth), "symbol-strings")
-    tree = SuffixTree(kept_contexts(strings, depth), table)
+    tree = context_sets(passing_contexts(strings, depth), table, depth, SET_ENTRIES)
     shared = spark.sparkContext.broadcast(Scorer(tree, known, frequent))
 
     results = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double", "spelled_score": "double"}
@@ -344,6 +444,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", depth: int =
         [text],
         {**results, rare: "array<struct<word:binary,tree:double,last:double>>"},
         keep,
+        PIECE_BYTES * min(4, len(tree.sets)),  # a set is loaded for every piece if there are several
     )
     scored = written(parts, "scored")  # the ids of the rows hold from here on
     words = scored.select(rid, F.explode(rare).alias("x")).select(rid, "x.*").join(counts, "word")

@@ -305,6 +305,42 @@ def test_kept_contexts_pass_the_test_by_hand(spark):
         assert dict(zip(seen.tolist(), times.tolist())) == own
 
 
+def test_many_contexts_that_save_alike_are_kept(spark):
+    a, b, c = (F.pmod(F.floor(F.col("id") / 40**k), F.lit(40)) + 1 for k in range(3))
+    after = F.pmod(a + b + c, F.lit(40)) + 1  # only all three symbols together say what follows
+    code = a * 128**3 + b * 128**2 + c * 128 + after
+    strings = spark.range(40**3).select(code.cast("long").alias("code"), F.lit(100).cast("long").alias("n"))
+    assert Counter(x[0] for x in lm_scoring.kept_contexts(strings, 3)) == {0: 1, 1: 40, 3: 40**3}
+
+
+@pytest.mark.parametrize("entries", [1 << 30, 40])
+def test_all_passing_contexts_score(spark, monkeypatch, entries):
+    """One set or many, every text's score comes from all contexts that pass."""
+    monkeypatch.setattr(lm_scoring, "SET_ENTRIES", entries)
+    df = spark.createDataFrame(list(enumerate(lm_rows())), "k long, text string")
+    train = df.where("k < 40").select(F.coalesce("text", F.lit("")).alias("text"))
+    table, depth = lm_scoring.byte_symbols(train), 4
+    kept = lm_scoring.kept_contexts(lm_scoring.count_strings(train, table, depth), depth)
+    assert len(kept) > 50
+    own = {lm_scoring.SuffixTree._symbols(d, c): dict(zip(s.tolist(), n.tolist())) for d, c, s, n in kept}
+    size, shared, known = int(table.max()) + 1, int((table == 0).sum()), {}
+
+    def chance(context, a):
+        if (context, a) not in known:
+            counts = own[context]
+            base = chance(next(context[k:] for k in range(1, len(context) + 1) if context[k:] in own), a) if context else 1 / size
+            known[context, a] = (counts.get(a, 0) + len(counts) * base) / (sum(counts.values()) + len(counts))
+        return known[context, a]
+
+    for r in lm_scoring.score(df, train, depth=depth).orderBy("k").join(df, "k").collect():
+        symbols = table[np.frombuffer(lm_scoring.symbol_bytes(lm_scoring.tokens(r.text), depth), np.uint8)].tolist()
+        want = 0.0
+        for i in range(depth, len(symbols)):
+            context = next(tuple(symbols[i - k : i]) for k in range(depth, -1, -1) if tuple(symbols[i - k : i]) in own)
+            want += math.log10(chance(context, symbols[i]) / (shared if symbols[i] == 0 else 1))
+        assert math.isclose(r.spelled_score, want, rel_tol=1e-4)
+
+
 def test_lm_beats_the_base(spark, data):
     """On texts that neither has learned from."""
     rows = queries.op7_lm(spark, data).collect()
