@@ -349,6 +349,12 @@ def test_lm_beats_the_base(spark, data):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_beats_the_base_on_what_it_learned(spark, data):
+    assert lm_scoring.DEPTH >= 7
+    learned = [r for r in queries.op7_lm(spark, data).collect() if not r.held_out]
+    assert sum(r.score for r in learned) > sum(r.base_score for r in learned)
+
+
 # Jaccard join
 
 
