@@ -1,7 +1,7 @@
 """HTML main text extraction with site template removal.
 
-Every element subtree outside a page's article is hashed; Spark counts on how many pages of a host a
-hash occurs. Subtrees that recur on many pages of their host are its template and are deleted, then
+Element subtrees are hashed; Spark counts on how many pages of a host a hash occurs, inside articles on
+how many pages with different articles. Subtrees that recur are their host's template and are deleted, then
 elements that by tag, role or class are no content, and the text of what is left is returned.
 """
 
@@ -38,6 +38,8 @@ IMPLIED_END = {
     "th": frozenset(["td", "th", "tr", "tbody", "thead", "tfoot"]),
     "option": frozenset(["option", "optgroup"]),
 }
+#: Blocks that are parts of a text inside an article, no box of their own, however often they recur.
+PIECES = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th tbody thead tfoot caption figcaption option optgroup".split())
 SCOPE = frozenset("table td th ul ol dl body html article section main div select".split())
 #: Elements without main text, whatever they hold.
 NO_CONTENT = frozenset(
@@ -122,35 +124,42 @@ def _digest(*parts: str | bytes) -> bytes:
     return h.digest()
 
 
-def hash_subtrees(root: Node) -> dict[int, int]:
-    """id(node) to a signed 64-bit hash of tag, class, texts and children, for every element outside
-    articles that has text. Children are hashed before their parents."""
-    found: dict[int, int] = {}
-    order, stack = [], [root]
+def hash_subtrees(root: Node) -> tuple[dict[int, int], dict[int, int], int]:
+    """id(node) to a signed 64-bit hash of tag, class, texts and children, for the elements outside
+    articles that have text, then for the blocks inside articles, and a hash of all articles (0
+    without). Children are hashed before their parents; what holds an article is no template."""
+    outside: dict[int, int] = {}
+    within: dict[int, int] = {}
+    order, stack = [], [(root, False)]
     while stack:
-        node = stack.pop()
-        order.append(node)
-        if node.tag not in _ARTICLE:
-            stack.extend(c for c in node.children if isinstance(c, Node))
+        node, inside = stack.pop()
+        order.append((node, inside))
+        inside = inside or node.tag in _ARTICLE
+        stack.extend((c, inside) for c in node.children if isinstance(c, Node))
     own: dict[int, bytes] = {}
-    for node in reversed(order):
-        if node.tag in _ARTICLE or node.tag in ("script", "style"):
+    holders, articles = set(), []
+    for node, inside in reversed(order):
+        if node.tag in ("script", "style"):
             continue
         parts: list[str | bytes] = [node.tag, node.attrs.get("class", "")]
-        whole = bool(node.tag)
         for c in node.children:
             if isinstance(c, Node):
-                if c.tag in _ARTICLE or (id(c) not in own and c.tag not in ("script", "style")):
-                    whole = False  # what holds an article is no template
-                else:
-                    parts.append(own.get(id(c), b""))
+                parts.append(own.get(id(c), b""))
+                if c.tag in _ARTICLE or id(c) in holders:
+                    holders.add(id(node))
             elif text := " ".join(c.split()):
                 parts.append(text)
-        if whole:
-            own[id(node)] = digest = _digest(*parts)
-            if node.tag not in ("html", "body") and _has_text(node):
-                found[id(node)] = int.from_bytes(digest, "little", signed=True)
-    return found
+        own[id(node)] = digest = _digest(*parts)
+        if node.tag in _ARTICLE:
+            if not inside:
+                articles.append(digest)
+        elif id(node) in holders or node.tag in ("", "html", "body"):
+            continue
+        elif not inside and _has_text(node):
+            outside[id(node)] = int.from_bytes(digest, "little", signed=True)
+        elif inside and node.tag not in INLINE and node.tag not in PIECES and _has_text(node):
+            within[id(node)] = int.from_bytes(_digest("in", digest), "little", signed=True)
+    return outside, within, int.from_bytes(_digest(*articles), "little", signed=True) if articles else 0
 
 
 def _has_text(node: Node) -> bool:
@@ -178,8 +187,8 @@ def main_text(root: Node, template: set[int]) -> str:
     """The text of the article, of the main element or else of the whole page, without template
     subtrees and elements that are no content. Blocks and line breaks count as white space."""
     if template:
-        hashes = hash_subtrees(root)
-        gone = {node for node, h in hashes.items() if h in template}
+        outside, within, _ = hash_subtrees(root)
+        gone = {node for node, h in (outside | within).items() if h in template}
     else:
         gone = set()
 
@@ -223,7 +232,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", output: str
     """``pages`` with the main text in ``output``, without the column ``html``.
 
     A subtree is template if it is on at least ``min_pages`` pages and ``ratio`` of the pages of its
-    host. Only subtrees outside articles are candidates: passages that several articles share stay.
+    host. Inside articles, pages whose articles are equal count as one, so copied articles stay, and only
+    blocks are candidates: no inline elements, headings, list items or cells, which belong to a text.
 
     - A NULL or empty html has an empty text; so has one without content. Pages of a NULL URL, or one
       without a host, form a host of their own.
@@ -239,12 +249,19 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", output: str
     hosted = pages.withColumn(host, host_of(F.col(f"`{url}`")))
 
     def hashes(texts):
-        return ([sorted(set(hash_subtrees(parse(t)).values())) if t else [] for t in texts],)
+        found = [hash_subtrees(parse(t)) if t else ({}, {}, 0) for t in texts]
+        return tuple(zip(*[(sorted(set(o.values())), sorted(set(w.values())), a) for o, w, a in found])) or ([], [], [])
+
+    found = map_pieces(hosted.select(host, html), hashes, [html], {"outside": "array<bigint>", "within": "array<bigint>", "article": "bigint"}, keep=[host])
+    found = written(found, "subtrees")
+    articles = found.where("article <> 0").groupBy(host, "article").agg(F.first("within").alias("within"))
+
+    def often(pages_, column):
+        counts = pages_.select(host, F.explode(column).alias("k")).groupBy(host, "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+        totals = pages_.groupBy(host).agg(F.count(F.lit(1)).alias("total"))
+        return counts.join(totals, host).where(F.col("n") >= F.lit(float(ratio)) * F.col("total")).select(host, "k")
 
-    found = map_pieces(hosted.select(host, html), hashes, [html], {"hashes": "array<bigint>"}, keep=[host])
-    counts = found.select(host, F.explode("hashes").alias("k")).groupBy(host, "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    totals = hosted.groupBy(host).agg(F.count(F.lit(1)).alias("total"))
-    recurring = counts.join(totals, host).where(F.col("n") >= F.lit(float(ratio)) * F.col("total"))
+    recurring = often(found, "outside").unionByName(often(articles, "within"))
     recurring = written(recurring.groupBy(host).agg(F.collect_list("k").alias(template)), "site-templates")
     size = recurring.agg(F.sum(F.size(template))).first()[0] or 0
     joined = hosted.join(F.broadcast(recurring) if size <= BROADCAST_HASHES else recurring, host, "left")

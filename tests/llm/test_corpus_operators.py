@@ -200,6 +200,15 @@ def test_passages_that_articles_share_stay(spark):
     assert {r.text for r in out.collect()} == {"Title & more shared words Second bolder line"}
 
 
+def test_boxes_inside_articles_go_where_they_recur(spark):
+    box = "<div class='box-7'><h2>Join us</h2><p>Our letter, every week.</div>"
+    rows = [(i, "https://site.example/%d" % i, page(f"own words {i} {box}")) for i in range(8)]
+    rows += [(10 + i, "https://copies.example/%d" % i, page(f"copied {box}") + f"<div>{i}</div>") for i in range(8)]
+    out = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()
+    assert [r.text for r in out[:8]] == [f"Title & more own words {i}" for i in range(8)]
+    assert {r.text for r in out[8:]} == {"Title & more copied Join us Our letter, every week. Second bolder line"}
+
+
 def test_broken_markup():
     for html in ["<", "<p", "</p>", "<article>", "a<b", "<ul><li>a<li>b<ul><li>c</ul>d</ul>", "<table><tr><td>1<td>2<tr><td>3</table>", "<div>" * 5000 + "x"]:
         html_extract.main_text(html_extract.parse(html), {1})
