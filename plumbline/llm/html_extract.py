@@ -52,6 +52,10 @@ PARTS = frozenset(
     "footer masthead menu nav navbar navigation newsletter notice notices pagination pager popup modal overlay promo promoted promotion related recommended sponsor sponsored "
     "share sharing sidebar sidebars social subscribe subscription signup toolbar topbar widget widgets".split()
 )
+#: Words that may stand beside those in the name of a part.
+BESIDE = frozenset(
+    "area bar block bottom box button buttons container content footer global header inner left line link links list main page post primary right secondary section site slot top unit wrap wrapper".split()
+)
 _PART_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ARTICLE = frozenset(["article", "main"])
 
@@ -173,14 +177,37 @@ def _has_text(node: Node) -> bool:
     return False
 
 
-def is_content(node: Node) -> bool:
-    """Not an element that by tag, role, state, class or id stands around an article."""
+def names_part(names: str) -> bool:
+    """Whether a class or id is the name of a part: made of PARTS words alone, or of them and BESIDE words."""
+    for name in names.split():
+        words = [w.lower() for w in _PART_WORDS.findall(name)]
+        if any(w in PARTS for w in words) and all(w in PARTS or w in BESIDE for w in words):
+            return True
+    return False
+
+
+def is_content(node: Node, inside: bool = False) -> bool:
+    """Not an element that by tag, role, state, class or id stands around an article. Inside one the
+    id of a heading or section is a place to link to and says nothing."""
     if node.tag in NO_CONTENT or node.attrs.get("role", "").lower() in ROLES or "hidden" in node.attrs:
         return False
     if node.tag in ("html", "body", "article", "main"):
         return True
-    named = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}"
-    return named == " " or not any(w.lower() in PARTS for w in _PART_WORDS.findall(named))
+    linked = inside and node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "section")
+    return not names_part(node.attrs.get("class", "")) and (linked or not names_part(node.attrs.get("id", "")))
+
+
+def article_holders(root: Node) -> set[int]:
+    """id(node) of all elements with an article or a main element in them."""
+    order, stack, found = [], [root], set()
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node))
+    for node in reversed(order):
+        if any(isinstance(c, Node) and (c.tag in _ARTICLE or id(c) in found) for c in node.children):
+            found.add(id(node))
+    return found
 
 
 def main_text(root: Node, template: set[int]) -> str:
@@ -195,18 +222,24 @@ def main_text(root: Node, template: set[int]) -> str:
     def keep(node: Node, inside: bool) -> bool:
         if node.tag == "header":  # a page's header goes, an article's own one has its heading
             return inside
-        return is_content(node) and id(node) not in gone
+        return is_content(node, inside) and id(node) not in gone
 
+    holders = article_holders(root)
     tops: dict[str, list[Node]] = {"article": [], "main": []}
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if node.tag == "article":
-            tops["article"].append(node)  # an article inside an article is part of it
-            continue
-        if node.tag == "main":
-            tops["main"].append(node)
-        stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and keep(c, False))
+    for drop in (True, False):  # articles in comments or asides only if there are no others
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            if node.tag == "article":
+                tops["article"].append(node)  # an article inside an article is part of it
+                continue
+            if node.tag == "main":
+                tops["main"].append(node)
+            for c in reversed(node.children):
+                if isinstance(c, Node) and (c.tag in _ARTICLE or id(c) in holders) and (not drop or c.tag == "form" or keep(c, False)):
+                    stack.append(c)
+        if tops["article"] or tops["main"]:
+            break
     out: list[str] = []
     for top in tops["article"] or tops["main"] or [root]:
         inside = top is not root

@@ -209,6 +209,18 @@ def test_boxes_inside_articles_go_where_they_recur(spark):
     assert {r.text for r in out[8:]} == {"Title & more copied Join us Our letter, every week. Second bolder line"}
 
 
+def test_names_that_hold_or_head_content_stay():
+    text = lambda html: html_extract.main_text(html_extract.parse(html), set())
+    for around in ("<div class='layout has-sidebar'>%s</div>", "<div id='content-with-comments'>%s</div>", "<form>%s</form>", "<div class=sidebar>%s</div>"):
+        assert text(around % "<article><p>kept</article>") == text(around % "<main><p>kept</main>") == "kept"
+    assert text("<article>kept<div id=comments><article>x</article></div></article><aside><article>x</article></aside>") == "kept"
+    parts = ("<h2 id='social-history'>kept</h2>", "<section id='related-work'>kept</section>", "<div class='notice-period'>kept</div>", "<h2 id=comments>kept</h2>")
+    for part in parts:
+        assert text(f"<article>{part}</article>") == "kept"
+    for part in ("<div class='ad-box'>x</div>", "<div class='wide sidebar'>x</div>", "<div class='shareButtons'>x</div>", "<form>x</form>"):
+        assert text(f"<article>kept{part}</article>") == text(f"<div>kept{part}</div>") == "kept"
+
+
 def test_broken_markup():
     for html in ["<", "<p", "</p>", "<article>", "a<b", "<ul><li>a<li>b<ul><li>c</ul>d</ul>", "<table><tr><td>1<td>2<tr><td>3</table>", "<div>" * 5000 + "x"]:
         html_extract.main_text(html_extract.parse(html), {1})
