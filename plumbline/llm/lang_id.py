@@ -8,7 +8,7 @@ whose sample needs the fewest phrases, normalised by the sample's length, wins.
 from __future__ import annotations
 
 import math
-from collections import Counter
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from plumbline.llm.tables import map_pieces
 SAMPLE_TEXTS = 128  # labelled texts per language that the automata are fitted on
 SAMPLE_CHARS = 16_384  # code points per language, all of them together
 TOTAL_CHARS = 1 << 19  # code points over all languages: bounds the broadcast
-LETTERS = 62  # letters with a symbol of their own
+DENSE_LETTERS = 62  # a language with more letters has its moves searched instead of laid out as an array
 BLOCK = 512  # code points parsed in one go; phrases end with a block
 UNKNOWN = "und"
 
@@ -34,10 +34,9 @@ class Symbols:
     """Letters to symbols: 0 for all that is no letter, 1 for letters outside the samples."""
 
     def __init__(self, samples: list[str]):
-        seen = Counter(c for s in samples for c in s.lower() if c.isalpha())
-        known = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
+        known = sorted({c for s in samples for c in s.lower() if c.isalpha()})
         self.size = len(known) + 2
-        self.table = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
+        self.table = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.int32, 0x110000)
         for i, c in enumerate(known):
             self.table[ord(c)] = i + 2
 
@@ -80,10 +79,11 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """One automaton per language, laid out so that a step is a look-up in an array.
+    """One automaton per language over the letters of its own sample, all others being symbol 1.
 
     ``table[state + symbol]`` is the next state if the phrase goes on, and ``~`` the state in which
-    the next phrase begins with that symbol if not (states are offsets into the table).
+    the next phrase begins with that symbol if not (states are offsets into the table). Of a language
+    with many letters only the moves that go on are held, sorted by state + symbol.
     """
 
     def __init__(self, samples: dict[str, list[str]], chars: int = SAMPLE_CHARS, total: int = TOTAL_CHARS):
@@ -93,39 +93,60 @@ class CrossParser:
         for language in self.languages:
             texts, room, cut[language] = sorted(samples[language], key=len), chars, []
             for i, t in enumerate(texts):  # short texts whole, the room that is left shared by the rest
-                piece = t[: max(1, room // (len(texts) - i))]
+                size = min(len(t), max(1, room // (len(texts) - i)))
+                start = zlib.crc32(t.encode("utf-8", "surrogatepass")) % (len(t) - size + 1)
+                piece = t[start : start + size]  # from anywhere in the text
                 cut[language].append(piece)
                 room -= len(piece)
         self.symbols = Symbols([t for texts in cut.values() for t in texts])
-        self.tables, self.bits = [], []
-        size = self.symbols.size
+        self.own, self.tables, self.bits = [], [], []
         for language in self.languages:
             learned = np.concatenate([np.append(self.symbols.of(t), 0) for t in cut[language]])
-            moves = suffix_automaton(learned.tolist())
-            first = np.zeros(size, np.int32)
+            own = np.ones(self.symbols.size, np.int32)
+            own[0] = 0
+            letters = np.unique(learned[learned > 1])
+            own[letters] = np.arange(2, len(letters) + 2)
+            size = len(letters) + 2
+            moves = suffix_automaton(own[learned].tolist())
+            first = np.zeros(size, np.int64)
             for c, to in moves[0].items():
                 first[c] = to * size
-            table = np.tile(~first, (len(moves), 1))
-            for state, found in enumerate(moves):
-                for c, to in found.items():
-                    table[state, c] = to * size
-            self.tables.append(table.reshape(-1))
+            if len(letters) <= DENSE_LETTERS:
+                table = np.tile(~first.astype(np.int32), (len(moves), 1))
+                for state, found in enumerate(moves):
+                    for c, to in found.items():
+                        table[state, c] = to * size
+                self.tables.append(table.reshape(-1))
+            else:
+                steps = np.array([(state * size + c, to * size) for state, found in enumerate(moves) for c, to in sorted(found.items())], np.int64)
+                self.tables.append((steps[:, 0].copy(), steps[:, 1].copy(), ~first))
+            self.own.append(own)
             self.bits.append(math.log2(len(learned) + 1))
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases per language and text."""
         lanes, out = Lanes(texts, BLOCK), []
-        for table in self.tables:
-            state = np.zeros(len(lanes.length), np.int32)
+        data = lanes.data
+        for own, table in zip(self.own, self.tables):
+            lanes.data = own[data]
+            dense = isinstance(table, np.ndarray)
+            state = np.zeros(len(lanes.length), np.int32 if dense else np.int64)
             ended = np.ones(len(lanes.length), np.int32)
             for _, n, symbols in lanes.steps():
-                found = table[state[:n] + symbols]
-                miss = found >> 31
-                ended[:n] -= miss
-                state[:n] = found ^ miss
+                at = state[:n] + symbols
+                found = table[at] if dense else self._searched(table, at, symbols)
+                miss = (found < 0).astype(state.dtype)
+                ended[:n] += miss
+                state[:n] = found ^ -miss
             out.append(lanes.per_text(ended))
         return np.array(out)
 
+    @staticmethod
+    def _searched(table: tuple[np.ndarray, ...], at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        moves, to, first = table
+        place = np.minimum(np.searchsorted(moves, at), len(moves) - 1)
+        return np.where(moves[place] == at, to[place], first[symbols])
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         symbols = [self.symbols.of(t or "") for t in texts]
         if not self.languages:
@@ -141,7 +162,7 @@ class CrossParser:
 
 
 def labelled_sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """Up to ``texts`` different texts of each language, of each its first ``chars`` code points.
+    """Up to ``texts`` different texts of each language, of each ``chars`` code points from anywhere in it.
 
     ``labelled`` is (lang, text). Texts are dealt into ``texts`` slots by hash; the lowest hash of a
     slot is taken, so the sample depends on the texts alone, not on order, layout or ids.
@@ -149,7 +170,8 @@ def labelled_sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int =
     rows = labelled.where("lang is not null and text is not null and text <> ''").select("lang", "text", F.xxhash64("text").alias("h"))
     slot = F.pmod("h", F.lit(texts))
     chosen = rows.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).drop("slot")  # texts x languages rows
-    taken = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.substring("text", 1, chars).alias("text"))
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.char_length("text") - chars + 1, F.lit(1))).cast("int") + 1
+    taken = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.col("text").substr(start, F.lit(chars)).alias("text"))
     out: dict[str, list[str]] = {}
     for r in taken.dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect():
         out.setdefault(r.lang, []).append(r.text)

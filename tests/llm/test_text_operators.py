@@ -1,6 +1,7 @@
 """BPE, token counts, line dedup, decontamination, language ID: brute force, libraries and edge cases."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -216,6 +217,24 @@ def test_cross_parsing_by_hand(monkeypatch):
     assert parser.predict(["cadabra", "pocus", None, "", "123 !?", "日本"])[0] == ["b", "a", "und", "und", "und", "a"]
 
 
+def test_letters_of_all_scripts_count(spark):
+    rng = random.Random(4)
+    samples = {"latin": ["".join(map(chr, [*range(97, 123), *range(0x3B1, 0x3C0), *range(0x430, 0x450)])) * 20]}
+    texts = {}
+    for language, first in (("p", 0x4E00), ("q", 0x5E00), ("r", 0xAC00)):
+        words = ["".join(chr(first + rng.randrange(400)) for _ in range(3)) for _ in range(200)]
+        samples[language] = [" ".join(words)]
+        texts[language] = " ".join(rng.sample(words, 50))
+    parser = lang_id.CrossParser(samples)
+    assert parser.predict(list(texts.values()))[0] == list(texts)
+    text = parser.symbols.of(texts["q"])
+    learned = [*parser.symbols.of(samples["q"][0]).tolist(), 0]
+    substrings = {tuple(learned[i:j]) for i in range(len(learned)) for j in range(i + 1, min(len(learned), i + 210) + 1)}
+    assert parser.phrases([text])[parser.languages.index("q")][0] == phrases_by_hand(text.tolist(), substrings, lang_id.BLOCK)
+    rows = [("z", "a" * 50 + "b" * 50, 1)]
+    assert [len(t) for t in lang_id.labelled_sample(spark.createDataFrame(rows, "lang string, text string, k int"), chars=30)["z"]] == [30]
+
+
 def test_language_held_out(spark, data):
     rows = queries.op2_language(spark, data).collect()
     truth = {r.doc_id: r.lang for r in texts(spark, data).collect()}
