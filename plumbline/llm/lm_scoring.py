@@ -34,6 +34,8 @@ SET_ENTRIES = 4_000_000  # (context, next symbol) pairs of a broadcast set
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_ROWS = 2_000_000  # distinct symbol strings a task holds before it passes them on
+JUDGED_ROWS = 2_000_000  # strings that are judged together
+HEAD = 3  # newest symbols by which strings are dealt out
 TASK_WORDS = 200_000  # distinct words likewise
 
 END = 10  # a line feed: no word has one, so it can stand for the end and for what is before a text
@@ -91,7 +93,8 @@ def byte_symbols(docs: DataFrame) -> np.ndarray:
 
 
 def count_strings(docs: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
-    """(code, n) of every symbol after its ``depth`` predecessors; a code has SYMBOL_BITS per symbol."""
+    """(code, n) of every symbol after its ``depth`` predecessors; a code has SYMBOL_BITS per symbol.
+    Tasks add up what they hold, so a code may come several times."""
 
     def run(batches):
         def summed(found):
@@ -127,7 +130,7 @@ def count_strings(docs: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
         if found:
             yield rows(*summed(found))
 
-    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "code long, n long")
 
 
 def passing_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
@@ -137,8 +140,15 @@ def passing_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT,
     A context passes if its occurrences are at least ``min_count`` and coding their next symbols with
     its own distribution instead of the shorter context's saves at least ``min_gain`` nats: occurrences
     times the divergence of the two distributions. The empty context and all of one symbol are kept.
+
+    Contexts of more than HEAD symbols are judged where all strings with their HEAD newest symbols are.
     """
-    levels = [strings]
+    if depth > HEAD:
+        tail = written(long_contexts(strings, depth, min_count, min_gain), "long-contexts")
+        codes = tail.where(F.col("d") == HEAD).select("context", F.explode(F.arrays_zip("s", "n")).alias("x"))
+        codes = codes.select(F.shiftleft("context", SYMBOL_BITS).bitwiseOR(F.col("x.s")).alias("code"), F.col("x.n").alias("n"))
+        return written(passing_contexts(codes, HEAD, min_count, min_gain).unionByName(tail.where(F.col("d") > HEAD)), "contexts")
+    levels = [written(strings.groupBy("code").agg(F.sum("n").alias("n")), "symbol-strings")]
     for d in range(depth, 0, -1):
         mask = (1 << SYMBOL_BITS * d) - 1
         shorter_strings = levels[-1].groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
@@ -166,6 +176,73 @@ def passing_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT,
     return written(found, "contexts")
 
 
+def long_contexts(strings: DataFrame, depth: int, min_count: int, min_gain: float) -> DataFrame:
+    """(d, context, s, n) of the contexts of HEAD symbols, all of them, and of the longer ones that pass."""
+    low = MAX_SYMBOLS - 1
+
+    def summed(keys, n):
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[first], np.add.reduceat(n, first)
+
+    def judged(keys, n):
+        """Of all strings with some HEAD newest symbols: keys are places and next symbols."""
+        levels = {depth: summed(keys, n)}
+        for d in range(depth - 1, HEAD - 1, -1):  # without the oldest symbol
+            keys, n = levels[d + 1]
+            levels[d] = summed(keys >> 2 * SYMBOL_BITS << SYMBOL_BITS | keys & low, n)
+        for d in range(HEAD, depth + 1):
+            keys, n = levels[d]
+            context = keys >> SYMBOL_BITS
+            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+            total = np.add.reduceat(n, first)
+            size = np.diff(np.append(first, len(keys)))
+            share = n / np.repeat(total, size)
+            keep = np.ones(len(first), bool)
+            if d > HEAD:
+                at = np.flatnonzero(np.repeat(total >= min_count, size))
+                parent = keys[at] >> 2 * SYMBOL_BITS << SYMBOL_BITS | keys[at] & low
+                gain = np.zeros(len(keys))
+                gain[at] = n[at] * np.log(share[at] / shorter_share[np.searchsorted(shorter, parent)])
+                keep = (total >= min_count) & (np.add.reduceat(gain, first) >= min_gain)
+            shorter, shorter_share = keys, share
+            chosen = np.repeat(keep, size)
+            ends = pa.array(np.concatenate([[0], np.cumsum(size[keep])]), pa.int32())
+            place, code = context[first[keep]], np.zeros(int(keep.sum()), np.int64)
+            for k in range(d):  # oldest symbol first
+                code |= (place >> SYMBOL_BITS * k & low) << SYMBOL_BITS * (d - 1 - k)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[chosen], t)) for x, t in ((keys & low, pa.int32()), (n, pa.int64()))]
+            rows = pa.RecordBatch.from_arrays([pa.array(np.full(len(code), d), pa.int32()), pa.array(code), *lists], ["d", "context", "s", "n"])
+            yield from (rows.slice(i, 10_000) for i in range(0, len(code), 10_000))
+
+    def run(batches):
+        held, rows = [], 0
+
+        def joined():
+            codes, n = (np.concatenate(x) for x in zip(*held))
+            return newest_first(codes >> SYMBOL_BITS, depth) << SYMBOL_BITS | codes & low, n
+
+        for batch in batches:
+            held.append(tuple(batch.column(i).to_numpy() for i in (0, 1)))
+            rows += batch.num_rows
+            if rows > JUDGED_ROWS:
+                codes, n = (np.concatenate(x) for x in zip(*held))
+                head = codes >> SYMBOL_BITS & (1 << SYMBOL_BITS * HEAD) - 1
+                stop = int(np.searchsorted(head, head[-1]))  # the last ones may go on in the next batch
+                held = [(codes[:stop], n[:stop])]
+                if stop:
+                    yield from judged(*joined())
+                held = [(codes[stop:], n[stop:])]
+                rows = 0
+        if held and sum(len(x[0]) for x in held):
+            yield from judged(*joined())
+
+    head = F.shiftright("code", SYMBOL_BITS).bitwiseAND(F.lit((1 << SYMBOL_BITS * HEAD) - 1))
+    dealt = strings.select("code", "n").repartition(head).sortWithinPartitions(head)
+    return dealt.mapInArrow(run, "d int, context long, s array<int>, n array<long>")
+
+
 def collected(found: DataFrame) -> list[tuple]:
     """(length, code, next symbols, their counts) of contexts on the driver."""
     out = []
@@ -430,8 +507,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", depth: int =
     top = largest(counts.where(F.octet_length("word") <= WORD_BYTES), "n", MAX_WORDS).toArrow().to_pydict()
     frequent = dict(zip(top["word"], top["n"])) | ({b"\n": sums.texts} if sums.texts else {})
     table = byte_symbols(training)
-    strings = written(count_strings(training, table, depth), "symbol-strings")
-    tree = context_sets(passing_contexts(strings, depth), table, depth, SET_ENTRIES)
+    tree = context_sets(passing_contexts(count_strings(training, table, depth), depth), table, depth, SET_ENTRIES)
     shared = spark.sparkContext.broadcast(Scorer(tree, known, frequent))
 
     results = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double", "spelled_score": "double"}

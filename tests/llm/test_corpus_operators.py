@@ -326,6 +326,21 @@ def test_kept_contexts_pass_the_test_by_hand(spark):
         assert dict(zip(seen.tolist(), times.tolist())) == own
 
 
+@pytest.mark.parametrize("rows", [1 << 30, 50])
+def test_long_contexts_pass_as_short_ones(spark, monkeypatch, rows):
+    df = spark.createDataFrame([(t,) for t in lm_rows() if t], "text string")
+    table = lm_scoring.byte_symbols(df)
+    strings = lm_scoring.count_strings(df, table, 6)
+    found = []
+    for head in (3, 6):  # 6: all by joins
+        monkeypatch.setattr(lm_scoring, "HEAD", head)
+        monkeypatch.setattr(lm_scoring, "JUDGED_ROWS", rows)
+        kept = lm_scoring.kept_contexts(strings, 6, 3, 0.5)
+        found.append({(d, c): dict(zip(s.tolist(), n.tolist())) for d, c, s, n in kept})
+        assert len(found[-1]) == len(kept)
+    assert found[0] == found[1] and max(found[0])[0] == 6
+
+
 def test_many_contexts_that_save_alike_are_kept(spark):
     a, b, c = (F.pmod(F.floor(F.col("id") / 40**k), F.lit(40)) + 1 for k in range(3))
     after = F.pmod(a + b + c, F.lit(40)) + 1  # only all three symbols together say what follows
