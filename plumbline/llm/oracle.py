@@ -86,7 +86,38 @@ SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_remov
 FROM t LEFT JOIN ends USING (doc_id) LEFT JOIN front USING (doc_id)
 """
 
+
+
+def _vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    near = """near{k} AS MATERIALIZED (
+  SELECT vec_id, p, arg_min(e, (d, e)) AS e, min(d) AS d
+  FROM (SELECT x.vec_id, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM part x JOIN book{k} b USING (p))
+  GROUP BY vec_id, p)"""
+    better = """sums{n} AS (
+  SELECT p, e, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM part JOIN near{k} USING (vec_id, p)) GROUP BY p, e, i
+), means{n} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM sums{n} GROUP BY p, e),
+book{n} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN means{n} m USING (p, e))"""
+    steps = [near.format(k=0)]
+    for k in range(rounds):
+        steps += [better.format(k=k, n=k + 1), near.format(k=k + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (SELECT vec_id, p, q[p * (len(q) // {parts}) + 1 : (p + 1) * (len(q) // {parts})] AS v FROM kept, range({parts}) r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, e, v FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {entries}) JOIN part USING (vec_id)
+), {", ".join(steps)},
+codes AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(x, ',' ORDER BY p, e, i)) AS h FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM book{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM books) AS codebooks_sha256
+FROM codes JOIN kept USING (vec_id)
+"""
+
+
 ORACLE_SQL = {
+    "op12_vector_codes": _vector_codes(),
     "op4_suffix_dedup": SUFFIX_DEDUP,
     "op8_jaccard": JACCARD,
     "op9_line_dedup": LINE_DEDUP,

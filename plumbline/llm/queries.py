@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, decontamination, fingerprints, html_extract, jaccard_join, lang_id, line_dedup, lm_scoring, suffix_dedup, token_counts
-from plumbline.llm.tables import id_text, table
+from plumbline.llm import (
+    alignment, bpe, decontamination, fingerprints, html_extract, jaccard_join, lang_id, line_dedup, lm_scoring, quality, suffix_dedup, token_counts,
+    vector_codes,
+)
+from plumbline.llm.tables import id_text, table, written
 
 MAX_TOKENS = 4096
 
@@ -92,6 +95,33 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = lang_id.remainder(F.col("doc_id"), 4) == 2
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    model = quality.fit(docs, labels)
+    scored = quality.with_scores(docs.withColumn("held_out", held_out), model, output="score")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
+    a = alignment.ByteTokens(Path(path_a or public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8"))
+    b = alignment.PieceTokens(Path(path_b or public_tokenizers.path("piece_bpe_32k.model")).read_bytes())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned, new = alignment.align(docs, a, b, digest=True)
+    n_a, n_b, n_groups, n_links, groups, pairs, times = new
+    aligned = written(aligned.select("doc_id", *new), "aligned")
+    summed, (n_best, count_sum) = alignment.with_count_sums(aligned, alignment.pair_counts(aligned, b.size, pairs), b.size, pairs, times)
+    return summed.select(
+        "doc_id", n_a, n_b, n_groups, n_links, F.col(n_best).alias("n_best"), F.col(count_sum).alias("count_sum"), F.col(groups).alias("groups_sha256")
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
@@ -103,4 +133,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_quality": op11_quality,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_alignment": op13_alignment,
 }
