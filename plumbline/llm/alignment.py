@@ -70,13 +70,24 @@ class ByteTokens:
         if self.ranks:
             self.quick = tiktoken.Encoding("byte level", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=self.ranks, special_tokens={})
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where its bytes are not those of its tokens."""
         if self.coder is None:
             self._start()
-        return [
-            self.quick.encode_ordinary(" " + t) if self.quick and not LONG_GAP.search(t) else self.coder.encode(" " + t, add_special_tokens=False).ids
-            for t in texts
-        ]
+        out: list[np.ndarray | None] = []
+        for text in texts:
+            if self.quick and not LONG_GAP.search(text):
+                ids = self.quick.encode_ordinary(" " + text)  # splits and merges bytes, so it changes none
+            else:
+                ids = self.coder.encode(" " + text, add_special_tokens=False).ids
+                if b"".join([self.bytes[i] for i in ids]) != _bytes(" " + text):
+                    ids = None
+            out.append(ids if ids is None else np.fromiter(ids, np.int32, len(ids)))
+        return out
+
+
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
 
 
 def _plain(spec: dict, added: dict[str, int]) -> bool:
@@ -98,7 +109,7 @@ class PieceTokens:
     """
 
     def __init__(self, model: bytes):
-        self.model, self.coder, self.known, self.older = model, None, {}, {}
+        self.model, self.coder, self.known, self.older, self.changed = model, None, {}, {}, set()
         coder = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [coder.id_to_piece(i) for i in range(coder.get_piece_size())]
         self.size = len(pieces)
@@ -107,20 +118,33 @@ class PieceTokens:
         self.bytes = [bytes([int(p[3:5], 16)]) if coder.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
 
     def __getstate__(self):
-        return {**self.__dict__, "coder": None, "known": {}, "older": {}}
+        return {**self.__dict__, "coder": None, "known": {}, "older": {}, "changed": set()}
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where its bytes are not those of its tokens."""
         if self.coder is None:
             self.coder = sentencepiece.SentencePieceProcessor(model_proto=self.model)
-        words = [t.split(" ") for t in texts]
-        plain = [self.by_word and BLANK not in t and "" not in w for t, w in zip(texts, words)]
+        words = [t.split(" ") if self.by_word and BLANK not in t else [""] for t in texts]
+        words = [None if "" in w else w for w in words]
         if len(self.known) > CACHE:
             self.older, self.known = self.known, {}
-        self._learn(set().union(*[w for w, p in zip(words, plain) if p]))
-        known = self.known
-        return [[*chain.from_iterable([known[x] for x in w])] if p else self.coder.encode(t) for t, w, p in zip(texts, words, plain)]
+        self._learn(set().union(*[w for w in words if w]))
+        get, out = self.known.__getitem__, []
+        for text, own in zip(texts, words):
+            if not own:
+                out.append(self._whole(text))
+                continue
+            ids = np.frombuffer(b"".join(map(get, own)), np.int32)
+            out.append(ids if not self.changed or self.changed.isdisjoint(own) else self._whole(text))
+        return out
+
+    def _whole(self, text: str) -> np.ndarray | None:
+        ids = self.coder.encode(text)
+        same = b"".join([self.bytes[i] for i in ids]) == _bytes(" " + text)
+        return np.array(ids, np.int32) if same else None
 
     def _learn(self, words: set[str]) -> None:
+        """Make the ids of all these words known, as bytes, and which of them have other bytes than their tokens."""
         new = []
         for word in words.difference(self.known):
             ids = self.older.get(word)
@@ -128,11 +152,14 @@ class PieceTokens:
                 new.append(word)
             else:
                 self.known[word] = ids
-        if new:
-            ids = self.coder.encode(" ".join(new))
-            starts = np.flatnonzero(self.begins[ids]).tolist()
-            for word, start, stop in zip(new, starts, [*starts[1:], len(ids)]):
-                self.known[word] = ids[start:stop]
+        if not new:
+            return
+        ids = np.array(self.coder.encode(" ".join(new)), np.int32)
+        starts = np.flatnonzero(self.begins[ids]) * 4
+        raw = ids.tobytes()
+        self.known.update(zip(new, [raw[i:j] for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(raw)])]))
+        if b"".join([self.bytes[i] for i in ids.tolist()]) != _bytes(" " + " ".join(new)):
+            self.changed.update(w for w in new if self._whole(w) is None)
 
 
 def common_groups(a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -146,7 +173,8 @@ def common_groups(a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> tuple[np.n
         cut = at >= 0
         closed.append([x[~cut] for x in open_])
         a0, a1, b0, b1, at, match = (x[cut] for x in (*open_, at, match))
-        open_ = [np.concatenate(x) for x in ((a0, at + 1), (at + 1, a1), (b0, match + 1), (match + 1, b1))]
+        # both halves beside each other, so that intervals stay in order
+        open_ = [np.stack(x, axis=1).ravel() for x in ((a0, at + 1), (at + 1, a1), (b0, match + 1), (match + 1, b1))]
     found = [np.concatenate(x) for x in zip(*closed)] if closed else [np.zeros(0, np.int64)] * 4
     order = np.argsort(found[0], kind="stable")
     return tuple(x[order] for x in found)
@@ -188,14 +216,14 @@ class Aligner:
     def __getstate__(self):
         return {**self.__dict__, "signs": []}
 
-    def tokens(self, texts: Sequence[str | None]) -> tuple[list[list[int]], list[list[int]]]:
+    def tokens(self, texts: Sequence[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Both sides' ids; none for texts that are NULL or empty or whose bytes either side changes."""
         used = [i for i, t in enumerate(texts) if t]
-        a, b = [[] for _ in texts], [[] for _ in texts]
+        none = np.zeros(0, np.int32)
+        a, b = [none] * len(texts), [none] * len(texts)
         some = [texts[i] for i in used]
-        for i, t, x, y in zip(used, some, self.a.encode(some), self.b.encode(some)):
-            raw = b" " + t.encode("utf-8", "surrogatepass")
-            if b"".join([self.a.bytes[k] for k in x]) == raw == b"".join([self.b.bytes[k] for k in y]):
+        for i, x, y in zip(used, self.a.encode(some), self.b.encode(some)):
+            if x is not None and y is not None:
                 a[i], b[i] = x, y
         return a, b
 
@@ -203,15 +231,15 @@ class Aligner:
         """Columns of ``aligned`` for a block of texts."""
         a_ids, b_ids = self.tokens(texts)
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((a_ids, n_a), (b_ids, n_b)))
+        a, b = (np.concatenate(ids) if ids else np.zeros(0, np.int32) for ids in (a_ids, b_ids))
         a_end, b_end = np.cumsum(self.a_bytes[a]), np.cumsum(self.b_bytes[b])
         full = n_a > 0
         groups = common_groups(a_end, b_end, a_end[np.cumsum(n_a)[full] - 1])
         group_text = np.searchsorted(np.cumsum(n_a), groups[0], "right")
         n_groups = np.bincount(group_text, minlength=len(texts))
-        texts_of = np.searchsorted(np.cumsum(n_a), np.arange(len(a)), "right")
+        texts_of = np.repeat(np.arange(len(texts)), n_a)
         left, right = self._links(a_end, b_end, groups)
-        key = texts_of[left] * (self.a.size * self.b.size) + a[left] * self.b.size + b[right]
+        key = texts_of[left] * (self.a.size * self.b.size) + a[left].astype(np.int64) * self.b.size + b[right]
         n_links = np.bincount(texts_of[left], minlength=len(texts))
         pairs, times = np.unique(key, return_counts=True)
         owner, pairs = np.divmod(pairs, self.a.size * self.b.size)
@@ -242,9 +270,9 @@ class Aligner:
         sign[np.arange(len(b)) + np.repeat(a1, b1 - b0)] = b
         sign[a1 - 1 + b0] += size
         sign[a1 + b1 - 1] += 2 * size
-        out, signs = [], self.signs
+        out, signs = [], self.signs.__getitem__
         for start, stop in zip([0, *ends[:-1].tolist()], ends.tolist()):
-            text = "".join([signs[i] for i in sign[start:stop].tolist()])[:-1]
+            text = "".join(map(signs, sign[start:stop].tolist()))[:-1]
             out.append(hashlib.sha256(text.encode()).hexdigest() if digest and text else text)
         return out
 
