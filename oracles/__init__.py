@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from oracles.chains import (
-    BIN_COLS, COUNTS, EVENTS, FACTORS, FEATURES, FOLDED, LINEITEM, SIX_FITS, SPLIT,
+    BIN_COLS, COUNTS, EVENTS, FACTORS, FEATURES, FOLDED, LINEITEM, SIX_FITS, SPLIT, VALUED,
     boosted, boosted_votes, cells, edges, fits, forest, forest_importances, forest_votes, judged, linear_votes, measured, newton, shuffled, sql, stratified, stumps,
     tree, tree_importances, tree_path, tree_votes, unpivot,
 )
@@ -29,6 +29,7 @@ FOLD_SIZES = """fold_n AS (
   SELECT f.fold, count(*) FILTER (grid_fold <> f.fold) AS n_train
   FROM folded, (SELECT unnest(range(5)) AS fold) f WHERE split = 'train' GROUP BY f.fold)"""
 BINNED = ",\n".join([FOLDED, edges()])
+ROWS = ",\n".join([FOLDED, VALUED])
 PLACED = "CAST(row_number() OVER (ORDER BY raw DESC, feature) AS INTEGER) AS place"
 ONE_FIT = [(-1, -1, 1.0)]
 ROUNDS = 50  # boosting rounds of the single fits
@@ -57,7 +58,7 @@ def boosted_importance(place: bool) -> str:
     select = f"""SELECT feature, round(raw, 6) AS importance{', ' + PLACED if place else ''} FROM (
   SELECT name AS feature, coalesce(sum(alpha), 0) / (SELECT sum(alpha) FROM learner) AS raw
   FROM (VALUES {names}) AS t(name, id) LEFT JOIN learner ON learner.f = id GROUP BY name)"""
-    chain = [BINNED, cells("cv_fold"), fits(ONE_FIT), boosted(ROUNDS), f"learner AS ({stumps(ROUNDS)})"]
+    chain = [ROWS, cells("cv_fold"), fits(ONE_FIT), boosted(ROUNDS), f"learner AS ({stumps(ROUNDS)})"]
     return sql(*chain, select=select)
 
 
@@ -71,7 +72,7 @@ def predict_tree(depth: int, min_split: int) -> str:
     path = tree_path(depth).replace("SELECT w.fit, w.label, w.n,", f"SELECT w.fit, w.label, w.n, {BIN_COLS},")
     select = f"SELECT row_key, prediction FROM binned JOIN answer USING ({BIN_COLS}) WHERE split = 'test'"
     answer = f"answer AS (SELECT DISTINCT * FROM {votes})"
-    return sql(BINNED, cells("cv_fold"), fits(ONE_FIT), tree(depth), path, answer, select=select)
+    return sql(ROWS, cells("cv_fold"), fits(ONE_FIT), tree(depth), path, answer, select=select)
 
 
 def tuned(chain: list[str], variants: list[tuple[str, str]], params: list[dict]) -> str:
@@ -267,8 +268,8 @@ def _grids() -> dict[str, str]:
 
 
 def _models() -> dict[str, str]:
-    trees = [BINNED, cells("cv_fold"), fits(SIX_FITS)]
-    one = [BINNED, cells("cv_fold"), fits(ONE_FIT)]
+    trees = [ROWS, cells("cv_fold"), fits(SIX_FITS)]
+    one = [ROWS, cells("cv_fold"), fits(ONE_FIT)]
     weights = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, w{i + 1} * {c!r} AS raw FROM theta_{STEPS}" for i, (f, c) in enumerate(zip(FEATURES, FACTORS))
     )
@@ -286,12 +287,12 @@ def _models() -> dict[str, str]:
             select=f"SELECT f AS feature, bin, label, count(*) AS n FROM ({unpivot('binned', 'label', TRAIN_ONLY)}) GROUP BY ALL",
         ),
         "stump_split": sql(
-            *trees, boosted(1), select="SELECT fit, f AS feature, bin, left_vote, right_vote, round(err, 6) AS error FROM stump_1"
+            *trees, boosted(1), select="SELECT fit, f AS feature, round(cut, 9) AS cut, left_vote, right_vote, round(err, 6) AS error FROM stump_1"
         ),
         "samme_rounds": sql(
             *one,
             boosted(ROUNDS),
-            select=f"""SELECT round, f AS feature, bin, left_vote, right_vote, round(err, 6) AS error, round(alpha, 6) AS alpha
+            select=f"""SELECT round, f AS feature, round(cut, 9) AS cut, left_vote, right_vote, round(err, 6) AS error, round(alpha, 6) AS alpha
 FROM ({stumps(ROUNDS)})""",
         ),
         "importance_adaboost": boosted_importance(place=True),
@@ -305,14 +306,14 @@ FROM ({stumps(ROUNDS)})""",
   FROM (VALUES {names}) AS t(name, id) LEFT JOIN inner_nodes ON f = id GROUP BY name)""",
         ),
         "importance_rf": sql(
-            BINNED,
+            ROWS,
             forest(TREES, DEPTH),
             forest_importances(DEPTH),
             select=f"""SELECT feature, round(raw, 9) AS importance, {PLACED} FROM (
   SELECT name AS feature, coalesce(raw, 0) AS raw FROM (VALUES {names}) AS t(name, id) LEFT JOIN per_feature ON f = id)""",
         ),
         "predict_rf": sql(
-            BINNED,
+            ROWS,
             forest(TREES, DEPTH),
             forest_votes(TREES, DEPTH),
             select=f"SELECT row_key, prediction FROM binned JOIN answer USING ({BIN_COLS}) WHERE split = 'test'",

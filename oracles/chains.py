@@ -133,6 +133,12 @@ edges_{i} AS MATERIALIZED (
     )
 
 
+VALUED = f"""binned AS MATERIALIZED (
+  SELECT row_key, label, split, cv_fold, grid_fold, {", ".join(f"{f} AS b{i}" for i, f in enumerate(FEATURES))} FROM folded)"""
+NEXT = "lead(bin) OVER (PARTITION BY {key}, f ORDER BY bin) AS following"
+MIDDLE = "CASE WHEN bin / 2 + following / 2 >= following THEN bin ELSE bin / 2 + following / 2 END AS cut"
+
+
 def cells(fold_col: str) -> str:
     """Weighted cells; fold -1 marks test rows."""
     return f"""cell AS MATERIALIZED (
@@ -169,21 +175,22 @@ def boosted(rounds: int) -> str:
   SELECT fit, any_value(rate) AS rate, f, bin, sum(CASE WHEN label = 0 THEN w ELSE 0 END) AS w0, sum(CASE WHEN label = 1 THEN w ELSE 0 END) AS w1
   FROM ({unpivot(f"boost_{r - 1}", f"fit, rate, label, {weight}", "fold <> without AND fold >= 0")}) GROUP BY fit, f, bin),
 sides_{r} AS (
-  SELECT fit, rate, f, bin, sum(w0) OVER upto AS l0, sum(w1) OVER upto AS l1, sum(w0) OVER behind AS r0, sum(w1) OVER behind AS r1
+  SELECT fit, rate, f, bin, sum(w0) OVER upto AS l0, sum(w1) OVER upto AS l1, sum(w0) OVER behind AS r0, sum(w1) OVER behind AS r1,
+         {NEXT.format(key="fit")}
   FROM hist_{r} WINDOW upto AS (PARTITION BY fit, f ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
        behind AS (PARTITION BY fit, f ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
 scored_{r} AS (
-  SELECT *, (l0 + l1) - (l0 * l0 + l1 * l1) / (l0 + l1) + (r0 + r1) - (r0 * r0 + r1 * r1) / (r0 + r1) AS impure, l0 + l1 + r0 + r1 AS t
+  SELECT *, ((l0 + l1) - (l0 * l0 + l1 * l1) / (l0 + l1)) + ((r0 + r1) - (r0 * r0 + r1 * r1) / (r0 + r1)) AS impure, l0 + l1 + r0 + r1 AS t
   FROM sides_{r} WHERE r0 IS NOT NULL),
 best_{r} AS (
-  SELECT *, CAST(l1 > l0 AS INTEGER) AS left_vote, CAST(r1 > r0 AS INTEGER) AS right_vote,
+  SELECT *, {MIDDLE}, CAST(l1 > l0 AS INTEGER) AS left_vote, CAST(r1 > r0 AS INTEGER) AS right_vote,
          (least(l0, l1) + least(r0, r1)) / t AS err
   FROM scored_{r} QUALIFY row_number() OVER (PARTITION BY fit ORDER BY round(impure / t, 9), f, bin) = 1),
 stump_{r} AS MATERIALIZED (SELECT *, rate * ln((1 - err) / err) AS alpha FROM best_{r}),
 boost_{r} AS MATERIALIZED (
   SELECT fit, without, rate, {BIN_COLS}, label, fold, n, missed + CASE WHEN vote <> label THEN alpha ELSE 0 END AS missed,
          margin + alpha * (2 * vote - 1) AS margin
-  FROM (SELECT b.*, s.alpha, CASE WHEN CASE s.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > s.bin THEN right_vote ELSE left_vote END AS vote
+  FROM (SELECT b.*, s.alpha, CASE WHEN CASE s.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > s.cut THEN right_vote ELSE left_vote END AS vote
         FROM boost_{r - 1} b JOIN stump_{r} s USING (fit)))"""
         )
     return ",\n".join(parts)
@@ -222,20 +229,21 @@ def tree(depth: int) -> str:
   SELECT fit, node, f, bin, CAST(sum(CASE WHEN label = 0 THEN n ELSE 0 END) AS DOUBLE) AS c0, CAST(sum(CASE WHEN label = 1 THEN n ELSE 0 END) AS DOUBLE) AS c1
   FROM ({unpivot(f"at_{level}", "fit, node, label, n", "training AND node IS NOT NULL")}) GROUP BY fit, node, f, bin),
 tree_sides_{level} AS (
-  SELECT fit, node, f, bin, sum(c0) OVER upto AS l0, sum(c1) OVER upto AS l1, sum(c0) OVER behind AS r0, sum(c1) OVER behind AS r1
+  SELECT fit, node, f, bin, sum(c0) OVER upto AS l0, sum(c1) OVER upto AS l1, sum(c0) OVER behind AS r0, sum(c1) OVER behind AS r1,
+         {NEXT.format(key="fit, node")}
   FROM tree_hist_{level} WINDOW upto AS (PARTITION BY fit, node, f ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
        behind AS (PARTITION BY fit, node, f ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
 tree_gain_{level} AS (
-  SELECT *, (l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1) + r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1)) / t AS score,
+  SELECT *, ((l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1)) + (r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1))) / t AS score,
          (t - ((l0 + r0) * (l0 + r0) + (l1 + r1) * (l1 + r1)) / t) / t AS whole
   FROM (SELECT *, l0 + l1 + r0 + r1 AS t FROM tree_sides_{level} WHERE r0 IS NOT NULL)
   WHERE l0 + r0 > 0 AND l1 + r1 > 0),
 cut_{level} AS MATERIALIZED (
-  SELECT fit, node, f, bin, greatest(0, whole - score) AS gain FROM tree_gain_{level}
+  SELECT fit, node, f, {MIDDLE}, greatest(0, whole - score) AS gain FROM tree_gain_{level}
   QUALIFY row_number() OVER (PARTITION BY fit, node ORDER BY round(score, 9), f, bin) = 1),
 at_{level + 1} AS MATERIALIZED (
   SELECT a.fit, a.without, {BIN_COLS}, a.label, a.fold, a.n, a.training,
-         2 * a.node + 1 + CAST(CASE c.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > c.bin AS BIGINT) AS node
+         2 * a.node + 1 + CAST(CASE c.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > c.cut AS BIGINT) AS node
   FROM at_{level} a LEFT JOIN cut_{level} c ON c.fit = a.fit AND c.node = a.node)"""
         )
     return ",\n".join(parts)
@@ -244,7 +252,7 @@ at_{level + 1} AS MATERIALIZED (
 def tree_path(depth: int) -> str:
     """Held-out cells with the nodes m0..mD they pass, NULL below the last."""
     cut_of = lambda level: (
-        f"2 * m{level} + 1 + CAST(CASE c.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > c.bin AS BIGINT) AS m{level + 1}"
+        f"2 * m{level} + 1 + CAST(CASE c.f {' '.join(f'WHEN {i} THEN b{i}' for i in F)} END > c.cut AS BIGINT) AS m{level + 1}"
     )
     parts = [
         f"""walk_0 AS (
@@ -320,18 +328,19 @@ looked_{v} AS (
            min(CASE WHEN several THEN place END) OVER mine AS next FROM several_{v} WINDOW mine AS (PARTITION BY tree, path))
   WHERE several AND (place <= {looked_at} OR (NOT enough AND place = next))),
 bent_{v} AS (
-  SELECT tree, path, f, bin, sum(c0) OVER upto AS l0, sum(c1) OVER upto AS l1, sum(c0) OVER behind AS r0, sum(c1) OVER behind AS r1
+  SELECT tree, path, f, bin, sum(c0) OVER upto AS l0, sum(c1) OVER upto AS l1, sum(c0) OVER behind AS r0, sum(c1) OVER behind AS r1,
+         {NEXT.format(key="tree, path")}
   FROM ring_{v} JOIN looked_{v} USING (tree, path, f)
   WINDOW upto AS (PARTITION BY tree, path, f ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          behind AS (PARTITION BY tree, path, f ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
 saw_{v} AS MATERIALIZED (
-  SELECT tree, path, f, bin, t * greatest(0, whole - score) AS fall FROM (
-    SELECT *, (l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1) + r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1)) / t AS score,
+  SELECT tree, path, f, {MIDDLE}, t * greatest(0, whole - score) AS fall FROM (
+    SELECT *, ((l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1)) + (r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1))) / t AS score,
            (t - ((l0 + r0) * (l0 + r0) + (l1 + r1) * (l1 + r1)) / t) / t AS whole
     FROM (SELECT *, l0 + l1 + r0 + r1 AS t FROM bent_{v} WHERE r0 IS NOT NULL))
   QUALIFY row_number() OVER (PARTITION BY tree, path ORDER BY round(score, 9), f, bin) = 1),
 wood_{v + 1} AS MATERIALIZED (
-  SELECT a.tree, {BIN_COLS}, a.label, a.w, a.path || CASE WHEN {_bin_of('c')} > c.bin THEN 'R' ELSE 'L' END AS path
+  SELECT a.tree, {BIN_COLS}, a.label, a.w, a.path || CASE WHEN {_bin_of('c')} > c.cut THEN 'R' ELSE 'L' END AS path
   FROM wood_{v} a JOIN saw_{v} c ON c.tree = a.tree AND c.path = a.path)"""
         )
     return ",\n".join(parts)
@@ -354,7 +363,7 @@ def forest_votes(trees: int, depth: int) -> str:
         if v < depth:
             parts.append(
                 f"""visit_{v + 1} AS MATERIALIZED (
-  SELECT a.tree, {BIN_COLS}, a.path || CASE WHEN {_bin_of('c')} > c.bin THEN 'R' ELSE 'L' END AS path
+  SELECT a.tree, {BIN_COLS}, a.path || CASE WHEN {_bin_of('c')} > c.cut THEN 'R' ELSE 'L' END AS path
   FROM visit_{v} a JOIN saw_{v} c ON c.tree = a.tree AND c.path = a.path)"""
             )
     parts.append(f"answer AS (SELECT {BIN_COLS}, CAST(sum(share) > {trees} / 2.0 + 1e-9 AS INTEGER) AS prediction FROM ({' UNION ALL '.join(stops)}) GROUP BY {BIN_COLS})")

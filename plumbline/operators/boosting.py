@@ -3,39 +3,37 @@
 One fit is one setting on one set of training rows. All fits share every pass over the data: a row
 carries, per fit, the summed weights ``alpha`` of the learners that got it wrong. That single number
 is the row's log weight for training, and because the learners that got it right hold the rest of
-the alphas, it is also its vote. A pass counts weighted rows per (fit, node, feature, bin) inside
-the tasks; Spark sums the counts and picks the best cut of every node; only the chosen cuts come
-back. A tree of depth d takes d passes whatever the number of fits.
+the alphas, it is also its vote. The cuts of a level's nodes, of all fits together, are found by
+branch and bound over the distributed rows (``cuts``); only the chosen cuts come back. A tree of
+depth d takes d such searches whatever the number of fits.
 """
 
 from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators.binning import Bins, binned_array
-from plumbline.operators.growth import GrowSpec, TreeNodes, grow
-from plumbline.session import drop_path, keep, scratch_path
+from plumbline.operators.cuts import Rule, matrix, search
+from plumbline.operators.growth import Coded, GrowSpec, TreeNodes, grow
+from plumbline.operators.trees import HELD_OUT, values
+from plumbline.session import drop_path, keep, scratch_path, share
 
 PASSES_PER_CHECKPOINT = 6
 FITS_PER_PASS = 64  # bounds what a row carries
-CUTS_PER_PASS = 200_000  # bounds what a pass returns
-HELD_OUT = -1  # fold number of the rows no fit trains on
-NO_CUT = 32_767  # above every bin number
+NODES_PER_PASS = 4_096  # bounds what a search returns
+NO_CUT = math.inf  # above every value
 DEEPEST = 12  # of a boosted tree, which is stored with all 2^depth places
 LOCAL_BYTES = 64 << 20  # of a cell table that is broadcast
 
-_CELL = "bins array<smallint>, label int, fold int, n bigint"
-_STATE = f"{_CELL}, missed array<double>"
-_COUNTS = "fit int, node int, feature int, bin int, w0 double, w1 double"
+_STATE = "x array<double>, label int, fold int, n bigint, missed array<double>"
 _SCORES = "fit int, label int, prediction int, n bigint"
 
 
@@ -45,28 +43,28 @@ class SmallTree:
 
     depth: int
     feature: np.ndarray = field(init=False)
-    cut: np.ndarray = field(init=False)  # rows with bin > cut go right
+    cut: np.ndarray = field(init=False)  # rows with a value over it go right
     vote: np.ndarray = field(init=False)
     gain: np.ndarray = field(init=False)  # impurity decrease times the node's share of the weight
 
     def __post_init__(self):
         inner = 2**self.depth - 1
         self.feature = np.zeros(inner, dtype=np.int32)
-        self.cut = np.full(inner, NO_CUT, dtype=np.int32)
+        self.cut = np.full(inner, NO_CUT)
         self.gain = np.zeros(inner)
         self.vote = np.zeros(2 * inner + 1, dtype=np.int32)
 
-    def nodes_of(self, bins: np.ndarray, levels: int) -> np.ndarray:
+    def nodes_of(self, x: np.ndarray, levels: int) -> np.ndarray:
         """Node reached after ``levels`` steps, numbered from 0 on that level."""
-        node = np.zeros(len(bins), dtype=np.int64)
-        rows = np.arange(len(bins))
+        node = np.zeros(len(x), dtype=np.int64)
+        rows = np.arange(len(x))
         for level in range(levels):
             at = node + (2**level - 1)
-            node = 2 * node + (bins[rows, self.feature[at]] > self.cut[at])
+            node = 2 * node + (x[rows, self.feature[at]] > self.cut[at])
         return node
 
-    def predict(self, bins: np.ndarray) -> np.ndarray:
-        return self.vote[self.nodes_of(bins, self.depth) + 2**self.depth - 1]
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return self.vote[self.nodes_of(x, self.depth) + 2**self.depth - 1]
 
     @staticmethod
     def of(nodes: TreeNodes, depth: int) -> "SmallTree":
@@ -105,22 +103,18 @@ class BoostSpec:
 class BoostFit:
     """The learners of one fit, in order, with their weights and weighted errors."""
 
-    bins: Bins
+    features: list[str]
     spec: BoostSpec
     trees: list[SmallTree] = field(default_factory=list)
     alphas: list[float] = field(default_factory=list)
     errors: list[float] = field(default_factory=list)
     stopped: bool = False
 
-    @property
-    def features(self) -> list[str]:
-        return self.bins.features
-
     def prefix(self, n_estimators: int) -> "BoostFit":
         """The fit that stops after ``n_estimators`` rounds."""
         spec = BoostSpec(n_estimators, self.spec.learning_rate, self.spec.base_max_depth, self.spec.without_fold)
         k = n_estimators
-        return BoostFit(self.bins, spec, self.trees[:k], self.alphas[:k], self.errors[:k], self.stopped)
+        return BoostFit(self.features, spec, self.trees[:k], self.alphas[:k], self.errors[:k], self.stopped)
 
     def importances(self) -> dict[str, float]:
         """Mean of the learners' importances weighted by alpha."""
@@ -136,14 +130,13 @@ class BoostFit:
 
         @F.arrow_udf("double")
         def vote(rows: pa.Array) -> pa.Array:
-            flat = rows.flatten().to_numpy(zero_copy_only=False)
-            bins = flat.reshape(len(rows), -1) if len(rows) else flat.reshape(0, 1)
-            margin = np.zeros(len(bins))
+            x = matrix(rows)
+            margin = np.zeros(len(x))
             for tree, alpha in learners:
-                margin += alpha * (2 * tree.predict(bins) - 1)
+                margin += alpha * (2 * tree.predict(x) - 1)
             return pa.array((margin > 1e-9).astype("float64"))
 
-        return binned_array(df, self.bins).withColumn("prediction", vote("bins")).drop("bins")
+        return df.withColumn("prediction", vote(values(self.features)))
 
     def learners(self, spark: SparkSession) -> DataFrame:
         """(round, alpha, error, node, feature, cut, vote, gain): one row per node."""
@@ -151,27 +144,25 @@ class BoostFit:
         for r, (tree, alpha, error) in enumerate(zip(self.trees, self.alphas, self.errors), start=1):
             inner = len(tree.feature)
             for i, v in enumerate(tree.vote):
-                own = (int(tree.feature[i]), int(tree.cut[i]), float(tree.gain[i])) if i < inner else (None, None, None)
+                own = (int(tree.feature[i]), float(tree.cut[i]), float(tree.gain[i])) if i < inner else (None, None, None)
                 rows.append((r, float(alpha), float(error), i, own[0], own[1], own[2], int(v)))
-        schema = "round int, alpha double, error double, node int, feature int, cut int, gain double, vote int"
+        schema = "round int, alpha double, error double, node int, feature int, cut double, gain double, vote int"
         return spark.createDataFrame(rows, schema)
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
         self.learners(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/learners")
-        rows = [(i, f, e) for i, (f, e) in enumerate(zip(self.bins.features, self.bins.edges))]
-        edges = spark.createDataFrame(rows, "position int, feature string, edges array<double>")
-        edges.coalesce(1).write.mode("overwrite").parquet(f"{path}/bins")
+        names = spark.createDataFrame(list(enumerate(self.features)), "position int, feature string")
+        names.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
         spec = [(self.spec.n_estimators, self.spec.learning_rate, self.spec.base_max_depth)]
         settings = spark.createDataFrame(spec, "n_estimators int, learning_rate double, base_max_depth int")
         settings.coalesce(1).write.mode("overwrite").parquet(f"{path}/spec")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "BoostFit":
-        edges = spark.read.parquet(f"{path}/bins").orderBy("position").collect()
-        bins = Bins([r["feature"] for r in edges], [list(r["edges"]) for r in edges])
+        names = [r["feature"] for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
         s = spark.read.parquet(f"{path}/spec").first()
-        fit = BoostFit(bins, BoostSpec(s["n_estimators"], s["learning_rate"], s["base_max_depth"]))
+        fit = BoostFit(names, BoostSpec(s["n_estimators"], s["learning_rate"], s["base_max_depth"]))
         for r in spark.read.parquet(f"{path}/learners").orderBy("round", "node").collect():
             if r["node"] == 0:
                 fit.trees.append(SmallTree(s["base_max_depth"]))
@@ -184,19 +175,15 @@ class BoostFit:
         return fit
 
 
-def cells(df: DataFrame, bins: Bins, label: str, fold) -> DataFrame:
-    """Rows with equal bins, label and fold always share one weight: count them once.
-
-    The partial count runs before the shuffle, so a cell with very many rows is no hot spot.
-    """
-    rows = binned_array(df, bins).select("bins", F.col(label).cast("int").alias("label"), fold.cast("int").alias("fold"))
-    return rows.groupBy("bins", "label", "fold").agg(F.count(F.lit(1)).alias("n"))
-
-
 def fit_boosted(
-    cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], score_at: Sequence[int] = (), local_bytes: int = LOCAL_BYTES
+    cell_table: DataFrame,
+    features: Sequence[str],
+    specs: Sequence[BoostSpec],
+    edges: Callable[[], list],
+    score_at: Sequence[int] = (),
+    local_bytes: int = LOCAL_BYTES,
 ) -> tuple[list[BoostFit], pd.DataFrame]:
-    """Fit all specs on one table of ``cells``.
+    """Fit all specs on one table of ``trees.cells``.
 
     Also returns (fit, n_trees, label, prediction, n) on the rows each fit left out, after every
     number of rounds in ``score_at`` and after the last: its own fold, or the held-out rows for a
@@ -204,34 +191,35 @@ def fit_boosted(
     no scores.
 
     A cell table of at most ``local_bytes`` goes to the executors whole, and the fits run side by side,
-    a task each; on a larger one all fits share the passes over the distributed cells.
+    a task each; on a larger one all fits share the passes over the distributed cells. ``edges`` gives
+    some values per feature that cut these into slices of like size, without influence on the result.
     """
     if max(s.base_max_depth for s in specs) > DEEPEST:
         raise ValueError(f"a boosted tree has at most depth {DEEPEST}")
-    if cell_table.count() * (2 * len(bins.features) + 16) <= local_bytes:
-        return _fit_local(cell_table, bins, specs, score_at)
+    if cell_table.count() * (8 * len(features) + 16) <= local_bytes:
+        return _fit_local(cell_table, list(features), specs, score_at)
     fits, scores = [], []
-    widest = len(bins.features) * 2 ** (max(s.base_max_depth for s in specs) - 1)
-    together = max(1, min(FITS_PER_PASS, CUTS_PER_PASS // widest))
+    widest = 2 ** (max(s.base_max_depth for s in specs) - 1)
+    together = max(1, min(FITS_PER_PASS, NODES_PER_PASS // widest))
     for start in range(0, len(specs), together):
-        some, counted = _fit_together(cell_table, bins, list(specs[start : start + together]), score_at)
+        some, counted = _fit_together(cell_table, list(features), list(specs[start : start + together]), score_at, edges())
         counted["fit"] += start
         fits += some
         scores.append(counted)
     return fits, pd.concat(scores, ignore_index=True)
 
 
-def _fit_local(cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], score_at: Sequence[int]):
-    spark, counts = cell_table.sparkSession, bins.counts
-    table = cell_table.select("bins", "label", "fold", "n").toArrow()
-    columns = [table.column(c).to_numpy() for c in ("label", "fold", "n")]
-    cells = table.column("bins").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
-    shared = spark.sparkContext.broadcast((cells, *columns))
+def _fit_local(cell_table: DataFrame, features: list[str], specs: Sequence[BoostSpec], score_at: Sequence[int]):
+    spark = cell_table.sparkSession
+    table = cell_table.select("x", "label", "fold", "n").toArrow()
+    label, fold, n = (table.column(c).to_numpy() for c in ("label", "fold", "n"))
+    x = matrix(table.column("x").combine_chunks())
+    shared = share(spark, (x, Coded.of(x), label.astype(np.int64), fold, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in batch.column(0).to_pylist():
-                made = pickle.dumps(_boosted(*shared.value, specs[i], counts, score_at))
+                made = pickle.dumps(_boosted(*shared.value, specs[i], score_at))
                 yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "made": pa.array([made], pa.binary())})
 
     tasks = spark.range(0, len(specs), 1, min(len(specs), 4 * spark.sparkContext.defaultParallelism))
@@ -244,7 +232,7 @@ def _fit_local(cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], sc
         learners = [SmallTree(spec.base_max_depth) for _ in trees]
         for tree, (tree.feature, tree.cut, tree.vote, tree.gain) in zip(learners, trees):
             pass
-        fits.append(BoostFit(bins, spec, learners, alphas, errors, stopped))
+        fits.append(BoostFit(features, spec, learners, alphas, errors, stopped))
         for p in sorted({*score_at, last}):
             if p <= last and scored:
                 cells_at = scored[max(k for k in scored if k <= p)]
@@ -252,25 +240,25 @@ def _fit_local(cell_table: DataFrame, bins: Bins, specs: Sequence[BoostSpec], sc
     return fits, pd.DataFrame(scores, columns=["fit", "label", "prediction", "n", "n_trees"])
 
 
-def _boosted(bins, label, fold, n, spec: BoostSpec, bin_counts, score_at):
+def _boosted(x, data: Coded, label, fold, n, spec: BoostSpec, score_at):
     """One fit on cells in memory: learners, alphas, errors, whether it stopped, and the confusion cells
     of the left-out rows after the rounds in ``score_at`` and the last."""
     mine = (fold > HELD_OUT) & (fold != (HELD_OUT if spec.without_fold is None else spec.without_fold))
     out = fold == (HELD_OUT if spec.without_fold is None else spec.without_fold)
-    own_bins, y, times = bins[mine], label[mine], n[mine]
+    own, coded, y, times, left_out = x[mine], data.rows(np.flatnonzero(mine)), label[mine], n[mine], x[out]
     missed, votes, shift = np.zeros(len(y)), np.zeros(int(out.sum())), 0.0
-    fit, scored = BoostFit(None, spec), {}
+    fit, scored = BoostFit([], spec), {}
     how = GrowSpec(max_depth=spec.base_max_depth)
     for round_no in range(1, spec.n_estimators + 1):
         weight = times * np.exp(missed - shift)
         root = weight.sum()
-        tree = SmallTree.of(grow(own_bins, y, weight, times, bin_counts, how), spec.base_max_depth)
-        wrong = tree.predict(own_bins) != y
+        tree = SmallTree.of(grow(coded, y, weight, times, how), spec.base_max_depth)
+        wrong = tree.predict(own) != y
         if (learner := _accept(fit, tree, float(weight[wrong].sum() / root))) is None:
             break
         shift += math.log(float(root))
         missed += learner[1] * wrong
-        votes += learner[1] * (2 * tree.predict(bins[out]) - 1)
+        votes += learner[1] * (2 * tree.predict(left_out) - 1)
         if round_no in score_at or round_no == spec.n_estimators or fit.stopped:
             cell = label[out] * 2 + (votes > 1e-9)
             scored[round_no] = np.bincount(cell, weights=n[out], minlength=4).astype(np.int64).reshape(2, 2)
@@ -281,8 +269,8 @@ def _boosted(bins, label, fold, n, spec: BoostSpec, bin_counts, score_at):
     return [(t.feature, t.cut, t.vote, t.gain) for t in fit.trees], fit.alphas, fit.errors, fit.stopped, scored
 
 
-def _fit_together(cell_table, bins, specs, score_at):
-    fits = [BoostFit(bins, s) for s in specs]
+def _fit_together(cell_table, features, specs, score_at, edges):
+    fits = [BoostFit(features, s) for s in specs]
     shift = np.zeros(len(fits))  # log of the current weight total per fit, which normalises the weights
     last = max(s.n_estimators for s in specs)
     scores: dict[int, pd.DataFrame] = {}
@@ -293,7 +281,7 @@ def _fit_together(cell_table, bins, specs, score_at):
             if not growing:
                 break
             state.settle()
-            grown = _grow(state, bins, fits, growing, shift)
+            grown = _grow(state, edges, fits, growing, shift)
             for j in growing:
                 if (learner := _accept(fits[j], *grown[j])) is not None:
                     state.pending.setdefault(j, []).append(learner)
@@ -351,7 +339,7 @@ def _accept(fit: BoostFit, tree: SmallTree, error: float) -> tuple[SmallTree, fl
     return tree, alpha
 
 
-def _grow(state, bins, fits, growing, shift) -> dict[int, tuple[SmallTree, float]]:
+def _grow(state, edges, fits, growing, shift) -> dict[int, tuple[SmallTree, float]]:
     """One weighted tree per growing fit, level by level; moves ``shift`` to the new totals."""
     trees = {j: SmallTree(fits[j].spec.base_max_depth) for j in growing}
     weights: dict[int, dict[int, tuple[float, float]]] = {j: {} for j in growing}
@@ -359,30 +347,38 @@ def _grow(state, bins, fits, growing, shift) -> dict[int, tuple[SmallTree, float
     open_nodes = {j: [0] for j in growing}
     trained = state.table.where(F.col("fold") > HELD_OUT)
     for level in range(max(t.depth for t in trees.values())):
-        counted = {j: (trees[j], fits[j].spec.without_fold, float(shift[j]), nodes) for j, nodes in open_nodes.items()}
-        best = _best_cuts(trained.mapInArrow(_counter(counted, state.pending, bins.counts, level), _COUNTS))
+        places = [(j, node) for j, nodes in open_nodes.items() for node in nodes]
+        counted = []
+        for j, nodes in open_nodes.items():
+            numbers = np.full(2**level, -1)
+            numbers[nodes] = [places.index((j, node)) for node in nodes]
+            counted.append((j, trees[j], fits[j].spec.without_fold, float(shift[j]), numbers))
+        cuts, totals = search(trained, _views(counted, state.pending, level), [Rule()] * len(places), edges)
         state.passes += 1
+        found = dict(zip(places, zip(cuts, totals)))
         following: dict[int, list[int]] = {}
         for j, tree in trees.items():
             if level >= tree.depth:
                 continue
             offset, below = 2**level - 1, 2 ** (level + 1) - 1
             if level == 0:
-                b = best[j, 0]
-                weights[j][0] = (b["t0"], b["t1"])
-                root[j] = b["t0"] + b["t1"]
-                tree.vote[0] = _vote(b["t0"], b["t1"])
+                whole = found[j, 0][1]
+                weights[j][0] = (whole.w0, whole.w1)
+                root[j] = whole.w0 + whole.w1
+                tree.vote[0] = _vote(whole.w0, whole.w1)
             for node in range(2**level):
                 at, left = node + offset, 2 * node + below
                 if at not in weights[j]:
                     continue
-                b = best.get((j, node))
-                if b is None or b["score"] is None:
+                cut, total = found.get((j, node), (None, None))
+                if cut is None or min(weights[j][at]) <= 0:
                     weights[j][left], tree.vote[left] = weights[j][at], tree.vote[at]
                     continue
-                tree.feature[at], tree.cut[at] = b["feature"], b["bin"]
-                tree.gain[at] = max(0.0, _mixed(b["t0"], b["t1"]) - _mixed(b["l0"], b["l1"]) - _mixed(b["r0"], b["r1"])) / root[j]
-                for child, pair in ((left, (b["l0"], b["l1"])), (left + 1, (b["r0"], b["r1"]))):
+                rest = total - cut.left
+                tree.feature[at], tree.cut[at] = cut.feature, cut.threshold
+                sides = ((cut.left.w0, cut.left.w1), (max(rest.w0, 0.0), max(rest.w1, 0.0)))
+                tree.gain[at] = max(0.0, _mixed(total.w0, total.w1) - sum(_mixed(*s) for s in sides)) / root[j]
+                for child, pair in zip((left, left + 1), sides):
                     weights[j][child], tree.vote[child] = pair, _vote(*pair)
                     if min(pair) > 0 and level + 1 < tree.depth:
                         following.setdefault(j, []).append(child - below)
@@ -399,6 +395,20 @@ def _grow(state, bins, fits, growing, shift) -> dict[int, tuple[SmallTree, float
     return out
 
 
+def _views(counted: list[tuple], pending: dict, level: int):
+    """Task side: the rows each fit trains on, the number of the open node they are in, and their weights."""
+
+    def of(batch: pa.RecordBatch):
+        x, label, fold = matrix(batch.column("x")), _vector(batch, "label"), _vector(batch, "fold")
+        n, missed = _vector(batch, "n"), _missed(batch, x, label, pending)
+        for j, tree, without, shift, numbers in counted:
+            node = numbers[tree.nodes_of(x, level)]
+            rows = np.flatnonzero((node >= 0) & (fold != (HELD_OUT if without is None else without)))
+            yield rows, node[rows], n[rows] * np.exp(missed[rows, j] - shift), n[rows]
+
+    return of
+
+
 def _close(trees, weights, level: int) -> None:
     """No node is left to split: let every node hand its rows down the left side to the last level."""
     for j, tree in trees.items():
@@ -410,83 +420,16 @@ def _close(trees, weights, level: int) -> None:
                     weights[j][left], tree.vote[left] = weights[j][node + offset], tree.vote[node + offset]
 
 
-def _best_cuts(counts: DataFrame) -> dict:
-    """Cut with the lowest weighted Gini impurity of its two sides per (fit, node), ties to the first
-    feature and bin; ``score`` is NULL where no feature tells the rows apart.
-
-    One shuffle: the rows a task sends are its own sums, and summing, running totals and the choice
-    per feature share a partitioning. One row per (fit, node, feature) comes back.
-    """
-    key = ["fit", "node", "feature"]
-    sums = counts.repartition(*key).groupBy(*key, "bin").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"))
-    upto = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    behind = Window.partitionBy(*key).orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
-    sides = sums.select(
-        *key, "bin",
-        F.sum("w0").over(upto).alias("l0"), F.sum("w1").over(upto).alias("l1"),
-        F.sum("w0").over(behind).alias("r0"), F.sum("w1").over(behind).alias("r1"),
-    )
-    l0, l1, r0, r1 = map(F.col, ("l0", "l1", "r0", "r1"))
-    total = l0 + l1 + r0 + r1
-    left, right = l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1), r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1)
-    score = F.when(r0.isNotNull(), F.round((left + right) / total, 9))
-    best = F.struct(
-        score.isNull().alias("uncut"), score.alias("score"), "feature", "bin", "l0", "l1", "r0", "r1",
-        F.coalesce(l0 + r0, l0).alias("t0"), F.coalesce(l1 + r1, l1).alias("t1"),
-    )
-    out: dict = {}
-    for r in sides.groupBy(*key).agg(F.min(best).alias("best")).collect():
-        at, b = (r["fit"], r["node"]), r["best"]
-        if at not in out or _rank(b) < _rank(out[at]):
-            out[at] = b
-    return out
-
-
-def _rank(b) -> tuple:
-    return b["uncut"], b["score"] or 0.0, b["feature"]
-
-
-def _counter(counted: dict, pending: dict, bin_counts: list[int], level: int):
-    """Task side of a pass: weighted rows per (fit, open node, feature, bin) and class."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {j: [np.zeros(2**level * b * 2) for b in bin_counts] for j in counted}
-        for batch in batches:
-            bins, label, fold = _matrix(batch, "bins"), _vector(batch, "label"), _vector(batch, "fold")
-            n, missed = _vector(batch, "n"), _missed(batch, bins, label, pending)
-            first = [bins[:, f].astype(np.int64) * 2 + label for f in range(len(bin_counts))]
-            for j, (tree, without, shift, _) in counted.items():
-                weight = n * np.exp(missed[:, j] - shift)
-                if without is not None:
-                    weight[fold == without] = 0.0
-                node = tree.nodes_of(bins, level)
-                for f, b in enumerate(bin_counts):
-                    at = first[f] + node * (2 * b) if level else first[f]
-                    tables[j][f] += np.bincount(at, weights=weight, minlength=len(tables[j][f]))
-        rows = []
-        for j, (_, _, _, nodes) in counted.items():
-            for f, b in enumerate(bin_counts):
-                table = tables[j][f].reshape(2**level, b, 2)[nodes]
-                node, cell = np.nonzero(table.sum(axis=2) > 0)
-                rows.append((np.full(len(node), j), np.asarray(nodes)[node], np.full(len(node), f), cell, *table[node, cell].T))
-        columns = [np.concatenate(c) for c in zip(*rows)]
-        arrays = [pa.array(c.astype("int32")) for c in columns[:4]] + [pa.array(c) for c in columns[4:]]
-        yield pa.RecordBatch.from_arrays(arrays, names=["fit", "node", "feature", "bin", "w0", "w1"])
-
-    return count
-
-
 def _updater(pending: dict):
     """Task side of the update: the same cells with the pending learners counted in."""
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, label = _matrix(batch, "bins"), _vector(batch, "label")
-            missed = _missed(batch, bins, label, pending)
+            missed = _missed(batch, matrix(batch.column("x")), _vector(batch, "label"), pending)
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype="int32") * missed.shape[1])
             lists = pa.ListArray.from_arrays(offsets, pa.array(missed.ravel()))
-            columns = [batch.column(c) for c in ("bins", "label", "fold", "n")]
-            yield pa.RecordBatch.from_arrays([*columns, lists], names=["bins", "label", "fold", "n", "missed"])
+            columns = [batch.column(c) for c in ("x", "label", "fold", "n")]
+            yield pa.RecordBatch.from_arrays([*columns, lists], names=["x", "label", "fold", "n", "missed"])
 
     return update
 
@@ -499,7 +442,7 @@ def _score(state: DataFrame, fits: list[BoostFit]) -> pd.DataFrame:
         counts = np.zeros((len(totals), 2, 2), dtype=np.int64)
         for batch in batches:
             label, fold = _vector(batch, "label"), _vector(batch, "fold")
-            n, missed = _vector(batch, "n"), _matrix(batch, "missed")
+            n, missed = _vector(batch, "n"), matrix(batch.column("missed"))
             for j, (total, left_out) in enumerate(totals):
                 mine = fold == left_out
                 for_one = np.where(label == 1, total - missed[:, j], missed[:, j])
@@ -514,20 +457,15 @@ def _score(state: DataFrame, fits: list[BoostFit]) -> pd.DataFrame:
     return rows.toPandas()
 
 
-def _missed(batch: pa.RecordBatch, bins: np.ndarray, label: np.ndarray, pending: dict) -> np.ndarray:
+def _missed(batch: pa.RecordBatch, x: np.ndarray, label: np.ndarray, pending: dict) -> np.ndarray:
     """Summed alphas of the learners that got a row wrong, one column per fit."""
-    missed = _matrix(batch, "missed").copy()
+    missed = matrix(batch.column("missed")).copy()
     for j, learners in pending.items():
         for tree, alpha in learners:
-            missed[:, j] += alpha * (tree.predict(bins) != label)
+            missed[:, j] += alpha * (tree.predict(x) != label)
     return missed
 
 
-def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
-    flat = batch.column(column).flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)
-
-
 def _vector(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return batch.column(column).to_numpy(zero_copy_only=False)
 

@@ -1,22 +1,22 @@
-"""Growing exact histogram trees: the cut rule, trees as arrays, and growth of one tree in memory.
+"""Growing exact trees: the cut rule, trees as arrays, and growth of one tree in memory.
 
-A tree only sees bin numbers, labels, weights and row counts. The best cut of a node is the one whose
-sides have the least weighted impurity, rounded at the ninth digit; ties go to the first feature and
-then to the first bin. A node is split while it holds both classes and its limits allow it, whether
-or not the cut lowers the impurity.
+A cut lies in the middle between two neighbouring values that rows of the node have. The best cut of a
+node is the one whose sides have the least weighted impurity, rounded at the ninth digit; ties go to the
+first feature and then to the smallest value. A node is split while it holds both classes and its limits
+allow it, whether or not the cut lowers the impurity. Values are handled as their ranks (codes), so
+nothing is lost however many different values a feature has.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
 import numpy as np
 
 DIGITS = 9
-CELLS_AT_ONCE = 4_000_000  # histogram cells held at a time
 
 
 @dataclass(frozen=True)
@@ -37,11 +37,19 @@ class GrowSpec:
         if self.criterion not in ("gini", "entropy"):
             raise ValueError(f"criterion must be 'gini' or 'entropy', not {self.criterion!r}")
 
+    @property
+    def least_rows(self) -> int:
+        """Rows that a node must have to be split."""
+        return max(self.min_samples_split, 2 * self.min_samples_leaf)
+
+    def subset(self, n_features: int) -> bool:
+        return self.max_features is not None and self.max_features < n_features
+
 
 @dataclass
 class TreeNodes:
     """The nodes of one tree, parents before children; ``feature`` and the children are -1 at a leaf.
-    Rows whose bin is over ``cut`` go right."""
+    Rows whose value is over ``cut`` go right."""
 
     feature: np.ndarray
     cut: np.ndarray
@@ -79,12 +87,12 @@ class TreeNodes:
             out[self.left[stop]] = out[self.right[stop]] = out[stop]
         return out
 
-    def leaf_of(self, bins: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins)) if self.feature[0] >= 0 else np.zeros(0, np.int64)
+    def leaf_of(self, x: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(x), np.int64)
+        rows = np.arange(len(x)) if self.feature[0] >= 0 else np.zeros(0, np.int64)
         while len(rows):
             at = node[rows]
-            right = bins[rows, self.feature[at]] > self.cut[at]
+            right = x[rows, self.feature[at]] > self.cut[at]
             node[rows] = np.where(right, self.right[at], self.left[at])
             rows = rows[self.feature[node[rows]] >= 0]
         return node
@@ -116,7 +124,32 @@ class TreeNodes:
         return TreeNodes(*columns)
 
 
-_KINDS = ("<i4", "<i4", "<i4", "<i4", "<f8", "<f8", "<i8", "<i4", "<f8")
+_KINDS = ("<i4", "<f8", "<i4", "<i4", "<f8", "<f8", "<i8", "<i4", "<f8")
+
+
+class Coded:
+    """Columns of values as ranks among the column's different values."""
+
+    def __init__(self, codes: list[np.ndarray], values: list[np.ndarray]):
+        self.codes, self.values = codes, values
+
+    @staticmethod
+    def of(x: np.ndarray) -> "Coded":
+        found = [np.unique(x[:, f], return_inverse=True) for f in range(x.shape[1])]
+        return Coded([c.ravel().astype(np.int32) for _, c in found], [v for v, _ in found])
+
+    def rows(self, some: np.ndarray) -> "Coded":
+        return Coded([c[some] for c in self.codes], self.values)
+
+    @property
+    def sizes(self) -> list[int]:
+        return [len(v) for v in self.values]
+
+
+def middle(low, high):
+    """The cut between two neighbouring values; the lower one where no number fits between them."""
+    half = np.asarray(low) / 2 + np.asarray(high) / 2
+    return np.where((half >= high) | (half < low) | ~np.isfinite(half), low, half)
 
 
 def impurity(w0, w1, criterion: str):
@@ -129,64 +162,109 @@ def impurity(w0, w1, criterion: str):
     return -total * (p * np.log2(np.where(p > 0, p, 1.0)) + q * np.log2(np.where(q > 0, q, 1.0)))
 
 
-def cut_scores(w0: np.ndarray, w1: np.ndarray, n: np.ndarray, criterion: str, min_leaf: int) -> np.ndarray:
-    """Impurity of the two sides of a cut behind each bin but the last, per row of histograms; infinite
-    where a side has too few rows."""
-    l0, l1, ln = (np.cumsum(x, axis=1)[:, :-1] for x in (w0, w1, n))
-    r0, r1, rn = (x.sum(axis=1)[:, None] - y for x, y in ((w0, l0), (w1, l1), (n, ln)))
-    total = (w0.sum(axis=1) + w1.sum(axis=1))[:, None]
-    score = (impurity(l0, l1, criterion) + impurity(np.maximum(r0, 0), np.maximum(r1, 0), criterion)) / total
-    return np.where((ln >= max(1, min_leaf)) & (rn >= max(1, min_leaf)), np.round(score, DIGITS), np.inf)
-
-
-def best_cuts(
-    bins: np.ndarray,
-    label: np.ndarray,
-    weight: np.ndarray,
-    count: np.ndarray,
-    slot: np.ndarray,
-    slots: int,
-    bin_counts: Sequence[int],
-    criterion: str,
-    min_leaf: int,
-    wanted: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, cut) per slot, feature -1 where none cuts. ``slot`` numbers the nodes of the rows from
-    0; ``wanted`` ranks each slot's features, of which the first ones are looked at (see ``allowed``)."""
-    together = max(1, CELLS_AT_ONCE // max(bin_counts))
-    if slots > together:
-        parts = []
-        for start in range(0, slots, together):
-            mine = (slot >= start) & (slot < start + together)
-            some = min(together, slots - start)
-            own = None if wanted is None else wanted[start : start + some]
-            parts.append(best_cuts(bins[mine], label[mine], weight[mine], count[mine], slot[mine] - start, some, bin_counts, criterion, min_leaf, own))
-        return tuple(np.concatenate(x) for x in zip(*parts))
-    def tables():
-        for f, b in enumerate(bin_counts):
-            at = slot * b + bins[:, f]
-            n = np.bincount(at, weights=count, minlength=slots * b).reshape(slots, b)
-            both = np.bincount(at * 2 + label, weights=weight, minlength=slots * b * 2).reshape(slots, b, 2)
-            yield both[:, :, 0], both[:, :, 1], n
-
-    return choose(tables(), slots, criterion, min_leaf, wanted)
-
-
-def choose(tables: Iterable[tuple], slots: int, criterion: str, min_leaf: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, cut) per slot from one (w0, w1, n) of histograms [slot, bin] per feature."""
-    best, feature, cut = np.full(slots, np.inf), np.full(slots, -1), np.zeros(slots, np.int64)
-    scores, several = [], []
-    for w0, w1, n in tables:
-        score = cut_scores(w0, w1, n, criterion, min_leaf) if w0.shape[1] > 1 else np.full((slots, 1), np.inf)
-        place = score.argmin(axis=1)
-        scores.append((score[np.arange(slots), place], place))
-        several.append((n > 0).sum(axis=1) > 1)
-    look = None if wanted is None else allowed(wanted, np.stack(several, axis=1))
-    for f, (score, place) in enumerate(scores):
-        if look is not None:
-            score = np.where(look[:, f], score, np.inf)
-        better = score < best
-        best[better], feature[better], cut[better] = score[better], f, place[better]
+def running(x: np.ndarray, first: np.ndarray, sizes: np.ndarray, whole: bool) -> np.ndarray:
+    """Running sums inside segments; numbers that are not whole are added up segment by segment, so that a
+    heavy segment leaves no rounding error in a light one."""
+    if whole or len(first) == 1:
+        upto = np.cumsum(x)
+        return upto - np.repeat(upto[first] - x[first], sizes)
+    out = np.empty(len(x))
+    for start, size in zip(first.tolist(), sizes.tolist()):
+        np.cumsum(x[start : start + size], out=out[start : start + size])
+    return out
+
+
+def cut_scores(first: np.ndarray, w0, w1, n, criterion: str, min_leaf: int, whole: bool) -> np.ndarray:
+    """Impurity of the two sides of a cut behind each cell of ascending values, per segment that begins at
+    ``first``; infinite where a side has too few rows."""
+    sizes = np.diff(np.append(first, len(n)))
+    last = first + sizes - 1
+    l0, l1, ln = (running(x, first, sizes, w) for x, w in ((w0, whole), (w1, whole), (n, True)))
+    t0, t1, tn = (np.repeat(x[last], sizes) for x in (l0, l1, ln))
+    sides = impurity(l0, l1, criterion) + impurity(np.maximum(t0 - l0, 0), np.maximum(t1 - l1, 0), criterion)
+    total = t0 + t1
+    score = np.round(sides / np.where(total > 0, total, 1.0), DIGITS)
+    return np.where((ln >= max(1, min_leaf)) & (tn - ln >= max(1, min_leaf)), score, np.inf)
+
+
+@dataclass
+class Level:
+    """The rows of the nodes (slots) that are split together."""
+
+    data: Coded
+    rows: np.ndarray
+    label: np.ndarray
+    weight: np.ndarray
+    count: np.ndarray
+    slot: np.ndarray
+    slots: int
+    whole: bool  # are all weights whole numbers?
+
+    def cells(self, f: int, mine: np.ndarray | None):
+        """(slot, code, w0, w1, n) of the different values per slot, in order."""
+        size = len(self.data.values[f])
+        rows, slot, y, w, n = (self.rows, self.slot, self.label, self.weight, self.count)
+        if mine is not None:
+            mine = np.flatnonzero(mine)
+            rows, slot, y, w, n = (x[mine] for x in (rows, slot, y, w, n))
+        at = slot * size + self.data.codes[f][rows]
+        if self.slots * size <= 4 * len(at) + 1024:
+            both = np.bincount(at * 2 + y, weights=w, minlength=2 * self.slots * size)
+            counts = np.bincount(at, weights=n, minlength=self.slots * size)
+            found = np.flatnonzero(counts)
+            return found // size, found % size, both[0::2][found], both[1::2][found], counts[found]
+        order = np.argsort(at, kind=None if self.whole else "stable")
+        at, y, w = at[order], y[order], w[order]
+        start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+        ones = w * y
+        sums = [np.add.reduceat(x, start) if len(at) else np.zeros(0) for x in (w - ones, ones, n[order].astype(float))]
+        return at[start] // size, at[start] % size, *sums
+
+    def best(self, f: int, look: np.ndarray | None, criterion: str, min_leaf: int):
+        """Per slot that looks at the feature: (score, code on the left, code on the right, are there several values?)."""
+        score, low, high = np.full(self.slots, np.inf), np.zeros(self.slots, np.int64), np.zeros(self.slots, np.int64)
+        several = np.zeros(self.slots, bool)
+        mine = None if look is None or look.all() else look[self.slot]
+        slot, code, w0, w1, n = self.cells(f, mine)
+        if len(slot):
+            first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+            own = slot[first]
+            several[own] = np.diff(np.append(first, len(slot))) > 1
+            found = cut_scores(first, w0, w1, n, criterion, min_leaf, self.whole)
+            least = np.minimum.reduceat(found, first)
+            score[own] = least
+            at = np.flatnonzero((found == score[slot]) & np.isfinite(found))[::-1]
+            low[slot[at]] = code[at]  # the last one written is the first of the slot
+            high[slot[at]] = code[np.minimum(at + 1, len(code) - 1)]
+        return score, low, high, several
+
+
+def best_cuts(level: Level, criterion: str, min_leaf: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, cut) per slot, feature -1 where none cuts. ``wanted`` ranks each slot's features, of which
+    the negative ones are looked at (see ``allowed``)."""
+    n_features = len(level.data.codes)
+    best, feature, cut = np.full(level.slots, np.inf), np.full(level.slots, -1), np.zeros(level.slots)
+    several = np.zeros((level.slots, n_features), bool)
+
+    def look_at(f: int, look: np.ndarray | None) -> None:
+        score, low, high, several[:, f] = level.best(f, look, criterion, min_leaf)
+        better = (score < best) | ((score == best) & np.isfinite(score) & (f < feature))
+        best[better], feature[better] = score[better], f
+        values = level.data.values[f]
+        cut[better] = middle(values[low[better]], values[high[better]])
+
+    for f in range(n_features):
+        look = None if wanted is None else wanted[:, f] < 0
+        if look is None or look.any():
+            look_at(f, look)
+    if wanted is not None and (none := ~(several & (wanted < 0)).any(axis=1)).any():
+        for f in range(n_features):  # nodes whose features have one value each look at a further one
+            if (rest := none & (wanted[:, f] >= 0)).any():
+                several[rest, f] = level.best(f, rest, criterion, min_leaf)[3][rest]
+        look = allowed(wanted, several) & (wanted >= 0)
+        for f in range(n_features):
+            if look[:, f].any():
+                look_at(f, look[:, f])
     return feature, cut
 
 
@@ -236,43 +314,37 @@ def draws(seed: int, trees: range, keys: Sequence[str]) -> np.ndarray:
     return np.concatenate(out, axis=1)[:, trees.start - first : trees.stop - first].astype(np.int64)
 
 
-def grow(
-    bins: np.ndarray,
-    label: np.ndarray,
-    weight: np.ndarray,
-    count: np.ndarray,
-    bin_counts: Sequence[int],
-    spec: GrowSpec,
-    tree: int = 0,
-    path: str = "",
-) -> TreeNodes:
+def grow(data: Coded, label: np.ndarray, weight: np.ndarray, count: np.ndarray, spec: GrowSpec, tree: int = 0, path: str = "") -> TreeNodes:
     """One tree on rows with positive weight, or the part of one that begins at ``path`` (L and R from
     the root)."""
     levels, paths, depth, made = [], [path], len(path), 1
     rows, slot = np.arange(len(label)), np.zeros(len(label), np.int64)
-    subset = spec.max_features is not None and spec.max_features < len(bin_counts)
+    n_features = len(data.codes)
+    subset, whole = spec.subset(n_features), bool((weight == np.rint(weight)).all())
     while paths:
         slots, y, w = len(paths), label[rows], weight[rows]
         w0 = np.bincount(slot, weights=w * (y == 0), minlength=slots)
         w1 = np.bincount(slot, weights=w * (y == 1), minlength=slots)
         n = np.bincount(slot, weights=count[rows], minlength=slots).astype(np.int64)
-        open_ = (w0 > 0) & (w1 > 0) & (n >= max(spec.min_samples_split, 2 * spec.min_samples_leaf))
+        open_ = (w0 > 0) & (w1 > 0) & (n >= spec.least_rows)
         if spec.max_depth is not None and depth >= spec.max_depth:
             open_[:] = False
-        feature, cut = np.full(slots, -1), np.zeros(slots, np.int64)
+        feature, cut = np.full(slots, -1), np.zeros(slots)
         number = np.cumsum(open_) - 1
         mine = open_[slot]
         rows, slot = rows[mine], slot[mine]
         if open_.any():
-            wanted = feature_ranks(spec.seed, tree, [p for p, o in zip(paths, open_) if o], len(bin_counts), spec.max_features) if subset else None
-            feature[open_], cut[open_] = best_cuts(
-                bins[rows], label[rows], weight[rows], count[rows], number[slot], int(open_.sum()), bin_counts, spec.criterion, spec.min_samples_leaf, wanted
-            )
+            wanted = feature_ranks(spec.seed, tree, [p for p, o in zip(paths, open_) if o], n_features, spec.max_features) if subset else None
+            level = Level(data, rows, label[rows], weight[rows], count[rows], number[slot], int(open_.sum()), whole)
+            feature[open_], cut[open_] = best_cuts(level, spec.criterion, spec.min_samples_leaf, wanted)
         split = feature >= 0
         left = np.where(split, made + 2 * (np.cumsum(split) - 1), -1)
         mine = split[slot]
         rows, slot = rows[mine], slot[mine]
-        to_right = bins[rows, feature[slot]] > cut[slot]
+        to_right = np.zeros(len(rows), bool)
+        for f in range(n_features):
+            own = np.flatnonzero(feature[slot] == f)
+            to_right[own] = data.values[f][data.codes[f][rows[own]]] > cut[slot[own]]
         below = 2 * (np.cumsum(split) - 1)[slot] + to_right
         c0 = np.bincount(below, weights=weight[rows] * (label[rows] == 0), minlength=2 * split.sum())
         c1 = np.bincount(below, weights=weight[rows] * (label[rows] == 1), minlength=2 * split.sum())

@@ -1,41 +1,58 @@
-"""Decision trees and forests on binned features, and every smaller tree they contain.
+"""Decision trees and forests, and every smaller tree they contain.
 
 A greedy tree never looks below a node before splitting it, so the tree for a smaller depth or a
 larger ``min_samples_split`` is the big tree with some nodes closed. Closing nodes only changes what a
 leaf of the big tree answers: one tree serves all of these settings.
 
-Training rows come as cells (equal bins, label and fold, counted) or, for forests, as rows with their
+Training rows come as cells (equal values, label and fold, counted) or, for forests, as rows with their
 key, from which each tree's bootstrap draws are read. A table of at most LOCAL_BYTES goes to the
 executors whole and the trees of all fits are grown side by side, a task for a few trees. A larger
-table stays where it is: histograms of the large nodes are summed by Spark level by level, and a node
-of at most LOCAL_ROWS rows is finished by one task. Both ways give the same trees.
+table stays where it is, and the trees of all fits grow in the same passes: the cuts of their large nodes
+are found by branch and bound (``cuts``), and a node of at most LOCAL_ROWS rows is finished by one task.
+Both ways give the same trees.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators.binning import Bins, binned_array
-from plumbline.operators.growth import GrowSpec, TreeNodes, choose, draws, feature_ranks, grow, impurity
-from plumbline.session import SEED, drop_path, keep, scratch_path
+from plumbline.operators.cuts import Cut, Rule, Side, matrix, search
+from plumbline.operators.growth import Coded, GrowSpec, TreeNodes, draws, feature_ranks, grow, impurity
+from plumbline.session import SEED, keep, share
 
 LOCAL_BYTES = 64 << 20  # of a training table that is broadcast
 LOCAL_ROWS = 200_000  # rows of a node that one task finishes
 MODEL_BYTES = 64 << 20  # of the trees in one broadcast
 TREES_PER_TASK = 8
-TREES_TOGETHER = 16  # of a forest on a large table
+TREES_TOGETHER = 32  # of all fits on a large table
+BLOCK_ROWS = 16_384  # left-out rows whose votes are added up together
 HELD_OUT = -1
 
-_ROW = "bins array<smallint>, label int, fold int, n bigint, key string"
-_NODE_ROW = "tree int, path string, bins array<smallint>, label int, w double, n bigint"
+_ROW = "x array<double>, label int, fold int, n bigint, key string"
+
+
+def values(features: Sequence[str]) -> Column:
+    """The features of a row as array<double>; a missing or infinite one is an error."""
+    bad = F.raise_error(F.lit("missing value in a feature, or one that is not finite")).cast("double")
+    numbers = [F.col(f"`{f}`").cast("double") for f in features]
+    return F.array(*[F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < math.inf), v).otherwise(bad) for v in numbers])
+
+
+def cells(df: DataFrame, features: Sequence[str], label: str, fold: Column) -> DataFrame:
+    """Rows with equal values, label and fold always share one weight: count them once.
+
+    The partial count runs before the shuffle, so a cell with very many rows is no hot spot.
+    """
+    rows = df.select(values(features).alias("x"), F.col(label).cast("int").alias("label"), fold.cast("int").alias("fold"))
+    return rows.groupBy("x", "label", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)
@@ -48,9 +65,9 @@ class Pruning:
 
 @dataclass(frozen=True)
 class TreeFit:
-    """A fitted tree or forest together with its bin edges and the pruning in force."""
+    """A fitted tree or forest together with its features and the pruning in force."""
 
-    bins: Bins
+    features: list[str]
     trees: list[TreeNodes] = field(repr=False)
     pruning: Pruning = Pruning()
 
@@ -58,16 +75,12 @@ class TreeFit:
     def n_trees(self) -> int:
         return len(self.trees)
 
-    @property
-    def features(self) -> list[str]:
-        return self.bins.features
-
     def with_pruning(self, pruning: Pruning) -> "TreeFit":
-        return TreeFit(self.bins, self.trees, pruning)
+        return TreeFit(self.features, self.trees, pruning)
 
     def first(self, n_trees: int) -> "TreeFit":
         """The forest of the first trees."""
-        return TreeFit(self.bins, self.trees[:n_trees], self.pruning)
+        return TreeFit(self.features, self.trees[:n_trees], self.pruning)
 
     def importances(self) -> dict[str, float]:
         """Impurity decrease per feature, per tree summing to 1, averaged over the trees."""
@@ -82,12 +95,11 @@ class TreeFit:
         A projection: the trees go to the executors in sets of at most MODEL_BYTES, whose sums are
         added up row by row.
         """
-        spark, binned = df.sparkSession, binned_array(df, self.bins)
         total = F.lit(0.0)
         for part in _sets(self.trees):
             limits = (self.pruning.max_depth, self.pruning.min_samples_split)
-            total = total + _summed(spark.sparkContext.broadcast([(t, t.answers(*limits)) for t in part]))("bins")
-        return binned.withColumn("prediction", (total > self.n_trees / 2 + 1e-9).cast("double")).drop("bins")
+            total = total + _summed(share(df.sparkSession, [(t, t.answers(*limits)) for t in part]))(values(self.features))
+        return df.withColumn("prediction", (total > self.n_trees / 2 + 1e-9).cast("double"))
 
     def nodes(self, spark: SparkSession) -> DataFrame:
         """(tree, node, feature, cut, left, right, w0, w1, n, depth, gain): one row per node."""
@@ -95,7 +107,7 @@ class TreeFit:
             pd.DataFrame({"tree": np.int32(i), "node": np.arange(len(t.feature), dtype=np.int32), **{k: getattr(t, k) for k in _NODE_COLUMNS}})
             for i, t in enumerate(self.trees)
         ]
-        schema = "tree int, node int, feature int, cut int, left int, right int, w0 double, w1 double, n bigint, depth int, gain double"
+        schema = "tree int, node int, feature int, cut double, left int, right int, w0 double, w1 double, n bigint, depth int, gain double"
         return spark.createDataFrame(pd.concat(frames), schema)
 
     def save(self, path: str) -> None:
@@ -103,18 +115,16 @@ class TreeFit:
         self.nodes(spark).write.mode("overwrite").parquet(f"{path}/nodes")
         row = [(self.pruning.max_depth, self.pruning.min_samples_split)]
         spark.createDataFrame(row, "max_depth int, min_samples_split int").coalesce(1).write.mode("overwrite").parquet(f"{path}/pruning")
-        edges = [(i, f, e) for i, (f, e) in enumerate(zip(self.bins.features, self.bins.edges))]
-        edges = spark.createDataFrame(edges, "position int, feature string, edges array<double>")
-        edges.coalesce(1).write.mode("overwrite").parquet(f"{path}/bins")
+        names = spark.createDataFrame(list(enumerate(self.features)), "position int, feature string")
+        names.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "TreeFit":
         p = spark.read.parquet(f"{path}/pruning").first()
-        edges = spark.read.parquet(f"{path}/bins").orderBy("position").collect()
-        bins = Bins([r["feature"] for r in edges], [list(r["edges"]) for r in edges])
+        names = [r["feature"] for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
         table = spark.read.parquet(f"{path}/nodes").toPandas().sort_values(["tree", "node"])
         trees = [TreeNodes(*[part[k].to_numpy() for k in _NODE_COLUMNS]) for _, part in table.groupby("tree")]
-        return TreeFit(bins, trees, Pruning(None if pd.isna(p["max_depth"]) else int(p["max_depth"]), p["min_samples_split"]))
+        return TreeFit(names, trees, Pruning(None if pd.isna(p["max_depth"]) else int(p["max_depth"]), p["min_samples_split"]))
 
 
 _NODE_COLUMNS = ("feature", "cut", "left", "right", "w0", "w1", "n", "depth", "gain")
@@ -143,20 +153,22 @@ def forest_spec(
 
 
 class Grower:
-    """A table of training rows (bins, label, fold, n, key) on which trees are grown.
+    """A table of training rows (x, label, fold, n, key) on which trees are grown.
 
     ``fold`` is HELD_OUT for rows no fit trains on; a fit also leaves out its own fold. ``key`` decides
-    the bootstrap draws of a row (n is 1 then); cells need none.
+    the bootstrap draws of a row (n is 1 then); cells need none. ``edges`` gives some values per feature
+    that cut a large table's rows into slices of like size; they have no influence on the trees.
     """
 
-    def __init__(self, table: DataFrame, bins: Bins, local_bytes: int = LOCAL_BYTES, local_rows: int = LOCAL_ROWS):
-        self.bins, self.local_rows = bins, local_rows
+    def __init__(self, table: DataFrame, n_features: int, edges: Callable[[], list], local_bytes: int = LOCAL_BYTES, local_rows: int = LOCAL_ROWS):
+        self.n_features, self.edges, self.local_rows = n_features, edges, local_rows
         kinds = {"label": "int", "fold": "int", "n": "bigint", "key": "string"}
-        self.table = keep(table.select("bins", *[F.col(c).cast(k).alias(c) for c, k in kinds.items()]))
+        self.table = keep(table.select("x", *[F.col(c).cast(k).alias(c) for c, k in kinds.items()]))
         size = self.table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("key")).alias("k")).first()
-        self.local = (2 * len(bins.features) + 24) * size["n"] + (size["k"] or 0) <= local_bytes
+        self.rows = size["n"]
+        self.local = (8 * n_features + 24) * size["n"] + (size["k"] or 0) <= local_bytes
         if self.local:
-            self.shared = self.spark.sparkContext.broadcast(_Rows.of(self.table.toArrow()))
+            self.shared = share(self.spark, _Rows.of(self.table.toArrow()))
 
     @property
     def spark(self) -> SparkSession:
@@ -170,254 +182,275 @@ class Grower:
     def fits(self, specs: Sequence[GrowSpec]) -> list[list[TreeNodes]]:
         """The trees of each spec."""
         if not self.local:
-            return [self._large(s) for s in specs]
+            jobs = [(j, t) for j, s in enumerate(specs) for t in range(s.n_trees)]
+            grown = []
+            for start in range(0, len(jobs), TREES_TOGETHER):
+                grown += _Frontier(self, specs, jobs[start : start + TREES_TOGETHER]).run()
+            out: list[list[TreeNodes]] = [[] for _ in specs]
+            for (j, _), tree in zip(jobs, grown):
+                out[j].append(tree)
+            return out
         tasks = [(j, trees) for j, s in enumerate(specs) for trees in _chunks(s.n_trees, [s.n_trees])]
-        counts, shared = self.bins.counts, self.shared
+        shared = self.shared
 
         def run(batches):
             for batch in batches:
                 for i in batch.column(0).to_pylist():
                     j, trees = tasks[i]
-                    grown = [t.packed() for t in shared.value.grow(specs[j], trees, counts)]
+                    grown = [t.packed() for t in shared.value.grow(specs[j], trees)]
                     yield pa.RecordBatch.from_pydict({"i": pa.array([i] * len(grown), pa.int32()), "nodes": pa.array(grown, pa.binary())})
 
         rows = self._tasks(len(tasks)).mapInArrow(run, "i int, nodes binary").toArrow().to_pydict()
         made: dict[int, list] = {}
         for i, nodes in zip(rows["i"], rows["nodes"]):
             made.setdefault(i, []).append(TreeNodes.unpacked(nodes))
-        out: list[list[TreeNodes]] = [[] for _ in specs]
+        out = [[] for _ in specs]
         for i, (j, _) in enumerate(tasks):
             out[j] += made[i]
         return out
 
     def scores(self, specs: Sequence[GrowSpec], prunings: Sequence[Sequence[Pruning]], sizes: Sequence[Sequence[int]]) -> pd.DataFrame:
         """(fit, variant, n_trees, label, prediction, n) on the rows each fit left out: for every one of
-        its prunings, and for every size of a forest, of which the first trees are taken."""
+        its prunings, and for every size of a forest, of which the first trees are taken.
+
+        Trees' shares are added up per block of left-out rows, so no group is larger than a block."""
         if not self.local:
-            parts = [_large_scores(self.table, s, self._large(s), p, z).assign(fit=j) for j, (s, p, z) in enumerate(zip(specs, prunings, sizes))]
+            parts = [_large_scores(self.table, s, t, p, z).assign(fit=j) for j, (s, t, p, z) in enumerate(zip(specs, self.fits(specs), prunings, sizes))]
             return pd.concat(parts, ignore_index=True)
         tasks = [(j, trees) for j, (s, z) in enumerate(zip(specs, sizes)) for trees in _chunks(max(z), z)]
-        counts, shared = self.bins.counts, self.shared
+        shared = self.shared
 
         def run(batches):
             for batch in batches:
                 for i in batch.column(0).to_pylist():
                     j, trees = tasks[i]
-                    sums = shared.value.sums(specs[j], trees, counts, prunings[j])
-                    yield pa.RecordBatch.from_pydict(
-                        {"fit": pa.array([j], pa.int32()), "upto": pa.array([trees.stop], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())}
-                    )
+                    sums = shared.value.sums(specs[j], trees, prunings[j])
+                    for block, start in enumerate(range(0, sums.shape[1], BLOCK_ROWS)):
+                        part = np.ascontiguousarray(sums[:, start : start + BLOCK_ROWS])
+                        yield pa.RecordBatch.from_pydict(
+                            {"fit": pa.array([j], pa.int32()), "block": pa.array([block], pa.int32()), "upto": pa.array([trees.stop], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())}
+                        )
 
         def vote(part: pd.DataFrame) -> pd.DataFrame:
-            j, rows = int(part["fit"].iloc[0]), []
-            label, n = shared.value.left_out(specs[j])
+            j, start, rows = int(part["fit"].iloc[0]), int(part["block"].iloc[0]) * BLOCK_ROWS, []
+            label, n = (x[start : start + BLOCK_ROWS] for x in shared.value.left_out(specs[j]))
             part = part.sort_values("upto")
             arrays = [np.frombuffer(s).reshape(len(prunings[j]), -1) for s in part["sums"]]
             for size in sizes[j]:
                 total = sum(a for a, upto in zip(arrays, part["upto"]) if upto <= size)
                 for v in range(len(prunings[j])):
                     votes = (total[v] > size / 2 + 1e-9).astype(int)
-                    cells = np.bincount(label * 2 + votes, weights=n, minlength=4)
-                    rows += [(j, v, size, c // 2, c % 2, int(cells[c])) for c in range(4)]
+                    counted = np.bincount(label * 2 + votes, weights=n, minlength=4)
+                    rows += [(j, v, size, c // 2, c % 2, int(counted[c])) for c in range(4)]
             return pd.DataFrame(rows, columns=["fit", "variant", "n_trees", "label", "prediction", "n"])
 
-        sums = self._tasks(len(tasks)).mapInArrow(run, "fit int, upto int, sums binary")
-        return sums.groupBy("fit").applyInPandas(vote, "fit int, variant int, n_trees int, label int, prediction int, n bigint").toPandas()
+        sums = self._tasks(len(tasks)).mapInArrow(run, "fit int, block int, upto int, sums binary")
+        key = ["fit", "variant", "n_trees", "label", "prediction"]
+        voted = sums.groupBy("fit", "block").applyInPandas(vote, "fit int, variant int, n_trees int, label int, prediction int, n bigint")
+        return voted.groupBy(*key).agg(F.sum("n").alias("n")).toPandas()
 
     def _tasks(self, n: int) -> DataFrame:
         return self.spark.range(0, n, 1, max(1, min(n, 4 * self.spark.sparkContext.defaultParallelism)))
 
-    def _large(self, spec: GrowSpec) -> list[TreeNodes]:
-        out = []
-        for trees in _chunks(spec.n_trees, [spec.n_trees], TREES_TOGETHER):
-            out += _LargeGrowth(self, spec, trees).run()
-        return out
-
 
 class _Rows:
     """A training table in memory."""
 
-    def __init__(self, bins, label, fold, n, key):
-        self.bins, self.label, self.fold, self.n, self.key = bins, label, fold, n, key
+    def __init__(self, x, label, fold, n, key):
+        self.x, self.label, self.fold, self.n, self.key = x, label, fold, n, key
+        self.data = Coded.of(x)
 
     @staticmethod
     def of(table: pa.Table) -> "_Rows":
-        bins = table.column("bins").combine_chunks()
-        rest = [table.column(c).to_numpy() for c in ("label", "fold", "n")]
-        return _Rows(_matrix(bins), *rest, table.column("key").to_pylist())
+        columns = [table.column(c).to_numpy() for c in ("label", "fold", "n")]
+        return _Rows(matrix(table.column("x").combine_chunks()), columns[0].astype(np.int64), *columns[1:], table.column("key").to_pylist())
 
-    def grow(self, spec: GrowSpec, trees: range, bin_counts: list[int]) -> list[TreeNodes]:
-        mine = np.flatnonzero((self.fold > HELD_OUT) & (self.fold != (HELD_OUT if spec.without_fold is None else spec.without_fold)))
-        bins, label, n = self.bins[mine], self.label[mine], self.n[mine]
+    def grow(self, spec: GrowSpec, trees: range) -> list[TreeNodes]:
+        mine = np.flatnonzero((self.fold > HELD_OUT) & (self.fold != _own_fold(spec)))
+        data, label, n = self.data.rows(mine), self.label[mine], self.n[mine]
         if not spec.bootstrap:
-            return [grow(bins, label, n.astype(float), n, bin_counts, spec, t) for t in trees]
+            return [grow(data, label, n.astype(float), n, spec, t) for t in trees]
         drawn, out = draws(spec.seed, trees, [self.key[i] for i in mine]), []
         for t, times in zip(trees, drawn.T):
-            some = times > 0
-            out.append(grow(bins[some], label[some], times[some].astype(float), n[some], bin_counts, spec, t))
+            some = np.flatnonzero(times)
+            out.append(grow(data.rows(some), label[some], times[some].astype(float), n[some], spec, t))
         return out
 
     def left_out(self, spec: GrowSpec) -> tuple[np.ndarray, np.ndarray]:
-        mine = self._left_out(spec)
-        return self.label[mine].astype(np.int64), self.n[mine]
-
-    def _left_out(self, spec: GrowSpec) -> np.ndarray:
-        return self.fold == (HELD_OUT if spec.without_fold is None else spec.without_fold)
+        mine = self.fold == _own_fold(spec)
+        return self.label[mine], self.n[mine]
 
-    def sums(self, spec: GrowSpec, trees: range, bin_counts: list[int], prunings: Sequence[Pruning]) -> np.ndarray:
+    def sums(self, spec: GrowSpec, trees: range, prunings: Sequence[Pruning]) -> np.ndarray:
         """Summed shares of class 1, [pruning, left-out row]."""
-        bins = self.bins[self._left_out(spec)]
-        out = np.zeros((len(prunings), len(bins)))
-        for tree in self.grow(spec, trees, bin_counts):
-            leaf = tree.leaf_of(bins)
+        x = self.x[self.fold == _own_fold(spec)]
+        out = np.zeros((len(prunings), len(x)))
+        for tree in self.grow(spec, trees):
+            leaf = tree.leaf_of(x)
             for v, p in enumerate(prunings):
                 out[v] += tree.answers(p.max_depth, p.min_samples_split)[leaf]
         return out
 
 
-class _LargeGrowth:
-    """Some trees of one spec on a table that stays distributed. Rows (tree, path, …) move down the
-    trees; what the driver holds is one record per large node and, in the end, the trees."""
+def _own_fold(spec: GrowSpec) -> int:
+    return HELD_OUT if spec.without_fold is None else spec.without_fold
+
+
+class _Top:
+    """The large nodes of a tree while it grows: where rows go, and which node they are in."""
+
+    def __init__(self):
+        self.feature, self.cut, self.left, self.right = [-1], [0.0], [-1], [-1]
+
+    def split(self, node: int, feature: int, cut: float) -> tuple[int, int]:
+        at = len(self.feature)
+        self.feature[node], self.cut[node], self.left[node], self.right[node] = feature, cut, at, at + 1
+        for column, value in ((self.feature, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1)):
+            column += [value, value]
+        return at, at + 1
+
+    def routes(self) -> TreeNodes:
+        none = np.zeros(0)
+        return TreeNodes(np.array(self.feature), np.array(self.cut), np.array(self.left), np.array(self.right), none, none, none, none, none)
+
 
-    def __init__(self, grower: Grower, spec: GrowSpec, trees: range):
-        self.grower, self.spec, self.trees = grower, spec, trees
-        self.counts = grower.bins.counts
-        self.nodes: dict[tuple[int, str], dict] = {}
-        self.finished: dict[tuple[int, str], TreeNodes] = {}
+class _Frontier:
+    """Trees of any fits on a table that stays distributed, grown level by level in the same passes.
+
+    Rows do not move: every pass sends them down the trees as far as these have grown. What the driver
+    holds is one record per large node, the open ranges of its search and, in the end, the trees.
+    """
+
+    def __init__(self, grower: Grower, specs: Sequence[GrowSpec], jobs: Sequence[tuple[int, int]]):
+        self.grower, self.jobs = grower, list(jobs)
+        self.specs = [specs[j] for j, _ in jobs]
+        self.tops = [_Top() for _ in jobs]
+        self.paths = [[""] for _ in jobs]
+        self.sides: list[dict[int, Side]] = [{} for _ in jobs]
+        self.gains: list[dict[int, float]] = [{} for _ in jobs]
 
     def run(self) -> list[TreeNodes]:
-        spark, path = self.grower.spark, None
-        rows = self._rows()
-        while True:
-            written = scratch_path(spark, "growth")
-            rows.write.parquet(written)
-            if path:
-                drop_path(spark, path)
-            path, rows = written, spark.read.schema(_NODE_ROW).parquet(written)
-            ones = F.col("w") * F.col("label")
-            sizes = rows.groupBy("tree", "path").agg(
-                F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.sum(F.col("w") - ones).alias("w0"), F.sum(ones).alias("w1")
-            )
-            large = []
-            small = []
-            for r in sizes.collect():  # two per large node of the level above
-                at, depth = (r["tree"], r["path"]), len(r["path"])
-                if r["rows"] <= self.grower.local_rows:
-                    small.append(at)
-                    continue
-                self.nodes[at] = {"w0": r["w0"], "w1": r["w1"], "n": r["n"], "depth": depth}
-                enough = r["n"] >= max(self.spec.min_samples_split, 2 * self.spec.min_samples_leaf)
-                if min(r["w0"], r["w1"]) > 0 and enough and (self.spec.max_depth is None or depth < self.spec.max_depth):
-                    large.append(at)
-            if small:
-                self._finish(rows, small)
-            cuts = self._cuts(rows, large) if large else {}
-            if not cuts:
-                break
-            rows = rows.mapInArrow(_descend(cuts), _NODE_ROW)
-        drop_path(spark, path)
-        return [self._assembled(t) for t in self.trees]
-
-    def _rows(self) -> DataFrame:
-        spec, trees = self.spec, self.trees
-        fold = F.col("fold")
-        trained = self.grower.table.where((fold > HELD_OUT) & (fold != (HELD_OUT if spec.without_fold is None else spec.without_fold)))
-
-        def start(batches):
-            for batch in batches:
-                times = draws(spec.seed, trees, batch.column("key").to_pylist()) if spec.bootstrap else batch.column("n").to_numpy()[:, None]
-                for t, w in zip(trees, times.T):
-                    some = pa.array(np.flatnonzero(w > 0))
-                    part, n = batch.take(some), len(some)
-                    columns = [pa.array(np.full(n, t), pa.int32()), pa.array([""] * n, pa.string()), part.column("bins"), part.column("label")]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(w[w > 0].astype(float)), part.column("n")], names=_names(_NODE_ROW))
-
-        return trained.mapInArrow(start, _NODE_ROW)
-
-    def _finish(self, rows: DataFrame, small: list) -> None:
-        spec, counts = self.spec, self.counts
-        chosen = self.grower.spark.createDataFrame(small, "tree int, path string")
-
-        def finish(part: pd.DataFrame) -> pd.DataFrame:
-            tree, path = int(part["tree"].iloc[0]), part["path"].iloc[0]
-            bins = np.stack(part["bins"].to_numpy()).astype(np.int64)
-            grown = grow(bins, part["label"].to_numpy(), part["w"].to_numpy(), part["n"].to_numpy(), counts, spec, tree, path)
-            return pd.DataFrame({"tree": [tree], "path": [path], "nodes": [grown.packed()]})
-
-        own = rows.join(F.broadcast(chosen), ["tree", "path"])  # two records per large node at most
-        for r in own.groupBy("tree", "path").applyInPandas(finish, "tree int, path string, nodes binary").toLocalIterator():
-            self.finished[r["tree"], r["path"]] = TreeNodes.unpacked(bytes(r["nodes"]))
-
-    def _cuts(self, rows: DataFrame, large: list) -> dict:
-        spec, counts = self.spec, self.counts
-        number = {at: i for i, at in enumerate(large)}
-
-        def count(batches):
-            tables = [np.zeros((len(large), b, 3)) for b in counts]
-            for batch in batches:
-                slot = np.array([number.get(at, -1) for at in zip(batch.column("tree").to_pylist(), batch.column("path").to_pylist())])
-                mine = slot >= 0
-                slot, bins = slot[mine], _matrix(batch.column("bins"))[mine]
-                label, w, n = (batch.column(c).to_numpy()[mine] for c in ("label", "w", "n"))
-                for f, table in enumerate(tables):
-                    at = slot * table.shape[1] + bins[:, f]
-                    for k, weights in enumerate((w * (label == 0), w * (label == 1), n)):
-                        table[:, :, k] += np.bincount(at, weights=weights, minlength=table[:, :, k].size).reshape(table.shape[:2])
-            for f, table in enumerate(tables):
-                node, cell = np.nonzero(table[:, :, 2])
-                columns = [pa.array(x.astype("int32")) for x in (node, np.full(len(node), f), cell)] + [pa.array(table[node, cell, k]) for k in range(3)]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "feature", "bin", "w0", "w1", "n"])
-
-        def best(part: pd.DataFrame) -> pd.DataFrame:
-            node = int(part["node"].iloc[0])
-            tree, path = large[node]
-            tables = []
-            for f, b in enumerate(counts):
-                own, filled = part[part["feature"] == f], np.zeros((3, 1, b))
-                filled[:, 0, own["bin"].to_numpy()] = own[["w0", "w1", "n"]].to_numpy().T
-                tables.append(tuple(filled))
-            subset = spec.max_features is not None and spec.max_features < len(counts)
-            wanted = feature_ranks(spec.seed, tree, [path], len(counts), spec.max_features) if subset else None
-            feature, cut = choose(tables, 1, spec.criterion, spec.min_samples_leaf, wanted)
-            sides = [float(t[k][0, : cut[0] + 1].sum()) for k in (0, 1) for t in (tables[max(0, feature[0])],)]
-            return pd.DataFrame({"node": [node], "feature": [int(feature[0])], "cut": [int(cut[0])], "l0": [sides[0]], "l1": [sides[1]]})
-
-        sums = rows.mapInArrow(count, "node int, feature int, bin int, w0 double, w1 double, n double")
-        sums = sums.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("w0", "w1", "n")])
-        out = {}
-        for r in sums.groupBy("node").applyInPandas(best, "node int, feature int, cut int, l0 double, l1 double").collect():
-            if r["feature"] < 0:
-                continue
-            at = large[r["node"]]
-            here = self.nodes[at]
-            sides = impurity(np.array([r["l0"], here["w0"] - r["l0"]]), np.array([r["l1"], here["w1"] - r["l1"]]), spec.criterion).sum()
-            whole = impurity(np.array([here["w0"]]), np.array([here["w1"]]), spec.criterion)[0]
-            here |= {"feature": r["feature"], "cut": r["cut"], "gain": max(0.0, whole - sides) / (here["w0"] + here["w1"])}
-            out[at] = (r["feature"], r["cut"])
+        every = [(i, 0) for i in range(len(self.jobs))]
+        small, open_ = (every, []) if self.grower.rows <= self.grower.local_rows else ([], every)
+        while open_:
+            following = []
+            cuts, totals = search(self.grower.table, self._views(open_), [self._rule(*at) for at in open_], self.grower.edges())
+            for (i, node), cut, total in zip(open_, cuts, totals):
+                self.sides[i].setdefault(node, total or Side(0.0, 0.0, 0, 0))
+                if cut is None or not self._splits(i, node):
+                    continue  # of a root only the search knows what is in it
+                for child, side in zip(self._split(i, node, cut), (cut.left, total - cut.left)):
+                    self.sides[i][child] = side
+                    if side.size <= self.grower.local_rows:
+                        small.append((i, child))
+                    elif self._splits(i, child):
+                        following.append((i, child))
+            open_ = following
+        return self._assembled(self._finished(small))
+
+    def _splits(self, i: int, node: int) -> bool:
+        spec, side = self.specs[i], self.sides[i][node]
+        deep = spec.max_depth is not None and len(self.paths[i][node]) >= spec.max_depth
+        return min(side.w0, side.w1) > 0 and side.n >= spec.least_rows and not deep
+
+    def _split(self, i: int, node: int, cut: Cut) -> tuple[int, int]:
+        spec, whole = self.specs[i], self.sides[i][node]
+        left, right = cut.left, whole - cut.left
+        sides = impurity(np.array([left.w0, right.w0]), np.array([left.w1, right.w1]), spec.criterion).sum()
+        before = impurity(np.array([whole.w0]), np.array([whole.w1]), spec.criterion)[0]
+        self.gains[i][node] = max(0.0, float(before - sides)) / (whole.w0 + whole.w1)
+        self.paths[i] += [self.paths[i][node] + "L", self.paths[i][node] + "R"]
+        return self.tops[i].split(node, cut.feature, cut.threshold)
+
+    def _rule(self, i: int, node: int) -> Rule:
+        spec, wanted = self.specs[i], None
+        if spec.subset(self.grower.n_features):
+            wanted = feature_ranks(spec.seed, self.jobs[i][1], [self.paths[i][node]], self.grower.n_features, spec.max_features)[0]
+        return Rule(spec.criterion, spec.min_samples_leaf, wanted)
+
+    def _views(self, nodes: list[tuple[int, int]]):
+        """Each tree's rows and which of ``nodes`` they are in."""
+        return _views([(self.specs[i], self.jobs[i][1], self.tops[i].routes(), self._numbers(i, nodes)) for i in sorted({i for i, _ in nodes})])
+
+    def _numbers(self, i: int, nodes: list[tuple[int, int]]) -> np.ndarray:
+        out = np.full(len(self.tops[i].feature), -1)
+        for k, (own, node) in enumerate(nodes):
+            if own == i:
+                out[node] = k
         return out
 
-    def _assembled(self, tree: int) -> TreeNodes:
-        if (tree, "") in self.finished:
-            return self.finished[tree, ""]
-        paths = sorted((p for t, p in self.nodes if t == tree), key=lambda p: (len(p), p))
-        place = {p: i for i, p in enumerate(paths)}
-        made, grafts = len(paths), []
-        for p in sorted((p for t, p in self.finished if t == tree), key=lambda p: (len(p), p)):
-            place[p] = made
-            graft = self.finished[tree, p]
+    def _finished(self, small: list[tuple[int, int]]) -> dict[tuple[int, int], TreeNodes]:
+        """The trees below the small nodes, a task for each."""
+        if not small:
+            return {}
+        views, rows = self._views(small), "at int, x array<double>, label int, w double, n bigint"
+        what = [(self.specs[i], self.jobs[i][1], self.paths[i][node]) for i, node in small]
+
+        def place(batches):
+            for batch in batches:
+                for mine, node, w, n in views(batch):
+                    some = np.flatnonzero(node >= 0)
+                    part = batch.take(pa.array(mine[some]))
+                    columns = [pa.array(node[some].astype(np.int32)), part.column("x"), part.column("label"), pa.array(w[some]), pa.array(n[some].astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=_names(rows))
+
+        def finish(table: pa.Table) -> pa.Table:
+            at = table.column("at")[0].as_py()
+            spec, tree, path = what[at]
+            x = matrix(table.column("x").combine_chunks())
+            label, w, n = (table.column(c).to_numpy() for c in ("label", "w", "n"))
+            grown = grow(Coded.of(x), label.astype(np.int64), w, n, spec, tree, path)
+            return pa.table({"at": pa.array([at], pa.int32()), "nodes": pa.array([grown.packed()], pa.binary())})
+
+        done = self.grower.table.mapInArrow(place, rows).groupBy("at").applyInArrow(finish, "at int, nodes binary")
+        return {small[r["at"]]: TreeNodes.unpacked(bytes(r["nodes"])) for r in done.toLocalIterator()}
+
+    def _assembled(self, finished: dict[tuple[int, int], TreeNodes]) -> list[TreeNodes]:
+        return [self._tree(i, {node: t for (j, node), t in finished.items() if j == i}) for i in range(len(self.jobs))]
+
+    def _tree(self, i: int, finished: dict[int, TreeNodes]) -> TreeNodes:
+        """The large nodes with the finished ones grafted on."""
+        if 0 in finished:
+            return finished[0]
+        top, sides = self.tops[i], self.sides[i]
+        kept = [k for k in range(len(top.feature)) if k not in finished]
+        place, made, grafts = {k: at for at, k in enumerate(kept)}, len(kept), []
+        for k, graft in finished.items():
+            place[k] = made
             grafts.append(replace(graft, left=np.where(graft.left < 0, -1, graft.left + made), right=np.where(graft.right < 0, -1, graft.right + made)))
             made += len(graft.feature)
-        own = [self.nodes[tree, p] for p in paths]
-        split = ["feature" in x for x in own]
-        top = TreeNodes(
-            np.array([x.get("feature", -1) for x in own], np.int64),
-            np.array([x.get("cut", 0) for x in own], np.int64),
-            np.array([place[p + "L"] if s else -1 for p, s in zip(paths, split)], np.int64),
-            np.array([place[p + "R"] if s else -1 for p, s in zip(paths, split)], np.int64),
-            *[np.array([x[k] for x in own]) for k in ("w0", "w1", "n", "depth")],
-            np.array([x.get("gain", 0.0) for x in own]),
+        own = TreeNodes(
+            np.array([top.feature[k] for k in kept], np.int64),
+            np.array([top.cut[k] for k in kept]),
+            np.array([place.get(top.left[k], -1) for k in kept], np.int64),
+            np.array([place.get(top.right[k], -1) for k in kept], np.int64),
+            *[np.array([getattr(sides[k], c) for k in kept]) for c in ("w0", "w1", "n")],
+            np.array([len(self.paths[i][k]) for k in kept]),
+            np.array([self.gains[i].get(k, 0.0) for k in kept]),
         )
-        return TreeNodes(*[np.concatenate([getattr(t, k) for t in (top, *grafts)]) for k in _NODE_COLUMNS])
+        return TreeNodes(*[np.concatenate([getattr(t, k) for t in (own, *grafts)]) for k in _NODE_COLUMNS])
+
+
+def _views(trees: list[tuple[GrowSpec, int, TreeNodes, np.ndarray]]):
+    """Task side: the rows that each tree trains on, the number of the node they are in (negative: none),
+    their weights and counts."""
+
+    def of(batch: pa.RecordBatch):
+        x, fold, n = matrix(batch.column("x")), batch.column("fold").to_numpy(), batch.column("n").to_numpy()
+        keys, drawn = None, {}
+        for spec, tree, routes, numbers in trees:
+            trained = (fold > HELD_OUT) & (fold != _own_fold(spec))
+            weight = n
+            if spec.bootstrap:
+                keys = keys or batch.column("key").to_pylist()
+                block = (spec.seed, tree // 8)
+                if block not in drawn:
+                    drawn[block] = draws(spec.seed, range(8 * block[1], 8 * block[1] + 8), keys)
+                weight = drawn[block][:, tree % 8]
+                trained = trained & (weight > 0)
+            rows = np.flatnonzero(trained)
+            yield rows, numbers[routes.leaf_of(x[rows])], weight[rows].astype(float), n[rows]
+
+    return of
 
 
 def _summed(shared):
@@ -425,53 +458,35 @@ def _summed(shared):
 
     @F.arrow_udf("double")
     def shares(rows: pa.Array) -> pa.Array:
-        bins = _matrix(rows)
-        return pa.array(sum((answer[tree.leaf_of(bins)] for tree, answer in shared.value), np.zeros(len(bins))))
+        x = matrix(rows)
+        return pa.array(sum((answer[tree.leaf_of(x)] for tree, answer in shared.value), np.zeros(len(x))))
 
     return shares
 
 
-def _descend(cuts: dict):
-    """Task side of a level: rows of cut nodes go to a child, others have arrived."""
-
-    def step(batches):
-        for batch in batches:
-            trees, paths = batch.column("tree").to_pylist(), batch.column("path").to_pylist()
-            bins = _matrix(batch.column("bins"))
-            found = [cuts.get(at) for at in zip(trees, paths)]
-            rows = [i for i, c in enumerate(found) if c]
-            below = [paths[i] + ("R" if bins[i, found[i][0]] > found[i][1] else "L") for i in rows]
-            part = batch.take(pa.array(rows, pa.int64()))
-            columns = [pa.array(below, pa.string()) if c == "path" else part.column(c) for c in _names(_NODE_ROW)]
-            yield pa.RecordBatch.from_arrays(columns, names=_names(_NODE_ROW))
-
-    return step
-
-
 def _large_scores(table: DataFrame, spec: GrowSpec, trees: list[TreeNodes], prunings: Sequence[Pruning], sizes: Sequence[int]) -> pd.DataFrame:
     """Votes on the left-out rows; the trees visit them in sets, sums travel with the rows."""
     spark = table.sparkSession
     width = len(prunings) * len(sizes)
-    left_out = F.col("fold") == (HELD_OUT if spec.without_fold is None else spec.without_fold)
-    rows = table.where(left_out).select("bins", "label", "n", F.array_repeat(F.lit(0.0), width).alias("sums"))
-    schema, start = "bins array<smallint>, label int, n bigint, sums array<double>", 0
+    rows = table.where(F.col("fold") == _own_fold(spec)).select("x", "label", "n", F.array_repeat(F.lit(0.0), width).alias("sums"))
+    schema, start = "x array<double>, label int, n bigint, sums array<double>", 0
     for part in _sets(trees):
         numbered = list(enumerate(part, start))
-        shared = spark.sparkContext.broadcast([(i, t, [t.answers(p.max_depth, p.min_samples_split) for p in prunings]) for i, t in numbered])
+        shared = share(spark, [(i, t, [t.answers(p.max_depth, p.min_samples_split) for p in prunings]) for i, t in numbered])
         start += len(part)
 
         def add(batches, shared=shared):
             for batch in batches:
-                bins, sums = _matrix(batch.column("bins")), _matrix(batch.column("sums")).copy()
+                x, sums = matrix(batch.column("x")), matrix(batch.column("sums")).copy()
                 for i, tree, answers in shared.value:
-                    leaf = tree.leaf_of(bins)
+                    leaf = tree.leaf_of(x)
                     for v, answer in enumerate(answers):
                         for k, size in enumerate(sizes):
                             if i < size:
                                 sums[:, v * len(sizes) + k] += answer[leaf]
                 offsets = pa.array(np.arange(batch.num_rows + 1, dtype="int32") * width)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("bins", "label", "n")], lists], names=_names(schema))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("x", "label", "n")], lists], names=_names(schema))
 
         rows = rows.mapInArrow(add, schema)
     half = F.array(*[F.lit(s / 2 + 1e-9) for _ in prunings for s in sizes])
@@ -481,9 +496,9 @@ def _large_scores(table: DataFrame, spec: GrowSpec, trees: list[TreeNodes], prun
     return counted[["variant", "n_trees", "label", "prediction", "n"]]
 
 
-def _chunks(n_trees: int, sizes: Sequence[int], together: int = TREES_PER_TASK) -> list[range]:
+def _chunks(n_trees: int, sizes: Sequence[int]) -> list[range]:
     """Ranges of trees, none across a forest size that is asked for."""
-    ends = sorted({*sizes, n_trees, *range(together, n_trees, together)})
+    ends = sorted({*sizes, n_trees, *range(TREES_PER_TASK, n_trees, TREES_PER_TASK)})
     ends = [e for e in ends if e <= n_trees]
     return [range(a, b) for a, b in zip([0, *ends], ends)]
 
@@ -500,10 +515,5 @@ def _sets(trees: Sequence[TreeNodes]) -> list[list[TreeNodes]]:
     return out
 
 
-def _matrix(rows: pa.Array) -> np.ndarray:
-    flat = rows.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(rows), -1) if len(rows) else flat.reshape(0, 1)
-
-
 def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]

@@ -131,7 +131,7 @@ class Tree:
     def fit(self, p: Prepared, params: Mapping) -> TreeFit:
         grower = p.grower("cv_fold", self.keyed)
         try:
-            return TreeFit(p.bins, grower.fits([self.spec(p, params)])[0])
+            return TreeFit(p.features, grower.fits([self.spec(p, params)])[0])
         finally:
             grower.release()
 
@@ -141,7 +141,7 @@ class Tree:
         folds = [replace(whole, without_fold=k) for k in range(FOLDS)]
         grower = p.grower(fold_col, self.keyed)
         try:
-            fit = TreeFit(p.bins, grower.fits([whole])[0])
+            fit = TreeFit(p.features, grower.fits([whole])[0])
             counts = grower.scores(folds, [[Pruning()]] * FOLDS, [[whole.n_trees]] * FOLDS)
         finally:
             grower.release()
@@ -184,13 +184,13 @@ class Boosted:
     name = "adaboost"
 
     def fit(self, p: Prepared, params: Mapping) -> BoostFit:
-        fits, _ = fit_boosted(p.cells(), p.bins, [BoostSpec(**params)])
+        fits, _ = fit_boosted(p.cells(), p.features, [BoostSpec(**params)], p.edges)
         return _started(fits[0])
 
     def fit_with_folds(self, p: Prepared, params: Mapping, fold_col: str) -> tuple[BoostFit, DataFrame]:
         """The fit on all training rows and those without each fold grow in the same passes."""
         specs = [BoostSpec(**params, without_fold=k) for k in (None, *range(FOLDS))]
-        fits, counts = fit_boosted(p.cells(fold_col), p.bins, specs)
+        fits, counts = fit_boosted(p.cells(fold_col), p.features, specs, p.edges)
         return _started(fits[0]), _fold_frame(p, counts.assign(fit=counts["fit"] - 1))
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
@@ -203,7 +203,7 @@ class Boosted:
             BoostSpec(sizes[-1], g[0][1].get("learning_rate", 1.0), g[0][1].get("base_max_depth", 1), k)
             for g, k in tasks
         ]
-        _, counts = fit_boosted(p.cells(fold_col), p.bins, specs, sizes)
+        _, counts = fit_boosted(p.cells(fold_col), p.features, specs, p.edges, sizes)
         out = []
         for f, (group, k) in enumerate(tasks):
             for i, c in group:

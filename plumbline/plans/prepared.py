@@ -8,11 +8,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.binning import MAX_BINS, Bins, binned_array, exact_bins
-from plumbline.operators.boosting import HELD_OUT, cells
+from plumbline.operators.binning import MAX_BINS, Bins, exact_bins
 from plumbline.operators.ranking import key_text
 from plumbline.operators.split import split_with_folds, with_row_key
-from plumbline.operators.trees import Grower
+from plumbline.operators.trees import HELD_OUT, Grower, cells, values
 from plumbline.session import SEED, keep, spread
 from plumbline.sources.tables import check_labels, feature_columns, labelled
 
@@ -74,24 +73,28 @@ class Prepared:
         """Training rows with the vector ``bins``."""
         return self._keep(self.bins.apply(self.train).select(*self.key_cols, "bins", self.label, "cv_fold", "grid_fold"))
 
+    def edges(self) -> list[list[float]]:
+        """Values that cut each feature of a large table into slices of like size."""
+        return self.bins.edges
+
     def cells(self, fold_col: str | None = None) -> DataFrame:
         """Training rows as weighted cells; with folds, test rows too, as held out."""
         if fold_col is None:
-            return cells(self.train, self.bins, self.label, F.lit(0))
-        return cells(self.df, self.bins, self.label, F.coalesce(F.col(fold_col), F.lit(HELD_OUT)))
+            return cells(self.train, self.features, self.label, F.lit(0))
+        return cells(self.df, self.features, self.label, F.coalesce(F.col(fold_col), F.lit(HELD_OUT)))
 
     def grower(self, fold_col: str, keyed: bool) -> Grower:
         """The rows trees are grown on: cells, or with ``keyed`` single rows with their key."""
         if not keyed:
-            return Grower(self.cells(fold_col).withColumn("key", F.lit("")), self.bins)
-        rows = binned_array(self.df, self.bins).select(
-            "bins",
+            return Grower(self.cells(fold_col).withColumn("key", F.lit("")), len(self.features), self.edges)
+        rows = self.df.select(
+            values(self.features).alias("x"),
             F.col(self.label).alias("label"),
             F.coalesce(F.col(fold_col), F.lit(HELD_OUT)).alias("fold"),
             F.lit(1).cast("bigint").alias("n"),
             key_text(self.key_cols).alias("key"),
         )
-        return Grower(rows, self.bins)
+        return Grower(rows, len(self.features), self.edges)
 
     def release(self) -> None:
         for df in self._kept:

@@ -228,13 +228,13 @@ def binned_histogram(spark, sf_dir):
 def stump_split(spark, sf_dir):
     p = prepared(spark, sf_dir)
     specs = [BoostSpec(1, without_fold=k) for k in (None, *range(FOLDS))]
-    fits, _ = fit_boosted(p.cells("cv_fold"), p.bins, specs)
+    fits, _ = fit_boosted(p.cells("cv_fold"), p.features, specs, p.edges)
     rows = [
-        (k - 1, int(t.feature[0]), int(t.cut[0]), int(t.vote[1]), int(t.vote[2]), round(f.errors[0], 6))
+        (k - 1, int(t.feature[0]), round(float(t.cut[0]), 9), int(t.vote[1]), int(t.vote[2]), round(f.errors[0], 6))
         for k, f in enumerate(fits)
         for t in f.trees[:1]
     ]
-    return spark.createDataFrame(rows, "fit int, feature int, bin int, left_vote int, right_vote int, error double")
+    return spark.createDataFrame(rows, "fit int, feature int, cut double, left_vote int, right_vote int, error double")
 
 
 def _boosted(spark, sf_dir):
@@ -245,10 +245,10 @@ def _boosted(spark, sf_dir):
 def samme_rounds(spark, sf_dir):
     fit = _boosted(spark, sf_dir)
     rows = [
-        (r, int(t.feature[0]), int(t.cut[0]), int(t.vote[1]), int(t.vote[2]), round(e, 6), round(a, 6))
+        (r, int(t.feature[0]), round(float(t.cut[0]), 9), int(t.vote[1]), int(t.vote[2]), round(e, 6), round(a, 6))
         for r, (t, a, e) in enumerate(zip(fit.trees, fit.alphas, fit.errors), start=1)
     ]
-    schema = "round int, feature int, bin int, left_vote int, right_vote int, error double, alpha double"
+    schema = "round int, feature int, cut double, left_vote int, right_vote int, error double, alpha double"
     return spark.createDataFrame(rows, schema)
 
 

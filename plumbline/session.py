@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SEED = 20250531  # fixed value: the seed every seeded step uses by default
@@ -50,3 +50,25 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Give a frame read from few file blocks one partition per core; larger inputs stay as read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *cols) if df.rdd.getNumPartitions() < cores else df
+
+
+class Shared:
+    """A broadcast whose classes travel with it, so executors need no copy of the package. A worker unpacks
+    it once and keeps it for its later tasks."""
+
+    def __init__(self, broadcast: Broadcast):
+        self.broadcast = broadcast
+
+    @property
+    def value(self):
+        if not hasattr(self.broadcast, "unpacked"):
+            self.broadcast.unpacked = cloudpickle.loads(self.broadcast.value)
+        return self.broadcast.unpacked
+
+    def destroy(self) -> None:
+        self.broadcast.destroy()
+
+
+def share(spark: SparkSession, value) -> Shared:
+    """Broadcast a value; what is shared must be of a checked size."""
+    return Shared(spark.sparkContext.broadcast(cloudpickle.dumps(value)))

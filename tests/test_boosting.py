@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import boosting
-from plumbline.operators.binning import exact_bins
-from plumbline.operators.boosting import BoostFit, BoostSpec, cells, fit_boosted
+from plumbline.operators.boosting import BoostFit, BoostSpec, fit_boosted
+from plumbline.operators.trees import cells
 
 RNG = np.random.default_rng(2)
 N = 400
@@ -23,13 +23,17 @@ def table(spark):
 
 
 @pytest.fixture(scope="module")
-def bins(table):
-    return exact_bins(table, NAMES)
+def weighted_cells(table):
+    return cells(table, NAMES, "y", F.col("fold")).cache()
 
 
-@pytest.fixture(scope="module")
-def weighted_cells(table, bins):
-    return cells(table, bins, "y", F.col("fold")).cache()
+def edges():
+    """Coarse slices; any will do."""
+    return [[2.0, 5.0], [], [1.0]]
+
+
+def fitted(rows, specs, score_at=(), features=NAMES, slices=edges, **way):
+    return fit_boosted(rows, features, specs, slices, score_at, **way)
 
 
 def mixed(w, y):
@@ -44,11 +48,12 @@ def grow(x, y, w, depth):
         return lambda z: np.full(len(z), vote)
     best = None
     for f in range(x.shape[1]):
-        for b in sorted(set(x[:, f]))[:-1]:
+        seen = sorted(set(x[:, f].tolist()))
+        for b, following in zip(seen, seen[1:]):
             left = x[:, f] <= b
             score = round((mixed(w[left], y[left]) + mixed(w[~left], y[~left])) / w.sum(), 9)
             if best is None or score < best[0]:
-                best = (score, f, b)
+                best = (score, f, (b + following) / 2)
     if best is None:
         return lambda z: np.full(len(z), vote)
     _, f, b = best
@@ -86,9 +91,9 @@ def answers(fit, table):
 
 @pytest.mark.parametrize("way", [{}, {"local_bytes": 0}])
 @pytest.mark.parametrize("depth,rounds,rate", [(1, 8, 1.0), (2, 5, 0.5), (3, 4, 1.0)])
-def test_step_by_step(table, bins, weighted_cells, depth, rounds, rate, way):
+def test_step_by_step(table, weighted_cells, depth, rounds, rate, way):
     specs = [BoostSpec(rounds, rate, depth, k) for k in (None, 0, 3)]
-    fits, counts = fit_boosted(weighted_cells, bins, specs, [2, rounds], **way)
+    fits, counts = fitted(weighted_cells, specs, [2, rounds], **way)
     for j, (spec, fit) in enumerate(zip(specs, fits)):
         rows = DATA[(DATA.fold >= 0) & (DATA.fold != (-9 if spec.without_fold is None else spec.without_fold))]
         predict, alphas, errors = samme(*arrays(rows), rounds, rate, depth)
@@ -105,31 +110,30 @@ def test_step_by_step(table, bins, weighted_cells, depth, rounds, rate, way):
                 assert r.n == ((held.y == r.label) & (votes == r.prediction)).sum()
 
 
-def test_half_of_the_new_weight_is_wrong(table, bins, weighted_cells):
+def test_half_of_the_new_weight_is_wrong(weighted_cells):
     """With learning rate 1 the last learner errs on exactly half of the next round's weight."""
-    fit = fit_boosted(weighted_cells, bins, [BoostSpec(4)])[0][0]
+    fit = fitted(weighted_cells, [BoostSpec(4)])[0][0]
     rows = DATA[DATA.fold >= 0]
     x, y = arrays(rows)
-    bin_of = np.column_stack([[sum(e <= v for e in bins.edges[i]) for v in x[:, i]] for i in range(3)])
     w = np.ones(len(x))
     for tree, alpha in zip(fit.trees, fit.alphas):
-        wrong = tree.predict(bin_of) != y
+        wrong = tree.predict(x) != y
         w = w * np.exp(alpha * wrong)
         assert w[wrong].sum() / w.sum() == pytest.approx(0.5)
 
 
-def test_prefix_is_the_shorter_fit(table, bins, weighted_cells):
-    long, short = fit_boosted(weighted_cells, bins, [BoostSpec(7), BoostSpec(3)])[0]
+def test_prefix_is_the_shorter_fit(table, weighted_cells):
+    long, short = fitted(weighted_cells, [BoostSpec(7), BoostSpec(3)])[0]
     assert long.prefix(3).alphas == pytest.approx(short.alphas)
     assert answers(long.prefix(3), table) == answers(short, table)
 
 
-def test_chunks_and_checkpoints_change_nothing(weighted_cells, bins, monkeypatch):
+def test_chunks_and_checkpoints_change_nothing(weighted_cells, monkeypatch):
     specs = [BoostSpec(5, 1.0, d, k) for d in (1, 2) for k in (None, 1)]
-    want = fit_boosted(weighted_cells, bins, specs)
+    want = fitted(weighted_cells, specs)
     monkeypatch.setattr(boosting, "FITS_PER_PASS", 3)
     monkeypatch.setattr(boosting, "PASSES_PER_CHECKPOINT", 1)
-    got = fit_boosted(weighted_cells, bins, specs, local_bytes=0)
+    got = fitted(weighted_cells, specs, local_bytes=0)
     for f, g in zip(want[0], got[0]):
         assert f.alphas == pytest.approx(g.alphas)
         assert f.importances() == pytest.approx(g.importances())
@@ -137,8 +141,8 @@ def test_chunks_and_checkpoints_change_nothing(weighted_cells, bins, monkeypatch
     assert want[1].sort_values(key)[key + ["n"]].values.tolist() == got[1].sort_values(key)[key + ["n"]].values.tolist()
 
 
-def test_layout_changes_nothing(table, bins):
-    fits = [fit_boosted(cells(table.repartition(p), bins, "y", F.lit(0)), bins, [BoostSpec(4)])[0][0] for p in (1, 9)]
+def test_layout_changes_nothing(table):
+    fits = [fitted(cells(table.repartition(p), NAMES, "y", F.lit(0)), [BoostSpec(4)])[0][0] for p in (1, 9)]
     assert fits[0].alphas == pytest.approx(fits[1].alphas)
     assert answers(fits[0], table) == answers(fits[1], table)
 
@@ -146,8 +150,7 @@ def test_layout_changes_nothing(table, bins):
 @pytest.mark.parametrize("way", [{}, {"local_bytes": 0}])
 def test_perfect_first_learner_ends_the_fit(spark, way):
     df = spark.createDataFrame([(float(i % 10), int(i % 10 > 4)) for i in range(100)], "a double, y int")
-    b = exact_bins(df, ["a"])
-    fit = fit_boosted(cells(df, b, "y", F.lit(0)), b, [BoostSpec(20)], **way)[0][0]
+    fit = fitted(cells(df, ["a"], "y", F.lit(0)), [BoostSpec(20)], features=["a"], slices=lambda: [[]], **way)[0][0]
     assert (fit.alphas, fit.errors) == ([1.0], [0.0])
     assert all(r["prediction"] == r["y"] for r in fit.predict(df).collect())
 
@@ -157,16 +160,16 @@ def test_coin_flips_cannot_start(spark, way):
     """Such a fit has no learners and no scores; the others go on."""
     rows = [(float(a), y, 0) for a in range(4) for y in (0, 1) for _ in range(5)] + [(9.0, 1, 1)] * 3
     df = spark.createDataFrame(rows, "a double, y int, fold int")
-    b = exact_bins(df, ["a"])
-    fits, counts = fit_boosted(cells(df, b, "y", F.col("fold")), b, [BoostSpec(3, without_fold=1), BoostSpec(3, without_fold=0)], **way)
+    specs = [BoostSpec(3, without_fold=1), BoostSpec(3, without_fold=0)]
+    fits, counts = fitted(cells(df, ["a"], "y", F.col("fold")), specs, features=["a"], slices=lambda: [[]], **way)
     assert not fits[0].trees and set(counts["fit"]) <= {1}
     with pytest.raises(ValueError, match="first learner"):
         fits[0].predict(df)
 
 
-def test_deep_boosted_trees_are_refused(weighted_cells, bins):
+def test_deep_boosted_trees_are_refused(weighted_cells):
     with pytest.raises(ValueError, match="depth"):
-        fit_boosted(weighted_cells, bins, [BoostSpec(3, base_max_depth=25)])
+        fitted(weighted_cells, [BoostSpec(3, base_max_depth=25)])
 
 
 def test_copies_count(spark):
@@ -174,27 +177,41 @@ def test_copies_count(spark):
     rows = DATA[["a", "b", "c", "y"]].values.tolist() + [[1.0, 1.0, 1.0, 1.0]] * 200
     pdf = pd.DataFrame(rows, columns=["a", "b", "c", "y"])
     df = spark.createDataFrame(pdf)
-    b = exact_bins(df, NAMES)
-    fit = fit_boosted(cells(df, b, "y", F.lit(0)), b, [BoostSpec(5)])[0][0]
+    fit = fitted(cells(df, NAMES, "y", F.lit(0)), [BoostSpec(5)])[0][0]
     _, alphas, _ = samme(pdf[NAMES].to_numpy(), pdf["y"].to_numpy().astype(int), 5, 1.0, 1)
     np.testing.assert_allclose(fit.alphas, alphas, rtol=1e-7)
 
 
-def test_importances(weighted_cells, bins):
-    fit = fit_boosted(weighted_cells, bins, [BoostSpec(6, 1.0, 2)])[0][0]
+def test_importances(weighted_cells):
+    fit = fitted(weighted_cells, [BoostSpec(6, 1.0, 2)])[0][0]
     assert sum(fit.importances().values()) == pytest.approx(1)
 
 
-def test_save_and_load(spark, table, bins, weighted_cells, tmp_path):
-    fit = fit_boosted(weighted_cells, bins, [BoostSpec(4, 0.5, 3)])[0][0]
+def test_save_and_load(spark, table, weighted_cells, tmp_path):
+    fit = fitted(weighted_cells, [BoostSpec(4, 0.5, 3)])[0][0]
     fit.save(str(tmp_path))
     again = BoostFit.load(spark, str(tmp_path))
     assert answers(again, table) == answers(fit, table)
     assert again.importances() == pytest.approx(fit.importances())
 
 
-def test_missing_feature_stops_scoring(spark, weighted_cells, bins):
-    fit = fit_boosted(weighted_cells, bins, [BoostSpec(2)])[0][0]
+def test_missing_feature_stops_scoring(spark, weighted_cells):
+    fit = fitted(weighted_cells, [BoostSpec(2)])[0][0]
     df = spark.createDataFrame([(0.5, None, 1.0)], "a double, b double, c double")
     with pytest.raises(Exception, match="missing value"):
         fit.predict(df).collect()
+
+
+@pytest.mark.parametrize("depth", [1, 3])
+def test_both_ways_agree_on_continuous_values(spark, depth):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"a": rng.normal(size=3000), "b": rng.random(3000) * 1e6, "c": rng.integers(0, 4, 3000) * 1.0})
+    pdf["y"] = ((pdf.a + pdf.b / 1e6 > 0.6) ^ (rng.random(3000) < 0.1)).astype(int)
+    df = spark.createDataFrame(pdf)
+    rows = cells(df, NAMES, "y", F.lit(0)).cache()
+    near, far = (fitted(rows, [BoostSpec(4, 1.0, depth)], slices=lambda: [[0.0], [5e5], []], **way)[0][0] for way in ({}, {"local_bytes": 0}))
+    assert [t.cut.tolist() for t in near.trees] == [t.cut.tolist() for t in far.trees]
+    np.testing.assert_allclose(near.alphas, far.alphas, rtol=1e-9)
+    if depth == 1:
+        _, alphas, _ = samme(pdf[NAMES].to_numpy(), pdf["y"].to_numpy(), 2, 1.0, 1)
+        np.testing.assert_allclose(near.alphas[:2], alphas, rtol=1e-9)

@@ -6,11 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions.metrics import evaluate
-from plumbline.operators import trees
-from plumbline.operators.binning import binned_array, exact_bins
-from plumbline.operators.boosting import cells
-from plumbline.operators.growth import GrowSpec, TreeNodes, draws, feature_ranks
-from plumbline.operators.trees import Grower, Pruning, TreeFit, forest_spec, tree_spec
+from plumbline.operators import cuts, trees
+from plumbline.operators.growth import Coded, GrowSpec, TreeNodes, draws, feature_ranks, grow, middle
+from plumbline.operators.trees import Grower, Pruning, TreeFit, cells, forest_spec, tree_spec, values
 
 RNG = np.random.default_rng(11)
 N = 1500
@@ -18,7 +16,8 @@ DATA = pd.DataFrame({"k": np.arange(N), "a": RNG.integers(0, 40, N) / 40, "b": R
 DATA["y"] = (((DATA.a > 0.4) & (DATA.b != 2)) ^ (RNG.random(N) < 0.15)).astype(int)
 DATA["fold"] = np.where(np.arange(N) % 6 == 5, -1, np.arange(N) % 6)
 NAMES = ["a", "b", "c"]
-X, Y = np.column_stack([np.round(DATA.a * 40), DATA.b, DATA.c]).astype(int), DATA.y.to_numpy()
+X, Y = DATA[NAMES].to_numpy(), DATA.y.to_numpy()
+EDGES = [[0.2, 0.4, 0.9], [3.0], []]  # coarse slices; any will do
 TRAINED = DATA.fold.to_numpy() >= 0
 
 
@@ -27,24 +26,23 @@ def table(spark):
     return spark.createDataFrame(DATA).repartition(5, "k").cache()
 
 
-@pytest.fixture(scope="module")
-def bins(table):
-    return exact_bins(table, NAMES)
+def keyed(table):
+    return table.select(values(NAMES).alias("x"), F.col("y").alias("label"), "fold", F.lit(1).cast("bigint").alias("n"), F.col("k").cast("string").alias("key"))
 
 
-def keyed(table, bins):
-    return binned_array(table, bins).select("bins", F.col("y").alias("label"), "fold", F.lit(1).cast("bigint").alias("n"), F.col("k").cast("string").alias("key"))
+def grower(rows, **options):
+    return Grower(rows, 3, lambda: EDGES, **options)
 
 
 @pytest.fixture(scope="module")
-def growers(table, bins):
+def growers(table):
     """The same rows in both ways: on the executors whole, and left distributed with small tasks."""
-    counted = cells(table, bins, "y", F.col("fold")).withColumn("key", F.lit(""))
+    counted = cells(table, NAMES, "y", F.col("fold")).withColumn("key", F.lit(""))
     made = {
-        ("dt", "local"): Grower(counted, bins),
-        ("dt", "large"): Grower(counted, bins, local_bytes=0, local_rows=100),
-        ("rf", "local"): Grower(keyed(table, bins), bins),
-        ("rf", "large"): Grower(keyed(table, bins), bins, local_bytes=0, local_rows=200),
+        ("dt", "local"): grower(counted),
+        ("dt", "large"): grower(counted, local_bytes=0, local_rows=100),
+        ("rf", "local"): grower(keyed(table)),
+        ("rf", "large"): grower(keyed(table), local_bytes=0, local_rows=200),
     }
     yield made
     for g in made.values():
@@ -77,19 +75,20 @@ def tree_by_hand(x, y, w, spec, tree=0, path=""):
             look = sorted(several, key=lambda f: rank[f])[:1]
     best = None
     for f in sorted(look):
-        for b in sorted(set(x[:, f]))[:-1]:
+        seen = sorted(set(x[:, f].tolist()))
+        for b, following in zip(seen, seen[1:]):
             left = x[:, f] <= b
             if min(left.sum(), (~left).sum()) < spec.min_samples_leaf:
                 continue
             sides = [(w[s & (y == 0)].sum(), w[s & (y == 1)].sum()) for s in (left, ~left)]
             score = round(sum(weight_of(s, spec.criterion) for s in sides) / (zero + one), 9)
             if best is None or score < best[0]:
-                best = (score, f, b)
+                best = (score, f, b / 2 + following / 2)
     if best is None:
         return nodes
-    _, f, b = best
-    nodes[path] = (f, b, zero, one, len(y))
-    left = x[:, f] <= b
+    _, f, cut = best
+    nodes[path] = (f, cut, zero, one, len(y))
+    left = x[:, f] <= cut
     nodes |= tree_by_hand(x[left], y[left], w[left], spec, tree, path + "L")
     return nodes | tree_by_hand(x[~left], y[~left], w[~left], spec, tree, path + "R")
 
@@ -99,7 +98,7 @@ def by_path(t: TreeNodes):
     while stack:
         i, path = stack.pop()
         inner = t.feature[i] >= 0
-        out[path] = (int(t.feature[i]) if inner else None, int(t.cut[i]) if inner else None, t.w0[i], t.w1[i], int(t.n[i]))
+        out[path] = (int(t.feature[i]) if inner else None, float(t.cut[i]) if inner else None, t.w0[i], t.w1[i], int(t.n[i]))
         if inner:
             stack += [(int(t.left[i]), path + "L"), (int(t.right[i]), path + "R")]
     return out
@@ -168,13 +167,13 @@ def test_scores_of_prunings_and_sizes(growers, kind, way):
 
 
 @pytest.fixture(scope="module")
-def deep(growers, bins):
-    return TreeFit(bins, growers["dt", "local"].fits([tree_spec()])[0])
+def deep(growers):
+    return TreeFit(NAMES, growers["dt", "local"].fits([tree_spec()])[0])
 
 
 @pytest.fixture(scope="module")
-def forest(growers, bins):
-    return TreeFit(bins, growers["rf", "local"].fits([forest_spec(3, 6, max_depth=7)])[0])
+def forest(growers):
+    return TreeFit(NAMES, growers["rf", "local"].fits([forest_spec(3, 6, max_depth=7)])[0])
 
 
 def answers(fit, table):
@@ -193,19 +192,19 @@ def test_predictions(table, deep, forest, pruning, monkeypatch):
 
 
 @pytest.mark.parametrize("depth", [1, 4])
-def test_a_smaller_depth_is_a_pruning(table, growers, bins, deep, depth):
-    small = TreeFit(bins, growers["dt", "local"].fits([tree_spec(max_depth=depth)])[0])
+def test_a_smaller_depth_is_a_pruning(table, growers, deep, depth):
+    small = TreeFit(NAMES, growers["dt", "local"].fits([tree_spec(max_depth=depth)])[0])
     assert answers(deep.with_pruning(Pruning(depth)), table) == answers(small, table)
     assert deep.with_pruning(Pruning(depth)).importances() == pytest.approx(small.importances())
 
 
-def test_scoring_is_a_projection(table, growers, bins):
+def test_scoring_is_a_projection(table):
     """No exchange and no join, however many leaves there are."""
     many = 100_000
     left = np.concatenate([np.arange(1, 2 * many, 2), np.full(many + 1, -1)])
     n = len(left)
     wide = TreeNodes(np.where(left > 0, 0, -1), np.zeros(n, int), left, np.where(left > 0, left + 1, -1), np.ones(n), np.ones(n), np.ones(n, int), np.zeros(n, int), np.zeros(n))
-    scored = TreeFit(bins, [wide], Pruning(None, 500)).predict(table.select(*NAMES, "k"))
+    scored = TreeFit(NAMES, [wide], Pruning(None, 500)).predict(table.select(*NAMES, "k"))
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Repartition" not in plan and "Aggregate" not in plan
 
@@ -223,29 +222,132 @@ def test_importances(deep, forest):
         np.testing.assert_allclose(list(fit.importances().values()), want / want.sum(), rtol=1e-9)
 
 
-def test_layout_changes_nothing(table, bins):
+def test_layout_changes_nothing(table):
     grown = []
     for parts in (1, 7):
-        g = Grower(keyed(table.repartition(parts), bins), bins)
+        g = grower(keyed(table.repartition(parts)))
         grown.append([by_path(t) for t in g.fits([forest_spec(3, 3)])[0]])
         g.release()
     assert grown[0] == grown[1]
 
 
-@pytest.mark.parametrize("way", [{}, {"local_bytes": 0, "local_rows": 3}])
-def test_deep_trees_heavy_weights_and_rare_bins(spark, way):
-    """Far more than 2^24 rows' worth of weight, a tree deeper than 30, and a rare bin that decides."""
+@pytest.mark.parametrize("way", [{}, {"local_bytes": 0, "local_rows": 15}])
+def test_deep_trees_heavy_weights_and_rare_values(spark, way):
+    """Far more than 2^24 rows' worth of weight, a tree deeper than 30, and a rare value that decides."""
     rows = [(float(i), 0.0, i % 2, 2**i) for i in range(40)] + [(0.0, 1.0, 1, 3)]
     df = spark.createDataFrame(rows, "a double, rare double, y int, n bigint")
-    b = exact_bins(df, ["a", "rare"])
-    table = binned_array(df, b).select("bins", F.col("y").alias("label"), F.lit(0).alias("fold"), "n", F.lit("").alias("key"))
-    g = Grower(table, b, **way)
-    fit = TreeFit(b, g.fits([tree_spec()])[0])
+    table = df.select(values(["a", "rare"]).alias("x"), F.col("y").alias("label"), F.lit(0).alias("fold"), "n", F.lit("").alias("key"))
+    g = Grower(table, 2, lambda: [[], []], **way)
+    fit = TreeFit(["a", "rare"], g.fits([tree_spec()])[0])
     g.release()
     assert fit.trees[0].depth.max() > 30
     assert all(r["prediction"] == r["y"] for r in fit.predict(df).collect())
 
 
+def test_cuts_lie_between_the_neighbours_in_the_node(spark):
+    """Values 1 and 9 in the node: 4.9 is nearer to 1, 5.1 to 9, whatever other rows have between them."""
+    rows = [(1.0, 0.0, 0)] * 30 + [(9.0, 0.0, 1)] * 3 + [(v, 5.0, 1) for v in (0.5, 1.0, 2.0, 3.0, 4.0, 6.0)] * 9
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    for way in ({}, {"local_bytes": 0, "local_rows": 2}):
+        g = Grower(cells(df, ["a", "b"], "y", F.lit(0)).withColumn("key", F.lit("")), 2, lambda: [[3.0], [1.0]], **way)
+        fit = TreeFit(["a", "b"], g.fits([tree_spec()])[0])
+        g.release()
+        asked = spark.createDataFrame([(4.9, 0.0), (5.1, 0.0), (5.0, 0.0), (8.9, 0.0)], "a double, b double")
+        assert [r["prediction"] for r in fit.predict(asked).collect()] == [0.0, 1.0, 0.0, 1.0]
+
+
+def test_middle():
+    assert middle(1.0, 9.0) == 5.0 and middle(-1.7e308, 1.7e308) == 0.0 and 1.6e308 < middle(1.6e308, 1.7e308) < 1.7e308
+    near = np.nextafter(1.0, 2.0)
+    assert middle(1.0, near) == 1.0 and middle(0.0, 5e-324) == 0.0  # no number between: the lower one
+
+
+def odd_columns(rng, n):
+    """Columns with as many values as rows, with outliers, of many orders of magnitude, with few values."""
+    return np.column_stack([
+        rng.normal(size=n), np.where(rng.random(n) < 0.001, 1e300, rng.random(n)), 2.0 ** rng.integers(-900, 900, n) * rng.choice([-1, 1], n),
+        1 + rng.integers(0, n, n) * 1e-13, rng.integers(0, 5, n) * 1.0,
+    ])
+
+
+def cut_by_sorting(x, y, w, criterion, min_leaf):
+    """The best cut of all rows: (score, feature, threshold)."""
+    best = None
+    for f in range(x.shape[1]):
+        v, at = np.unique(x[:, f], return_inverse=True)
+        l0, l1, n = (np.cumsum(np.bincount(at, c))[:-1] for c in (w * (y == 0), w * (y == 1), np.ones(len(y))))
+        sides = [np.array([weight_of((a, b), criterion) + weight_of((p, q), criterion) for a, b, p, q in zip(l0, l1, w[y == 0].sum() - l0, w[y == 1].sum() - l1)])]
+        score = np.round(sides[0] / w.sum(), 9)
+        score[(n < min_leaf) | (len(y) - n < min_leaf)] = np.inf
+        i = int(score.argmin())
+        if np.isfinite(score[i]) and (best is None or score[i] < best[0]):
+            best = (score[i], f, float(middle(v[i], v[i + 1])))
+    return best
+
+
+@pytest.mark.parametrize("exact, cells_per_pass", [(0, 4000), (0, 10**6), (3000, 10**6), (10**6, 10**6)])
+@pytest.mark.parametrize("criterion, min_leaf, noise", [("gini", 1, 0.1), ("entropy", 5, 0.5)])
+def test_distributed_cuts_by_sorting(spark, monkeypatch, exact, cells_per_pass, criterion, min_leaf, noise):
+    """Whatever the slices and passes, the cut is the best of all, also where hardly anything is to be learned."""
+    monkeypatch.setattr(cuts, "EXACT_ROWS", exact)
+    monkeypatch.setattr(cuts, "CELLS_PER_PASS", cells_per_pass)
+    rng = np.random.default_rng(exact + min_leaf)
+    x = odd_columns(rng, 4000)
+    y = ((x[:, 0] > 0.3) ^ (rng.random(4000) < noise)).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"x": x.tolist(), "y": y, "g": np.arange(4000) % 3})).repartition(3)
+    rows = df.select("x", F.col("y").alias("label"), F.col("g").cast("int").alias("g"))
+
+    def views(batch):
+        group = batch.column("g").to_numpy()
+        every = np.arange(len(group))
+        yield every, np.where(group < 2, group, -1), np.ones(len(group)), np.ones(len(group))
+        yield every, np.full(len(group), 2), np.ones(len(group)), np.ones(len(group))
+
+    edges = [np.quantile(x[:, f], np.arange(1, 8) / 8).tolist() for f in range(5)]
+    found, totals = cuts.search(rows, views, [cuts.Rule(criterion, min_leaf)] * 3, edges)
+    for k, mine in enumerate((np.arange(4000) % 3 == 0, np.arange(4000) % 3 == 1, np.ones(4000, bool))):
+        want = cut_by_sorting(x[mine], y[mine], np.ones(mine.sum()), criterion, min_leaf)
+        assert (found[k].score, found[k].feature, found[k].threshold) == want
+        assert (totals[k].w0, totals[k].w1, totals[k].n) == ((y[mine] == 0).sum(), (y[mine] == 1).sum(), mine.sum())
+
+
+def test_cuts_of_a_hundred_thousand_values(spark):
+    """In memory and distributed, against sorting; the features have as many values as rows."""
+    rng = np.random.default_rng(4)
+    n = 100_000
+    x = np.column_stack([rng.random(n), rng.normal(size=n)])
+    y = ((x[:, 0] + 0.1 * x[:, 1] > 0.55) ^ (rng.random(n) < 0.2)).astype(int)
+    want = cut_by_sorting(x, y, np.ones(n), "gini", 1)
+    near = grow(Coded.of(x), y, np.ones(n), np.ones(n, int), GrowSpec(max_depth=1))
+    assert (int(near.feature[0]), float(near.cut[0])) == want[1:]
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y}))
+    g = Grower(cells(df, ["a", "b"], "y", F.lit(0)).withColumn("key", F.lit("")), 2, lambda: [[0.5], [0.0]], local_bytes=0, local_rows=60_000)
+    far = g.fits([GrowSpec(max_depth=3)])[0][0]
+    g.release()
+    assert by_path(far) == by_path(grow(Coded.of(x), y, np.ones(n), np.ones(n, int), GrowSpec(max_depth=3)))
+
+
+@pytest.mark.parametrize("kind", ["dt", "rf"])
+@pytest.mark.parametrize("way", ["local", "large"])
+def test_left_out_rows_have_no_influence(table, growers, kind, way):
+    """Other feature values in the fold that a fit leaves out: the same trees."""
+    spec = GrowSpec(without_fold=2) if kind == "dt" else GrowSpec(**{**forest_spec(3, 3).__dict__, "without_fold": 2})
+    odd = table.withColumn("a", F.when(F.col("fold") == 2, F.rand(3) * 7 - 3).otherwise(F.col("a")))
+    rows = cells(odd, NAMES, "y", F.col("fold")).withColumn("key", F.lit("")) if kind == "dt" else keyed(odd)
+    g = grower(rows, **({} if way == "local" else {"local_bytes": 0, "local_rows": 150}))
+    assert [by_path(t) for t in g.fits([spec])[0]] == [by_path(t) for t in growers[kind, way].fits([spec])[0]]
+    g.release()
+
+
+def test_blocks_of_votes_change_nothing(growers, monkeypatch):
+    key = ["fit", "variant", "n_trees", "label", "prediction"]
+    spec = forest_spec(3, 9, seed=2)
+    want = growers["rf", "local"].scores([spec], [[Pruning(), Pruning(3)]], [[2, 9]]).sort_values(key)
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 17)
+    got = growers["rf", "local"].scores([spec], [[Pruning(), Pruning(3)]], [[2, 9]]).sort_values(key)
+    assert got[key + ["n"]].values.tolist() == want[key + ["n"]].values.tolist()
+
+
 def test_forest_is_better_than_a_guess(table, forest):
     assert evaluate(forest.predict(table), "y").first()["accuracy"] > 0.8
 
