@@ -6,7 +6,7 @@ import json
 
 from oracles.chains import (
     BIN_COLS, COUNTS, EVENTS, FACTORS, FEATURES, FOLDED, LINEITEM, SIX_FITS, SPLIT, VALUED,
-    boosted, boosted_votes, cells, edges, fits, forest, forest_importances, forest_votes, judged, linear_votes, measured, newton, shuffled, sql, stratified, stumps,
+    boosted, boosted_real, boosted_votes, cells, edges, fits, forest, forest_importances, forest_votes, judged, linear_votes, measured, newton, shuffled, sql, stratified, stumps,
     tree, tree_importances, tree_path, tree_votes, unpivot,
 )
 
@@ -295,6 +295,19 @@ def _models() -> dict[str, str]:
             select=f"""SELECT round, f AS feature, round(cut, 9) AS cut, left_vote, right_vote, round(err, 6) AS error, round(alpha, 6) AS alpha
 FROM ({stumps(ROUNDS)})""",
         ),
+        "samme_r_rounds": sql(
+            *one,
+            boosted_real(ROUNDS),
+            select=f"""SELECT round, f AS feature, round(cut, 9) AS cut, round(left_odds, 6) AS left_odds, round(right_odds, 6) AS right_odds,
+  round(err, 6) AS error FROM ({stumps(ROUNDS)})""",
+        ),
+        "predict_samme_r": sql(
+            *one,
+            boosted_real(ROUNDS),
+            cell_answer,
+            select=f"SELECT row_key, prediction FROM binned JOIN answer USING ({BIN_COLS}) WHERE split = 'test'",
+        ),
+        "train_samme_r": sql(*trees, boosted_real(ROUNDS), f"vote AS {boosted_votes(ROUNDS)}", select=judged("vote")),
         "importance_adaboost": boosted_importance(place=True),
         "importance_sink": boosted_importance(place=False),
         "importance_dt": sql(

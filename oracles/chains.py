@@ -196,6 +196,18 @@ boost_{r} AS MATERIALIZED (
     return ",\n".join(parts)
 
 
+def boosted_real(rounds: int) -> str:
+    """The real-valued algorithm: a row's log weight falls by half the log-odds for its class, times the rate;
+    the vote is the sum of the log-odds."""
+    eps = "2.220446049250313e-16"
+    odds = lambda side: f"ln(greatest({side}1 / ({side}0 + {side}1), {eps})) - ln(greatest({side}0 / ({side}0 + {side}1), {eps}))"
+    text = boosted(rounds)
+    text = text.replace("rate * ln((1 - err) / err) AS alpha", f"{odds('l')} AS left_odds, {odds('r')} AS right_odds")
+    text = text.replace("missed + CASE WHEN vote <> label THEN alpha ELSE 0 END AS missed", "missed + (0.5 - label) * rate * odds AS missed")
+    text = text.replace("margin + alpha * (2 * vote - 1) AS margin", "margin + odds AS margin").replace("s.alpha, ", "")
+    return text.replace("THEN right_vote ELSE left_vote END AS vote", "THEN right_odds ELSE left_odds END AS odds")
+
+
 def stumps(rounds: int) -> str:
     return " UNION ALL ".join(f"SELECT {r} AS round, * FROM stump_{r}" for r in range(1, rounds + 1))
 

@@ -1,9 +1,10 @@
-"""Discrete AdaBoost (SAMME, two classes) over small weighted trees, many fits side by side.
+"""AdaBoost (two classes) over small weighted trees, many fits side by side: the discrete algorithm SAMME
+and the real-valued SAMME.R, whose learners vote with half the log-odds of their leaves.
 
 One fit is one setting on one set of training rows. All fits share every pass over the data: a row
-carries, per fit, the summed weights ``alpha`` of the learners that got it wrong. That single number
-is the row's log weight for training, and because the learners that got it right hold the rest of
-the alphas, it is also its vote. The cuts of a level's nodes, of all fits together, are found by
+carries its log weight per fit. With SAMME that is the summed weights ``alpha`` of the learners that got
+it wrong, with SAMME.R the summed log-odds against its class, times half the learning rate. Either way the
+number also tells how all learners together vote on the row. The cuts of a level's nodes, of all fits together, are found by
 branch and bound over the distributed rows (``cuts``); only the chosen cuts come back. A tree of
 depth d takes d such searches whatever the number of fits.
 """
@@ -13,7 +14,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,7 @@ class SmallTree:
     feature: np.ndarray = field(init=False)
     cut: np.ndarray = field(init=False)  # rows with a value over it go right
     vote: np.ndarray = field(init=False)
+    odds: np.ndarray = field(init=False)  # log of the weight of class 1 over that of class 0
     gain: np.ndarray = field(init=False)  # impurity decrease times the node's share of the weight
 
     def __post_init__(self):
@@ -53,6 +55,7 @@ class SmallTree:
         self.cut = np.full(inner, NO_CUT)
         self.gain = np.zeros(inner)
         self.vote = np.zeros(2 * inner + 1, dtype=np.int32)
+        self.odds = np.zeros(2 * inner + 1)
 
     def nodes_of(self, x: np.ndarray, levels: int) -> np.ndarray:
         """Node reached after ``levels`` steps, numbered from 0 on that level."""
@@ -63,8 +66,21 @@ class SmallTree:
             node = 2 * node + (x[rows, self.feature[at]] > self.cut[at])
         return node
 
+    def _leaf(self, x: np.ndarray) -> np.ndarray:
+        return self.nodes_of(x, self.depth) + 2**self.depth - 1
+
     def predict(self, x: np.ndarray) -> np.ndarray:
-        return self.vote[self.nodes_of(x, self.depth) + 2**self.depth - 1]
+        return self.vote[self._leaf(x)]
+
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
+        return self.odds[self._leaf(x)]
+
+    def say(self, at: int, w0: float, w1: float) -> None:
+        """What a node with these class weights answers."""
+        self.vote[at], self.odds[at] = _vote(w0, w1), _odds(w0, w1)
+
+    def hand_down(self, at: int, to: int) -> None:
+        self.vote[to], self.odds[to] = self.vote[at], self.odds[at]
 
     @staticmethod
     def of(nodes: TreeNodes, depth: int) -> "SmallTree":
@@ -72,16 +88,16 @@ class SmallTree:
         tree, root = SmallTree(depth), nodes.w0[0] + nodes.w1[0]
         place = np.zeros(len(nodes.feature), np.int64)
         for i, f in enumerate(nodes.feature.tolist()):
-            at, vote = int(place[i]), _vote(nodes.w0[i], nodes.w1[i])
-            tree.vote[at] = vote
+            at = int(place[i])
+            tree.say(at, float(nodes.w0[i]), float(nodes.w1[i]))
             if f >= 0:
                 tree.feature[at], tree.cut[at] = f, nodes.cut[i]
                 tree.gain[at] = nodes.gain[i] * (nodes.w0[i] + nodes.w1[i]) / root
                 place[nodes.left[i]], place[nodes.right[i]] = 2 * at + 1, 2 * at + 2
                 continue
             while 2 * at + 1 < len(tree.vote):
+                tree.hand_down(at, 2 * at + 1)
                 at = 2 * at + 1
-                tree.vote[at] = vote
         return tree
 
     def importances(self, n_features: int) -> np.ndarray:
@@ -97,6 +113,25 @@ class BoostSpec:
     learning_rate: float = 1.0
     base_max_depth: int = 1
     without_fold: int | None = None
+    algorithm: str = "SAMME"
+
+    def __post_init__(self):
+        if self.algorithm not in ("SAMME", "SAMME.R"):
+            raise ValueError(f"algorithm must be 'SAMME' or 'SAMME.R', not {self.algorithm!r}")
+
+    @property
+    def real(self) -> bool:
+        return self.algorithm == "SAMME.R"
+
+    def log_weight(self, tree: SmallTree, alpha: float, x: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """What a learner adds to the log weight of each row."""
+        if self.real:
+            return (0.5 - label) * self.learning_rate * tree.log_odds(x)
+        return alpha * (tree.predict(x) != label)
+
+    def margin(self, tree: SmallTree, alpha: float, x: np.ndarray) -> np.ndarray:
+        """What a learner adds to the vote for class 1."""
+        return tree.log_odds(x) if self.real else alpha * (2 * tree.predict(x) - 1)
 
 
 @dataclass
@@ -112,8 +147,7 @@ class BoostFit:
 
     def prefix(self, n_estimators: int) -> "BoostFit":
         """The fit that stops after ``n_estimators`` rounds."""
-        spec = BoostSpec(n_estimators, self.spec.learning_rate, self.spec.base_max_depth, self.spec.without_fold)
-        k = n_estimators
+        spec, k = replace(self.spec, n_estimators=n_estimators), n_estimators
         return BoostFit(self.features, spec, self.trees[:k], self.alphas[:k], self.errors[:k], self.stopped)
 
     def importances(self) -> dict[str, float]:
@@ -126,27 +160,27 @@ class BoostFit:
         """Add ``prediction``: 1 where the learners voting 1 outweigh the others."""
         if not self.trees:
             raise ValueError("boosting could not start: its first learner is no better than a coin")
-        learners = list(zip(self.trees, self.alphas))  # a few nodes per round, sent with the job
+        learners, spec = list(zip(self.trees, self.alphas)), self.spec  # a few nodes per round, sent with the job
 
         @F.arrow_udf("double")
         def vote(rows: pa.Array) -> pa.Array:
             x = matrix(rows)
             margin = np.zeros(len(x))
             for tree, alpha in learners:
-                margin += alpha * (2 * tree.predict(x) - 1)
+                margin += spec.margin(tree, alpha, x)
             return pa.array((margin > 1e-9).astype("float64"))
 
         return df.withColumn("prediction", vote(values(self.features)))
 
     def learners(self, spark: SparkSession) -> DataFrame:
-        """(round, alpha, error, node, feature, cut, vote, gain): one row per node."""
+        """(round, alpha, error, node, feature, cut, gain, vote, odds): one row per node."""
         rows = []
         for r, (tree, alpha, error) in enumerate(zip(self.trees, self.alphas, self.errors), start=1):
             inner = len(tree.feature)
             for i, v in enumerate(tree.vote):
                 own = (int(tree.feature[i]), float(tree.cut[i]), float(tree.gain[i])) if i < inner else (None, None, None)
-                rows.append((r, float(alpha), float(error), i, own[0], own[1], own[2], int(v)))
-        schema = "round int, alpha double, error double, node int, feature int, cut double, gain double, vote int"
+                rows.append((r, float(alpha), float(error), i, own[0], own[1], own[2], int(v), float(tree.odds[i])))
+        schema = "round int, alpha double, error double, node int, feature int, cut double, gain double, vote int, odds double"
         return spark.createDataFrame(rows, schema)
 
     def save(self, path: str) -> None:
@@ -154,22 +188,22 @@ class BoostFit:
         self.learners(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/learners")
         names = spark.createDataFrame(list(enumerate(self.features)), "position int, feature string")
         names.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
-        spec = [(self.spec.n_estimators, self.spec.learning_rate, self.spec.base_max_depth)]
-        settings = spark.createDataFrame(spec, "n_estimators int, learning_rate double, base_max_depth int")
+        spec = [(self.spec.n_estimators, self.spec.learning_rate, self.spec.base_max_depth, self.spec.algorithm)]
+        settings = spark.createDataFrame(spec, "n_estimators int, learning_rate double, base_max_depth int, algorithm string")
         settings.coalesce(1).write.mode("overwrite").parquet(f"{path}/spec")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "BoostFit":
         names = [r["feature"] for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
         s = spark.read.parquet(f"{path}/spec").first()
-        fit = BoostFit(names, BoostSpec(s["n_estimators"], s["learning_rate"], s["base_max_depth"]))
+        fit = BoostFit(names, BoostSpec(s["n_estimators"], s["learning_rate"], s["base_max_depth"], None, s["algorithm"]))
         for r in spark.read.parquet(f"{path}/learners").orderBy("round", "node").collect():
             if r["node"] == 0:
                 fit.trees.append(SmallTree(s["base_max_depth"]))
                 fit.alphas.append(r["alpha"])
                 fit.errors.append(r["error"])
             tree = fit.trees[-1]
-            tree.vote[r["node"]] = r["vote"]
+            tree.vote[r["node"]], tree.odds[r["node"]] = r["vote"], r["odds"]
             if r["feature"] is not None:
                 tree.feature[r["node"]], tree.cut[r["node"]], tree.gain[r["node"]] = r["feature"], r["cut"], r["gain"]
         return fit
@@ -230,7 +264,7 @@ def _fit_local(cell_table: DataFrame, features: list[str], specs: Sequence[Boost
     for i, spec in enumerate(specs):
         trees, alphas, errors, stopped, scored = rows[i]
         learners = [SmallTree(spec.base_max_depth) for _ in trees]
-        for tree, (tree.feature, tree.cut, tree.vote, tree.gain) in zip(learners, trees):
+        for tree, (tree.feature, tree.cut, tree.vote, tree.odds, tree.gain) in zip(learners, trees):
             pass
         fits.append(BoostFit(features, spec, learners, alphas, errors, stopped))
         for p in sorted({*score_at, last}):
@@ -257,8 +291,8 @@ def _boosted(x, data: Coded, label, fold, n, spec: BoostSpec, score_at):
         if (learner := _accept(fit, tree, float(weight[wrong].sum() / root))) is None:
             break
         shift += math.log(float(root))
-        missed += learner[1] * wrong
-        votes += learner[1] * (2 * tree.predict(left_out) - 1)
+        missed += spec.log_weight(*learner, own, y)
+        votes += spec.margin(*learner, left_out)
         if round_no in score_at or round_no == spec.n_estimators or fit.stopped:
             cell = label[out] * 2 + (votes > 1e-9)
             scored[round_no] = np.bincount(cell, weights=n[out], minlength=4).astype(np.int64).reshape(2, 2)
@@ -266,7 +300,7 @@ def _boosted(x, data: Coded, label, fold, n, spec: BoostSpec, score_at):
             break
     if fit.trees:
         scored.setdefault(len(fit.trees), np.bincount(label[out] * 2 + (votes > 1e-9), weights=n[out], minlength=4).astype(np.int64).reshape(2, 2))
-    return [(t.feature, t.cut, t.vote, t.gain) for t in fit.trees], fit.alphas, fit.errors, fit.stopped, scored
+    return [(t.feature, t.cut, t.vote, t.odds, t.gain) for t in fit.trees], fit.alphas, fit.errors, fit.stopped, scored
 
 
 def _fit_together(cell_table, features, specs, score_at, edges):
@@ -284,7 +318,7 @@ def _fit_together(cell_table, features, specs, score_at, edges):
             grown = _grow(state, edges, fits, growing, shift)
             for j in growing:
                 if (learner := _accept(fits[j], *grown[j])) is not None:
-                    state.pending.setdefault(j, []).append(learner)
+                    state.pending.setdefault(j, []).append((fits[j].spec, *learner))
             if round_no in score_at and round_no < last:
                 scores[round_no] = _score(state.current(), fits)
         final = _score(state.current(), fits)
@@ -296,7 +330,7 @@ def _fit_together(cell_table, features, specs, score_at, edges):
 
 
 class _State:
-    """The cells with their summed alphas. Learners wait in ``pending``, applied by every pass, until
+    """The cells with their log weights. Learners wait in ``pending``, applied by every pass, until
     enough passes have gone by to write the cells anew to the shared folder."""
 
     def __init__(self, cell_table: DataFrame, n_fits: int):
@@ -325,12 +359,13 @@ class _State:
 
 
 def _accept(fit: BoostFit, tree: SmallTree, error: float) -> tuple[SmallTree, float] | None:
-    """Add the learner unless it is no better than a coin; a perfect learner ends the fit."""
-    if error >= 0.5:
+    """Add the learner; a perfect one ends the fit, with SAMME also one that is no better than a coin,
+    which is not added."""
+    if error >= 0.5 and not fit.spec.real:
         fit.stopped = True
         return None
-    if error <= 0:
-        fit.stopped, alpha = True, 1.0
+    if error <= 0 or fit.spec.real:
+        fit.stopped, alpha = error <= 0, 1.0
     else:
         alpha = fit.spec.learning_rate * math.log((1 - error) / error)
     fit.trees.append(tree)
@@ -365,21 +400,23 @@ def _grow(state, edges, fits, growing, shift) -> dict[int, tuple[SmallTree, floa
                 whole = found[j, 0][1]
                 weights[j][0] = (whole.w0, whole.w1)
                 root[j] = whole.w0 + whole.w1
-                tree.vote[0] = _vote(whole.w0, whole.w1)
+                tree.say(0, whole.w0, whole.w1)
             for node in range(2**level):
                 at, left = node + offset, 2 * node + below
                 if at not in weights[j]:
                     continue
                 cut, total = found.get((j, node), (None, None))
                 if cut is None or min(weights[j][at]) <= 0:
-                    weights[j][left], tree.vote[left] = weights[j][at], tree.vote[at]
+                    weights[j][left] = weights[j][at]
+                    tree.hand_down(at, left)
                     continue
                 rest = total - cut.left
                 tree.feature[at], tree.cut[at] = cut.feature, cut.threshold
                 sides = ((cut.left.w0, cut.left.w1), (max(rest.w0, 0.0), max(rest.w1, 0.0)))
                 tree.gain[at] = max(0.0, _mixed(total.w0, total.w1) - sum(_mixed(*s) for s in sides)) / root[j]
                 for child, pair in zip((left, left + 1), sides):
-                    weights[j][child], tree.vote[child] = pair, _vote(*pair)
+                    weights[j][child] = pair
+                    tree.say(child, *pair)
                     if min(pair) > 0 and level + 1 < tree.depth:
                         following.setdefault(j, []).append(child - below)
         open_nodes = following
@@ -417,7 +454,8 @@ def _close(trees, weights, level: int) -> None:
             for node in range(2**lower):
                 if node + offset in weights[j]:
                     left = 2 * node + below
-                    weights[j][left], tree.vote[left] = weights[j][node + offset], tree.vote[node + offset]
+                    weights[j][left] = weights[j][node + offset]
+                    tree.hand_down(node + offset, left)
 
 
 def _updater(pending: dict):
@@ -436,17 +474,20 @@ def _updater(pending: dict):
 
 def _score(state: DataFrame, fits: list[BoostFit]) -> pd.DataFrame:
     """Confusion cells per fit on the rows it left out, read off the summed weights."""
-    totals = [(sum(f.alphas), HELD_OUT if f.spec.without_fold is None else f.spec.without_fold) for f in fits]
+    totals = [(sum(f.alphas), HELD_OUT if f.spec.without_fold is None else f.spec.without_fold, f.spec) for f in fits]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(totals), 2, 2), dtype=np.int64)
         for batch in batches:
             label, fold = _vector(batch, "label"), _vector(batch, "fold")
             n, missed = _vector(batch, "n"), matrix(batch.column("missed"))
-            for j, (total, left_out) in enumerate(totals):
+            for j, (total, left_out, spec) in enumerate(totals):
                 mine = fold == left_out
-                for_one = np.where(label == 1, total - missed[:, j], missed[:, j])
-                vote = (2 * for_one - total > 1e-9).astype(np.int64)
+                if spec.real:
+                    margin = missed[:, j] / ((0.5 - label) * spec.learning_rate)
+                else:
+                    margin = 2 * np.where(label == 1, total - missed[:, j], missed[:, j]) - total
+                vote = (margin > 1e-9).astype(np.int64)
                 cell = label[mine] * 2 + vote[mine]
                 counts[j] += np.bincount(cell, weights=n[mine], minlength=4).astype(np.int64).reshape(2, 2)
         fit, label, vote = np.nonzero(counts >= 0)
@@ -458,11 +499,11 @@ def _score(state: DataFrame, fits: list[BoostFit]) -> pd.DataFrame:
 
 
 def _missed(batch: pa.RecordBatch, x: np.ndarray, label: np.ndarray, pending: dict) -> np.ndarray:
-    """Summed alphas of the learners that got a row wrong, one column per fit."""
+    """Log weights, one column per fit."""
     missed = matrix(batch.column("missed")).copy()
     for j, learners in pending.items():
-        for tree, alpha in learners:
-            missed[:, j] += alpha * (tree.predict(x) != label)
+        for spec, tree, alpha in learners:
+            missed[:, j] += spec.log_weight(tree, alpha, x, label)
     return missed
 
 
@@ -475,6 +516,12 @@ def _vote(w0: float, w1: float) -> int:
     return int(w1 - w0 > 1e-12 * (w0 + w1))
 
 
+def _odds(w0: float, w1: float) -> float:
+    """log of the share of class 1 over that of class 0, shares no smaller than a rounding error."""
+    least, total = np.finfo(float).eps, w0 + w1
+    return math.log(max(w1 / total, least)) - math.log(max(w0 / total, least)) if total > 0 else 0.0
+
+
 def _mixed(w0: float, w1: float) -> float:
     """Weight times Gini impurity."""
     total = w0 + w1

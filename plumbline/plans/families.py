@@ -74,6 +74,10 @@ LONG_NAMES = {
     "dt": "decision_tree",
 }
 
+# parameters that change how a tree, or a sequence of learners, grows
+_GROWTH = ("criterion", "min_samples_leaf", "max_features")
+_BOOSTING = ("learning_rate", "base_max_depth", "algorithm")
+
 Score = tuple[int, int, float | None]  # ordinal, fold, accuracy (None where a fit failed)
 
 
@@ -85,6 +89,10 @@ def cross_validate(p: Prepared, name: str, params: Mapping, fold_col: str = "cv_
 class Linear:
     name = "lr"
 
+    def units(self, candidates: Sequence[Mapping]) -> list[list[int]]:
+        """Candidates that are best scored together: all, as they share every pass."""
+        return [list(range(len(candidates)))]
+
     def fit(self, p: Prepared, params: Mapping) -> LinearFit:
         return fit_linear(p.train, p.features, p.label, F.lit(0), [_linear_spec(params)])[0]
 
@@ -128,6 +136,10 @@ class Tree:
     def spec(self, p: Prepared, params: Mapping) -> GrowSpec:
         return tree_spec(seed=p.seed, **params)
 
+    def units(self, candidates: Sequence[Mapping]) -> list[list[int]]:
+        """Candidates that are read off the same fits."""
+        return _units(candidates, _GROWTH)
+
     def fit(self, p: Prepared, params: Mapping) -> TreeFit:
         grower = p.grower("cv_fold", self.keyed)
         try:
@@ -149,7 +161,7 @@ class Tree:
 
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
         """One fit per (settings that change the growth, fold), read at every pruning and size."""
-        groups = _grouped(candidates, ("criterion", "min_samples_leaf", "max_features"))
+        groups = _grouped(candidates, _GROWTH)
         tasks = [(g, k) for g in groups for k in range(FOLDS)]
         specs, prunings, sizes = [], [], []
         for group, k in tasks:
@@ -183,6 +195,10 @@ class Forest(Tree):
 class Boosted:
     name = "adaboost"
 
+    def units(self, candidates: Sequence[Mapping]) -> list[list[int]]:
+        """Candidates that are read off the same fits."""
+        return _units(candidates, _BOOSTING)
+
     def fit(self, p: Prepared, params: Mapping) -> BoostFit:
         fits, _ = fit_boosted(p.cells(), p.features, [BoostSpec(**params)], p.edges)
         return _started(fits[0])
@@ -196,11 +212,11 @@ class Boosted:
     def grid_scores(self, p: Prepared, candidates: Sequence[Mapping], fold_col: str) -> list[Score]:
         """All learning rates, depths and folds are fitted together; the numbers of rounds are read on
         the way. A candidate that cannot start on some fold has no score there."""
-        groups = _grouped(candidates, ("learning_rate", "base_max_depth"))
+        groups = _grouped(candidates, _BOOSTING)
         sizes = sorted({c.get("n_estimators", 50) for c in candidates})
         tasks = [(g, k) for g in groups for k in range(FOLDS)]
         specs = [
-            BoostSpec(sizes[-1], g[0][1].get("learning_rate", 1.0), g[0][1].get("base_max_depth", 1), k)
+            BoostSpec(sizes[-1], g[0][1].get("learning_rate", 1.0), g[0][1].get("base_max_depth", 1), k, g[0][1].get("algorithm", "SAMME"))
             for g, k in tasks
         ]
         _, counts = fit_boosted(p.cells(fold_col), p.features, specs, p.edges, sizes)
@@ -258,6 +274,10 @@ def _grouped(candidates: Sequence[Mapping], names: Sequence[str]) -> list[list[t
     return list(groups.values())
 
 
+def _units(candidates: Sequence[Mapping], names: Sequence[str]) -> list[list[int]]:
+    return [[i for i, _ in group] for group in _grouped(candidates, names)]
+
+
 def _prunings(group) -> tuple[dict, list[Pruning]]:
     """The settings of the fit that contains all candidates of a group, and each one's pruning."""
     first = group[0][1]

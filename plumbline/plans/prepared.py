@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -96,6 +97,16 @@ class Prepared:
         )
         return Grower(rows, len(self.features), self.edges)
 
+    def fingerprint(self, fold_col: str) -> str:
+        """A digest of the training rows and their folds, the same however they are laid out."""
+        row = F.md5(F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in self._texts(fold_col)]))
+        parts = [F.sum(F.conv(F.substring(row, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"p{i}") for i in range(4)]
+        found = self.train.agg(F.count(F.lit(1)).alias("n"), *parts).first()
+        return hashlib.sha256(":".join([*self.features, self.label, *map(str, found)]).encode()).hexdigest()
+
+    def _texts(self, fold_col: str) -> list:
+        return [F.col(f"`{c}`").cast("string") for c in (*self.key_cols, *self.features, self.label, fold_col)]
+
     def release(self) -> None:
         for df in self._kept:
             df.unpersist()

@@ -252,6 +252,16 @@ def samme_rounds(spark, sf_dir):
     return spark.createDataFrame(rows, schema)
 
 
+def samme_r_rounds(spark, sf_dir):
+    """The real-valued algorithm: the log-odds of both leaves of every stump."""
+    fit = family("adaboost").fit(prepared(spark, sf_dir), {**DEFAULTS["adaboost"], "algorithm": "SAMME.R"})
+    rows = [
+        (r, int(t.feature[0]), round(float(t.cut[0]), 9), round(float(t.odds[1]), 6), round(float(t.odds[2]), 6), round(e, 6))
+        for r, (t, e) in enumerate(zip(fit.trees, fit.errors), start=1)
+    ]
+    return spark.createDataFrame(rows, "round int, feature int, cut double, left_odds double, right_odds double, error double")
+
+
 def _ranked(importances: DataFrame, digits: int) -> DataFrame:
     place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # one row per feature
     return importances.select("feature", F.round("importance", digits).alias("importance"), place.alias("place"))
@@ -405,6 +415,7 @@ QUERIES = {
     "binned_histogram": binned_histogram,
     "stump_split": stump_split,
     "samme_rounds": samme_rounds,
+    "samme_r_rounds": samme_r_rounds,
     "importance_adaboost": importance_adaboost,
     "importance_lr": importance_lr,
     "importance_dt": importance_of_tree("dt", DEFAULTS["dt"]),
@@ -419,6 +430,8 @@ QUERIES = {
     "predict_dt": predicted("dt", DEFAULTS["dt"]),
     "predict_dt_pruned": predicted("dt", {**DEFAULTS["dt"], "min_samples_split": 500}),
     "predict_adaboost": predicted("adaboost", DEFAULTS["adaboost"]),
+    "predict_samme_r": predicted("adaboost", {**DEFAULTS["adaboost"], "algorithm": "SAMME.R"}),
+    "train_samme_r": trained("adaboost", {**DEFAULTS["adaboost"], "algorithm": "SAMME.R"}),
     "tune_lr": tuned("lr"),
     "tune_rf": tuned("rf"),
     "tune_adaboost": tuned("adaboost"),

@@ -215,3 +215,71 @@ def test_both_ways_agree_on_continuous_values(spark, depth):
     if depth == 1:
         _, alphas, _ = samme(pdf[NAMES].to_numpy(), pdf["y"].to_numpy(), 2, 1.0, 1)
         np.testing.assert_allclose(near.alphas[:2], alphas, rtol=1e-9)
+
+
+def samme_r(x, y, rounds, rate, depth):
+    """The real-valued algorithm row by row: shares of the classes in each leaf, no weights of learners."""
+    w, odds_of, errors = np.full(len(x), 1 / len(x)), [], []
+    for _ in range(rounds):
+        tree = grow_shares(x, y, w, depth)
+        share = tree(x)
+        errors.append(w[(share > 0.5) != y].sum() / w.sum())
+        odds_of.append(lambda z, tree=tree: log_odds(tree(z)))
+        if errors[-1] <= 0:
+            break
+        w = w * np.exp(-0.5 * rate * (2 * y - 1) * log_odds(share))
+        w /= w.sum()
+    return lambda z: (sum(o(z) for o in odds_of) > 1e-9).astype(int), errors
+
+
+def log_odds(share):
+    eps = np.finfo(float).eps
+    return np.log(np.maximum(share, eps)) - np.log(np.maximum(1 - share, eps))
+
+
+def grow_shares(x, y, w, depth):
+    share = w[y == 1].sum() / w.sum()
+    if depth == 0 or len(set(y)) < 2:
+        return lambda z: np.full(len(z), share)
+    best = None
+    for f in range(x.shape[1]):
+        seen = sorted(set(x[:, f].tolist()))
+        for b, following in zip(seen, seen[1:]):
+            left = x[:, f] <= b
+            score = round((mixed(w[left], y[left]) + mixed(w[~left], y[~left])) / w.sum(), 9)
+            if best is None or score < best[0]:
+                best = (score, f, (b + following) / 2)
+    if best is None:
+        return lambda z: np.full(len(z), share)
+    _, f, cut = best
+    left = x[:, f] <= cut
+    low, high = grow_shares(x[left], y[left], w[left], depth - 1), grow_shares(x[~left], y[~left], w[~left], depth - 1)
+    return lambda z: np.where(z[:, f] <= cut, low(z), high(z))
+
+
+@pytest.mark.parametrize("way", [{}, {"local_bytes": 0}])
+@pytest.mark.parametrize("depth,rounds,rate", [(1, 6, 1.0), (2, 4, 0.3)])
+def test_real_valued_step_by_step(table, weighted_cells, depth, rounds, rate, way):
+    specs = [BoostSpec(rounds, rate, depth, k, "SAMME.R") for k in (None, 3)]
+    fits, counts = fitted(weighted_cells, specs, [2, rounds], **way)
+    for j, (spec, fit) in enumerate(zip(specs, fits)):
+        rows = DATA[(DATA.fold >= 0) & (DATA.fold != (-9 if spec.without_fold is None else spec.without_fold))]
+        predict, errors = samme_r(*arrays(rows), rounds, rate, depth)
+        np.testing.assert_allclose(fit.errors, errors, rtol=1e-7)
+        assert fit.alphas == [1.0] * rounds
+        assert answers(fit, table) == dict(zip(DATA.k, predict(arrays(DATA)[0])))
+        held = DATA[DATA.fold == (-1 if spec.without_fold is None else spec.without_fold)]
+        for size in (2, rounds):
+            votes = samme_r(*arrays(rows), size, rate, depth)[0](held[NAMES].to_numpy())
+            for r in counts[(counts.fit == j) & (counts.n_trees == size)].itertuples():
+                assert r.n == ((held.y == r.label) & (votes == r.prediction)).sum()
+
+
+def test_real_valued_fits_are_saved(spark, table, weighted_cells, tmp_path):
+    fit = fitted(weighted_cells, [BoostSpec(3, 0.5, 2, None, "SAMME.R")])[0][0]
+    fit.save(str(tmp_path))
+    again = BoostFit.load(spark, str(tmp_path))
+    assert again.spec.algorithm == "SAMME.R" and answers(again, table) == answers(fit, table)
+    assert answers(again.prefix(2), table) == answers(fit.prefix(2), table)
+    with pytest.raises(ValueError, match="algorithm"):
+        BoostSpec(algorithm="SAMME.X")

@@ -80,19 +80,20 @@ def test_train_one(spark, p, tmp_path, name):
     assert result.metrics["accuracy"] > 0.7 and 0.7 < result.accuracy_crossval < 1
     assert "fnr" not in result.metrics
     folder = f"{out}/models"
-    saved = spark.read.json(f"{folder}/{name}_metrics").first().asDict()
+    log = RunLog(spark, folder)
+    assert log.latest(name) == result.run_id and log.latest("other") is None
+    saved = spark.read.json(log.path(result.run_id, f"{name}_metrics")).first().asDict()
     assert saved == result.metrics and isinstance(saved["cm_true_positive"], int)
     assert read_pointer(spark, f"{folder}/model_run_id").first()["run_id"] == result.run_id
-    log = RunLog(spark, folder)
     assert [(r["run_id"], r["run_name"], r["family"]) for r in log.runs.collect()] == [(result.run_id, f"{name}_run_ci", name)]
     values = {(r["kind"], r["name"]): r["value_num"] for r in log.values.collect()}
     assert values["metric", "accuracy_crossval"] == result.accuracy_crossval
     assert (("importance", "importance_a") in values) == (name != "lr")
     if name != "lr":
-        table = spark.read.csv(f"{folder}/{name}_feature_importance", header=True, schema="feature string, importance double")
+        table = spark.read.csv(log.path(result.run_id, f"{name}_feature_importance"), header=True, schema="feature string, importance double")
         shares = [r["importance"] for r in table.collect()]
         assert shares == sorted(shares, reverse=True)
-    again = train.load_fit(spark, name, f"{folder}/{name}_model")
+    again = train.load_fit(spark, name, log.path(result.run_id, f"{name}_model"))
     assert train.judge(p, again, rates=False) == result.metrics
 
 
@@ -105,9 +106,9 @@ def test_tune_all(spark, p, tmp_path):
     assert winner(board).first()["family"] == best["family"]
     folder = f"{tmp_path}/models_tuned"
     assert read_pointer(spark, f"{folder}/best_tuned_model_run_id").first()["run_id"] == results[best["family"]].run_id
-    again = train.load_fit(spark, best["family"], f"{folder}/{best['long_name']}_tuned_model")
-    assert train.judge(p, again, rates=True) == results[best["family"]].metrics
     log = RunLog(spark, folder)
+    again = train.load_fit(spark, best["family"], log.path(best["run_id"], f"{best['long_name']}_tuned_model"))
+    assert train.judge(p, again, rates=True) == results[best["family"]].metrics
     assert log.runs.count() == 4
     logged = log.values.where("kind = 'metric'").groupBy("run_id").count().collect()
     assert {r["count"] for r in logged} == {11}
@@ -180,3 +181,97 @@ def test_from_files(spark, tmp_path):
     assert pointer == winner(board).first()["run_id"]
     with pytest.raises(KeyError):
         train_file(spark, path, "dt", str(tmp_path / "none"), label="absent")
+
+
+class Killed(Exception):
+    pass
+
+
+def killed_after(monkeypatch, n):
+    """Every write and every publishing rename counts; the one after ``n`` ends the writer."""
+    from pyspark.sql import DataFrameWriter
+
+    from plumbline.sources import sinks
+
+    left = [n]
+
+    def counted(f):
+        def run(*args, **options):
+            left[0] -= 1
+            if left[0] < 0:
+                raise Killed
+            return f(*args, **options)
+
+        return run
+
+    for kind in ("parquet", "json", "csv", "text"):
+        monkeypatch.setattr(DataFrameWriter, kind, counted(getattr(DataFrameWriter, kind)))
+    monkeypatch.setattr(sinks, "rename_over", counted(sinks.rename_over))
+    return left
+
+
+def test_a_run_is_there_whole_or_not_at_all(spark, p, tmp_path, monkeypatch):
+    """The writer is ended between every two of its writes; readers see whole runs and a pointer to one."""
+    out = str(tmp_path)
+    folder, log = f"{out}/models", RunLog(spark, f"{out}/models")
+    fit = family("dt").fit(p, {"max_depth": 2})
+    monkeypatch.setattr(type(family("dt")), "fit", lambda self, p, params: fit)
+    first = train.train_one(p, "dt", {"max_depth": 2}, out, cross_validate=False)
+    for n in range(40):
+        with monkeypatch.context() as m:
+            left = killed_after(m, n)
+            try:
+                done = train.train_one(p, "dt", {"max_depth": 2}, out, cross_validate=False)
+            except Killed:
+                done = None
+        runs = {r["run_id"] for r in log.runs.collect()}
+        values = log.values.groupBy("run_id").count().collect()
+        assert {r["run_id"] for r in values} == runs and len({r["count"] for r in values}) == 1
+        pointed = [r["run_id"] for r in read_pointer(spark, f"{folder}/model_run_id").collect()]
+        assert len(pointed) == 1 and pointed[0] in runs
+        for run in runs - {first.run_id}:
+            assert spark.read.json(log.path(run, "dt_metrics")).count() == 1
+            assert train.load_fit(spark, "dt", log.path(run, "dt_model")).importances() == fit.importances()
+        if done:
+            break
+    assert n > 8 and left[0] == 0 and pointed == [done.run_id] and log.latest("dt") == done.run_id
+
+
+@pytest.mark.parametrize("name", ["dt", "adaboost"])
+def test_a_stopped_search_goes_on(spark, p, tmp_path, monkeypatch, name):
+    """What was scored before the stop is not fitted again, and the result is that of an unbroken search."""
+    want = tune.tune(p, name, SMALL[name])
+    fitted = []
+    real = type(family(name)).grid_scores
+
+    def counted(self, p, candidates, fold_col):
+        if stop and len(fitted) >= 1:
+            raise Killed
+        fitted.append([json.dumps(c, sort_keys=True) for c in candidates])
+        return real(self, p, candidates, fold_col)
+
+    monkeypatch.setattr(type(family(name)), "grid_scores", counted)
+    stop = True
+    with pytest.raises(Killed):
+        tune.tune(p, name, SMALL[name], str(tmp_path))
+    stop = False
+    got = tune.tune(p, name, SMALL[name], str(tmp_path))
+    every = [json.dumps(c, sort_keys=True) for c in expand_grid(SMALL[name])]
+    assert sorted(c for part in fitted for c in part) == sorted(every) and len(fitted) > 1
+    assert (got.params, got.accuracy_crossval, got.metrics) == (want.params, want.accuracy_crossval, want.metrics)
+    before = len(fitted)
+    wider = {**SMALL[name], **({"max_depth": [6, 3, 2]} if name == "dt" else {"learning_rate": [0.1, 1.0, 0.5]})}
+    tune.tune(p, name, wider, str(tmp_path))
+    assert sorted(c for part in fitted[before:] for c in part) == sorted(json.dumps(c, sort_keys=True) for c in expand_grid(wider) if json.dumps(c, sort_keys=True) not in every)
+
+
+def test_scores_belong_to_their_rows(spark, p, tmp_path):
+    other = Prepared(spark.createDataFrame(DATA.assign(a=DATA.a + (DATA.k == 7))), "y", ["k"])
+    same = Prepared(spark.createDataFrame(DATA).repartition(7), "y", ["k"])
+    prints = [tune.score_log(q, str(tmp_path)).fingerprint for q in (p, same, other)]
+    assert prints[0] == prints[1] != prints[2]
+    tune.score_log(p, str(tmp_path)).add("dt", [("{}", 0, 0.5), ("{}", 1, None)])
+    assert tune.score_log(same, str(tmp_path)).finished("dt") == {("{}", 0): 0.5, ("{}", 1): None}
+    assert tune.score_log(other, str(tmp_path)).finished("dt") == {} == tune.score_log(p, str(tmp_path)).finished("rf")
+    for q in (other, same):
+        q.release()
