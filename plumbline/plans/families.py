@@ -63,7 +63,7 @@ PARAM_TYPES = {
         "min_samples_leaf": "int",
         "max_features": "string",
     },
-    "adaboost": {"n_estimators": "int", "learning_rate": "double", "base_max_depth": "int"},
+    "adaboost": {"n_estimators": "int", "learning_rate": "double", "base_max_depth": "int", "algorithm": "string"},
     "dt": {"criterion": "string", "max_depth": "int", "min_samples_split": "int", "min_samples_leaf": "int"},
 }
 # The long names, in the order that breaks ties.
