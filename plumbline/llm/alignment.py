@@ -27,6 +27,7 @@ from tokenizers import Tokenizer
 
 from plumbline.llm.bpe import byte_signs
 from plumbline.llm.tables import fresh, map_pieces, written
+from plumbline.session import share
 
 BLANK = "▁"  # a piece's sign for a blank
 SET_PAIRS = 4_000_000  # pairs in one broadcast set of counts
@@ -290,7 +291,7 @@ def align(docs: DataFrame, a: ByteTokens, b: PieceTokens, text: str = "text", di
 
     One pass, nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Aligner(a, b))
+    shared = share(docs.sparkSession, Aligner(a, b))
     new = fresh(docs, "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times")
     kinds = ["bigint"] * 4 + ["string", "array<bigint>", "array<int>"]
     return map_pieces(docs, lambda texts: shared.value.align(texts, digest), [text], dict(zip(new, kinds)), nbytes=PIECE_BYTES), new
@@ -353,7 +354,7 @@ def with_count_sums(
     out = aligned
     for k, (low, high) in enumerate(sets):
         table = counts.where((F.col("a") >= low) & (F.col("a") < high)).select((F.col("a").cast("long") * size_b + F.col("b")).alias("pair"), "n").toArrow()
-        shared = spark.sparkContext.broadcast(PairCounts(*[table.column(c).to_numpy() for c in ("pair", "n")], size_b))
+        shared = share(spark, PairCounts(*[table.column(c).to_numpy() for c in ("pair", "n")], size_b))
 
         schema = StructType([x for x in out.schema if x.name not in (best, total)]).add(best, "long").add(total, "long")
 

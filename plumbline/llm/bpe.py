@@ -9,16 +9,20 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from plumbline.llm.tables import map_pieces
+from plumbline.session import share
 
-CACHE = 120_000  # words a worker keeps between blocks
+CACHE = 150_000  # words of a worker's younger generation, which then becomes the older one
 
 #: Unicode white space as the vocabulary's normaliser understands it.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
@@ -31,11 +35,32 @@ def byte_signs() -> list[str]:
     return [chr(b) if b in printable else chr(next(free)) for b in range(256)]
 
 
+def ranges(points: list[int]) -> str:
+    """Ascending code points as the inside of a character class."""
+    out: list[list[int]] = []
+    for i in points:
+        if out and out[-1][1] == i - 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+#: Characters that Python's tables do not know.
+UNASSIGNED = ranges([i for i in range(0x110000) if unicodedata.category(chr(i)) == "Cn"])
+BYTE_OF = {s: b for b, s in enumerate(byte_signs())}
+
+
 class WordBpe:
     """A word-end BPE vocabulary read from a tokenizers file (lower case, white space dropped).
 
     Refuses files whose steps differ from what it carries out. It is broadcast; words a worker has
-    encoded stay in its copy, up to CACHE of them between blocks.
+    encoded stay in its copy, in two generations: a word that is used again moves to the younger one, and
+    when that is full the older one is dropped, so frequent words stay.
+
+    Python's tables, the pattern library and the tokenizers library know different versions of Unicode.
+    They agree on what Python's tables have; a text with a character that these lack is normalised and
+    split by the tokenizers library itself.
     """
 
     def __init__(self, file: str):
@@ -58,19 +83,24 @@ class WordBpe:
         signs = byte_signs()
         self.first = [self.vocab[s] for s in signs]
         self.last = [self.vocab[s + self.end] for s in signs]
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self._compile()
-
-    def _compile(self) -> None:
-        self.split = regex.compile(self.pattern)
+        self.file = file
+        self.text_of = [self.tokens.get(i, "") for i in range(max(self.tokens) + 1)]
+        self._start()
+
+    def _start(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.split, self.library = regex.compile(self.pattern), None
+        self.unassigned = re.compile(f"[{UNASSIGNED}]")
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "split_special", "known")}
+        own = ("split", "library", "split_special", "unassigned", "known", "older")
+        return {k: v for k, v in self.__dict__.items() if k not in own}
 
     def __setstate__(self, state):
-        self.__dict__.update(state, known={})
-        self._compile()
+        self.__dict__.update(state)
+        self._start()
 
     def words(self, text: str) -> list[str]:
         """Words of a text in order; a special token stands as itself, as the one word with its id."""
@@ -82,9 +112,17 @@ class WordBpe:
         return out
 
     def _words(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case letter by letter
-        return self.split.findall(text.lower())
+        if text.isascii():
+            return self.split.findall(text.lower())
+        if self.unassigned.search(text):
+            return self._library_words(text)
+        return self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())  # lower case letter by letter
+
+    def _library_words(self, text: str) -> list[str]:
+        if self.library is None:
+            self.library = Tokenizer.from_str(self.file)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(BYTE_OF[c] for c in piece).decode("utf-8", "surrogatepass") for piece, _ in pieces]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of every word, by the pair occurrence index over all of them."""
@@ -143,17 +181,29 @@ class WordBpe:
 
     def learn(self, words: set[str]) -> None:
         """Make all these words known, the new ones in one go."""
-        new = [w for w in words if w not in self.known and w not in self.special]
-        if len(self.known) + len(new) > CACHE:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        for word, i in self.special.items():
-            self.known[word] = np.array([i], "<u4").tobytes(), self.tokens[i]
-        for word, ids in zip(new, self.encode_words(new)):
-            self.known[word] = np.array(ids, "<u4").tobytes(), " ".join([self.tokens[i] for i in ids])
+        if len(self.known) > CACHE:
+            self.older, self.known = self.known, {}
+        new = []
+        for word in words.difference(self.known):
+            if word in self.older:
+                self.known[word] = self.older[word]
+            elif word in self.special:
+                self.known[word] = np.array([self.special[word]], "<u4").tobytes()
+            else:
+                new.append(word)
+        if new:
+            found = self.encode_words(new)
+            raw = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+            ends = np.cumsum([4 * len(ids) for ids in found]).tolist()
+            self.known.update(zip(new, [raw[i:j] for i, j in zip([0, *ends], ends)]))
 
     def decode(self, ids: list[int]) -> str:
-        """The tokens with a blank between them, special ones too; the file names no other decoder."""
-        return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+        """The tokens with a blank between them, special ones too; the file names no other decoder. Ids that
+        the vocabulary lacks are left out."""
+        try:
+            return " ".join(map(self.text_of.__getitem__, ids))
+        except IndexError:
+            return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
 
 def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -167,19 +217,14 @@ def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids", dec
     - An empty table gives an empty table; other columns pass through, and one that is already named
       ``ids`` or ``decoded`` is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(WordBpe(file))
+    shared = share(docs.sparkSession, WordBpe(file))
 
     def run(texts):
         bpe = shared.value
         split = [bpe.words(t) if t else [] for t in texts]
         bpe.learn(set().union(*split))
-        known = bpe.known
-        all_ids, all_text = [], []
-        for words in split:
-            found = [known[w] for w in words]
-            all_ids.append(b"".join([x[0] for x in found]))
-            all_text.append(" ".join([x[1] for x in found]))
-        return all_ids, all_text
+        all_ids = [b"".join(map(bpe.known.__getitem__, words)) for words in split]
+        return all_ids, [bpe.decode(np.frombuffer(x, "<u4").tolist()) for x in all_ids]
 
     return map_pieces(docs, run, [text], {ids: "binary", decoded: "string"}, keep)
 
@@ -187,7 +232,7 @@ def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids", dec
 def decode(encoded: DataFrame, file: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``encoded`` with the text of the binary column ``ids``; NULL ids decode to an empty text, and
     ids the vocabulary lacks are left out."""
-    shared = encoded.sparkSession.sparkContext.broadcast(WordBpe(file))
+    shared = share(encoded.sparkSession, WordBpe(file))
 
     def run(values):
         bpe = shared.value

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.tables import fresh, map_pieces
+from plumbline.session import share
 
 WINDOW = 13
 MIN_SHARE = 20  # a document is contaminated if MIN_SHARE * hit words >= words
@@ -103,7 +104,7 @@ def contamination(
     out = docs
     for part in range(sets):
         own = items if sets == 1 else items.where(F.pmod(F.xxhash64("t"), F.lit(sets)) == part)
-        shared = spark.sparkContext.broadcast(WindowSet([(r.i, r.t) for r in own.collect()], window))
+        shared = share(spark, WindowSet([(r.i, r.t) for r in own.collect()], window))
 
         def scan(texts, hits=None, listed=None, shared=shared):
             found = shared.value

@@ -88,12 +88,25 @@ class Winnower:
         return (hashes[chosen] >> np.uint64(32)).astype(np.uint32), chosen
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard likeness of two arrays of different hashes; 1 if both are empty."""
-    if not len(a) and not len(b):
+class Chosen:
+    """What winnowing keeps of a text: its different hashes, and where the first of each lies."""
+
+    def __init__(self, winnower: Winnower, text: str):
+        self.text, self.gram = text, winnower.gram
+        self.values, self.positions = winnower.choose(text)
+        self.different, first = np.unique(self.values, return_index=True)
+        self.first = self.positions[first]
+
+
+def likeness(a: Chosen, b: Chosen) -> float:
+    """Jaccard likeness of the chosen grams; 1 if both texts have none. A hash that both have counts if the
+    grams at its positions are equal."""
+    if not len(a.different) and not len(b.different):
         return 1.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
+    _, i, j = np.intersect1d(a.different, b.different, assume_unique=True, return_indices=True)
+    places = zip(a.first[i].tolist(), b.first[j].tolist())
+    both = sum(a.text[p : p + a.gram] == b.text[q : q + b.gram] for p, q in places)
+    return both / (len(a.different) + len(b.different) - both)
 
 
 def as_string(hashes: np.ndarray) -> str:
@@ -158,7 +171,8 @@ def edited(text: str, following: str) -> str:
 def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Fingerprints of every text, of the text edited with its successor's beginning, and how alike they are.
 
-    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the
+    positions (code points, ascending) of either fingerprint's grams: positions, edited_positions.
     The successor is the next row by id (see ``with_next`` for NULL and repeated ids); the last row's is
     the first, and a lone row's is itself. NULL and empty texts are empty: their fingerprint is an
     empty string, like another empty one to 1 and any other to 0. An empty table gives an empty table;
@@ -167,35 +181,37 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     The texts are shuffled once, by id range. A task holds two texts at a time.
     """
     winnower = Winnower(gram, window)
-    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+    schema += "positions array<int>, edited_positions array<int>"
 
     def compared(batches) -> Iterator[tuple]:
         last = None
         for piece in pieces(batches, 3):
             for part, extra, doc_id, value in zip(*[piece.column(i).to_pylist() for i in range(4)]):
-                found = winnower.choose(value)[0]
+                found = Chosen(winnower, value)
                 if last is not None and last[0] == part:
-                    _, last_id, last_text, mine = last
-                    new = edited(last_text, value)
-                    of_new = winnower.choose(new)[0]
+                    _, last_id, mine = last
+                    new = Chosen(winnower, edited(mine.text, value))
                     yield (
                         last_id,
-                        len(last_text),
-                        hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(),
-                        as_string(mine),
-                        as_string(of_new),
-                        likeness(np.unique(mine), np.unique(of_new)),
-                        likeness(np.unique(mine), np.unique(found)),
+                        len(mine.text),
+                        hashlib.sha256(new.text.encode("utf-8", "surrogatepass")).hexdigest(),
+                        as_string(mine.values),
+                        as_string(new.values),
+                        likeness(mine, new),
+                        likeness(mine, found),
+                        mine.positions.astype(np.int32),
+                        new.positions.astype(np.int32),
                     )
-                last = None if extra else (part, doc_id, value, found)
+                last = None if extra else (part, doc_id, found)
 
     def run(batches):
         names = [x.split()[0] for x in schema.split(", ")]
-        kinds = [{"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}[x.split()[1]] for x in schema.split(", ")]
+        kinds = [{"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<int>": pa.list_(pa.int32())}[x.split()[1]] for x in schema.split(", ")]
         rows, held = [], 0
         for row in compared(batches):
             rows.append(row)
-            held += len(row[3]) + len(row[4]) + 200
+            held += 2 * len(row[3]) + 2 * len(row[4]) + 200
             if held > 4 << 20:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
                 rows, held = [], 0

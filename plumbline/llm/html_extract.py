@@ -43,8 +43,11 @@ PIECES = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th tbody thead tfoot captio
 SCOPE = frozenset("table td th ul ol dl body html article section main div select".split())
 #: Elements without main text, whatever they hold.
 NO_CONTENT = frozenset(
-    "head script style noscript template nav footer aside form button input select textarea label fieldset iframe object embed svg canvas audio video map dialog menu title link meta".split()
+    "head script style noscript template nav footer aside form button input select textarea iframe object embed svg canvas audio video map dialog menu title link meta".split()
 )
+CONTROLS = frozenset("button input select textarea".split())
+#: Elements that hold an article's own words; a passage in them that articles share is no template.
+PROSE = frozenset("p blockquote pre ul ol dl table figure".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Words of a class or id that name a part around the article.
 PARTS = frozenset(
@@ -52,6 +55,8 @@ PARTS = frozenset(
     "footer masthead menu nav navbar navigation newsletter notice notices pagination pager popup modal overlay promo promoted promotion related recommended sponsor sponsored "
     "share sharing sidebar sidebars social subscribe subscription signup toolbar topbar widget widgets".split()
 )
+#: Of these, the words that name readers' comments wherever a name ends with them.
+COMMENTS = frozenset("comment comments commentlist disqus respond replies".split())
 #: Words that may stand beside those in the name of a part.
 BESIDE = frozenset(
     "area bar block bottom box button buttons container content footer global header inner left line link links list main page post primary right secondary section site slot top unit wrap wrapper".split()
@@ -128,10 +133,10 @@ def _digest(*parts: str | bytes) -> bytes:
     return h.digest()
 
 
-def hash_subtrees(root: Node) -> tuple[dict[int, int], dict[int, int], int]:
+def hash_subtrees(root: Node) -> tuple[dict[int, int], dict[int, int], int, int]:
     """id(node) to a signed 64-bit hash of tag, class, texts and children, for the elements outside
-    articles that have text, then for the blocks inside articles, and a hash of all articles (0
-    without). Children are hashed before their parents; what holds an article is no template."""
+    articles that have text, then for the boxes inside articles, and hashes of all articles (0 without)
+    and of the whole page. Children are hashed before their parents; what holds an article is no template."""
     outside: dict[int, int] = {}
     within: dict[int, int] = {}
     order, stack = [], [(root, False)]
@@ -161,9 +166,10 @@ def hash_subtrees(root: Node) -> tuple[dict[int, int], dict[int, int], int]:
             continue
         elif not inside and _has_text(node):
             outside[id(node)] = int.from_bytes(digest, "little", signed=True)
-        elif inside and node.tag not in INLINE and node.tag not in PIECES and _has_text(node):
+        elif inside and node.tag not in INLINE and node.tag not in PIECES and node.tag not in PROSE and _has_text(node):
             within[id(node)] = int.from_bytes(_digest("in", digest), "little", signed=True)
-    return outside, within, int.from_bytes(_digest(*articles), "little", signed=True) if articles else 0
+    number = lambda digest: int.from_bytes(digest, "little", signed=True)
+    return outside, within, number(_digest(*articles)) if articles else 0, number(own[id(root)])
 
 
 def _has_text(node: Node) -> bool:
@@ -178,9 +184,12 @@ def _has_text(node: Node) -> bool:
 
 
 def names_part(names: str) -> bool:
-    """Whether a class or id is the name of a part: made of PARTS words alone, or of them and BESIDE words."""
+    """Whether a class or id is the name of a part: made of PARTS words alone, or of them and BESIDE words,
+    or one that ends with a word for comments."""
     for name in names.split():
         words = [w.lower() for w in _PART_WORDS.findall(name)]
+        if words and words[-1] in COMMENTS:
+            return True
         if any(w in PARTS for w in words) and all(w in PARTS or w in BESIDE for w in words):
             return True
     return False
@@ -193,8 +202,23 @@ def is_content(node: Node, inside: bool = False) -> bool:
         return False
     if node.tag in ("html", "body", "article", "main"):
         return True
-    linked = inside and node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "section")
-    return not names_part(node.attrs.get("class", "")) and (linked or not names_part(node.attrs.get("id", "")))
+    if node.tag in ("label", "fieldset") and ("for" in node.attrs or _has_control(node)):
+        return False
+    own = node.attrs.get("id", "")
+    linked = inside and node.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+    linked |= inside and node.tag == "section" and not (_PART_WORDS.findall(own.lower()) or [""])[-1] in COMMENTS
+    return not names_part(node.attrs.get("class", "")) and (linked or not names_part(own))
+
+
+def _has_control(node: Node) -> bool:
+    stack = [node]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, Node):
+                if c.tag in CONTROLS:
+                    return True
+                stack.append(c)
+    return False
 
 
 def article_holders(root: Node) -> set[int]:
@@ -214,7 +238,7 @@ def main_text(root: Node, template: set[int]) -> str:
     """The text of the article, of the main element or else of the whole page, without template
     subtrees and elements that are no content. Blocks and line breaks count as white space."""
     if template:
-        outside, within, _ = hash_subtrees(root)
+        outside, within, _, _ = hash_subtrees(root)
         gone = {node for node, h in (outside | within).items() if h in template}
     else:
         gone = set()
@@ -264,13 +288,14 @@ def host_of(url: Column) -> Column:
 def extract(pages: DataFrame, url: str = "url", html: str = "html", output: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with the main text in ``output``, without the column ``html``.
 
-    A subtree is template if it is on at least ``min_pages`` pages and ``ratio`` of the pages of its
-    host. Inside articles, pages whose articles are equal count as one, so copied articles stay, and only
-    blocks are candidates: no inline elements, headings, list items or cells, which belong to a text.
+    A subtree is template if it is on at least ``min_pages`` different pages and ``ratio`` of the different
+    pages of its host: copies of a page count as one, so they keep their text. Inside articles, pages whose
+    articles are equal count as one, and only boxes are candidates: no inline elements, headings,
+    paragraphs, lists, tables or figures, which belong to a text however often articles share them.
 
     - A NULL or empty html has an empty text; so has one without content. Pages of a NULL URL, or one
       without a host, form a host of their own.
-    - Every row is a page, repeated rows too; a subtree counts once per page.
+    - Repeated rows, and other pages of equal content, count once; a subtree counts once per page.
     - Whole pages of any length are read, broken markup included. An empty table gives an empty table.
     - Other columns pass through; a column already named ``output`` is replaced.
 
@@ -282,11 +307,12 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", output: str
     hosted = pages.withColumn(host, host_of(F.col(f"`{url}`")))
 
     def hashes(texts):
-        found = [hash_subtrees(parse(t)) if t else ({}, {}, 0) for t in texts]
-        return tuple(zip(*[(sorted(set(o.values())), sorted(set(w.values())), a) for o, w, a in found])) or ([], [], [])
+        found = [hash_subtrees(parse(t)) if t else ({}, {}, 0, 0) for t in texts]
+        return tuple(zip(*[(sorted(set(o.values())), sorted(set(w.values())), a, p) for o, w, a, p in found])) or ([], [], [], [])
 
-    found = map_pieces(hosted.select(host, html), hashes, [html], {"outside": "array<bigint>", "within": "array<bigint>", "article": "bigint"}, keep=[host])
-    found = written(found, "subtrees")
+    outputs = {"outside": "array<bigint>", "within": "array<bigint>", "article": "bigint", "page": "bigint"}
+    found = written(map_pieces(hosted.select(host, html), hashes, [html], outputs, keep=[host]), "subtrees")
+    different = found.groupBy(host, "page").agg(F.first("outside").alias("outside"))
     articles = found.where("article <> 0").groupBy(host, "article").agg(F.first("within").alias("within"))
 
     def often(pages_, column):
@@ -294,7 +320,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", output: str
         totals = pages_.groupBy(host).agg(F.count(F.lit(1)).alias("total"))
         return counts.join(totals, host).where(F.col("n") >= F.lit(float(ratio)) * F.col("total")).select(host, "k")
 
-    recurring = often(found, "outside").unionByName(often(articles, "within"))
+    recurring = often(different, "outside").unionByName(often(articles, "within"))
     recurring = written(recurring.groupBy(host).agg(F.collect_list("k").alias(template)), "site-templates")
     size = recurring.agg(F.sum(F.size(template))).first()[0] or 0
     joined = hosted.join(F.broadcast(recurring) if size <= BROADCAST_HASHES else recurring, host, "left")

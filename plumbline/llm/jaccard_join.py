@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import connected
-from plumbline.llm.tables import fresh, map_pieces, written
+from plumbline.llm.tables import fresh, largest, map_pieces, written
+from plumbline.session import share
 
 WORDS = 5
 PERCENT = 80
@@ -30,7 +31,9 @@ SHORT_LIST = 12  # sets of an index list whose pairs are looked at one by one
 BLOCK_SHINGLES = 500_000  # shingles of a block of sets that are compared together
 PIECE = 1 << 19  # bytes of text that are hashed together
 ORDER_SAMPLE = 65_536  # texts that show which shingles are frequent; decides the order, never a result
-FREQUENT = 4  # texts of that sample that share a frequent shingle, so a quarter of its shingles are broadcast at most
+ORDER_BYTES = 256 << 20  # and their size
+FREQUENT = 4  # texts of that sample that share a frequent shingle
+FREQUENT_SHINGLES = 1_000_000  # of which so many, the most frequent, are broadcast at most
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -270,7 +273,7 @@ def _labelled(docs: DataFrame, id_col: str, text: str, words: int, percent: int)
     ident = F.col(f"`{id_col}`")
     # rows without an id need some key to be found by
     texts = docs.select(ident.alias("doc_id"), F.coalesce(ident.cast("bigint"), F.lit(-(1 << 63))).alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent_shingles(texts, shingler))
+    shared = share(docs.sparkSession, _frequent_shingles(texts, shingler))
 
     def describe(values):
         sets = shingler.sets(values)
@@ -298,10 +301,12 @@ def _frequent_shingles(texts: DataFrame, shingler: Shingler) -> np.ndarray:
     They come last in the order of shingles, so that lists of boilerplate stay short. Any order gives
     the same result.
     """
-    total = texts.count()
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) <= int((1 << 30) * min(1.0, ORDER_SAMPLE / max(1, total))))
+    total = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()
+    share_of = min(1.0, ORDER_SAMPLE / max(1, total["n"]), ORDER_BYTES / max(1, total["size"]))
+    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) <= int((1 << 30) * share_of))
     sets = map_pieces(sample.dropDuplicates(["text"]), lambda v: ([s.astype(np.int64) for s in shingler.sets(v)],), ["text"], {"s": "array<bigint>"}, [], PIECE)
-    rows = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).select("s").toArrow()
+    rows = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    rows = largest(written(rows, "frequent-shingles"), "n", FREQUENT_SHINGLES).select("s").toArrow()
     return np.sort(rows.column("s").to_numpy().astype(np.uint64))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.lanes import Lanes
 from plumbline.llm.tables import map_pieces
+from plumbline.session import share
 
 SAMPLE_TEXTS = 128  # labelled texts per language that the automata are fitted on
 SAMPLE_CHARS = 16_384  # code points per language, all of them together
@@ -91,13 +92,10 @@ class CrossParser:
         chars = min(chars, total // max(1, len(samples)))
         cut: dict[str, list[str]] = {}
         for language in self.languages:
-            texts, room, cut[language] = sorted(samples[language], key=len), chars, []
-            for i, t in enumerate(texts):  # short texts whole, the room that is left shared by the rest
-                size = min(len(t), max(1, room // (len(texts) - i)))
+            texts, cut[language] = sorted(samples[language], key=len), []
+            for t, size in zip(texts, allotted([len(t) for t in texts], chars)):
                 start = zlib.crc32(t.encode("utf-8", "surrogatepass")) % (len(t) - size + 1)
-                piece = t[start : start + size]  # from anywhere in the text
-                cut[language].append(piece)
-                room -= len(piece)
+                cut[language].append(t[start : start + size])  # from anywhere in the text
         self.symbols = Symbols([t for texts in cut.values() for t in texts])
         self.own, self.tables, self.bits = [], [], []
         for language in self.languages:
@@ -161,8 +159,18 @@ class CrossParser:
         )
 
 
-def labelled_sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """Up to ``texts`` different texts of each language, of each ``chars`` code points from anywhere in it.
+def allotted(lengths: list[int], room: int) -> list[int]:
+    """Code points taken of texts of ascending lengths: short ones whole, the room left shared by the rest."""
+    out = []
+    for i, length in enumerate(lengths):
+        out.append(min(length, max(1, room // (len(lengths) - i))))
+        room -= out[-1]
+    return out
+
+
+def labelled_sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS, total: int = TOTAL_CHARS) -> dict[str, list[str]]:
+    """Pieces from anywhere in up to ``texts`` different texts of each language: ``chars`` code points a
+    language and ``total`` in all, cut before they leave the tasks.
 
     ``labelled`` is (lang, text). Texts are dealt into ``texts`` slots by hash; the lowest hash of a
     slot is taken, so the sample depends on the texts alone, not on order, layout or ids.
@@ -170,10 +178,22 @@ def labelled_sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int =
     rows = labelled.where("lang is not null and text is not null and text <> ''").select("lang", "text", F.xxhash64("text").alias("h"))
     slot = F.pmod("h", F.lit(texts))
     chosen = rows.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).drop("slot")  # texts x languages rows
-    start = F.pmod(F.xxhash64("h"), F.greatest(F.char_length("text") - chars + 1, F.lit(1))).cast("int") + 1
-    taken = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.col("text").substr(start, F.lit(chars)).alias("text"))
+    found = rows.join(F.broadcast(chosen), ["lang", "h"])
+    lengths: dict[str, list[tuple[int, int]]] = {}
+    for r in found.groupBy("lang", "h").agg(F.min(F.char_length("text")).alias("n")).collect():
+        lengths.setdefault(r.lang, []).append((r.n, r.h))
+    room, sizes = min(chars, total // max(1, len(lengths))), []
+    for lang, known in lengths.items():
+        known.sort()
+        sizes += [(lang, h, size) for (_, h), size in zip(known, allotted([n for n, _ in known], room))]
+    if not sizes:
+        return {}
+    size = labelled.sparkSession.createDataFrame(sizes, "lang string, h long, size int")  # a row per chosen text
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.char_length("text") - F.col("size") + 1, F.lit(1))).cast("int") + 1
+    taken = rows.withColumn("lang", F.col("lang").cast("string")).join(F.broadcast(size), ["lang", "h"])
+    taken = taken.groupBy("lang", "h").agg(F.min(F.col("text").substr(start, F.col("size"))).alias("text"))
     out: dict[str, list[str]] = {}
-    for r in taken.dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect():
+    for r in taken.orderBy("lang", "h").collect():
         out.setdefault(r.lang, []).append(r.text)
     return out
 
@@ -196,7 +216,7 @@ def with_language(docs: DataFrame, parser: CrossParser, text: str = "text", lang
     - An empty table gives an empty table; other columns pass through, whatever their names; columns
       already named ``lang_pred`` or ``score`` are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(parser)
+    shared = share(docs.sparkSession, parser)
     return map_pieces(docs, lambda texts: shared.value.predict(texts), [text], {lang_pred: "string", score: "double"})
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.tables import fresh, map_pieces
+from plumbline.session import share
 
 SAMPLE_ROWS = 20_000  # labelled rows that the model is fitted on
 BINS = 32
@@ -239,7 +240,7 @@ def with_scores(docs: DataFrame, model: Additive, text: str = "text", output: st
     - An empty table gives an empty table; other columns pass through, whatever their names. A column
       already named ``output`` is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     name = output or fresh(docs, "score")[0]
 
     def score(texts: Sequence[str | None]):

@@ -197,7 +197,7 @@ def without_repeats(
     if depth < 5 * PERIOD or gram >= depth:
         raise ValueError(f"depth must be {5 * PERIOD} at least and more than gram")
     anchors = Anchors(depth, gram)
-    key = fresh(docs, "__key")[0]
+    key, marked = fresh(docs, "__key", "__marks")
     plain = docs.drop("spans", "kept").withColumn(text, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     keyed = plain.withColumn(key, F.xxhash64(F.col(f"`{text}`"), F.col(f"`{id_col}`")))
     texts = keyed.select(F.col(key).alias("key"), F.col(f"`{text}`").alias("text"))
@@ -206,15 +206,16 @@ def without_repeats(
     flags = _window_flags(texts, repeats, anchors, bucket_rows, block_bytes)
     several = repeats.where("mixed").join(flags, ["bucket", "around"]).select("key", "bucket", "around", "flags")
     whole = repeats.where("not mixed").select("key", "bucket", "around", F.lit(None).cast("binary").alias("flags"))
-    marks = several.unionByName(whole).groupBy("key").agg(F.collect_list(F.struct("bucket", "around", "flags")).alias("__marks")).withColumnRenamed("key", key)
+    marks = several.unionByName(whole).dropDuplicates(["key", "bucket", "around"])  # rows of one text and id share their marks
+    marks = marks.groupBy("key").agg(F.collect_list(F.struct("bucket", "around", "flags")).alias(marked)).withColumnRenamed("key", key)
 
     def cut(values, marks):
         spans, kept = [], []
-        for value, marked in zip(values, marks):
+        for value, own in zip(values, marks):
             raw = value.encode("utf-8", "surrogatepass")
             found = np.zeros((0, 2), np.int64)
-            if marked:
-                known = {(m["bucket"], m["around"]): m["flags"] for m in marked}
+            if own:
+                known = {(m["bucket"], m["around"]): m["flags"] for m in own}
                 found = spans_of(_flagged(np.frombuffer(raw, np.uint8), known, anchors), depth)
             last, left = 0, []
             for start, end in found.tolist():
@@ -226,7 +227,7 @@ def without_repeats(
 
     joined = keyed.join(marks, key, "left")
     keep = [c for c in plain.columns if c != text]
-    return map_pieces(joined, cut, [text, "__marks"], {"spans": "array<struct<start:bigint,end:bigint>>", "kept": "binary"}, keep)
+    return map_pieces(joined, cut, [text, marked], {"spans": "array<struct<start:bigint,end:bigint>>", "kept": "binary"}, keep)
 
 
 def _flagged(data: np.ndarray, known: dict, anchors: Anchors) -> np.ndarray:
@@ -255,7 +256,8 @@ def _repeated_anchors(texts: DataFrame, anchors: Anchors) -> DataFrame:
                 arounds.append(around)
             yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "bucket": np.concatenate(buckets), "around": np.concatenate(arounds)})
 
-    rows = texts.mapInArrow(find, "key bigint, bucket bigint, around bigint").repartition("bucket")  # one shuffle serves both below
+    rows = written(texts.mapInArrow(find, "key bigint, bucket bigint, around bigint"), "all-anchors")
+    # counted within the tasks first; a hot bucket's rows are split by the join, whose other side has one row a bucket
     buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), (F.min("around") != F.max("around")).alias("mixed")).where("n > 1")
     return written(rows.join(buckets.select("bucket", "mixed"), "bucket").select("key", "bucket", "around", "mixed"), "anchors")
 

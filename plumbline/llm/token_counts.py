@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.tables import fresh, largest, map_pieces, written
+from plumbline.session import share
 
 FREQUENT = 65_536  # entries of the broadcast table
 LONGEST = 64  # code points of its longest key, so it has a few MB at most
@@ -114,7 +115,7 @@ def with_token_counts(docs: DataFrame, model: bytes, text: str = "text", output:
     coder = sentencepiece.SentencePieceProcessor(model_proto=model)
     if any(BLANK in coder.id_to_piece(i).lstrip(BLANK) for i in range(coder.get_piece_size())):
         raise ValueError("a piece with a blank inside: counts do not add up over pre-tokens")
-    shared = docs.sparkSession.sparkContext.broadcast(Lengths(model, frequent_pre_tokens(docs, text, limit)))
+    shared = share(docs.sparkSession, Lengths(model, frequent_pre_tokens(docs, text, limit)))
     name = fresh(docs, "n_tokens")[0] if output == text else output
 
     def count(texts):

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.tables import written
+from plumbline.session import share
 
 PARTS = 16
 ENTRIES = 64
@@ -243,7 +244,7 @@ def _blocks(batches):
 def _improved(kept: DataFrame, books: list[np.ndarray], cuts: list[int]) -> list[np.ndarray]:
     """Each entry replaced by the rounded-down mean of its parts; unused entries stay."""
     n, size = len(books[0]), cuts[-1]
-    shared = kept.sparkSession.sparkContext.broadcast(books)
+    shared = share(kept.sparkSession, books)
 
     def sums(batches):
         trees = [Gnat(b) for b in shared.value]
@@ -274,7 +275,7 @@ def _improved(kept: DataFrame, books: list[np.ndarray], cuts: list[int]) -> list
 
 
 def _coded(kept: DataFrame, books: list[np.ndarray], cuts: list[int]) -> DataFrame:
-    shared = kept.sparkSession.sparkContext.broadcast(books)
+    shared = share(kept.sparkSession, books)
     width = max(2, -(-(len(books[0]) - 1).bit_length() // 4))  # hex digits of an entry
 
     def code(batches):

@@ -76,9 +76,9 @@ def test_edits_follow_the_ids(spark, parts):
     for k, (i, t) in enumerate(order):
         n = order[(k + 1) % len(order)][1]
         e = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
-        f, fe, fn = (w.choose(x)[0] for x in (t, e, n))
+        (f, at), (fe, e_at), (fn, _) = (w.choose(x) for x in (t, e, n))
         near = [len(set(f) & set(x)) / len(set(f) | set(x)) if len(f) or len(x) else 1.0 for x in (fe, fn)]
-        want.append((None if i < 0 else i, len(t), hashlib.sha256(e.encode()).hexdigest(), fingerprints.as_string(f), fingerprints.as_string(fe), *near))
+        want.append((None if i < 0 else i, len(t), hashlib.sha256(e.encode()).hexdigest(), fingerprints.as_string(f), fingerprints.as_string(fe), *near, at.tolist(), e_at.tolist()))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
@@ -88,6 +88,27 @@ def test_fingerprint_columns(spark):
     assert [len(r.hashes) for r in out] == [1, 0] and out[0].positions == [0]
 
 
+def test_positions_hold_the_grams(spark, data):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    order, w = sorted(texts), fingerprints.Winnower()
+    for r in queries.op3_fingerprints(spark, data).collect():
+        following = texts[order[(order.index(r.doc_id) + 1) % len(order)]]
+        for text, found, positions in ((texts[r.doc_id], r.fingerprint, r.positions), (fingerprints.edited(texts[r.doc_id], following), r.edited_fingerprint, r.edited_positions)):
+            assert positions == sorted(set(positions)) and len(found) == 8 * len(positions)
+            for k in (0, len(positions) // 2, len(positions) - 1) if positions else ():
+                gram = text[positions[k] : positions[k] + fingerprints.GRAM]
+                assert fingerprints.as_string(w.choose(gram)[0]) == found[8 * k : 8 * k + 8]
+
+
+def test_equal_hashes_of_other_grams_do_not_count():
+    w = fingerprints.Winnower(4, 3)
+    a, b = fingerprints.Chosen(w, "some words here"), fingerprints.Chosen(w, "some words there")
+    near = fingerprints.likeness(a, b)
+    assert 0 < near < 1 and fingerprints.likeness(a, a) == 1
+    b.text = "?" * len(b.text)  # the same hashes, as if they had collided
+    assert fingerprints.likeness(a, b) == 0
+
+
 def test_edited_texts_are_near(spark, data):
     rows = queries.op3_fingerprints(spark, data).where("n_chars > 300").collect()
     assert min(r.near_edited for r in rows) > 0.05
@@ -132,6 +153,17 @@ def test_repeated_bytes_by_hand(spark, bucket_rows, block):
         assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
 
 
+def test_repeated_rows_share_their_marks(spark):
+    """Hundreds of equal rows, and a column with the name of an inner one."""
+    text = prose(300)
+    rows = [(1, text, "x")] * 400 + [(2, prose(300), "y"), (None, text[:500], "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __marks string").repartition(4)
+    out = suffix_dedup.without_repeats(df).collect()
+    assert len(out) == 402 and all(r["__marks"] in "xyz" for r in out)
+    assert all(bytes(r.kept) == b"" and len(r.spans) == 1 for r in out if r.doc_id == 1)
+    assert [bytes(r.kept).decode() for r in out if r.doc_id == 2] == [rows[400][1]]
+
+
 def test_suffix_dedup_of_nothing(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     assert suffix_dedup.without_repeats(df.where("false")).count() == 0
@@ -205,15 +237,62 @@ def test_boxes_inside_articles_go_where_they_recur(spark):
     rows = [(i, "https://site.example/%d" % i, page(f"own words {i} {box}")) for i in range(8)]
     rows += [(10 + i, "https://copies.example/%d" % i, page(f"copied {box}") + f"<div>{i}</div>") for i in range(8)]
     out = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()
-    assert [r.text for r in out[:8]] == [f"Title & more own words {i}" for i in range(8)]
+    assert [r.text for r in out[:8]] == [f"Title & more own words {i} Second bolder line" for i in range(8)]  # a paragraph is no box
     assert {r.text for r in out[8:]} == {"Title & more copied Join us Our letter, every week. Second bolder line"}
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    """With and without an article or main element, copied row for row or under another URL."""
+    bodies = {"none": page("copied words", article=False), "article": page("copied words"), "main": page("copied words", article=False).replace("<div><p>copied words</p></div>", "<main><p>copied words</main>")}
+    for kind, html in bodies.items():
+        rows = [(i, f"https://site.example/{kind}/{i % 3}", html) for i in range(7)]
+        rows += [(10 + i, f"https://site.example/{kind}/x{i}", page(f"own {i}", article=kind == "article")) for i in range(9)]
+        out = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert all("copied words" in out[i] and "good things" not in out[i] for i in range(7))
+        assert all(f"own {i}" in out[10 + i] and "good things" not in out[10 + i] for i in range(9))
+
+
+def test_paragraphs_that_articles_share_stay(spark):
+    line = "<p>Published under a free licence.</p><blockquote>To be or not to be.</blockquote>"
+    rows = [(i, f"https://site.example/{i}", f"<article><p>own {i}</p>{line}</article>") for i in range(9)]
+    out = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in out} == {f"own {i} Published under a free licence. To be or not to be." for i in range(9)}
+
+
+@pytest.mark.parametrize("ratio, least", [(0.1, 5), (0.5, 2)])
+def test_templates_by_counting(spark, ratio, least):
+    """Which subtrees go is found again by comparing all pages of a host with each other."""
+    rng = random.Random(6)
+    boxes = [f"<div class='b{k}'>box {k} <span>words {k}</span></div>" for k in range(6)]
+    rows = []
+    for i in range(60):
+        host, own = rng.choice(["a.example", "b.example", "b.example"]), f"<p>text {i % 50}</p>"
+        some = "".join(b for k, b in enumerate(boxes) if rng.random() < (k + 1) / 9)
+        rows.append((i, f"http://{host}/{i}", f"<html><body>{some}{own}</body></html>" if i % 2 else f"<html><body>{some}<article>{own}{boxes[i % 6]}</article></body></html>"))
+    rows += [(100 + i, *rows[3][1:]) for i in range(8)]
+    out = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), ratio=ratio, min_pages=least).collect()}
+    for i, url, html in rows:
+        host = url.split("/")[2]
+        pages = {h for _, u, h in rows if u.split("/")[2] == host}
+        split = lambda h: re.split("</?article>", h) if "<article>" in h else [h, "", ""]
+        articles = {split(h)[1] for h in pages if "<article>" in h}
+        outside = [b for b in boxes if (n := sum(b in split(h)[0] + split(h)[2] for h in pages)) >= least and n >= ratio * len(pages)]
+        within = [b for b in boxes if (n := sum(b in a for a in articles)) >= least and n >= ratio * len(articles)]
+        shown = split(html)[1] if "<article>" in html else html
+        for b in within if "<article>" in html else outside:
+            shown = shown.replace(b, " ")
+        assert out[i] == " ".join(re.sub("<[^>]*>", " ", shown).split()), html
+
+
 def test_names_that_hold_or_head_content_stay():
     text = lambda html: html_extract.main_text(html_extract.parse(html), set())
     for around in ("<div class='layout has-sidebar'>%s</div>", "<div id='content-with-comments'>%s</div>", "<form>%s</form>", "<div class=sidebar>%s</div>"):
         assert text(around % "<article><p>kept</article>") == text(around % "<main><p>kept</main>") == "kept"
     assert text("<article>kept<div id=comments><article>x</article></div></article><aside><article>x</article></aside>") == "kept"
+    for part in ("<section id='comments'>x</section>", "<div class='user-comments'>x</div>", "<div id='reader-comments'><p>x</div>", "<ol class='commentList'><li>x</ol>"):
+        assert text(f"<article>kept{part}</article>") == text(f"<div>kept{part}</div>") == "kept"
+    assert text("<article><fieldset><legend>kept</legend><p>words</fieldset><label>too</label></article>") == "kept words too"
+    assert text("<article>kept<fieldset><p>x<input></fieldset><label for=a>x</label><label>x<select></select></label></article>") == "kept"
     parts = ("<h2 id='social-history'>kept</h2>", "<section id='related-work'>kept</section>", "<div class='notice-period'>kept</div>", "<h2 id=comments>kept</h2>")
     for part in parts:
         assert text(f"<article>{part}</article>") == "kept"

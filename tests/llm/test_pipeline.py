@@ -33,6 +33,10 @@ def test_language_keeps_clean_documents(stages):
     rows = stages[0]
     kept = {r.doc_id for r in rows[1]}
     assert kept == {r.doc_id for r in rows[0] if any(c.isalpha() for c in r.text or "")}
+    assert {r.lang for r in rows[1]} <= {r.lang for r in rows[0] if r.lang} and all(r.lang for r in rows[1])
+    given = {r.doc_id: r.lang for r in rows[0]}
+    told = [(r.lang, given[r.doc_id]) for r in rows[1] if given[r.doc_id]]
+    assert sum(a == b for a, b in told) / len(told) > 0.95
 
 
 def test_lines_by_hand(stages):

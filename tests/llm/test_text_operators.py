@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -84,7 +85,38 @@ def test_bpe_cache_is_bounded(word_file, monkeypatch):
     for block in (["one", "two", "three"], ["four", "five", "six"], ["one", "six"]):
         coder.learn(set(block))
         assert set(block) <= set(coder.known)
-    assert len(coder.known) <= 5 + len(coder.special)
+    assert len(coder.known) <= 5 + 3 and len(coder.older) <= 5 + 3
+
+
+def test_frequent_words_outlive_a_full_cache(word_file, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 8)
+    coder, encoded = bpe.WordBpe(word_file), Counter()
+    real = coder.encode_words
+    monkeypatch.setattr(coder, "encode_words", lambda words: encoded.update(words) or real(words))
+    for i in range(20):
+        coder.learn({"often", *(f"word{chr(97 + i)}{chr(97 + k)}" for k in range(4))})
+    assert encoded["often"] == 1 and max(encoded.values()) == 1
+
+
+def test_all_code_points_are_split_as_the_library_does(word_file):
+    """Characters newer than the library's Unicode version included."""
+    library, coder = Tokenizer.from_str(word_file), bpe.WordBpe(word_file)
+    assert bpe.ranges([1, 2, 3, 9]) == "\\U00000001-\\U00000003\\U00000009-\\U00000009"
+    for start in range(0, 0x110000, 128):
+        if 0xD800 <= start < 0xE000:
+            continue
+        text = "".join(f"a{chr(c)}b1{chr(c)}{chr(c)} " for c in range(start, start + 128))
+        words = coder.words(text)
+        coder.learn(set(words))
+        ids = np.frombuffer(b"".join([coder.known[w] for w in words]), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, hex(start)
+
+
+def test_decoding_reads_the_ids(word_file):
+    library, coder = Tokenizer.from_str(word_file), bpe.WordBpe(word_file)
+    ids = [320, 49407, 7, 0, 1000]
+    assert coder.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    assert coder.decode([320, 10**6]) == coder.decode([320]) and coder.decode([]) == ""
 
 
 def test_counts_are_the_library(spark, data, edges):
@@ -259,3 +291,17 @@ def test_digests_of_the_queries(spark, data, word_file):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_language_sample_is_cut_before_it_is_collected(spark):
+    rows = [("en" if i % 3 else "de", f"{i} " + "word und text " * (i * 37 % 400)) for i in range(600)] + [(None, "x"), ("fr", None), ("fr", "")]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    whole = {lang: {t for k, t in rows if k == lang} for lang in ("en", "de")}
+    for chars, total in ((500, 1 << 19), (10**9, 700), (3000, 1 << 19)):
+        sample = lang_id.labelled_sample(df, 32, chars, total)
+        assert set(sample) == {"en", "de"}
+        room = min(chars, total // 2)
+        for lang, pieces in sample.items():
+            assert 8 < len(pieces) <= 32 and sum(map(len, pieces)) <= room + 32
+            assert all(any(p in t for t in whole[lang]) for p in pieces)
+        assert sample == lang_id.labelled_sample(df.repartition(5), 32, chars, total)
