@@ -13,10 +13,11 @@ from plumbline.llm.tables import fresh, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter or a text go."""
+    """Documents in a language that the labelled ones teach, with the language found as their ``lang``;
+    those without a letter or a text go."""
     guess, score = fresh(docs, "lang_pred", "score")
-    known = lang_id.with_language(docs, lang_id.fit(docs), lang_pred=guess, score=score)
-    return known.where(F.col(guess) != lang_id.UNKNOWN).select(*docs.columns)
+    known = lang_id.with_language(docs, lang_id.fit(docs), lang_pred=guess, score=score).where(F.col(guess) != lang_id.UNKNOWN)
+    return known.withColumn("lang", F.col(guess)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
