@@ -1,46 +1,55 @@
 """LM scoring with a probabilistic suffix tree.
 
-Symbols are the bytes of the words, a blank after each word but the last, and an end sign. The tree
-keeps contexts of up to ``depth`` symbols whose next-symbol distribution diverges from that of the
-context without its oldest symbol. A symbol is scored by the longest kept suffix of what stands
-before it. Contexts are ordered by their symbols from the newest to the oldest, which cuts the tree
-into sets of bounded size that are broadcast and looked into one after the other.
-
-A text's probability is the product over its words, each together with what follows it, another word
-or the end (t: how often that is so after a training word). As in the base, all words that training
-lacks are one event. With u the share of training words seen once (Good and Turing's estimate of
-what is unseen), n the training words and c those equal to w:
-
-    known w:    (1 - u) * (c / n * t + tree) / 2     tree: the product over the symbols of w and its end
-    unknown w:  u * t
-    no word:    tree alone, for the end sign
+Symbols stand for the bytes of the words, a blank after each word but the last, and an end sign; bytes
+beyond the most frequent ones take two symbols. The tree keeps contexts of up to ``depth`` symbols whose
+next-symbol distribution diverges from that of the context without its oldest symbol. A symbol is scored
+by the longest kept suffix of what stands before it, smoothed with shorter ones by absolute discounts that
+are estimated by leaving one occurrence out. A text's score is the sum over its symbols.
+
+Contexts are ordered by their symbols from the newest to the oldest. Ranges of that order hold whole
+branches of the tree, so a range can be counted, judged and looked up on its own, and neither the tree nor
+the corpus is ever in one place:
+
+1. tasks cut the texts into chunks and write each chunk's texts beside its different strings (a context
+   of full depth and the next symbol) with their training counts, packed by range;
+2. the strings of a range are added up and its contexts judged;
+3. the strings of a range meet the contexts of the range, and every chunk's strings get their logarithms;
+4. these go back to their chunk, where texts are summed up.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from plumbline.llm.tables import PIECE_BYTES, fresh, largest, map_pieces, pieces, written
+from plumbline.llm.tables import fresh, largest, pieces, written
+from plumbline.session import share
 
 DEPTH = 7  # symbols of the longest context
 MIN_COUNT = 16  # occurrences of a context that may be kept
 MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its occurrences
-SET_ENTRIES = 4_000_000  # (context, next symbol) pairs of a broadcast set
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
-TASK_ROWS = 2_000_000  # distinct symbol strings a task holds before it passes them on
-JUDGED_ROWS = 2_000_000  # strings that are judged together
-HEAD = 3  # newest symbols by which strings are dealt out
-TASK_WORDS = 200_000  # distinct words likewise
+TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
+CHUNK_STRINGS = 3_000_000  # different strings of a chunk
+CHUNK_BYTES = 32 << 20  # and its text
+RANGE_SYMBOLS = 4_000_000  # training symbols in a range
+HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
+HEAD_SYMBOLS = 64_000_000
+STEPS = 1 << 20  # a logarithm is kept in steps of 1 / STEPS on its way back to the chunk
 
 END = 10  # a line feed: no word has one, so it can stand for the end and for what is before a text
-SYMBOL_BITS = 7
-MAX_SYMBOLS = 1 << SYMBOL_BITS
+BITS = 7
+SIZE = 1 << BITS
+LOW = SIZE - 1
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -48,9 +57,7 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def symbol_bytes(words: list[bytes], depth: int) -> bytes:
-    """What is modelled of a text, after ``depth`` signs for its beginning."""
-    return b"\n" * depth + b" ".join(words) + b"\n"
+# ---- words and symbols -----------------------------------------------------------------------
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -74,299 +81,419 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def byte_symbols(docs: DataFrame) -> np.ndarray:
-    """Symbol of each byte: the most frequent ones have their own, 0 stands for all others."""
+class Alphabet:
+    """Bytes to symbols: 1 the end, 2 the blank, then the most frequent bytes; every other byte is the
+    symbol 0 and a second one."""
 
-    def run(batches):
-        seen = np.zeros(256, np.int64)
-        for piece in pieces(batches, 0):
-            for text in piece.column(0).to_pylist():
-                seen += np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8), minlength=256)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pydict({"byte": pa.array(at, pa.int32()), "n": pa.array(seen[at], pa.int64())})
+    def __init__(self, seen: np.ndarray):
+        possible = [b for b in range(256) if not 65 <= b <= 90 and not 9 <= b <= 13 and b != 32]  # of a word
+        order = sorted(possible, key=lambda b: (-seen[b], b))
+        own, rest = order[: SIZE - 4], order[SIZE - 4 :]
+        self.first, self.second = np.zeros(256, np.uint8), np.full(256, -1, np.int16)
+        self.first[[END, 32, *own]] = np.arange(1, len(own) + 3)
+        self.second[rest] = np.arange(len(rest))
 
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    own = [r.byte for r in sorted(rows, key=lambda r: (-r.n, r.byte)) if r.byte not in (END, 32)][: MAX_SYMBOLS - 3]
-    table = np.zeros(256, np.uint8)
-    table[[END, 32, *own]] = np.arange(1, len(own) + 3)
-    return table
+    @staticmethod
+    def of(counts: DataFrame) -> "Alphabet":
+        """From a table of words, weighted by their occurrences."""
+
+        def run(batches):
+            seen = np.zeros(256)
+            for batch in batches:
+                words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+                raw = np.frombuffer(b"".join(words), np.uint8)
+                seen += np.bincount(raw, np.repeat(n, [len(w) for w in words]), 256)
+            at = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_pydict({"byte": pa.array(at, pa.int32()), "n": pa.array(seen[at])})
+
+        seen = np.zeros(256)
+        for r in counts.select("word", "n").mapInArrow(run, "byte int, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+            seen[r.byte] = r.n
+        return Alphabet(seen)
+
+    def spell(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """Symbols of bytes, and how many each byte has (None: one each)."""
+        symbols = self.first[data].astype(np.int64)
+        rare = np.flatnonzero(symbols == 0)
+        if not len(rare):
+            return symbols, None
+        size = np.ones(len(data), np.int64)
+        size[rare] = 2
+        out = np.repeat(symbols, size)
+        out[np.cumsum(size)[rare] - 1] = self.second[data[rare]]
+        return out, size
+
+    def strings(self, texts: Sequence[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every symbol of the texts in a row with the ``depth`` symbols before it, and the texts' symbols.
+
+        A string is a number of 7-bit digits: the newest symbol before, then older ones, then the symbol.
+        What stands before a text is ``depth`` ends."""
+        raw = [b"\n" * depth + b" ".join(t) + b"\n" for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        symbols, size = self.spell(data)
+        lengths = np.array([len(r) for r in raw], np.int64)
+        if size is not None:
+            lengths = np.add.reduceat(size, np.cumsum(lengths) - lengths)
+        keys = symbols[depth:].copy()
+        for k in range(1, depth + 1):
+            keys |= symbols[depth - k : len(symbols) - k] << BITS * (depth + 1 - k)
+        own = np.ones(len(symbols), bool)  # not the ends before a text
+        starts = np.cumsum(lengths) - lengths
+        for k in range(depth):
+            own[starts + k] = False
+        return keys[own[depth:]], lengths - depth
 
 
-def count_strings(docs: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
-    """(code, n) of every symbol after its ``depth`` predecessors; a code has SYMBOL_BITS per symbol.
-    Tasks add up what they hold, so a code may come several times."""
+# ---- packing ---------------------------------------------------------------------------------
 
-    def run(batches):
-        def summed(found):
-            codes, n = np.concatenate([c for c, _ in found]), np.concatenate([n for _, n in found])
-            order = np.argsort(codes, kind="stable")
-            codes, n = codes[order], n[order]
-            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            return codes[first], np.add.reduceat(n, first)
 
-        def rows(codes, n):
-            return pa.RecordBatch.from_pydict({"code": pa.array(codes, pa.int64()), "n": pa.array(n, pa.int64())})
+def packed(numbers: np.ndarray, width: int = 8) -> bytes:
+    """Numbers below 2^(8 * width), the bytes of one place together, which packs well."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-        found, held = [], 0
-        for piece in pieces(batches, 0):
-            raw = [symbol_bytes(tokens(t), depth) for t in piece.column(0).to_pylist()]
-            symbols = table[np.frombuffer(b"".join(raw), np.uint8)].astype(np.int64)
-            codes = np.zeros(len(symbols) - depth, np.int64)
-            for k in range(depth + 1):
-                codes = codes << SYMBOL_BITS | symbols[k : len(symbols) - depth + k]
-            # a code ends at a text's own symbol unless that is one of the signs before it
-            ends = np.cumsum([len(r) for r in raw])
-            own = np.ones(len(symbols), bool)
-            for k in range(depth):
-                own[ends[:-1] + k] = False
-            found.append(np.unique(codes[own[depth:]], return_counts=True))
-            held += len(found[-1][0])
-            if held > TASK_ROWS:
-                found = [summed(found)]
-                held = len(found[0][0])
-                if held > TASK_ROWS // 2:
-                    yield rows(*found[0])
-                    found, held = [], 0
+
+def unpacked(data: bytes, n: int, width: int = 8) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(data, decompressed_size=n * width, codec="zstd"), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8").astype(np.int64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, by their differences."""
+    return packed(np.diff(keys, prepend=0))
+
+
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, n))
+
+
+# ---- 1. chunks -------------------------------------------------------------------------------
+
+
+def range_cuts(counts: DataFrame, alphabet: Alphabet, depth: int, total: int) -> tuple[np.ndarray, int]:
+    """(places at which ranges begin, without the first; symbols of a head). Heads are weighed by the
+    words' occurrences, what stands before a word taken at random: this only makes ranges alike."""
+    ranges = max(1, total // RANGE_SYMBOLS)
+
+    def heads(size: int) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches):
+            for batch in batches:
+                words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+                keys, _ = alphabet.strings([words], depth)
+                weight = np.repeat(n, [len(w) + 1 for w in words])[: len(keys)]
+                weight = np.pad(weight, (0, len(keys) - len(weight)))
+                found, which = np.unique(keys >> BITS * (depth + 1 - size), return_inverse=True)
+                yield pa.RecordBatch.from_pydict({"head": pa.array(found), "n": pa.array(np.bincount(which, weight))})
+
+        rows = counts.select("word", "n").where(F.col("word") != F.lit(b"\n")).mapInArrow(run, "head long, n double")
+        table = rows.groupBy("head").agg(F.sum("n").alias("n")).orderBy("head").toArrow()
+        return table.column("head").to_numpy(), table.column("n").to_numpy()
+
+    if ranges == 1:
+        return np.zeros(0, np.int64), min(HEAD, depth)
+    for size in range(min(HEAD, depth - 1), depth):
+        head, n = heads(size)
+        if not len(n) or n.max() <= HEAD_SYMBOLS:
+            break
+    upto = np.cumsum(n) - n
+    begins = np.searchsorted(upto, upto[-1] * np.arange(1, ranges) / ranges) if len(n) else np.zeros(0, int)
+    return np.unique(head[begins][head[begins] > 0]) << BITS * (depth - size), size
+
+
+def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, text: str, learn: str, scored: str) -> DataFrame:
+    """``rows`` with a column ``label``, the chunk a row is in, and the chunks' strings as further rows: their
+    range ``g``, how many, the packed strings and the training counts of those. Rows that are not scored
+    leave only their strings."""
+    kept = [f for f in rows.schema if f.name not in (learn, scored)]
+    schema = StructType([StructField(f.name, f.dataType) for f in kept] + StructType.fromDDL(_BLOB).fields)
+    names = rows.columns
+    at_text, at_learn, at_scored = (names.index(c) for c in (text, learn, scored))
+    source = [names.index(f.name) for f in kept]
+    edges = np.concatenate([[0], cuts]) << BITS
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kinds = to_arrow_schema(schema).types
+        blob = kinds[len(kept) :]
+        label, found, size, nbytes = _label(), [], 0, 0
+
+        def strings():
+            keys, n = _added(found)
+            stops = [*np.searchsorted(keys, edges[1:]).tolist(), len(keys)]
+            rows_, start = [], 0
+            for g, stop in enumerate(stops):
+                if stop > start:
+                    rows_.append((label, g, stop - start, packed_keys(keys[start:stop]), packed(n[start:stop])))
+                start = stop
+            columns = [pa.nulls(len(rows_), k) for k in kinds[: len(kept)]]
+            columns += [pa.array(c, k) for c, k in zip(zip(*rows_), blob)]
+            return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+        for piece in pieces(batches, at_text):
+            texts = [tokens(t) for t in piece.column(at_text).to_pylist()]
+            keys, lengths = alphabet.strings(texts, depth)
+            learned = np.repeat(piece.column(at_learn).to_numpy(zero_copy_only=False).astype(bool), lengths)
+            found.append(_counted(keys, learned))
+            size, nbytes = size + len(found[-1][0]), nbytes + len(keys)
+            show = piece.filter(piece.column(at_scored))
+            if show.num_rows:
+                n = show.num_rows
+                own = [pa.array([label] * n, pa.int64()), *[pa.nulls(n, k) for k in blob[1:]]]
+                yield pa.RecordBatch.from_arrays([*[show.column(i) for i in source], *own], names=schema.names)
+            if size > CHUNK_STRINGS:
+                found = [_added(found)]
+                size = len(found[0][0])
+            if size > CHUNK_STRINGS // 2 or nbytes > CHUNK_BYTES:
+                yield strings()
+                label, found, size, nbytes = _label(), [], 0, 0
         if found:
-            yield rows(*summed(found))
+            yield strings()
+
+    return rows.mapInArrow(run, schema)
+
+
+_BLOB = "label long, g int, n_strings int, strings binary, counts binary"
+
+
+def _label() -> int:
+    return uuid.uuid4().int >> 65
+
+
+def _counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, ascending, and how often each was learned from (0 too)."""
+    if learned.all():
+        return np.unique(keys, return_counts=True)
+    every = np.unique(keys)
+    some, times = np.unique(keys[learned], return_counts=True)
+    n = np.zeros(len(every), np.int64)
+    n[np.searchsorted(every, some)] = times
+    return every, n
+
 
-    return docs.select("text").mapInArrow(run, "code long, n long")
+def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up, ascending by key."""
+    if len(found) == 1:
+        return found[0]
+    return _summed(*[np.concatenate(c) for c in zip(*found)])
 
 
-def passing_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
-    """(d, context, s, n): length, code, next symbols and their counts of the contexts that pass the
-    divergence test, all of them, as a written table.
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(n, first) if len(n) else n
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
+
+# ---- 2. contexts -----------------------------------------------------------------------------
+
+_CONTEXT = "g int, d int, place long, s array<int>, n array<long>"
+
+
+def passing_contexts(blobs: DataFrame, depth: int, head: int, cuts: np.ndarray, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
+    """(g, d, place, s, n): range, length, place in the order, next symbols and their counts of the contexts
+    that pass the divergence test, all of them, as a written table; a context that ranges share is in each.
 
     A context passes if its occurrences are at least ``min_count`` and coding their next symbols with
     its own distribution instead of the shorter context's saves at least ``min_gain`` nats: occurrences
     times the divergence of the two distributions. The empty context and all of one symbol are kept.
 
-    Contexts of more than HEAD symbols are judged where all strings with their HEAD newest symbols are.
+    Contexts of more than ``head`` symbols are judged where all strings of their range are, shorter ones by
+    joins.
     """
-    if depth > HEAD:
-        tail = written(long_contexts(strings, depth, min_count, min_gain), "long-contexts")
-        codes = tail.where(F.col("d") == HEAD).select("context", F.explode(F.arrays_zip("s", "n")).alias("x"))
-        codes = codes.select(F.shiftleft("context", SYMBOL_BITS).bitwiseOR(F.col("x.s")).alias("code"), F.col("x.n").alias("n"))
-        return written(passing_contexts(codes, HEAD, min_count, min_gain).unionByName(tail.where(F.col("d") > HEAD)), "contexts")
-    levels = [written(strings.groupBy("code").agg(F.sum("n").alias("n")), "symbol-strings")]
-    for d in range(depth, 0, -1):
-        mask = (1 << SYMBOL_BITS * d) - 1
-        shorter_strings = levels[-1].groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
-        levels.append(written(shorter_strings, "symbol-strings"))
-    levels = levels[::-1]  # levels[d]: contexts of d symbols
-    low = F.lit(MAX_SYMBOLS - 1)
-    found, shorter = None, None
-    for d, level in enumerate(levels):
-        own = level.select("code", "n", F.shiftright("code", SYMBOL_BITS).alias("context"))
-        total = F.sum("n").over(Window.partitionBy("context"))  # at most MAX_SYMBOLS rows each
-        rows = own.withColumn("total", total).withColumn("share", F.col("n") / F.col("total"))
-        if shorter is None:
+    long = written(_long_contexts(blobs, depth, head, min_count, min_gain), "long-contexts")
+    last = long.where(F.col("d") == head).select("place", F.explode(F.arrays_zip("s", "n")).alias("x"))
+    strings = last.select("place", F.col("x.s").alias("s"), F.col("x.n").alias("n"))
+    short = _short_contexts(strings, depth, head, min_count, min_gain)
+    reach = F.shiftleft(F.lit(1).cast("long"), BITS * depth)
+    for d in range(head + 1):
+        reach = F.when(F.col("d") == d, F.lit(1 << BITS * (depth - d))).otherwise(reach)
+    shared = short.withColumn("g", F.explode(F.sequence(_range_of("place", cuts), _range_of(F.col("place") + reach - 1, cuts))))
+    return written(long.where(F.col("d") > head).unionByName(shared), "contexts")
+
+
+def _range_of(place: Column | str, cuts: np.ndarray) -> Column:
+    @F.arrow_udf("int")
+    def number(places: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(cuts, places.to_numpy(zero_copy_only=False), "right"), pa.int32())
+
+    return number(place)
+
+
+def _short_contexts(strings: DataFrame, depth: int, head: int, min_count: int, min_gain: float) -> DataFrame:
+    """(d, place, s, n) of the contexts of at most ``head`` symbols that pass, from all strings (place, s, n)
+    of exactly ``head`` symbols."""
+
+    def shorter(place: Column, d: int) -> Column:  # what is left of a place with d symbols
+        return F.shiftleft(F.shiftright(place, BITS * (depth - d)), BITS * (depth - d))
+
+    levels = [strings]
+    for d in range(head - 1, -1, -1):
+        levels.append(written(levels[-1].groupBy(shorter(F.col("place"), d).alias("place"), "s").agg(F.sum("n").alias("n")), "symbol-strings"))
+    found, above = None, None
+    for d, level in enumerate(levels[::-1]):
+        total = F.sum("n").over(Window.partitionBy("place"))  # at most SIZE rows each
+        rows = level.withColumn("total", total).withColumn("share", F.col("n") / F.col("total"))
+        if above is None:
             saved = rows.withColumn("gain", F.lit(0.0))
         else:
-            mask = F.lit((1 << SYMBOL_BITS * d) - 1)
-            frequent = rows.where(F.col("total") >= (min_count if d > 1 else 1)).withColumn("parent", F.col("code").bitwiseAND(mask))
-            saved = frequent.join(shorter, "parent").withColumn("gain", F.col("n") * F.log(F.col("share") / F.col("shorter_share")))
-        after = F.collect_list(F.struct(F.col("code").bitwiseAND(low).cast("int").alias("s"), "n")).alias("next")
-        kept = saved.groupBy("context").agg(F.sum("gain").alias("gain"), after)
+            frequent = rows.where(F.col("total") >= (min_count if d > 1 else 1)).withColumn("parent", shorter(F.col("place"), d - 1))
+            saved = frequent.join(above, ["parent", "s"]).withColumn("gain", F.col("n") * F.log(F.col("share") / F.col("shorter_share")))
+        kept = saved.groupBy("place").agg(F.sum("gain").alias("gain"), F.collect_list(F.struct("s", "n")).alias("next"))
         if d > 1:
             kept = kept.where(F.col("gain") >= min_gain)
-        kept = kept.select(F.lit(d).alias("d"), "context", F.col("next.s").alias("s"), F.col("next.n").alias("n"))
+        kept = kept.select(F.lit(d).alias("d"), "place", F.col("next.s").alias("s"), F.col("next.n").alias("n"))
         found = kept if found is None else found.unionByName(kept)
-        shorter = rows.select(F.col("code").alias("parent"), F.col("share").alias("shorter_share"))
-    return written(found, "contexts")
-
-
-def long_contexts(strings: DataFrame, depth: int, min_count: int, min_gain: float) -> DataFrame:
-    """(d, context, s, n) of the contexts of HEAD symbols, all of them, and of the longer ones that pass."""
-    low = MAX_SYMBOLS - 1
-
-    def summed(keys, n):
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[first], np.add.reduceat(n, first)
-
-    def judged(keys, n):
-        """Of all strings with some HEAD newest symbols: keys are places and next symbols."""
-        levels = {depth: summed(keys, n)}
-        for d in range(depth - 1, HEAD - 1, -1):  # without the oldest symbol
-            keys, n = levels[d + 1]
-            levels[d] = summed(keys >> 2 * SYMBOL_BITS << SYMBOL_BITS | keys & low, n)
-        for d in range(HEAD, depth + 1):
-            keys, n = levels[d]
-            context = keys >> SYMBOL_BITS
-            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            total = np.add.reduceat(n, first)
-            size = np.diff(np.append(first, len(keys)))
-            share = n / np.repeat(total, size)
-            keep = np.ones(len(first), bool)
-            if d > HEAD:
-                at = np.flatnonzero(np.repeat(total >= min_count, size))
-                parent = keys[at] >> 2 * SYMBOL_BITS << SYMBOL_BITS | keys[at] & low
-                gain = np.zeros(len(keys))
-                gain[at] = n[at] * np.log(share[at] / shorter_share[np.searchsorted(shorter, parent)])
-                keep = (total >= min_count) & (np.add.reduceat(gain, first) >= min_gain)
-            shorter, shorter_share = keys, share
-            chosen = np.repeat(keep, size)
-            ends = pa.array(np.concatenate([[0], np.cumsum(size[keep])]), pa.int32())
-            place, code = context[first[keep]], np.zeros(int(keep.sum()), np.int64)
-            for k in range(d):  # oldest symbol first
-                code |= (place >> SYMBOL_BITS * k & low) << SYMBOL_BITS * (d - 1 - k)
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x[chosen], t)) for x, t in ((keys & low, pa.int32()), (n, pa.int64()))]
-            rows = pa.RecordBatch.from_arrays([pa.array(np.full(len(code), d), pa.int32()), pa.array(code), *lists], ["d", "context", "s", "n"])
-            yield from (rows.slice(i, 10_000) for i in range(0, len(code), 10_000))
-
+        above = rows.select(F.col("place").alias("parent"), "s", F.col("share").alias("shorter_share"))
+    return found
+
+
+def judged(keys: np.ndarray, n: np.ndarray, depth: int, head: int, min_count: int, min_gain: float) -> Iterator[tuple]:
+    """(d, places, ends, next symbols, their counts) per length from the strings of a range: all contexts of
+    ``head`` symbols, and the longer ones that pass."""
+    levels = {depth: _summed(keys, n)}
+    for d in range(depth - 1, head - 1, -1):  # without the oldest symbol
+        keys, n = levels[d + 1]
+        cut = BITS * (depth - d + 1)
+        levels[d] = _summed(keys >> cut << cut | keys & LOW, n)
+    shorter, shorter_share = None, None
+    for d in range(head, depth + 1):
+        keys, n = levels.pop(d)
+        place = keys >> BITS
+        first = _firsts(place)
+        total = np.add.reduceat(n, first) if len(n) else n
+        size = np.diff(np.append(first, len(keys)))
+        share = n / np.repeat(total, size)
+        keep = np.ones(len(first), bool)
+        if d > head and len(keys):
+            at = np.flatnonzero(np.repeat(total >= min_count, size))
+            cut = BITS * (depth - d + 2)
+            parent = keys[at] >> cut << cut | keys[at] & LOW
+            gain = np.zeros(len(keys))
+            gain[at] = n[at] * np.log(share[at] / shorter_share[np.searchsorted(shorter, parent)])
+            keep = (total >= min_count) & (np.add.reduceat(gain, first) >= min_gain)
+        shorter, shorter_share = keys, share
+        chosen = np.repeat(keep, size)
+        yield d, place[first[keep]], np.concatenate([[0], np.cumsum(size[keep])]), keys[chosen] & LOW, n[chosen]
+
+
+def _long_contexts(blobs: DataFrame, depth: int, head: int, min_count: int, min_gain: float) -> DataFrame:
     def run(batches):
-        held, rows = [], 0
-
-        def joined():
-            codes, n = (np.concatenate(x) for x in zip(*held))
-            return newest_first(codes >> SYMBOL_BITS, depth) << SYMBOL_BITS | codes & low, n
-
-        for batch in batches:
-            held.append(tuple(batch.column(i).to_numpy() for i in (0, 1)))
-            rows += batch.num_rows
-            if rows > JUDGED_ROWS:
-                codes, n = (np.concatenate(x) for x in zip(*held))
-                head = codes >> SYMBOL_BITS & (1 << SYMBOL_BITS * HEAD) - 1
-                stop = int(np.searchsorted(head, head[-1]))  # the last ones may go on in the next batch
-                held = [(codes[:stop], n[:stop])]
-                if stop:
-                    yield from judged(*joined())
-                held = [(codes[stop:], n[stop:])]
-                rows = 0
-        if held and sum(len(x[0]) for x in held):
-            yield from judged(*joined())
-
-    head = F.shiftright("code", SYMBOL_BITS).bitwiseAND(F.lit((1 << SYMBOL_BITS * HEAD) - 1))
-    dealt = strings.select("code", "n").repartition(head).sortWithinPartitions(head)
-    return dealt.mapInArrow(run, "d int, context long, s array<int>, n array<long>")
-
-
-def collected(found: DataFrame) -> list[tuple]:
-    """(length, code, next symbols, their counts) of contexts on the driver."""
-    out = []
-    for batch in found.select("d", "context", "s", "n").toArrow().to_batches():
-        d, context = (batch.column(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 1))
-        lists = [batch.column(i) for i in (2, 3)]
-        ends = lists[0].offsets.to_numpy()
-        s, n = (x.values.to_numpy() for x in lists)
-        out += [(d[i], context[i], s[ends[i] : ends[i + 1]], n[ends[i] : ends[i + 1]]) for i in range(len(d))]
-    return out
-
-
-def kept_contexts(strings: DataFrame, depth: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> list[tuple]:
-    """``passing_contexts`` of a small table, on the driver."""
-    return collected(passing_contexts(strings, depth, min_count, min_gain))
-
-
-def newest_first(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Codes of at most ``depth`` symbols with the newest symbol first, filled up with zeros."""
-    out = np.zeros(len(codes), np.int64)
-    for k in range(depth):
-        out |= (codes >> SYMBOL_BITS * k & MAX_SYMBOLS - 1) << SYMBOL_BITS * (depth - 1 - k)
-    return out
-
-
-def context_sets(found: DataFrame, table: np.ndarray, depth: int, entries: int) -> ContextSets:
-    """The contexts as broadcast sets of about ``entries`` (context, next symbol) pairs: ranges of the
-    order by newest symbols, each with the contexts that are suffixes of all it begins with. One set at
-    a time is on the driver."""
-    spark = found.sparkSession
-
-    place = F.lit(0).cast("long")
-    for k in range(depth):
-        digit = F.shiftright("context", SYMBOL_BITS * k).bitwiseAND(F.lit(MAX_SYMBOLS - 1))
-        place = place + F.shiftleft(digit, SYMBOL_BITS * (depth - 1 - k))
-    placed = found.withColumn("place", place)
-    total = found.agg(F.sum(F.size("s"))).first()[0] or 0
-    n_sets = max(1, -(-total // entries))
-    starts = [0]
-    if n_sets > 1:  # places have at most 49 bits, which a double holds
-        cuts = placed.select("place", F.explode("s")).approxQuantile("place", [i / n_sets for i in range(1, n_sets)], 0.1 / n_sets)
-        starts = sorted({0, *map(int, cuts)})
-    sets = []
-    for lo, hi in zip(starts, [*starts[1:], None]):
-        inside = F.col("place") >= lo
-        if hi is not None:
-            inside &= F.col("place") < hi
-        for d in range(depth + 1):  # suffixes of what the set begins with
-            low = SYMBOL_BITS * (depth - d)
-            inside |= (F.col("d") == d) & (F.col("place") == (lo >> low) << low)
-        tree = SuffixTree(collected(placed.where(inside)), table, depth)
-        sets.append(spark.sparkContext.broadcast(tree))
-        del tree
-    return ContextSets(sets, starts, table, depth)
+        for g, rows in _groups(batches, ["n_strings", "strings", "counts"]):
+            found = []
+            for n, strings, counts in rows:
+                keys, times = unpacked_keys(strings, n), unpacked(counts, n)
+                learned = times > 0
+                found.append((keys[learned], times[learned]))
+            keys, n = (np.concatenate(c) for c in zip(*found))
+            del found
+            for d, place, ends, s, times in judged(keys, n, depth, head, min_count, min_gain):
+                yield from _context_rows(g, d, place, ends, s, times)
+
+    laid = blobs.select("g", "n_strings", "strings", "counts").repartition("g").sortWithinPartitions("g")
+    return laid.mapInArrow(run, _CONTEXT)
+
+
+def _context_rows(g: int, d: int, place, ends, s, n) -> Iterator[pa.RecordBatch]:
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, k)) for x, k in ((s, pa.int32()), (n, pa.int64()))]
+    columns = [pa.array(np.full(len(place), x), pa.int32()) for x in (g, d)]
+    rows = pa.RecordBatch.from_arrays([*columns, pa.array(place, pa.int64()), *lists], ["g", "d", "place", "s", "n"])
+    yield from (rows.slice(i, 10_000) for i in range(0, len(place), 10_000))
+
+
+def _groups(batches, columns: list[str], key: str = "g") -> Iterator[tuple]:
+    """(key, rows) of batches sorted by ``key``, whole groups."""
+    last, rows = None, []
+    for batch in batches:
+        for k, *row in zip(*[batch.column(c).to_pylist() for c in (key, *columns)]):
+            if rows and k != last:
+                yield last, rows
+                rows = []
+            last = k
+            rows.append(row)
+    if rows:
+        yield last, rows
+
+
+# ---- 3. look-up ------------------------------------------------------------------------------
+
+
+def discounts(contexts: DataFrame, depth: int) -> list[float]:
+    """What is taken off every count of a context of each length: singles / (singles + 2 doubles) of its
+    pairs, which leaving one occurrence out makes likeliest."""
+    times = lambda k: F.sum(F.size(F.filter("n", lambda x: x == k)))
+    rows = contexts.dropDuplicates(["d", "place"]).groupBy("d").agg(times(1).alias("one"), times(2).alias("two")).collect()
+    found = {r.d: r.one / (r.one + 2 * r.two) for r in rows if r.one}
+    return [min(0.9, max(0.1, found.get(d, 0.5))) for d in range(depth + 1)]
 
 
 class SuffixTree:
-    """Kept contexts with smoothed distributions, found by search.
+    """Kept contexts of a range with smoothed distributions, found by search.
 
-    p(a | s) = (n(s, a) + m p(a | shorter)) / (n(s) + m), m the number of different symbols seen after
-    s and ``shorter`` the longest kept proper suffix; the empty context is mixed with a uniform
-    distribution. Bytes without a symbol of their own share symbol 0 evenly.
+    p(a | s) = (n(s, a) - D) / n(s) + D m / n(s) p(a | shorter) for symbols seen after s, and the second
+    part alone for others; m is the number of different symbols seen after s, D the discount of its length
+    and ``shorter`` the longest kept proper suffix. The empty context is mixed with a uniform distribution.
 
-    Contexts that end with s fill a range of places (codes with the newest symbol first), and contexts
-    are numbered in the order of places, so ascending look-ups read ascending memory. ``bounds`` cuts the
-    places so that each piece has one longest context, ``owner``.
-    Only symbols seen after a context have a probability there, others take the shorter one's times m /
-    (n(s) + m).
+    Contexts that end with s fill a range of places, and contexts are numbered in the order of places, so
+    ascending look-ups read ascending memory. ``bounds`` cuts the places so that each piece has one longest
+    context, ``owner``.
     """
 
-    def __init__(self, kept: list[tuple], table: np.ndarray, depth: int | None = None):
-        self.table, self.size = table, int(table.max()) + 1
-        if not any(x[0] == 0 for x in kept):
-            kept = [(0, 0, np.zeros(0, np.int64), np.zeros(0, np.int64)), *kept]
-        self.depth = depth if depth is not None else max(x[0] for x in kept)
-        d = np.array([x[0] for x in kept], np.int64)
-        place = newest_first(np.array([x[1] for x in kept], np.int64), self.depth)
+    def __init__(self, d: np.ndarray, place: np.ndarray, ends: np.ndarray, s: np.ndarray, times: np.ndarray, depth: int, discount: Sequence[float]):
+        self.depth = depth
+        sizes = np.diff(ends)
+        if not (d == 0).any():
+            d, place, sizes = np.append(d, 0), np.append(place, 0), np.append(sizes, 0)
         order = np.lexsort((d, place))
-        d, place, kept = d[order], place[order], [kept[i] for i in order]
-        n = len(kept)
-        seen = np.array([len(x[2]) for x in kept], np.int64)
-        context = np.repeat(np.arange(n), seen)
-        symbol = np.concatenate([x[2] for x in kept]).astype(np.int64)
-        times = np.concatenate([x[3] for x in kept]).astype(np.float64)
-        total, m = np.bincount(context, times, n), np.maximum(1, seen).astype(np.float64)
-        del kept
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        d, place = d[order], place[order]
+        context = number[np.repeat(np.arange(len(sizes)), sizes)]
+        n = len(d)
+        total, m = np.bincount(context, times, n), np.bincount(context, minlength=n)
         # the longest context of every piece of places, painted by length
-        end = place + (np.int64(1) << SYMBOL_BITS * (self.depth - d))
+        end = place + (np.int64(1) << BITS * (depth - d))
         self.bounds = np.unique(np.concatenate([place, end]))
         first, stop = np.searchsorted(self.bounds, place), np.searchsorted(self.bounds, end)
         self.owner, self.shorter = np.zeros(len(self.bounds), np.int32), np.zeros(n, np.int32)
-        for k in range(1, self.depth + 1):
+        for k in range(1, depth + 1):
             own = np.flatnonzero(d == k)
             self.shorter[own] = self.owner[first[own]]
             length = stop[own] - first[own]
             at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length - first[own], length)
             self.owner[at] = np.repeat(own, length)
         # the empty context has all symbols
+        off = np.asarray(discount)[d]
         keep = context > 0
-        root = np.bincount(symbol[~keep], times[~keep], self.size)
-        self.keys = np.concatenate([np.arange(self.size), context[keep] << SYMBOL_BITS | symbol[keep]])
-        times = np.concatenate([root, times[keep]])
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, times = self.keys[order], times[order]
-        self.less = np.log10(m / (total + m))
-        self.found = np.zeros(len(self.keys))
-        context = self.keys >> SYMBOL_BITS
-        self.found[: self.size] = np.log10((times[: self.size] + m[0] / self.size) / (total[0] + m[0]))
+        root = np.bincount(s[~keep], times[~keep], SIZE)
+        keys = np.concatenate([np.arange(SIZE), context[keep] << BITS | s[keep]])
+        times = np.concatenate([root, times[keep]]).astype(float)
+        order = np.argsort(keys)
+        self.keys, times = keys[order], times[order]
+        rest = np.ones(n)
+        seen = total > 0
+        rest[seen] = off[seen] * m[seen] / total[seen]
+        self.less, self.found = np.log10(rest), np.zeros(len(self.keys))
+        self.found[:SIZE] = np.log10(np.maximum(times[:SIZE] - off[0], 0) / max(1.0, total[0]) + rest[0] / SIZE)
+        context = self.keys >> BITS
         level = d[context]
-        for k in range(1, self.depth + 1):
+        for k in range(1, depth + 1):
             part = np.flatnonzero(level == k)
             own = context[part]
-            base = 10 ** self._log(self.shorter[own], self.keys[part] & (MAX_SYMBOLS - 1))
-            self.found[part] = np.log10((times[part] + m[own] * base) / (total[own] + m[own]))
-        # symbol 0 is only divided among its bytes now: above, it is one symbol
-        self.found[self.keys & (MAX_SYMBOLS - 1) == 0] -= np.log10(max(1, int((table == 0).sum())))
-        self.found, self.less = self.found.astype(np.float32), self.less.astype(np.float32)
+            base = 10 ** self._log(self.shorter[own], self.keys[part] & LOW)
+            self.found[part] = np.log10((times[part] - off[own]) / total[own] + rest[own] * base)
 
     def _log(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """log10 p(symbol | context) of context numbers."""
         out = np.zeros(len(context))
         left, context = np.arange(len(context)), context.astype(np.int64)
         while len(left):
-            key = context << SYMBOL_BITS | symbol[left]
+            key = context << BITS | symbol[left]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[at] == key
             out[left] += np.where(hit, self.found[at], self.less[context])
@@ -374,170 +501,180 @@ class SuffixTree:
         return out
 
     def look_up(self, keys: np.ndarray) -> np.ndarray:
-        """log10 p of symbols; a key is the place of what stands before, then the symbol."""
-        owner = self.owner[np.searchsorted(self.bounds, keys >> SYMBOL_BITS, "right") - 1]
-        return self._log(owner, keys & (MAX_SYMBOLS - 1))
+        """log10 p of the last symbols of strings."""
+        owner = self.owner[np.searchsorted(self.bounds, keys >> BITS, "right") - 1]
+        return self._log(owner, keys & LOW)
 
-    @property
-    def logs(self) -> np.ndarray:
-        """log10 p of all symbols after every context, one after the other."""
-        n = len(self.shorter)
-        return self._log(np.repeat(np.arange(n), self.size), np.tile(np.arange(self.size), n))
 
-    @staticmethod
-    def _symbols(d: int, code: int) -> tuple[int, ...]:
-        return tuple(code >> SYMBOL_BITS * k & MAX_SYMBOLS - 1 for k in range(d - 1, -1, -1))
+def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: list[float]) -> DataFrame:
+    """(label, g, logs): the packed logarithms of every chunk's strings of a range, in their order."""
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    told = contexts.select("g", F.lit(0).alias("kind"), "d", "place", "s", "n", none("label", "long"), none("n_strings", "int"), none("strings", "binary"))
+    asked = blobs.select("g", F.lit(1).alias("kind"), none("d", "int"), none("place", "long"), none("s", "array<int>"), none("n", "array<long>"), "label", "n_strings", "strings")
+    laid = told.unionByName(asked).repartition("g").sortWithinPartitions("g", "kind")
 
-    def word_logs(self, texts: list[list[bytes]]) -> np.ndarray:
-        return ContextSets([self], [0], self.table, self.depth).word_logs(texts)
+    def run(batches):
+        at, held, tree = None, [], None
+        for batch in batches:
+            g, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "kind"))
+            turn = _firsts(g * 2 + kind)
+            for start, stop in zip(turn.tolist(), [*turn[1:].tolist(), batch.num_rows]):
+                part = batch.slice(start, stop - start)
+                if g[start] != at:
+                    at, held, tree = g[start], [], None
+                if kind[start] == 0:
+                    held.append(_context_arrays(part))
+                    continue
+                if tree is None:
+                    tree, held = _tree_of(held, depth, discount), []
+                columns = [part.column(c).to_pylist() for c in ("label", "n_strings", "strings")]
+                for label, n, strings in zip(*columns):
+                    logs = np.rint(-tree.look_up(unpacked_keys(strings, n)) * STEPS).astype(np.int64)
+                    row = {"label": pa.array([label], pa.int64()), "g": pa.array([at], pa.int32()), "logs": pa.array([packed(logs, 4)], pa.binary())}
+                    yield pa.RecordBatch.from_pydict(row)
 
+    return laid.mapInArrow(run, "label long, g int, logs binary")
 
-class ContextSets:
-    """Trees over ranges of places, each for what stands in its range; broadcast ones are loaded one
-    after the other, and only a single one stays loaded."""
 
-    def __init__(self, sets: list, starts: list[int], table: np.ndarray, depth: int):
-        self.sets, self.starts, self.table, self.depth = sets, starts, table, depth
+def _context_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    d, place = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("d", "place"))
+    s, n = (batch.column(c) for c in ("s", "n"))
+    sizes = np.diff(s.offsets.to_numpy())
+    return d, place, sizes, s.flatten().to_numpy(zero_copy_only=False).astype(np.int64), n.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def look_up(self, keys: np.ndarray) -> np.ndarray:
-        """log10 p of ascending keys."""
-        out = np.zeros(len(keys))
-        ends = np.searchsorted(keys, np.array([*self.starts[1:]], np.int64) << SYMBOL_BITS)
-        for one, a, b in zip(self.sets, [0, *ends], [*ends, len(keys)]):
-            if a < b:
-                tree = one if isinstance(one, SuffixTree) else one.value
-                out[a:b] = tree.look_up(keys[a:b])
-                if len(self.sets) > 1:
-                    vars(one).pop("_value", None)
-        return out
 
-    def word_logs(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 of the tree's probability of each word and the sign after it, all texts' words in a
-        row; a text without words has one entry, for its end sign."""
-        raw = [symbol_bytes(t, self.depth) for t in texts]
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        symbols, depth = self.table[data].astype(np.int64), self.depth
-        keys = symbols[depth:].copy()
-        for k in range(1, depth + 1):
-            keys |= symbols[depth - k : len(symbols) - k] << SYMBOL_BITS * (depth + 1 - k)
-        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
-        own = np.ones(len(symbols), bool)
-        for k in range(depth):
-            own[np.concatenate([[0], ends[:-1]]) + k] = False
-        own = np.flatnonzero(own)
-        different, which = np.unique(keys[own - depth], return_inverse=True)
-        logs = np.zeros(len(symbols))
-        logs[own] = self.look_up(different)[which]
-        after = np.sort(np.concatenate([np.flatnonzero(data == 32), ends - 1]))
-        return np.diff(np.cumsum(logs)[after], prepend=0.0)
-
-
-class Counts:
-    """What the training words say: n words, their number of texts, different words and words seen once."""
-
-    def __init__(self, words: int, texts: int, different: int, once: int):
-        self.words, self.base_norm = words, float(np.log10(words + texts + different + (texts > 0) + 1))
-        self.unseen = (once + 1) / (words + 2)
-        self.ends = (texts + 1) / (words + texts + 2)
-
-    def known(self, c, tree, last, lib=np):
-        """log10 probability of words with ``c`` training occurrences, ``tree`` the tree's log10."""
-        after = self.ends * last + (1 - self.ends) * (1 - last)
-        return lib.log10((1 - self.unseen) * (c / max(1, self.words) * after + (F.pow(F.lit(10.0), tree) if lib is F else 10.0**tree)) / 2)
-
-    def unknown(self, last):
-        return np.log10(self.unseen * (self.ends * last + (1 - self.ends) * (1 - last)))
-
-
-class Scorer:
-    def __init__(self, tree: SuffixTree | ContextSets, counts: Counts, frequent: dict[bytes, int]):
-        self.tree, self.counts, self.frequent = tree, counts, frequent
-
-    def rows(self, texts: list[str | None]):
-        """n_tokens, n_known, base sum, score, spelled score and the words that are not frequent."""
-        words = [tokens(t) for t in texts]
-        frequent, counts = self.frequent, self.counts
-        logs, at = self.tree.word_logs(words), 0
-        ends = frequent.get(b"\n", 0)
-        n_tokens, n_known, base, score, spelled, rare = [], [], [], [], [], []
+def _tree_of(held: list[tuple], depth: int, discount: Sequence[float]) -> SuffixTree:
+    none = np.zeros(0, np.int64)
+    d, place, sizes, s, n = (np.concatenate(c) for c in zip(*held)) if held else (none,) * 5
+    return SuffixTree(d, place, np.concatenate([[0], np.cumsum(sizes)]), s, n, depth, discount)
+
+
+# ---- 4. texts --------------------------------------------------------------------------------
+
+
+class Words:
+    """The frequent training words, and what the base makes of counts."""
+
+    def __init__(self, frequent: dict[bytes, int]):
+        self.frequent = frequent
+
+    def rows(self, words: list[list[bytes]]):
+        """n_tokens, n_known, sum of log10(c + 1) and the words that are not frequent."""
+        get, ends = self.frequent.get, self.frequent.get(b"\n", 0)
+        n_tokens, n_known, base, rare = [], [], [], []
         for found in words:
-            tree = logs[at : at + max(1, len(found))]
-            at += len(tree)
-            c = np.array([frequent.get(w, 0) for w in found], np.float64)
-            last = np.zeros(len(found))
-            last[-1:] = 1
-            with np.errstate(divide="ignore"):
-                own = np.where(c > 0, counts.known(c, tree[: len(c)], last), counts.unknown(last))
+            c = np.array([get(w, 0) for w in found], np.float64)
             n_tokens.append(len(found) + 1)
             n_known.append(int((c > 0).sum()) + (ends > 0))
             base.append(float(np.log10(c + 1).sum() + np.log10(ends + 1)))
-            score.append(float(own.sum() if len(found) else tree.sum()))
-            spelled.append(float(tree.sum()))
-            rare.append([{"word": found[i], "tree": float(tree[i]), "last": float(last[i])} for i in np.flatnonzero(c == 0).tolist()])
-        return n_tokens, n_known, base, score, spelled, rare
+            rare.append([found[i] for i in np.flatnonzero(c == 0).tolist()])
+        return n_tokens, n_known, base, rare
+
 
+def _text_logs(alphabet: Alphabet, words: list[list[bytes]], keys: np.ndarray, logs: np.ndarray, depth: int) -> np.ndarray:
+    """Summed logarithms of each text; ``keys`` are all strings of the chunk, ascending."""
+    own, lengths = alphabet.strings(words, depth)
+    order = np.argsort(own)
+    ordered = own[order]
+    first = _firsts(ordered)
+    value = logs[np.searchsorted(keys, ordered[first])]
+    out = np.empty(len(own))
+    out[order] = np.repeat(value, np.diff(np.append(first, len(own))))
+    return np.add.reduceat(out, np.cumsum(lengths) - lengths)
 
-def score(docs: DataFrame, training: DataFrame, text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """``docs`` without its text, with n_tokens, n_known, train_tokens (long), base_score, score and
-    spelled_score (double): the tree alone, each word spelled out, known or not.
 
-    ``training`` is any table with a column ``text``; both the base and the tree count all of it.
+_RESULTS = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double"}
+
+
+def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", depth: int = DEPTH) -> DataFrame:
+    """``docs`` without its text, with n_tokens, n_known, train_tokens (long), base_score and score (double):
+    the log10 of the unigram base's and of the tree's probability of the whole text.
+
+    ``training`` is a condition on ``docs``, true for the rows to learn from, or another table with a column
+    ``text``; both the base and the tree count all of it.
 
     - A NULL or empty text is the end sign alone, in training and in scoring.
-    - Without training texts the tree is uniform over symbols and nothing is known.
+    - Without training texts the tree is uniform over symbols and nothing is known. A NULL condition is
+      not true.
     - Repeated rows count as often as they stand in ``training`` and are scored alike; whole texts of
       any length are read. An empty table gives an empty table.
-    - Other columns pass through; columns with the names of the six results are replaced.
+    - Other columns pass through; columns with the names of the five results are replaced.
 
     The counts of the MAX_WORDS most frequent words are broadcast; a text's other words are joined to
-    the word counts, a row for each. All contexts that pass are in the tree; it goes out in sets of about
-    SET_ENTRIES (context, next symbol) pairs.
+    the word counts, a row for each. Contexts and strings are dealt out by ranges of about RANGE_SYMBOLS
+    training symbols, texts and logarithms by chunks; nothing of the tree is broadcast.
     """
     spark = docs.sparkSession
-    training = training.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    counts = written(count_words(training), "word-counts")
+    plain = docs.drop(*_RESULTS, "train_tokens")
+    learn, scored = fresh(plain, "__learn", "__scored")
+    if isinstance(training, Column):
+        flag = docs.select("*", F.coalesce(training, F.lit(False)).alias(learn)).drop(*_RESULTS, "train_tokens")
+        rows = flag.withColumn(scored, F.lit(True))
+        learned = flag.where(learn).select(F.col(f"`{text}`").alias("text"))
+    else:
+        learned = training.select("text")
+        rows = plain.withColumns({learn: F.lit(False), scored: F.lit(True)})
+        rows = rows.unionByName(learned.select(F.col("text").alias(text), F.lit(True).alias(learn), F.lit(False).alias(scored)), allowMissingColumns=True)
+    rows = rows.withColumn(text, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    counts = written(count_words(learned.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))), "word-counts")
     end = F.col("word") == F.lit(b"\n")
     sums = counts.agg(
         F.coalesce(F.sum(F.when(~end, F.col("n"))), F.lit(0)).alias("words"),
         F.coalesce(F.sum(F.when(end, F.col("n"))), F.lit(0)).alias("texts"),
         F.count(F.when(~end, 1)).alias("different"),
-        F.count(F.when(~end & (F.col("n") == 1), 1)).alias("once"),
+        F.coalesce(F.sum(F.col("n") * (F.octet_length("word") + 1)), F.lit(0)).alias("symbols"),
     ).first()
-    known = Counts(*sums)
+    norm = float(np.log10(sums.words + sums.texts + sums.different + (sums.texts > 0) + 1))
     top = largest(counts.where(F.octet_length("word") <= WORD_BYTES), "n", MAX_WORDS).toArrow().to_pydict()
-    frequent = dict(zip(top["word"], top["n"])) | ({b"\n": sums.texts} if sums.texts else {})
-    table = byte_symbols(training)
-    tree = context_sets(passing_contexts(count_strings(training, table, depth), depth), table, depth, SET_ENTRIES)
-    shared = spark.sparkContext.broadcast(Scorer(tree, known, frequent))
-
-    results = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double", "spelled_score": "double"}
-    plain = docs.drop(*results, "train_tokens")
-    rid, rare, more, log, better = fresh(plain, "__rid", "__rare", "__more", "__log", "__better")
-    keep = [c for c in [*plain.columns, rid] if c != text]
-    parts = map_pieces(
-        plain.withColumn(rid, F.monotonically_increasing_id()),
-        lambda texts: shared.value.rows(texts),
-        [text],
-        {**results, rare: "array<struct<word:binary,tree:double,last:double>>"},
-        keep,
-        PIECE_BYTES * min(4, len(tree.sets)),  # a set is loaded for every piece if there are several
-    )
-    scored = written(parts, "scored")  # the ids of the rows hold from here on
-    words = scored.select(rid, F.explode(rare).alias("x")).select(rid, "x.*").join(counts, "word")
-    after = known.ends * F.col("last") + (1 - known.ends) * (1 - F.col("last"))
-    gained = known.known(F.col("n"), F.col("tree"), F.col("last"), F) - F.log10(F.lit(known.unseen) * after)
-    found = words.groupBy(rid).agg(F.count(F.lit(1)).alias(more), F.sum(F.log10(F.col("n") + 1)).alias(log), F.sum(gained).alias(better))
-    none = F.lit(0.0)
-    return (
-        scored.drop(rare)
-        .join(found, rid, "left")
-        .withColumns(
-            {
-                "n_known": F.col("n_known") + F.coalesce(more, F.lit(0)),
-                "train_tokens": F.lit(sums.words + sums.texts).cast("long"),
-                "base_score": F.col("base_score") + F.coalesce(log, none) - F.col("n_tokens") * F.lit(known.base_norm),
-                "score": F.col("score") + F.coalesce(better, none),
-            }
-        )
-        .drop(rid, more, log, better)
+    shared = share(spark, Words(dict(zip(top["word"], top["n"])) | ({b"\n": sums.texts} if sums.texts else {})))
+    alphabet = Alphabet.of(counts)
+    cuts, head = range_cuts(counts, alphabet, depth, sums.symbols)
+
+    inner = rows.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rows.columns)])  # clashes with no inner name
+    name = {c: f"c{i}" for i, c in enumerate(rows.columns)}
+    chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks")
+    blobs = chunks.where("g is not null").select(*StructType.fromDDL(_BLOB).names)
+    contexts = passing_contexts(blobs, depth, head, cuts)
+    logs = _logarithms(blobs, contexts, depth, discounts(contexts, depth))
+
+    kept = [c for c in plain.columns if c != text]
+    schema = StructType([f for f in inner.schema if f.name in {name[c] for c in kept}])
+    for f in StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind in {**_RESULTS, "rare": "array<binary>"}.items())):
+        schema = schema.add(f)
+    at_text = name[text]
+
+    def summed(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        blob = left.filter(pc.is_valid(left.column("g"))).select(["g", "n_strings", "strings"]).to_pylist()
+        texts = left.filter(pc.is_null(left.column("g")))
+        given = {r["g"]: r["logs"] for r in right.to_pylist()}
+        blob.sort(key=lambda r: r["g"])
+        none = np.zeros(0, np.int64)
+        keys = np.concatenate([none, *[unpacked_keys(r["strings"], r["n_strings"]) for r in blob]])
+        values = np.concatenate([none, *[unpacked(given[r["g"]], r["n_strings"], 4) for r in blob]]) / -STEPS
+        columns: list[list] = [[] for _ in range(5)]
+        for batch in texts.to_batches():
+            for piece in pieces([batch], batch.schema.get_field_index(at_text)):
+                words = [tokens(t) for t in piece.column(at_text).to_pylist()]
+                n_tokens, n_known, base, unknown = shared.value.rows(words)
+                of_text = _text_logs(alphabet, words, keys, values, depth)
+                for column, found in zip(columns, (n_tokens, n_known, base, of_text.tolist(), unknown)):
+                    column += found
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kinds = to_arrow_schema(schema)
+        made = [pa.array(c, kinds.field(k).type) for c, k in zip(columns, (*_RESULTS, "rare"))]
+        return pa.table([*[texts.column(c) for c in kinds.names[:-5]], *made], names=kinds.names)
+
+    found = chunks.groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
+    parts = written(found.withColumn("rid", F.monotonically_increasing_id()), "scored")  # the ids of the rows hold from here on
+    words = parts.select("rid", F.explode("rare").alias("word")).join(counts, "word")
+    known = words.groupBy("rid").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("log"))
+    out = parts.join(known, "rid", "left")
+    return out.select(
+        *[F.col(name[c]).alias(c) for c in kept],
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+        F.lit(sums.words + sums.texts).cast("long").alias("train_tokens"),
+        (F.col("base_score") + F.coalesce("log", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
+        "score",
     )

@@ -68,8 +68,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = lang_id.remainder(F.col("doc_id"), 7) == 2
-    out = lm_scoring.score(docs.withColumn("held_out", held_out), docs.where(~held_out))
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score")
+    out = lm_scoring.score(docs.withColumn("held_out", held_out), ~F.col("held_out"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

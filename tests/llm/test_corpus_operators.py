@@ -320,154 +320,198 @@ def test_pages_of_the_data(spark, data):
 # LM scoring
 
 
-def test_tree_is_a_distribution():
-    table = np.zeros(256, np.uint8)
-    table[[10, 32, 97, 98]] = [1, 2, 3, 4]
-    code = lambda *s: sum(x << 7 * k for k, x in enumerate(reversed(s)))
-    kept = [(0, 0, {3: 6, 4: 2, 1: 1}), (1, code(3), {4: 5, 1: 1}), (1, code(4), {3: 4}), (2, code(4, 3), {1: 3}), (3, code(3, 4, 3), {4: 1})]
-    tree = lm_scoring.SuffixTree([(d, c, np.array(list(n)), np.array(list(n.values()))) for d, c, n in kept], table)
-    logs, size = tree.logs.reshape(-1, tree.size).astype(float), tree.size
-    p = 10**logs
-    p[:, 0] *= (table == 0).sum()
-    assert np.allclose(p.sum(axis=1), 1)
-    own = {(): kept[0][2], (3,): kept[1][2], (4,): kept[2][2], (4, 3): kept[3][2], (3, 4, 3): kept[4][2]}
+def symbols_by_hand(alphabet, words, depth):
+    out = []
+    for byte in b"\n" * depth + b" ".join(words) + b"\n":
+        out.append(int(alphabet.first[byte]))
+        if out[-1] == 0:
+            out.append(int(alphabet.second[byte]))
+    return out
+
+
+def contexts_by_hand(alphabet, texts, depth, min_count, min_gain):
+    """{context: {next: count}} of the contexts that pass, oldest symbol first."""
+    counts, totals, gain = Counter(), Counter(), Counter()
+    for t in texts:
+        s = symbols_by_hand(alphabet, lm_scoring.tokens(t), depth)
+        counts.update((tuple(s[i - d : i]), s[i]) for i in range(depth, len(s)) for d in range(depth + 1))
+    for (c, _), n in counts.items():
+        totals[c] += n
+    for (c, a), n in counts.items():
+        if c:
+            gain[c] += n * math.log(n / totals[c] / (counts[c[1:], a] / totals[c[1:]]))
+    kept = {c: {} for c in totals if len(c) < 2 or (totals[c] >= min_count and gain[c] >= min_gain)}
+    for (c, a), n in counts.items():
+        if c in kept:
+            kept[c][a] = n
+    return kept
+
+
+def log_by_hand(kept, discount, symbols, depth):
+    known = {}
 
     def chance(context, a):
-        counts = own[context]
-        shorter = next((context[k:] for k in range(1, len(context) + 1) if context[k:] in own), None)
-        base = 1 / size if not context else chance(shorter, a)
-        m = len(counts)
-        return (counts.get(a, 0) + m * base) / (sum(counts.values()) + m)
+        if (context, a) not in known:
+            seen, off = kept.get(context, {}), discount[len(context)]
+            if context:
+                base = chance(next(context[k:] for k in range(1, len(context) + 1) if context[k:] in kept or k == len(context)), a)
+            else:
+                base = 1 / lm_scoring.SIZE
+            total = sum(seen.values())
+            known[context, a] = max(0, seen.get(a, 0) - off) / total + off * len(seen) / total * base if total else base
+        return known[context, a]
+
+    out = 0.0
+    for i in range(depth, len(symbols)):
+        context = next(tuple(symbols[i - k : i]) for k in range(depth, -1, -1) if k == 0 or tuple(symbols[i - k : i]) in kept)
+        out += math.log10(chance(context, symbols[i]))
+    return out
+
+
+def place_of(context, depth):
+    return sum(x << 7 * (depth - 1 - k) for k, x in enumerate(reversed(context)))
+
 
-    def by_hand(words):
-        symbols, total = table[np.frombuffer(lm_scoring.symbol_bytes(words, tree.depth), np.uint8)].tolist(), 0.0
-        for i in range(tree.depth, len(symbols)):
-            context = next(tuple(symbols[i - k : i]) for k in range(tree.depth, -1, -1) if tuple(symbols[i - k : i]) in own)
-            total += math.log10(chance(context, symbols[i]) / ((table == 0).sum() if symbols[i] == 0 else 1))
-        return total
+def context_of(d, place, depth):
+    return tuple(place >> 7 * (depth - 1 - k) & 127 for k in range(d))[::-1]
 
-    texts = [[], [b"a"], [b"abab", b"zzz"], [b"aba"] * 700]
-    logs, ends = tree.word_logs(texts), np.cumsum([max(1, len(t)) for t in texts])
-    assert np.allclose([x.sum() for x in np.split(logs, ends[:-1])], [by_hand(t) for t in texts], rtol=1e-5)
+
+def tree_of(kept, depth, discount):
+    d = np.array([len(c) for c in kept], np.int64)
+    place = np.array([place_of(c, depth) for c in kept], np.int64)
+    s, n = (np.array([x for c in kept.values() for x in y(c)], np.int64) for y in (dict.keys, dict.values))
+    return lm_scoring.SuffixTree(d, place, np.concatenate([[0], np.cumsum([len(c) for c in kept.values()])]), s, n, depth, discount)
+
+
+def test_tree_is_a_distribution():
+    kept = {(): {3: 6, 4: 2, 1: 1}, (3,): {4: 5, 1: 1}, (4,): {3: 4}, (4, 3): {1: 3}, (3, 4, 3): {4: 1}}
+    discount = [0.5, 0.7, 0.3, 0.9]
+    tree = tree_of(kept, 3, discount)
+    for context in [(1, 1, 1), (3, 4, 3), (4, 4, 3), (1, 3, 4), (9, 9, 9)]:
+        keys = np.array([place_of(context, 3) << 7 | a for a in range(128)])
+        logs = tree.look_up(keys)
+        assert math.isclose((10**logs).sum(), 1)
+        for a in (0, 1, 3, 4, 90):
+            assert math.isclose(logs[a], log_by_hand(kept, discount, [*context, a], 3), rel_tol=1e-9)
+
+
+def test_packing():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 56, 5000))
+    assert (lm_scoring.unpacked_keys(lm_scoring.packed_keys(keys), len(keys)) == keys).all()
+    n = rng.integers(0, 1 << 31, 777)
+    assert (lm_scoring.unpacked(lm_scoring.packed(n, 4), 777, 4) == n).all()
+    assert len(lm_scoring.unpacked(lm_scoring.packed(n[:0]), 0)) == 0
+
+
+def test_every_byte_has_its_own_symbols():
+    alphabet = lm_scoring.Alphabet(np.zeros(256))
+    spelled = {}
+    for byte in range(256):
+        if byte not in (9, 11, 12, 13) and not 65 <= byte <= 90:
+            spelled[byte] = tuple(alphabet.spell(np.array([byte], np.uint8))[0].tolist())
+    assert len(set(spelled.values())) == len(spelled) == 226
+    assert all(len(x) == 1 and x != (0,) or x[0] == 0 and len(x) == 2 and 0 <= x[1] < 128 for x in spelled.values())
+    texts = [[], ["日本".encode(), b"a"], [bytes([b]) for b in spelled if b not in (10, 32)]]
+    keys, lengths = alphabet.strings(texts, 3)
+    assert lengths.tolist() == [len(symbols_by_hand(alphabet, t, 3)) - 3 for t in texts]
+    want = [place_of(tuple(s[i - 3 : i]), 3) << 7 | s[i] for t in texts for s in [symbols_by_hand(alphabet, t, 3)] for i in range(3, len(s))]
+    assert keys.tolist() == want
 
 
 def lm_rows():
     rng = random.Random(3)
     texts = [prose(RNG.randrange(5, 60), rng=rng) for _ in range(60)]
-    return [*texts, None, "", "  \n", "NEW words only-here", "unseen" * 3000, texts[0], texts[0]]
+    scripts = " ".join(chr(c) for c in range(0xC0, 0x2FFF, 37)) + " 日本語 текст שלום 한국어 😀"
+    return [*texts, None, "", "  \n", "NEW words only-here", "unseen" * 3000, texts[0], texts[0], scripts]
 
 
 @pytest.mark.parametrize("frequent", [lm_scoring.MAX_WORDS, 3])
 def test_lm_base_by_hand(spark, monkeypatch, frequent):
     monkeypatch.setattr(lm_scoring, "MAX_WORDS", frequent)
     rows = lm_rows()
-    df = spark.createDataFrame([(i, t, 1.0, "x") for i, t in enumerate(rows)], "k long, text string, score double, __rid string")
+    df = spark.createDataFrame([(i, t, 1.0, "x", 7) for i, t in enumerate(rows)], "k long, text string, score double, label string, c0 int")
     train = [lm_scoring.tokens(t) + [b"\n"] for t in rows[:40]]
     counts = Counter(w for t in train for w in t)
     n, v = sum(counts.values()), len(counts)
-    out = lm_scoring.score(df.drop("__rid"), df.where("k < 40")).orderBy("k").collect()
-    assert len(out) == len(rows)
-    for r, text in zip(out, rows):
-        own = lm_scoring.tokens(text) + [b"\n"]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(w in counts for w in own), n)
-        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own), rel_tol=1e-9)
-        assert r.score < 0 and r.spelled_score < 0
+    for training in (df.where("k < 40"), F.when(F.col("k") < 50, F.col("k") < 40)):
+        out = lm_scoring.score(df, training).orderBy("k").collect()
+        assert len(out) == len(rows)
+        for r, text in zip(out, rows):
+            own = lm_scoring.tokens(text) + [b"\n"]
+            assert (r.n_tokens, r.n_known, r.train_tokens, r.label, r.c0) == (len(own), sum(w in counts for w in own), n, "x", 7)
+            assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own), rel_tol=1e-9)
 
 
 def test_lm_without_training(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "k long, text string")
-    out = lm_scoring.score(df, df.where("false")).orderBy("k").collect()
-    assert [(r.n_known, r.train_tokens, r.base_score) for r in out] == [(0, 0, 0.0), (0, 0, 0.0)]
-    assert math.isclose(out[1].score, -math.log10(256), rel_tol=1e-5) or out[1].score < 0
+    for training in (df.where("false"), F.lit(None).cast("boolean")):
+        out = lm_scoring.score(df, training).orderBy("k").collect()
+        assert [(r.n_known, r.train_tokens, r.base_score) for r in out] == [(0, 0, 0.0), (0, 0, 0.0)]
+        assert [round(r.score / math.log10(128), 4) for r in out] == [-4, -1]
     assert lm_scoring.score(df.where("false"), df).count() == 0
-
-
-def test_kept_contexts_pass_the_test_by_hand(spark):
-    texts = [t for t in lm_rows() if t]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    table, depth = lm_scoring.byte_symbols(df), 3
-    counts = Counter()
-    for t in texts:
-        s = table[np.frombuffer(lm_scoring.symbol_bytes(lm_scoring.tokens(t), depth), np.uint8)].tolist()
-        counts.update((tuple(s[i - d : i]), s[i]) for i in range(depth, len(s)) for d in range(depth + 1))
-    totals = Counter()
-    for (c, _), n in counts.items():
-        totals[c] += n
-    gain = Counter()
-    for (c, a), n in counts.items():
-        if c:
-            gain[c] += n * math.log(n / totals[c] / (counts[c[1:], a] / totals[c[1:]]))
-    want = {c for c in totals if len(c) < 2 or (totals[c] >= lm_scoring.MIN_COUNT and gain[c] >= lm_scoring.MIN_GAIN)}
-    got = lm_scoring.kept_contexts(lm_scoring.count_strings(df, table, depth), depth)
-    assert {lm_scoring.SuffixTree._symbols(d, code) for d, code, *_ in got} == want
-    for d, code, seen, times in got:
-        own = {a: n for (c, a), n in counts.items() if c == lm_scoring.SuffixTree._symbols(d, code)}
-        assert dict(zip(seen.tolist(), times.tolist())) == own
-
-
-@pytest.mark.parametrize("rows", [1 << 30, 50])
-def test_long_contexts_pass_as_short_ones(spark, monkeypatch, rows):
-    df = spark.createDataFrame([(t,) for t in lm_rows() if t], "text string")
-    table = lm_scoring.byte_symbols(df)
-    strings = lm_scoring.count_strings(df, table, 6)
-    found = []
-    for head in (3, 6):  # 6: all by joins
-        monkeypatch.setattr(lm_scoring, "HEAD", head)
-        monkeypatch.setattr(lm_scoring, "JUDGED_ROWS", rows)
-        kept = lm_scoring.kept_contexts(strings, 6, 3, 0.5)
-        found.append({(d, c): dict(zip(s.tolist(), n.tolist())) for d, c, s, n in kept})
-        assert len(found[-1]) == len(kept)
-    assert found[0] == found[1] and max(found[0])[0] == 6
-
-
-def test_many_contexts_that_save_alike_are_kept(spark):
-    a, b, c = (F.pmod(F.floor(F.col("id") / 40**k), F.lit(40)) + 1 for k in range(3))
-    after = F.pmod(a + b + c, F.lit(40)) + 1  # only all three symbols together say what follows
-    code = a * 128**3 + b * 128**2 + c * 128 + after
-    strings = spark.range(40**3).select(code.cast("long").alias("code"), F.lit(100).cast("long").alias("n"))
-    assert Counter(x[0] for x in lm_scoring.kept_contexts(strings, 3)) == {0: 1, 1: 40, 3: 40**3}
-
-
-@pytest.mark.parametrize("entries", [1 << 30, 40])
-def test_all_passing_contexts_score(spark, monkeypatch, entries):
-    """One set or many, every text's score comes from all contexts that pass."""
-    monkeypatch.setattr(lm_scoring, "SET_ENTRIES", entries)
-    df = spark.createDataFrame(list(enumerate(lm_rows())), "k long, text string")
-    train = df.where("k < 40").select(F.coalesce("text", F.lit("")).alias("text"))
-    table, depth = lm_scoring.byte_symbols(train), 4
-    kept = lm_scoring.kept_contexts(lm_scoring.count_strings(train, table, depth), depth)
-    assert len(kept) > 50
-    own = {lm_scoring.SuffixTree._symbols(d, c): dict(zip(s.tolist(), n.tolist())) for d, c, s, n in kept}
-    size, shared, known = int(table.max()) + 1, int((table == 0).sum()), {}
-
-    def chance(context, a):
-        if (context, a) not in known:
-            counts = own[context]
-            base = chance(next(context[k:] for k in range(1, len(context) + 1) if context[k:] in own), a) if context else 1 / size
-            known[context, a] = (counts.get(a, 0) + len(counts) * base) / (sum(counts.values()) + len(counts))
-        return known[context, a]
-
-    for r in lm_scoring.score(df, train, depth=depth).orderBy("k").join(df, "k").collect():
-        symbols = table[np.frombuffer(lm_scoring.symbol_bytes(lm_scoring.tokens(r.text), depth), np.uint8)].tolist()
-        want = 0.0
-        for i in range(depth, len(symbols)):
-            context = next(tuple(symbols[i - k : i]) for k in range(depth, -1, -1) if tuple(symbols[i - k : i]) in own)
-            want += math.log10(chance(context, symbols[i]) / (shared if symbols[i] == 0 else 1))
-        assert math.isclose(r.spelled_score, want, rel_tol=1e-4)
-
-
-def test_lm_beats_the_base(spark, data):
-    """On texts that neither has learned from."""
-    rows = queries.op7_lm(spark, data).collect()
-    held = [r for r in rows if r.held_out]
-    assert 0 < len(held) < len(rows)
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
-
-
-def test_lm_beats_the_base_on_what_it_learned(spark, data):
+    assert lm_scoring.score(df.where("false"), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("symbols, chunk, head", [(1 << 30, 1 << 30, 3), (900, 600, 1), (2500, 100, 3), (900, 1 << 30, 4)])
+def test_scores_by_hand(spark, monkeypatch, symbols, chunk, head):
+    """The contexts, the discounts and every text's probability, in one range or many, one chunk or many."""
+    monkeypatch.setattr(lm_scoring, "RANGE_SYMBOLS", symbols)
+    monkeypatch.setattr(lm_scoring, "CHUNK_STRINGS", chunk)
+    monkeypatch.setattr(lm_scoring, "HEAD", head)
+    rows, depth, found = lm_rows(), 5, {}
+    real = lm_scoring.passing_contexts
+    monkeypatch.setattr(lm_scoring, "passing_contexts", lambda *a: found.setdefault("contexts", real(*a, min_count=5, min_gain=2.0)))
+    alphabets = []
+    of = lm_scoring.Alphabet.of
+    monkeypatch.setattr(lm_scoring.Alphabet, "of", staticmethod(lambda counts: alphabets.append(of(counts)) or alphabets[-1]))
+    df = spark.createDataFrame(list(enumerate(rows)), "k long, text string").repartition(3)
+    learned = lambda k: k < 40 or k > 66
+    out = lm_scoring.score(df, (F.col("k") < 40) | (F.col("k") > 66), depth=depth).collect()
+    kept = contexts_by_hand(alphabets[0], [t for k, t in enumerate(rows) if learned(k)], depth, 5, 2.0)
+    got = {}
+    for r in found["contexts"].collect():
+        context = context_of(r.d, r.place, depth)
+        assert got.setdefault(context, dict(zip(r.s, r.n))) == dict(zip(r.s, r.n))  # in every range the same
+    assert got == kept and len({r.g for r in found["contexts"].collect()}) > (1 if symbols < 1000 else 0)
+    assert max(map(len, kept)) == depth
+    discount = []
+    for d in range(depth + 1):
+        times = Counter(n for c, seen in kept.items() if len(c) == d for n in seen.values())
+        discount.append(min(0.9, max(0.1, times[1] / (times[1] + 2 * times[2]))) if times[1] else 0.5)
+    for r in out:
+        want = log_by_hand(kept, discount, symbols_by_hand(alphabets[0], lm_scoring.tokens(rows[r.k]), depth), depth)
+        assert math.isclose(r.score, want, rel_tol=1e-5), r.k
+
+
+def test_short_contexts_pass_as_long_ones():
+    """All lengths judged in memory; the joins give the same (see the heads above)."""
+    rng = np.random.default_rng(2)
+    keys = rng.integers(1, 4, (20_000, 5)) @ (1 << 7 * np.arange(4, -1, -1))
+    found = {d: place.tolist() for d, place, *_ in lm_scoring.judged(keys, np.ones(len(keys), np.int64), 4, 1, 50, 0.0)}
+    assert [len(found[d]) for d in (1, 2, 3, 4)] == [3, 9, 27, 81]
+    found = {d: place.tolist() for d, place, *_ in lm_scoring.judged(keys, np.ones(len(keys), np.int64), 4, 1, 50, 1e6)}
+    assert [len(found[d]) for d in (1, 2, 3, 4)] == [3, 0, 0, 0]
+
+
+def test_gibberish_scores_below_what_was_learned(spark, data):
+    rng = random.Random(4)
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    learned = next(r.text for r in docs.orderBy("doc_id").collect() if len((r.text or "").split()) > 120)
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(100))
+    asked = spark.createDataFrame([(1, " ".join(learned.split()[:100])), (2, noise)], "doc_id long, text string")
+    real, made_up = lm_scoring.score(asked, docs).orderBy("doc_id").collect()
+    assert made_up.score < 5 * real.score < 0
+
+
+def test_lm_beats_the_base_on_known_words(spark):
+    """On what it has learned from, and on held-out texts whose words it knows, given a few MB of text; a word
+    that training lacks the base takes for one cheap event, and the tree spells it."""
     assert lm_scoring.DEPTH >= 7
-    learned = [r for r in queries.op7_lm(spark, data).collect() if not r.held_out]
-    assert sum(r.score for r in learned) > sum(r.base_score for r in learned)
+    rows = queries.op7_lm(spark, "/root/testdata/sf0.01").collect()
+    for known in ([r for r in rows if not r.held_out], [r for r in rows if r.held_out and r.n_known == r.n_tokens and r.n_tokens > 20]):
+        assert known and sum(r.score for r in known) > sum(r.base_score for r in known)
+    assert 0 < sum(r.held_out for r in rows) < len(rows)
 
 
 # Jaccard join
