@@ -39,12 +39,12 @@ MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
-CHUNK_STRINGS = 3_000_000  # different strings of a chunk
-CHUNK_BYTES = 32 << 20  # and its text
+CHUNK_STRINGS = 4_000_000  # different strings of a chunk, about
+CHUNK_SYMBOLS = 40_000_000  # and its symbols
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
-STEPS = 1 << 20  # a logarithm is kept in steps of 1 / STEPS on its way back to the chunk
+STEPS = 1 << 14  # a logarithm is kept in steps of 1 / STEPS on its way back to the chunk, in three bytes
 
 END = 10  # a line feed: no word has one, so it can stand for the end and for what is before a text
 BITS = 7
@@ -217,7 +217,7 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
 
         kinds = to_arrow_schema(schema).types
         blob = kinds[len(kept) :]
-        label, found, size, nbytes = _label(), [], 0, 0
+        label, found, size, symbols = _label(), [], 0, 0
 
         def strings():
             keys, n = _added(found)
@@ -236,18 +236,18 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
             keys, lengths = alphabet.strings(texts, depth)
             learned = np.repeat(piece.column(at_learn).to_numpy(zero_copy_only=False).astype(bool), lengths)
             found.append(_counted(keys, learned))
-            size, nbytes = size + len(found[-1][0]), nbytes + len(keys)
+            size, symbols = size + len(found[-1][0]), symbols + len(keys)
             show = piece.filter(piece.column(at_scored))
             if show.num_rows:
                 n = show.num_rows
                 own = [pa.array([label] * n, pa.int64()), *[pa.nulls(n, k) for k in blob[1:]]]
                 yield pa.RecordBatch.from_arrays([*[show.column(i) for i in source], *own], names=schema.names)
-            if size > CHUNK_STRINGS:
+            if size > 3 * CHUNK_STRINGS:
                 found = [_added(found)]
                 size = len(found[0][0])
-            if size > CHUNK_STRINGS // 2 or nbytes > CHUNK_BYTES:
+            if len(found) == 1 and size > CHUNK_STRINGS or symbols > CHUNK_SYMBOLS:
                 yield strings()
-                label, found, size, nbytes = _label(), [], 0, 0
+                label, found, size, symbols = _label(), [], 0, 0
         if found:
             yield strings()
 
@@ -263,13 +263,10 @@ def _label() -> int:
 
 def _counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys, ascending, and how often each was learned from (0 too)."""
-    if learned.all():
-        return np.unique(keys, return_counts=True)
-    every = np.unique(keys)
-    some, times = np.unique(keys[learned], return_counts=True)
-    n = np.zeros(len(every), np.int64)
-    n[np.searchsorted(every, some)] = times
-    return every, n
+    marked = np.sort(keys << 1 | learned)  # a string has 56 bits at most
+    keys = marked >> 1
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(marked & 1, first) if len(keys) else keys
 
 
 def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -530,7 +527,7 @@ def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: lis
                 columns = [part.column(c).to_pylist() for c in ("label", "n_strings", "strings")]
                 for label, n, strings in zip(*columns):
                     logs = np.rint(-tree.look_up(unpacked_keys(strings, n)) * STEPS).astype(np.int64)
-                    row = {"label": pa.array([label], pa.int64()), "g": pa.array([at], pa.int32()), "logs": pa.array([packed(logs, 4)], pa.binary())}
+                    row = {"label": pa.array([label], pa.int64()), "g": pa.array([at], pa.int32()), "logs": pa.array([packed(logs, 3)], pa.binary())}
                     yield pa.RecordBatch.from_pydict(row)
 
     return laid.mapInArrow(run, "label long, g int, logs binary")
@@ -632,7 +629,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
 
     inner = rows.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rows.columns)])  # clashes with no inner name
     name = {c: f"c{i}" for i, c in enumerate(rows.columns)}
-    chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks")
+    chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks", compression="zstd")
     blobs = chunks.where("g is not null").select(*StructType.fromDDL(_BLOB).names)
     contexts = passing_contexts(blobs, depth, head, cuts)
     logs = _logarithms(blobs, contexts, depth, discounts(contexts, depth))
@@ -650,7 +647,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
         blob.sort(key=lambda r: r["g"])
         none = np.zeros(0, np.int64)
         keys = np.concatenate([none, *[unpacked_keys(r["strings"], r["n_strings"]) for r in blob]])
-        values = np.concatenate([none, *[unpacked(given[r["g"]], r["n_strings"], 4) for r in blob]]) / -STEPS
+        values = np.concatenate([none, *[unpacked(given[r["g"]], r["n_strings"], 3) for r in blob]]) / -STEPS
         columns: list[list] = [[] for _ in range(5)]
         for batch in texts.to_batches():
             for piece in pieces([batch], batch.schema.get_field_index(at_text)):
@@ -665,7 +662,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
         made = [pa.array(c, kinds.field(k).type) for c, k in zip(columns, (*_RESULTS, "rare"))]
         return pa.table([*[texts.column(c) for c in kinds.names[:-5]], *made], names=kinds.names)
 
-    found = chunks.groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
+    found = chunks.drop("counts").groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
     parts = written(found.withColumn("rid", F.monotonically_increasing_id()), "scored")  # the ids of the rows hold from here on
     words = parts.select("rid", F.explode("rare").alias("word")).join(counts, "word")
     known = words.groupBy("rid").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("log"))

@@ -89,11 +89,11 @@ def map_pieces(
     return df.mapInArrow(run, schema)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """The frame as a table in the shared scratch folder: computed once, and its lineage cut."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 
