@@ -39,7 +39,7 @@ MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
-CHUNK_STRINGS = 4_000_000  # different strings of a chunk, about
+CHUNK_STRINGS = 2_500_000  # different strings of a chunk, about
 CHUNK_SYMBOLS = 40_000_000  # and its symbols
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
@@ -242,7 +242,7 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
                 n = show.num_rows
                 own = [pa.array([label] * n, pa.int64()), *[pa.nulls(n, k) for k in blob[1:]]]
                 yield pa.RecordBatch.from_arrays([*[show.column(i) for i in source], *own], names=schema.names)
-            if size > 3 * CHUNK_STRINGS:
+            if size > 2 * CHUNK_STRINGS:
                 found = [_added(found)]
                 size = len(found[0][0])
             if len(found) == 1 and size > CHUNK_STRINGS or symbols > CHUNK_SYMBOLS:
