@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from plumbline.llm.tables import fresh, largest, pieces, written
 from plumbline.session import share
@@ -39,8 +39,7 @@ MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
-CHUNK_STRINGS = 2_500_000  # different strings of a chunk, about
-CHUNK_SYMBOLS = 40_000_000  # and its symbols
+CHUNK_SYMBOLS = 6_000_000  # of a chunk, or one text
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
@@ -202,59 +201,60 @@ def range_cuts(counts: DataFrame, alphabet: Alphabet, depth: int, total: int) ->
 
 
 def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, text: str, learn: str, scored: str) -> DataFrame:
-    """``rows`` with a column ``label``, the chunk a row is in, and the chunks' strings as further rows: their
-    range ``g``, how many, the packed strings and the training counts of those. Rows that are not scored
-    leave only their strings."""
-    kept = [f for f in rows.schema if f.name not in (learn, scored)]
-    schema = StructType([StructField(f.name, f.dataType) for f in kept] + StructType.fromDDL(_BLOB).fields)
+    """``rows`` in chunks of about CHUNK_SYMBOLS symbols, each with a ``label``: rows packed a piece at a time
+    (``rows``), and the chunk's different strings by range ``g``: how many, the packed strings and their
+    training counts. Rows that are not scored leave only their strings, without a label."""
     names = rows.columns
     at_text, at_learn, at_scored = (names.index(c) for c in (text, learn, scored))
-    source = [names.index(f.name) for f in kept]
+    kept = [c for c in names if c not in (learn, scored)]
     edges = np.concatenate([[0], cuts]) << BITS
 
-    def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
+    def batch(rows_: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_), _BLOB_TYPES)], names=_BLOB_NAMES)
 
-        kinds = to_arrow_schema(schema).types
-        blob = kinds[len(kept) :]
-        label, found, size, symbols = _label(), [], 0, 0
-
-        def strings():
-            keys, n = _added(found)
-            stops = [*np.searchsorted(keys, edges[1:]).tolist(), len(keys)]
-            rows_, start = [], 0
-            for g, stop in enumerate(stops):
-                if stop > start:
-                    rows_.append((label, g, stop - start, packed_keys(keys[start:stop]), packed(n[start:stop])))
-                start = stop
-            columns = [pa.nulls(len(rows_), k) for k in kinds[: len(kept)]]
-            columns += [pa.array(c, k) for c, k in zip(zip(*rows_), blob)]
-            return pa.RecordBatch.from_arrays(columns, names=schema.names)
+    def strings(label, found):
+        keys, n = _added(found)
+        stops, start, rows_ = [*np.searchsorted(keys, edges[1:]).tolist(), len(keys)], 0, []
+        for g, stop in enumerate(stops):
+            if stop > start:
+                rows_.append((label, g, stop - start, packed_keys(keys[start:stop]), packed(n[start:stop]), None))
+            start = stop
+        return batch(rows_)
 
+    def run(batches):
+        open_ = {True: [_label(), [], 0], False: [None, [], 0]}
         for piece in pieces(batches, at_text):
-            texts = [tokens(t) for t in piece.column(at_text).to_pylist()]
-            keys, lengths = alphabet.strings(texts, depth)
-            learned = np.repeat(piece.column(at_learn).to_numpy(zero_copy_only=False).astype(bool), lengths)
-            found.append(_counted(keys, learned))
-            size, symbols = size + len(found[-1][0]), symbols + len(keys)
-            show = piece.filter(piece.column(at_scored))
-            if show.num_rows:
-                n = show.num_rows
-                own = [pa.array([label] * n, pa.int64()), *[pa.nulls(n, k) for k in blob[1:]]]
-                yield pa.RecordBatch.from_arrays([*[show.column(i) for i in source], *own], names=schema.names)
-            if size > 2 * CHUNK_STRINGS:
-                found = [_added(found)]
-                size = len(found[0][0])
-            if len(found) == 1 and size > CHUNK_STRINGS or symbols > CHUNK_SYMBOLS:
-                yield strings()
-                label, found, size, symbols = _label(), [], 0, 0
-        if found:
-            yield strings()
-
-    return rows.mapInArrow(run, schema)
-
-
-_BLOB = "label long, g int, n_strings int, strings binary, counts binary"
+            for shown, chunk in open_.items():
+                mine = piece.filter(pc.equal(piece.column(at_scored), shown))
+                if not mine.num_rows:
+                    continue
+                texts = [tokens(t) for t in mine.column(at_text).to_pylist()]
+                keys, lengths = alphabet.strings(texts, depth)
+                learned = np.repeat(mine.column(at_learn).to_numpy(zero_copy_only=False).astype(bool), lengths)
+                chunk[1].append(_counted(keys, learned))
+                chunk[2] += len(keys)
+                if shown:
+                    yield batch([(chunk[0], None, None, None, None, _packed_rows(mine.select(kept)))])
+                if chunk[2] > CHUNK_SYMBOLS:
+                    yield strings(chunk[0], chunk[1])
+                    chunk[:] = [_label() if shown else None, [], 0]
+        for label, found, _ in open_.values():
+            if found:
+                yield strings(label, found)
+
+    return rows.mapInArrow(run, _BLOB)
+
+
+_BLOB = "label long, g int, n_strings int, strings binary, counts binary, rows binary"
+_BLOB_NAMES = [c.split()[0] for c in _BLOB.split(", ")]
+_BLOB_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+
+def _packed_rows(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _label() -> int:
@@ -504,7 +504,7 @@ class SuffixTree:
 
 
 def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: list[float]) -> DataFrame:
-    """(label, g, logs): the packed logarithms of every chunk's strings of a range, in their order."""
+    """(label, g, n_strings, logs): the packed logarithms of every chunk's strings of a range, in their order."""
     none = lambda c, kind: F.lit(None).cast(kind).alias(c)
     told = contexts.select("g", F.lit(0).alias("kind"), "d", "place", "s", "n", none("label", "long"), none("n_strings", "int"), none("strings", "binary"))
     asked = blobs.select("g", F.lit(1).alias("kind"), none("d", "int"), none("place", "long"), none("s", "array<int>"), none("n", "array<long>"), "label", "n_strings", "strings")
@@ -527,10 +527,11 @@ def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: lis
                 columns = [part.column(c).to_pylist() for c in ("label", "n_strings", "strings")]
                 for label, n, strings in zip(*columns):
                     logs = np.rint(-tree.look_up(unpacked_keys(strings, n)) * STEPS).astype(np.int64)
-                    row = {"label": pa.array([label], pa.int64()), "g": pa.array([at], pa.int32()), "logs": pa.array([packed(logs, 3)], pa.binary())}
+                    row = {"label": pa.array([label], pa.int64()), "g": pa.array([at], pa.int32())}
+                    row |= {"n_strings": pa.array([n], pa.int32()), "logs": pa.array([packed(logs, 3)], pa.binary())}
                     yield pa.RecordBatch.from_pydict(row)
 
-    return laid.mapInArrow(run, "label long, g int, logs binary")
+    return laid.mapInArrow(run, "label long, g int, n_strings int, logs binary")
 
 
 def _context_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -568,15 +569,13 @@ class Words:
         return n_tokens, n_known, base, rare
 
 
-def _text_logs(alphabet: Alphabet, words: list[list[bytes]], keys: np.ndarray, logs: np.ndarray, depth: int) -> np.ndarray:
-    """Summed logarithms of each text; ``keys`` are all strings of the chunk, ascending."""
-    own, lengths = alphabet.strings(words, depth)
-    order = np.argsort(own)
-    ordered = own[order]
+def _text_logs(keys: np.ndarray, lengths: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Summed logarithms of the texts of a chunk; ``logs`` are those of its different strings, ascending."""
+    order = np.argsort(keys)
+    ordered = keys[order]
     first = _firsts(ordered)
-    value = logs[np.searchsorted(keys, ordered[first])]
-    out = np.empty(len(own))
-    out[order] = np.repeat(value, np.diff(np.append(first, len(own))))
+    out = np.empty(len(keys))
+    out[order] = np.repeat(logs, np.diff(np.append(first, len(keys))))
     return np.add.reduceat(out, np.cumsum(lengths) - lengths)
 
 
@@ -629,10 +628,10 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
 
     inner = rows.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rows.columns)])  # clashes with no inner name
     name = {c: f"c{i}" for i, c in enumerate(rows.columns)}
-    chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks", compression="zstd")
-    blobs = chunks.where("g is not null").select(*StructType.fromDDL(_BLOB).names)
+    chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks")
+    blobs = chunks.where("g is not null").select("label", "g", "n_strings", "strings", "counts")
     contexts = passing_contexts(blobs, depth, head, cuts)
-    logs = _logarithms(blobs, contexts, depth, discounts(contexts, depth))
+    logs = _logarithms(blobs.where("label is not null"), contexts, depth, discounts(contexts, depth))
 
     kept = [c for c in plain.columns if c != text]
     schema = StructType([f for f in inner.schema if f.name in {name[c] for c in kept}])
@@ -641,28 +640,20 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
     at_text = name[text]
 
     def summed(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        blob = left.filter(pc.is_valid(left.column("g"))).select(["g", "n_strings", "strings"]).to_pylist()
-        texts = left.filter(pc.is_null(left.column("g")))
-        given = {r["g"]: r["logs"] for r in right.to_pylist()}
-        blob.sort(key=lambda r: r["g"])
-        none = np.zeros(0, np.int64)
-        keys = np.concatenate([none, *[unpacked_keys(r["strings"], r["n_strings"]) for r in blob]])
-        values = np.concatenate([none, *[unpacked(given[r["g"]], r["n_strings"], 3) for r in blob]]) / -STEPS
-        columns: list[list] = [[] for _ in range(5)]
-        for batch in texts.to_batches():
-            for piece in pieces([batch], batch.schema.get_field_index(at_text)):
-                words = [tokens(t) for t in piece.column(at_text).to_pylist()]
-                n_tokens, n_known, base, unknown = shared.value.rows(words)
-                of_text = _text_logs(alphabet, words, keys, values, depth)
-                for column, found in zip(columns, (n_tokens, n_known, base, of_text.tolist(), unknown)):
-                    column += found
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = to_arrow_schema(schema)
-        made = [pa.array(c, kinds.field(k).type) for c, k in zip(columns, (*_RESULTS, "rare"))]
-        return pa.table([*[texts.column(c) for c in kinds.names[:-5]], *made], names=kinds.names)
-
-    found = chunks.drop("counts").groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
+        texts = pa.concat_tables([pa.ipc.open_stream(r).read_all() for r in left.column("rows").to_pylist()])
+        words = [tokens(t) for t in texts.column(at_text).to_pylist()]
+        given = sorted(right.select(["g", "n_strings", "logs"]).to_pylist(), key=lambda r: r["g"])
+        values = np.concatenate([unpacked(r["logs"], r["n_strings"], 3) for r in given]) / -STEPS
+        of_text = _text_logs(*alphabet.strings(words, depth), values)
+        n_tokens, n_known, base, unknown = shared.value.rows(words)
+        made = [pa.array(c, kinds.field(k).type) for k, c in zip((*_RESULTS, "rare"), (n_tokens, n_known, base, of_text, unknown))]
+        return pa.table([*[texts.column(c).cast(kinds.field(c).type) for c in kinds.names[:-5]], *made], names=kinds.names)
+
+    packs = chunks.where("rows is not null").select("label", "rows")
+    found = packs.groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
     parts = written(found.withColumn("rid", F.monotonically_increasing_id()), "scored")  # the ids of the rows hold from here on
     words = parts.select("rid", F.explode("rare").alias("word")).join(counts, "word")
     known = words.groupBy("rid").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("log"))

@@ -457,7 +457,7 @@ def test_lm_without_training(spark):
 def test_scores_by_hand(spark, monkeypatch, symbols, chunk, head):
     """The contexts, the discounts and every text's probability, in one range or many, one chunk or many."""
     monkeypatch.setattr(lm_scoring, "RANGE_SYMBOLS", symbols)
-    monkeypatch.setattr(lm_scoring, "CHUNK_STRINGS", chunk)
+    monkeypatch.setattr(lm_scoring, "CHUNK_SYMBOLS", chunk)
     monkeypatch.setattr(lm_scoring, "HEAD", head)
     rows, depth, found = lm_rows(), 5, {}
     real = lm_scoring.passing_contexts
