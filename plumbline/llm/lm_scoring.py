@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.llm.tables import fresh, largest, pieces, written
-from plumbline.session import share
+from plumbline.session import drop_path, scratch_path, share
 
 DEPTH = 7  # symbols of the longest context
 MIN_COUNT = 16  # occurrences of a context that may be kept
@@ -39,11 +39,11 @@ MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
-CHUNK_SYMBOLS = 6_000_000  # of a chunk, or one text
+CHUNK_SYMBOLS = 8_000_000  # of a chunk, or one text
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
-STEPS = 1 << 14  # a logarithm is kept in steps of 1 / STEPS on its way back to the chunk, in three bytes
+STEPS = 1 << 11  # a logarithm is kept in steps of 1 / STEPS on its way back to the chunk, in three bytes
 
 END = 10  # a line feed: no word has one, so it can stand for the end and for what is before a text
 BITS = 7
@@ -303,7 +303,9 @@ def passing_contexts(blobs: DataFrame, depth: int, head: int, cuts: np.ndarray,
     Contexts of more than ``head`` symbols are judged where all strings of their range are, shorter ones by
     joins.
     """
-    long = written(_long_contexts(blobs, depth, head, min_count, min_gain), "long-contexts")
+    spark, path = blobs.sparkSession, scratch_path(blobs.sparkSession, "long-contexts")
+    _long_contexts(blobs, depth, head, min_count, min_gain).write.parquet(path)
+    long = spark.read.schema(_CONTEXT).parquet(path)
     last = long.where(F.col("d") == head).select("place", F.explode(F.arrays_zip("s", "n")).alias("x"))
     strings = last.select("place", F.col("x.s").alias("s"), F.col("x.n").alias("n"))
     short = _short_contexts(strings, depth, head, min_count, min_gain)
@@ -311,7 +313,9 @@ def passing_contexts(blobs: DataFrame, depth: int, head: int, cuts: np.ndarray,
     for d in range(head + 1):
         reach = F.when(F.col("d") == d, F.lit(1 << BITS * (depth - d))).otherwise(reach)
     shared = short.withColumn("g", F.explode(F.sequence(_range_of("place", cuts), _range_of(F.col("place") + reach - 1, cuts))))
-    return written(long.where(F.col("d") > head).unionByName(shared), "contexts")
+    found = written(long.where(F.col("d") > head).unionByName(shared), "contexts")
+    drop_path(spark, path)
+    return found
 
 
 def _range_of(place: Column | str, cuts: np.ndarray) -> Column:
@@ -572,11 +576,10 @@ class Words:
 def _text_logs(keys: np.ndarray, lengths: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """Summed logarithms of the texts of a chunk; ``logs`` are those of its different strings, ascending."""
     order = np.argsort(keys)
-    ordered = keys[order]
-    first = _firsts(ordered)
-    out = np.empty(len(keys))
-    out[order] = np.repeat(logs, np.diff(np.append(first, len(keys))))
-    return np.add.reduceat(out, np.cumsum(lengths) - lengths)
+    sizes = np.diff(np.append(_firsts(keys[order]), len(keys)))
+    out = np.empty(len(keys), np.float32)
+    out[order] = np.repeat(logs.astype(np.float32), sizes)
+    return np.add.reduceat(out, np.cumsum(lengths) - lengths, dtype=np.float64)
 
 
 _RESULTS = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double"}
@@ -590,6 +593,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
     ``text``; both the base and the tree count all of it.
 
     - A NULL or empty text is the end sign alone, in training and in scoring.
+    - A symbol's logarithm is rounded to 1 / STEPS on its way, so a score is off by half that a symbol at most.
     - Without training texts the tree is uniform over symbols and nothing is known. A NULL condition is
       not true.
     - Repeated rows count as often as they stand in ``training`` and are scored alike; whole texts of
