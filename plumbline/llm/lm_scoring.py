@@ -22,6 +22,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ MIN_COUNT = 16  # occurrences of a context that may be kept
 MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its occurrences
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
-TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
-CHUNK_SYMBOLS = 8_000_000  # of a chunk, or one text
+TASK_WORDS = 400_000  # distinct words a task holds before it passes them on
+CHUNK_SYMBOLS = 12_000_000  # of a chunk, or one text
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
@@ -213,7 +214,7 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_), _BLOB_TYPES)], names=_BLOB_NAMES)
 
     def strings(label, found):
-        keys, n = _added(found)
+        keys, n = _counted(np.concatenate(found))
         stops, start, rows_ = [*np.searchsorted(keys, edges[1:]).tolist(), len(keys)], 0, []
         for g, stop in enumerate(stops):
             if stop > start:
@@ -231,7 +232,7 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
                 texts = [tokens(t) for t in mine.column(at_text).to_pylist()]
                 keys, lengths = alphabet.strings(texts, depth)
                 learned = np.repeat(mine.column(at_learn).to_numpy(zero_copy_only=False).astype(bool), lengths)
-                chunk[1].append(_counted(keys, learned))
+                chunk[1].append(keys << 1 | learned)  # a string has 56 bits at most
                 chunk[2] += len(keys)
                 if shown:
                     yield batch([(chunk[0], None, None, None, None, _packed_rows(mine.select(kept)))])
@@ -261,19 +262,11 @@ def _label() -> int:
     return uuid.uuid4().int >> 65
 
 
-def _counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys, ascending, and how often each was learned from (0 too)."""
-    marked = np.sort(keys << 1 | learned)  # a string has 56 bits at most
-    keys = marked >> 1
-    first = _firsts(keys)
-    return keys[first], np.add.reduceat(marked & 1, first) if len(keys) else keys
-
-
-def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of equal keys added up, ascending by key."""
-    if len(found) == 1:
-        return found[0]
-    return _summed(*[np.concatenate(c) for c in zip(*found)])
+def _counted(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different strings, ascending, and how often each was learned from (0 too); the last bit marks what is."""
+    marked.sort()
+    first = _firsts(marked >> 1)
+    return marked[first] >> 1, np.add.reduceat(marked & 1, first) if len(marked) else marked
 
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -563,14 +556,16 @@ class Words:
     def rows(self, words: list[list[bytes]]):
         """n_tokens, n_known, sum of log10(c + 1) and the words that are not frequent."""
         get, ends = self.frequent.get, self.frequent.get(b"\n", 0)
-        n_tokens, n_known, base, rare = [], [], [], []
-        for found in words:
-            c = np.array([get(w, 0) for w in found], np.float64)
-            n_tokens.append(len(found) + 1)
-            n_known.append(int((c > 0).sum()) + (ends > 0))
-            base.append(float(np.log10(c + 1).sum() + np.log10(ends + 1)))
-            rare.append([found[i] for i in np.flatnonzero(c == 0).tolist()])
-        return n_tokens, n_known, base, rare
+        flat = [*chain.from_iterable(words)]
+        size = np.array([len(w) for w in words], np.int64)
+        c = np.array([get(w, 0) for w in flat], np.int64)
+        owner = np.repeat(np.arange(len(words)), size)
+        base = np.bincount(owner, np.log10(c + 1.0), len(words)) + np.log10(ends + 1)
+        rare = np.flatnonzero(c == 0)
+        n_rare = np.bincount(owner[rare], minlength=len(words))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(n_rare)]), pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array([flat[i] for i in rare.tolist()], pa.binary()))
+        return size + 1, size - n_rare + (ends > 0), base, lists
 
 
 def _text_logs(keys: np.ndarray, lengths: np.ndarray, logs: np.ndarray) -> np.ndarray:
@@ -653,7 +648,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
         values = np.concatenate([unpacked(r["logs"], r["n_strings"], 3) for r in given]) / -STEPS
         of_text = _text_logs(*alphabet.strings(words, depth), values)
         n_tokens, n_known, base, unknown = shared.value.rows(words)
-        made = [pa.array(c, kinds.field(k).type) for k, c in zip((*_RESULTS, "rare"), (n_tokens, n_known, base, of_text, unknown))]
+        made = [c if k == "rare" else pa.array(c, kinds.field(k).type) for k, c in zip((*_RESULTS, "rare"), (n_tokens, n_known, base, of_text, unknown))]
         return pa.table([*[texts.column(c).cast(kinds.field(c).type) for c in kinds.names[:-5]], *made], names=kinds.names)
 
     packs = chunks.where("rows is not null").select("label", "rows")
