@@ -39,8 +39,8 @@ MIN_COUNT = 16  # occurrences of a context that may be kept
 MIN_GAIN = 10.0  # nats that a context must save over the shorter one in all its occurrences
 MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
-TASK_WORDS = 400_000  # distinct words a task holds before it passes them on
-CHUNK_SYMBOLS = 12_000_000  # of a chunk, or one text
+TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
+CHUNK_SYMBOLS = 8_000_000  # of a chunk, or one text
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
@@ -283,11 +283,13 @@ def _firsts(x: np.ndarray) -> np.ndarray:
 # ---- 2. contexts -----------------------------------------------------------------------------
 
 _CONTEXT = "g int, d int, place long, s array<int>, n array<long>"
+_PACKED = "n_contexts int, n_pairs int, data array<binary>, one long, two long"  # contexts of a range and length in one row
 
 
 def passing_contexts(blobs: DataFrame, depth: int, head: int, cuts: np.ndarray, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
-    """(g, d, place, s, n): range, length, place in the order, next symbols and their counts of the contexts
-    that pass the divergence test, all of them, as a written table; a context that ranges share is in each.
+    """The contexts that pass the divergence test, all of them, as a written table: range g, length d, place
+    in the order, next symbols s and their counts n. A context that ranges share is in each. The longer ones of
+    a range are packed into a row for each length (see ``listed``).
 
     A context passes if its occurrences are at least ``min_count`` and coding their next symbols with
     its own distribution instead of the shorter context's saves at least ``min_gain`` nats: occurrences
@@ -298,7 +300,7 @@ def passing_contexts(blobs: DataFrame, depth: int, head: int, cuts: np.ndarray,
     """
     spark, path = blobs.sparkSession, scratch_path(blobs.sparkSession, "long-contexts")
     _long_contexts(blobs, depth, head, min_count, min_gain).write.parquet(path)
-    long = spark.read.schema(_CONTEXT).parquet(path)
+    long = spark.read.schema(f"{_CONTEXT}, {_PACKED}").parquet(path)
     last = long.where(F.col("d") == head).select("place", F.explode(F.arrays_zip("s", "n")).alias("x"))
     strings = last.select("place", F.col("x.s").alias("s"), F.col("x.n").alias("n"))
     short = _short_contexts(strings, depth, head, min_count, min_gain)
@@ -306,7 +308,7 @@ def passing_contexts(blobs: DataFrame, depth: int, head: int, cuts: np.ndarray,
     for d in range(head + 1):
         reach = F.when(F.col("d") == d, F.lit(1 << BITS * (depth - d))).otherwise(reach)
     shared = short.withColumn("g", F.explode(F.sequence(_range_of("place", cuts), _range_of(F.col("place") + reach - 1, cuts))))
-    found = written(long.where(F.col("d") > head).unionByName(shared), "contexts")
+    found = written(long.where(F.col("d") > head).unionByName(shared, allowMissingColumns=True), "contexts")
     drop_path(spark, path)
     return found
 
@@ -387,19 +389,52 @@ def _long_contexts(blobs: DataFrame, depth: int, head: int, min_count: int, min_
             keys, n = (np.concatenate(c) for c in zip(*found))
             del found
             for d, place, ends, s, times in judged(keys, n, depth, head, min_count, min_gain):
-                yield from _context_rows(g, d, place, ends, s, times)
+                if d > head:
+                    yield _packed_contexts(g, d, place, ends, s, times)
+                else:
+                    yield from _context_rows(g, d, place, ends, s, times, 5)
 
     laid = blobs.select("g", "n_strings", "strings", "counts").repartition("g").sortWithinPartitions("g")
-    return laid.mapInArrow(run, _CONTEXT)
+    return laid.mapInArrow(run, f"{_CONTEXT}, {_PACKED}")
 
 
-def _context_rows(g: int, d: int, place, ends, s, n) -> Iterator[pa.RecordBatch]:
+_LISTS = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64()]
+_NAMES = [c.split()[0] for c in f"{_CONTEXT}, {_PACKED}".split(", ")]
+
+
+def _context_rows(g: int, d: int, place, ends, s, n, more: int = 0) -> Iterator[pa.RecordBatch]:
     lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, k)) for x, k in ((s, pa.int32()), (n, pa.int64()))]
-    columns = [pa.array(np.full(len(place), x), pa.int32()) for x in (g, d)]
-    rows = pa.RecordBatch.from_arrays([*columns, pa.array(place, pa.int64()), *lists], ["g", "d", "place", "s", "n"])
+    columns = [*[pa.array(np.full(len(place), x), pa.int32()) for x in (g, d)], pa.array(place, pa.int64()), *lists]
+    columns += [pa.nulls(len(place), k) for k in _LISTS[5 : 5 + more]]
+    rows = pa.RecordBatch.from_arrays(columns, _NAMES[: 5 + more])
     yield from (rows.slice(i, 10_000) for i in range(0, len(place), 10_000))
 
 
+def _packed_contexts(g: int, d: int, place, ends, s, n) -> pa.RecordBatch:
+    data = [packed_keys(place), packed(np.diff(ends), 2), packed(s, 1), packed(n)]
+    row = (g, d, None, None, None, len(place), len(s), data, int((n == 1).sum()), int((n == 2).sum()))
+    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, _LISTS)], _NAMES)
+
+
+def _unpacked_contexts(n_contexts: int, n_pairs: int, data: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Places, numbers of next symbols, next symbols and counts."""
+    place, sizes, s, n = data
+    return unpacked_keys(place, n_contexts), unpacked(sizes, n_contexts, 2), unpacked(s, n_pairs, 1), unpacked(n, n_pairs)
+
+
+def listed(contexts: DataFrame) -> DataFrame:
+    """(g, d, place, s, n): the contexts of a table of ``passing_contexts``, a row for each."""
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                place, sizes, s, n = _unpacked_contexts(r["n_contexts"], r["n_pairs"], r["data"])
+                yield from _context_rows(r["g"], r["d"], place, np.concatenate([[0], np.cumsum(sizes)]), s, n)
+
+    packs = contexts.where("data is not null").select("g", "d", "n_contexts", "n_pairs", "data")
+    return contexts.where("data is null").select("g", "d", "place", "s", "n").unionByName(packs.mapInArrow(run, _CONTEXT))
+
+
 def _groups(batches, columns: list[str], key: str = "g") -> Iterator[tuple]:
     """(key, rows) of batches sorted by ``key``, whole groups."""
     last, rows = None, []
@@ -421,8 +456,9 @@ def discounts(contexts: DataFrame, depth: int) -> list[float]:
     """What is taken off every count of a context of each length: singles / (singles + 2 doubles) of its
     pairs, which leaving one occurrence out makes likeliest."""
     times = lambda k: F.sum(F.size(F.filter("n", lambda x: x == k)))
-    rows = contexts.dropDuplicates(["d", "place"]).groupBy("d").agg(times(1).alias("one"), times(2).alias("two")).collect()
-    found = {r.d: r.one / (r.one + 2 * r.two) for r in rows if r.one}
+    single = contexts.where("data is null").dropDuplicates(["d", "place"]).groupBy("d").agg(times(1).alias("one"), times(2).alias("two"))
+    packs = contexts.where("data is not null").groupBy("d").agg(F.sum("one").alias("one"), F.sum("two").alias("two"))
+    found = {r.d: r.one / (r.one + 2 * r.two) for r in single.unionByName(packs).collect() if r.one}
     return [min(0.9, max(0.1, found.get(d, 0.5))) for d in range(depth + 1)]
 
 
@@ -503,8 +539,9 @@ class SuffixTree:
 def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: list[float]) -> DataFrame:
     """(label, g, n_strings, logs): the packed logarithms of every chunk's strings of a range, in their order."""
     none = lambda c, kind: F.lit(None).cast(kind).alias(c)
-    told = contexts.select("g", F.lit(0).alias("kind"), "d", "place", "s", "n", none("label", "long"), none("n_strings", "int"), none("strings", "binary"))
-    asked = blobs.select("g", F.lit(1).alias("kind"), none("d", "int"), none("place", "long"), none("s", "array<int>"), none("n", "array<long>"), "label", "n_strings", "strings")
+    told = contexts.select("g", F.lit(0).alias("kind"), "d", "place", "s", "n", "n_contexts", "n_pairs", "data", none("label", "long"), none("n_strings", "int"), none("strings", "binary"))
+    empty = [none(c, k) for c, k in (x.split() for x in f"{_CONTEXT}, {_PACKED}".split(", ")[1:8])]
+    asked = blobs.select("g", F.lit(1).alias("kind"), *empty, "label", "n_strings", "strings")
     laid = told.unionByName(asked).repartition("g").sortWithinPartitions("g", "kind")
 
     def run(batches):
@@ -517,7 +554,7 @@ def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: lis
                 if g[start] != at:
                     at, held, tree = g[start], [], None
                 if kind[start] == 0:
-                    held.append(_context_arrays(part))
+                    held += _context_arrays(part)
                     continue
                 if tree is None:
                     tree, held = _tree_of(held, depth, discount), []
@@ -531,11 +568,17 @@ def _logarithms(blobs: DataFrame, contexts: DataFrame, depth: int, discount: lis
     return laid.mapInArrow(run, "label long, g int, n_strings int, logs binary")
 
 
-def _context_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    d, place = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("d", "place"))
-    s, n = (batch.column(c) for c in ("s", "n"))
-    sizes = np.diff(s.offsets.to_numpy())
-    return d, place, sizes, s.flatten().to_numpy(zero_copy_only=False).astype(np.int64), n.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+def _context_arrays(batch: pa.RecordBatch) -> list[tuple[np.ndarray, ...]]:
+    """(lengths, places, numbers of next symbols, next symbols, counts) of rows of contexts, packed or not."""
+    plain = batch.filter(pc.is_null(batch.column("data")))
+    d, place = (plain.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("d", "place"))
+    s, n = (plain.column(c) for c in ("s", "n"))
+    sizes = pc.list_value_length(s).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = [(d, place, sizes, *[x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in (s, n)])]
+    for r in batch.filter(pc.is_valid(batch.column("data"))).select(["d", "n_contexts", "n_pairs", "data"]).to_pylist():
+        found = _unpacked_contexts(r["n_contexts"], r["n_pairs"], r["data"])
+        out.append((np.full(r["n_contexts"], r["d"]), *found))
+    return out
 
 
 def _tree_of(held: list[tuple], depth: int, discount: Sequence[float]) -> SuffixTree:

@@ -470,7 +470,7 @@ def test_scores_by_hand(spark, monkeypatch, symbols, chunk, head):
     out = lm_scoring.score(df, (F.col("k") < 40) | (F.col("k") > 66), depth=depth).collect()
     kept = contexts_by_hand(alphabets[0], [t for k, t in enumerate(rows) if learned(k)], depth, 5, 2.0)
     got = {}
-    for r in found["contexts"].collect():
+    for r in lm_scoring.listed(found["contexts"]).collect():
         context = context_of(r.d, r.place, depth)
         assert got.setdefault(context, dict(zip(r.s, r.n))) == dict(zip(r.s, r.n))  # in every range the same
     assert got == kept and len({r.g for r in found["contexts"].collect()}) > (1 if symbols < 1000 else 0)
