@@ -113,7 +113,7 @@ class Alphabet:
 
     def spell(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """Symbols of bytes, and how many each byte has (None: one each)."""
-        symbols = self.first[data].astype(np.int64)
+        symbols = self.first[data]
         rare = np.flatnonzero(symbols == 0)
         if not len(rare):
             return symbols, None
@@ -134,9 +134,9 @@ class Alphabet:
         lengths = np.array([len(r) for r in raw], np.int64)
         if size is not None:
             lengths = np.add.reduceat(size, np.cumsum(lengths) - lengths)
-        keys = symbols[depth:].copy()
+        keys = symbols[depth:].astype(np.int64)
         for k in range(1, depth + 1):
-            keys |= symbols[depth - k : len(symbols) - k] << BITS * (depth + 1 - k)
+            keys |= symbols[depth - k : len(symbols) - k].astype(np.int64) << BITS * (depth + 1 - k)
         own = np.ones(len(symbols), bool)  # not the ends before a text
         starts = np.cumsum(lengths) - lengths
         for k in range(depth):
@@ -214,7 +214,9 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_), _BLOB_TYPES)], names=_BLOB_NAMES)
 
     def strings(label, found):
-        keys, n = _counted(np.concatenate(found))
+        marked = np.concatenate(found)
+        found.clear()
+        keys, n = _counted(marked)
         stops, start, rows_ = [*np.searchsorted(keys, edges[1:]).tolist(), len(keys)], 0, []
         for g, stop in enumerate(stops):
             if stop > start:
@@ -687,10 +689,12 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
         kinds = to_arrow_schema(schema)
         texts = pa.concat_tables([pa.ipc.open_stream(r).read_all() for r in left.column("rows").to_pylist()])
         words = [tokens(t) for t in texts.column(at_text).to_pylist()]
+        keys, lengths = alphabet.strings(words, depth)
+        n_tokens, n_known, base, unknown = shared.value.rows(words)
+        del words
         given = sorted(right.select(["g", "n_strings", "logs"]).to_pylist(), key=lambda r: r["g"])
         values = np.concatenate([unpacked(r["logs"], r["n_strings"], 3) for r in given]) / -STEPS
-        of_text = _text_logs(*alphabet.strings(words, depth), values)
-        n_tokens, n_known, base, unknown = shared.value.rows(words)
+        of_text = _text_logs(keys, lengths, values)
         made = [c if k == "rare" else pa.array(c, kinds.field(k).type) for k, c in zip((*_RESULTS, "rare"), (n_tokens, n_known, base, of_text, unknown))]
         return pa.table([*[texts.column(c).cast(kinds.field(c).type) for c in kinds.names[:-5]], *made], names=kinds.names)
 
