@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.tables import fresh, largest, pieces, written
+from plumbline.llm.tables import fresh, largest, pieces, tidy, written
 from plumbline.session import drop_path, scratch_path, share
 
 DEPTH = 7  # symbols of the longest context
@@ -657,6 +657,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
         rows = rows.unionByName(learned.select(F.col("text").alias(text), F.lit(True).alias(learn), F.lit(False).alias(scored)), allowMissingColumns=True)
     rows = rows.withColumn(text, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     counts = written(count_words(learned.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))), "word-counts")
+    tidy(spark)  # of the words' shuffle, the table is there
     end = F.col("word") == F.lit(b"\n")
     sums = counts.agg(
         F.coalesce(F.sum(F.when(~end, F.col("n"))), F.lit(0)).alias("words"),
@@ -675,6 +676,7 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
     chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks")
     blobs = chunks.where("g is not null").select("label", "g", "n_strings", "strings", "counts")
     contexts = passing_contexts(blobs, depth, head, cuts)
+    tidy(spark)  # of the strings' first shuffle
     logs = _logarithms(blobs.where("label is not null"), contexts, depth, discounts(contexts, depth))
 
     kept = [c for c in plain.columns if c != text]
