@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -98,13 +97,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM has collected
-    the frames that they belong to, which may otherwise take until a long job's end."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def largest(df: DataFrame, value: str, limit: int) -> DataFrame:
     """The rows of the largest positive values, at most ``limit`` of them: values are put in classes of
     a sixteenth of a power of two, and the upper classes that fit are taken whole. Nothing is sorted,
