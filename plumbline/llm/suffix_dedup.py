@@ -7,6 +7,8 @@ other buckets are sorted as suffixes, one block of buckets at a time: by their f
 those that agree in them (long ties) by the ranks of a difference cover sample of the block: for any
 two suffixes there is a distance below PERIOD at which both stand on the sample, whose ranks have been
 computed before. So a task holds a block of short surroundings, never texts or a whole suffix array.
+A bucket of too many surroundings is divided by bytes that its equal windows share, until its parts can
+be sorted.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ DEPTH = 200
 GRAM = 50
 PERIOD = 32
 BLOCK_BYTES = 1 << 20  # of surroundings sorted together
-BUCKET_ROWS = 2048  # different surroundings of a bucket; in larger buckets, windows are counted instead
+BUCKET_ROWS = 2048  # different surroundings of a bucket that is sorted as it is; larger ones are divided
+WAYS = 4  # ranges into which the windows of a large bucket are divided at a time
 
 
 def difference_cover(period: int) -> list[int]:
@@ -54,13 +57,14 @@ class Anchors:
         self.depth, self.gram = depth, gram
         self.winnower = Winnower(gram, depth - gram + 1)
 
-    def of(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(bucket, surroundings, first window, windows) of every anchor: hashes of the anchor's gram
-        and of all bytes its windows cover (and where in them the gram is), as signed numbers."""
+    def of(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bucket, surroundings, first window, windows, place) of every anchor: hashes of the anchor's gram
+        and of all bytes its windows cover (and where in them the gram is), as signed numbers, and where in
+        the surroundings the gram is."""
         n = len(data)
         if n < self.depth:
             none = np.zeros(0, np.int64)
-            return none, none, none, none
+            return none, none, none, none, none
         w = self.winnower
         sums = w.sums(data)
         grams = w.between(sums, slice(0, n - self.gram + 1), slice(self.gram, n + 1))
@@ -71,7 +75,7 @@ class Anchors:
         place = ((at - first) << 16 | windows).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         around = w.between(sums, first, first + windows - 1 + self.depth) + place
         around = (around ^ (around >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        return grams[at].view(np.int64), around.view(np.int64), first, windows
+        return grams[at].view(np.int64), around.view(np.int64), first, windows, at - first
 
 
 def big_endian_words(data: np.ndarray) -> np.ndarray:
@@ -190,9 +194,9 @@ def without_repeats(
 
     Shuffled are three numbers per anchor (about one per 75 bytes), the texts twice, and the
     surroundings of anchors whose buckets must be sorted, equal ones once. Buckets and surroundings
-    are told apart by 64-bit hashes, windows by their bytes; only in buckets of more than
-    ``bucket_rows`` different surroundings are the windows counted by hash, one row each, so that no
-    bucket is more than a bounded group.
+    are told apart by 64-bit hashes, windows by their bytes. A bucket of more than ``bucket_rows``
+    different surroundings is divided into parts that can be sorted, so that none is more than a bounded
+    group.
     """
     if depth < 5 * PERIOD or gram >= depth:
         raise ValueError(f"depth must be {5 * PERIOD} at least and more than gram")
@@ -233,7 +237,7 @@ def without_repeats(
 def _flagged(data: np.ndarray, known: dict, anchors: Anchors) -> np.ndarray:
     """Starts of the repeated windows of a text; without flags, all windows of an anchor are."""
     out = [np.zeros(0, np.int64)]
-    for bucket, around, first, windows in zip(*[x.tolist() for x in anchors.of(data)]):
+    for bucket, around, first, windows, _ in zip(*[x.tolist() for x in anchors.of(data)]):
         flags = known.get((bucket, around), 0)
         if flags is None:
             out.append(np.arange(first, first + windows))
@@ -250,7 +254,7 @@ def _repeated_anchors(texts: DataFrame, anchors: Anchors) -> DataFrame:
         for piece in pieces(batches, 1):
             keys, buckets, arounds = [], [], []
             for key, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                bucket, around, _, _ = anchors.of(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
+                bucket, around, _, _, _ = anchors.of(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
                 keys.append(np.full(len(bucket), key, np.int64))
                 buckets.append(bucket)
                 arounds.append(around)
@@ -267,82 +271,124 @@ def _window_flags(texts: DataFrame, repeats: DataFrame, anchors: Anchors, bucket
     different = repeats.where("mixed").groupBy("bucket", "around").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("key"))
     sizes = different.groupBy("bucket").agg((F.count(F.lit(1)) > bucket_rows).alias("large"))
     wanted = different.join(sizes, "bucket").groupBy("key").agg(F.collect_list(F.struct("bucket", "around", "copies", "large")).alias("wanted"))
+
     def fetch(batches):
-        names = ["bucket", "around", "copies", "surroundings", "hashes"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        names = ["bucket", "around", "copies", "large", "place", "surroundings"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
         for piece in pieces(batches, 0):
-            out = [[], [], [], [], []]
+            out = [[] for _ in names]
             for text, want in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
                 raw = text.encode("utf-8", "surrogatepass")
-                data = np.frombuffer(raw, np.uint8)
                 open_ = {(x["bucket"], x["around"]): x for x in want}
-                w, sums = anchors.winnower, None
-                for bucket, around, first, windows in zip(*[x.tolist() for x in anchors.of(data)]):
+                for bucket, around, first, windows, place in zip(*[x.tolist() for x in anchors.of(np.frombuffer(raw, np.uint8))]):
                     x = open_.pop((bucket, around), None)
-                    if x is None:
-                        continue
-                    end = first + windows - 1 + anchors.depth
-                    hashes = None
-                    if x["large"]:
-                        sums = w.sums(data) if sums is None else sums
-                        hashes = w.between(sums, slice(first, first + windows), slice(first + anchors.depth, end + 1)).view(np.int64)
-                    for column, value in zip(out, (bucket, around, x["copies"], None if x["large"] else raw[first:end], hashes)):
-                        column.append(value)
+                    if x is not None:
+                        end = first + windows - 1 + anchors.depth
+                        for column, value in zip(out, (bucket, around, x["copies"], x["large"], place, raw[first:end])):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    schema = "bucket bigint, around bigint, copies bigint, surroundings binary, hashes array<bigint>"
+    schema = "bucket bigint, around bigint, copies bigint, large boolean, place int, surroundings binary"
     fetched = written(texts.join(wanted, "key").select("text", "wanted").mapInArrow(fetch, schema), "surroundings")
+    whole = fetched.where("not large").select(F.col("bucket").alias("part"), "bucket", "around", F.lit(0).alias("skip"), "copies", "surroundings")
+    flags = _sorted_parts(whole, anchors.depth, block_bytes).drop("skip")
+    large = fetched.where("large").dropDuplicates(["bucket", "around"])  # a repeated row fetches the same bytes again
+    if large.isEmpty():
+        return flags
+    return flags.unionByName(_joined_flags(_divided_flags(large, anchors, bucket_rows, block_bytes)))
+
 
-    def flags(repeated: np.ndarray, copies: int) -> bytes | None:
-        return None if copies > 1 else np.packbits(repeated).tobytes()
+def _sorted_parts(rows: DataFrame, depth: int, block_bytes: int) -> DataFrame:
+    """(bucket, around, skip, flags) from rows (part, bucket, around, skip, copies, surroundings): which windows
+    of the surroundings are repeated in the part, NULL if all are. Parts are sorted in blocks of whole ones."""
 
     def sort(batches):
-        block: dict[tuple[int, int], tuple[int, bytes]] = {}
+        block: dict[tuple[int, int, int], tuple[int, int, bytes]] = {}
 
         def sorted_block():
-            found = repeated_windows([s for _, s in block.values()], np.array([c for c, _ in block.values()]), anchors.depth)
-            bits = [flags(f, c) for f, (c, _) in zip(found, block.values())]
-            return pa.RecordBatch.from_pydict(
-                {"bucket": pa.array([b for b, _ in block], pa.int64()), "around": pa.array([a for _, a in block], pa.int64()), "flags": pa.array(bits, pa.binary())}
-            )
+            copies = [c for _, c, _ in block.values()]
+            found = repeated_windows([s for _, _, s in block.values()], np.array(copies), depth)
+            bits = [None if c > 1 else np.packbits(f).tobytes() for f, c in zip(found, copies)]
+            columns = [[b for b, _, _ in block.values()], [a for _, a, _ in block], [k for _, _, k in block], bits]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["bucket", "around", "skip", "flags"])
 
         held, last = 0, None
         for batch in batches:
-            for bucket, around, copies, surroundings in zip(*[c.to_pylist() for c in batch.columns]):
-                if held > block_bytes and bucket != last:
+            for part, bucket, around, skip, copies, surroundings in zip(*[c.to_pylist() for c in batch.columns]):
+                if held > block_bytes and part != last:
                     yield sorted_block()
                     block, held = {}, 0
-                if (bucket, around) not in block:  # a repeated row fetches the same bytes again
-                    block[bucket, around] = copies, surroundings
+                if (part, around, skip) not in block:  # a repeated row fetches the same bytes again
+                    block[part, around, skip] = bucket, copies, surroundings
                     held += len(surroundings)
-                last = bucket
+                last = part
         if block:
             yield sorted_block()
 
-    small = fetched.where("surroundings is not null").select("bucket", "around", "copies", "surroundings")
-    in_buckets = small.repartition("bucket").sortWithinPartitions("bucket")
-    by_sorting = in_buckets.mapInArrow(sort, "bucket bigint, around bigint, flags binary")
+    laid = rows.select("part", "bucket", "around", "skip", "copies", "surroundings").repartition("part").sortWithinPartitions("part")
+    return laid.mapInArrow(sort, "bucket bigint, around bigint, skip int, flags binary")
 
-    large = fetched.where("hashes is not null").dropDuplicates(["bucket", "around"])
-    windows = large.select("bucket", "around", "copies", F.posexplode("hashes").alias("i", "hash"))
-    often = windows.groupBy("bucket", "hash").agg(F.sum("copies").alias("n")).where("n > 1").select("bucket", "hash")
-    hits = windows.join(often, ["bucket", "hash"]).groupBy("bucket", "around", "copies").agg(F.collect_list("i").alias("at"))
-    by_counting = _flags_of_positions(hits)
-    return by_sorting.unionByName(by_counting)
 
+def _divided_flags(large: DataFrame, anchors: Anchors, bucket_rows: int, block_bytes: int) -> DataFrame:
+    """(bucket, around, skip, flags) of buckets with more surroundings than are sorted together.
 
-def _flags_of_positions(hits: DataFrame) -> DataFrame:
-    """(bucket, around, flags) from the positions ``at`` of repeated windows."""
+    Windows are divided by how many bytes they have before the anchor's gram, into ranges. All windows with
+    ``low`` to ``high`` bytes before it reach from ``low`` bytes before it to where the one with ``high`` ends.
+    Equal windows agree in these bytes, so the windows of a range fall into parts by them. Parts of at most
+    ``bucket_rows`` surroundings are sorted, larger ones divided again, now by more bytes. At last all windows
+    of a part have one place and are counted by their bytes, within the tasks first.
+    """
+    width = anchors.depth - anchors.gram + 1
+    whole = [F.lit(0).alias("skip"), F.lit(0).alias("low"), F.lit(width - 1).alias("high")]
+    parts = large.select(F.col("bucket").alias("part"), "bucket", "around", "copies", "place", "surroundings", *whole)
+    found = None
+    while width > 1:
+        width = -(-width // WAYS)
+        divided = _divided(parts, width, anchors.depth)
+        sizes = divided.groupBy("part").agg((F.count(F.lit(1)) > bucket_rows).alias("large"), F.sum("copies").alias("total"))
+        held = written(divided.join(sizes.where("total > 1").drop("total"), "part"), "parts")
+        done = _sorted_parts(held.where("not large"), anchors.depth, block_bytes)
+        found = done if found is None else found.unionByName(done)
+        parts = held.where("large").drop("large")
+        if parts.isEmpty():
+            return found
+    often = parts.groupBy("part", "surroundings").agg(F.sum("copies").alias("total")).where("total > 1").drop("total")
+    one = F.when(F.col("copies") == 1, F.lit(np.packbits([1]).tobytes()))
+    return found.unionByName(parts.join(often, ["part", "surroundings"]).select("bucket", "around", "skip", one.alias("flags")))
+
+
+def _divided(parts: DataFrame, width: int, depth: int) -> DataFrame:
+    """Each row once per range of ``width`` places in which it has windows, cut to the bytes of these."""
+    ranges = parts.withColumn("low", F.explode(F.expr(f"sequence(low, high, {width})"))).withColumn("high", F.expr(f"least(high, low + {width - 1})"))
+    first, last = "greatest(place - high, 0)", f"least(place - low, octet_length(surroundings) - {depth})"
+    mine = ranges.withColumns({"first": F.expr(first), "last": F.expr(last)}).where("first <= last")
+    cut = mine.select(
+        *["part", "bucket", "around", "copies", "low", "high"],
+        F.expr("place - first").alias("place"),
+        F.expr("skip + first").alias("skip"),
+        F.expr(f"substring(surroundings, first + 1, last - first + {depth})").alias("surroundings"),
+    )
+    shared = F.expr(f"substring(surroundings, place - low + 1, {depth} - high + low)")
+    return cut.withColumn("part", F.xxhash64("part", "low", shared))
+
+
+def _joined_flags(rows: DataFrame) -> DataFrame:
+    """(bucket, around, flags) from the flags of parts, each of which begins ``skip`` windows later."""
 
     def run(batches):
         for batch in batches:
-            bucket, around, copies, at = [c.to_pylist() for c in batch.columns]
             bits = []
-            for n, positions in zip(copies, at):
-                found = np.zeros(max(positions) + 1, np.uint8)
-                found[positions] = 1
-                bits.append(None if n > 1 else np.packbits(found).tobytes())
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket, pa.int64()), "around": pa.array(around, pa.int64()), "flags": pa.array(bits, pa.binary())})
-
-    return hits.select("bucket", "around", "copies", "at").mapInArrow(run, "bucket bigint, around bigint, flags binary")
-
+            for parts in batch.column(2).to_pylist():
+                at = [x["skip"] + np.flatnonzero(np.unpackbits(np.frombuffer(x["flags"], np.uint8))) for x in parts if x["flags"] is not None]
+                if len(at) < len(parts):
+                    bits.append(None)
+                    continue
+                at = np.concatenate(at)
+                found = np.zeros(at.max(initial=-1) + 1, np.uint8)
+                found[at] = 1
+                bits.append(np.packbits(found).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], names=["bucket", "around", "flags"])
+
+    several = rows.groupBy("bucket", "around").agg(F.collect_list(F.struct("skip", "flags")).alias("parts"))
+    return several.mapInArrow(run, "bucket bigint, around bigint, flags binary")

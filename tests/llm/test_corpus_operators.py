@@ -153,6 +153,23 @@ def test_repeated_bytes_by_hand(spark, bucket_rows, block):
         assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
 
 
+@pytest.mark.parametrize("bucket_rows", [3, 2048])
+def test_crowded_buckets_by_hand(spark, bucket_rows):
+    """Passages in many different surroundings, cut off on either side or both, beside each other and in long runs."""
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(420))
+    noise = lambda n: "".join(rng.choice("qrstuvwxyz ") for _ in range(n))
+    texts = [noise(rng.randrange(90)) + passage[rng.randrange(0, 180) : rng.randrange(260, 420)] + noise(rng.randrange(90)) for _ in range(40)]
+    texts += [noise(60) + passage[100:300] + noise(60) for _ in range(8)] + [noise(60) + passage[100:299] + noise(60) for _ in range(8)]
+    texts += [passage * 3, *[noise(20) + "ab" * 200 + noise(i) for i in range(6)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = suffix_dedup.without_repeats(df, bucket_rows=bucket_rows).orderBy("doc_id").collect()
+    raw = [t.encode() for t in texts]
+    for r, t, gone in zip(out, raw, repeats_by_hand(raw, suffix_dedup.DEPTH), strict=True):
+        assert {i for s in r.spans for i in range(s.start, s.end)} == gone
+        assert bytes(r.kept) == bytes(b for i, b in enumerate(t) if i not in gone)
+
+
 def test_repeated_rows_share_their_marks(spark):
     """Hundreds of equal rows, and a column with the name of an inner one."""
     text = prose(300)
