@@ -22,7 +22,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,7 @@ CHUNK_SYMBOLS = 6_000_000  # of a chunk, or one text
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
+TEXTS = 1 << 8  # texts whose logarithms are added up together: their numbers fill a byte
 STEPS = 1 << 11  # a logarithm is kept in steps of 1 / STEPS on its way back to the chunk, in three bytes
 
 END = 10  # a line feed: no word has one, so it can stand for the end and for what is before a text
@@ -124,11 +125,15 @@ class Alphabet:
         return out, size
 
     def strings(self, texts: Sequence[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """``strings_of`` texts given as lists of words."""
+        return self.strings_of([b" ".join(t) for t in texts], depth)
+
+    def strings_of(self, lines: Sequence[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Every symbol of the texts in a row with the ``depth`` symbols before it, and the texts' symbols.
 
         A string is a number of 7-bit digits: the newest symbol before, then older ones, then the symbol.
         What stands before a text is ``depth`` ends."""
-        raw = [b"\n" * depth + b" ".join(t) + b"\n" for t in texts]
+        raw = [b"\n" * depth + line + b"\n" for line in lines]
         data = np.frombuffer(b"".join(raw), np.uint8)
         symbols, size = self.spell(data)
         lengths = np.array([len(r) for r in raw], np.int64)
@@ -203,7 +208,7 @@ def range_cuts(counts: DataFrame, alphabet: Alphabet, depth: int, total: int) ->
 
 def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, text: str, learn: str, scored: str) -> DataFrame:
     """``rows`` in chunks of about CHUNK_SYMBOLS symbols, each with a ``label``: rows packed a piece at a time
-    (``rows``), and the chunk's different strings by range ``g``: how many, the packed strings and their
+    (``rows``, the text as its words with a blank between), and the chunk's different strings by range ``g``: how many, the packed strings and their
     training counts. Rows that are not scored leave only their strings, without a label."""
     names = rows.columns
     at_text, at_learn, at_scored = (names.index(c) for c in (text, learn, scored))
@@ -231,13 +236,14 @@ def chunked(rows: DataFrame, alphabet: Alphabet, depth: int, cuts: np.ndarray, t
                 mine = piece.filter(pc.equal(piece.column(at_scored), shown))
                 if not mine.num_rows:
                     continue
-                texts = [tokens(t) for t in mine.column(at_text).to_pylist()]
-                keys, lengths = alphabet.strings(texts, depth)
+                lines = [b" ".join(tokens(t)) for t in mine.column(at_text).to_pylist()]
+                keys, lengths = alphabet.strings_of(lines, depth)
                 learned = np.repeat(mine.column(at_learn).to_numpy(zero_copy_only=False).astype(bool), lengths)
                 chunk[1].append(keys << 1 | learned)  # a string has 56 bits at most
                 chunk[2] += len(keys)
                 if shown:
-                    yield batch([(chunk[0], None, None, None, None, _packed_rows(mine.select(kept)))])
+                    told = mine.set_column(at_text, text, pa.array(lines, pa.binary())).select(kept)
+                    yield batch([(chunk[0], None, None, None, None, _packed_rows(told))])
                 if chunk[2] > CHUNK_SYMBOLS:
                     yield strings(chunk[0], chunk[1])
                     chunk[:] = [_label() if shown else None, [], 0]
@@ -598,28 +604,36 @@ class Words:
     def __init__(self, frequent: dict[bytes, int]):
         self.frequent = frequent
 
-    def rows(self, words: list[list[bytes]]):
+    def rows(self, lines: list[bytes]):
         """n_tokens, n_known, sum of log10(c + 1) and the words that are not frequent."""
         get, ends = self.frequent.get, self.frequent.get(b"\n", 0)
-        flat = [*chain.from_iterable(words)]
-        size = np.array([len(w) for w in words], np.int64)
-        c = np.array([get(w, 0) for w in flat], np.int64)
-        owner = np.repeat(np.arange(len(words)), size)
-        base = np.bincount(owner, np.log10(c + 1.0), len(words)) + np.log10(ends + 1)
+        flat = b" ".join(filter(None, lines)).split(b" ") if any(lines) else []
+        size = np.array([line.count(b" ") + 1 if line else 0 for line in lines], np.int64)
+        c = np.fromiter(map(get, flat, repeat(0)), np.int64, len(flat))
+        owner = np.repeat(np.arange(len(lines)), size)
+        base = np.bincount(owner, np.log10(c + 1.0), len(lines)) + np.log10(ends + 1)
         rare = np.flatnonzero(c == 0)
-        n_rare = np.bincount(owner[rare], minlength=len(words))
+        n_rare = np.bincount(owner[rare], minlength=len(lines))
         offsets = pa.array(np.concatenate([[0], np.cumsum(n_rare)]), pa.int32())
         lists = pa.ListArray.from_arrays(offsets, pa.array([flat[i] for i in rare.tolist()], pa.binary()))
         return size + 1, size - n_rare + (ends > 0), base, lists
 
 
-def _text_logs(keys: np.ndarray, lengths: np.ndarray, logs: np.ndarray) -> np.ndarray:
-    """Summed logarithms of the texts of a chunk; ``logs`` are those of its different strings, ascending."""
-    order = np.argsort(keys)
-    sizes = np.diff(np.append(_firsts(keys[order]), len(keys)))
-    out = np.empty(len(keys), np.float32)
-    out[order] = np.repeat(logs.astype(np.float32), sizes)
-    return np.add.reduceat(out, np.cumsum(lengths) - lengths, dtype=np.float64)
+def _text_logs(keys: np.ndarray, lengths: np.ndarray, strings: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Summed logarithms of texts whose symbols are ``keys``; ``logs`` are those of the different ``strings``,
+    ascending. A string is sorted with the number of its text in the last byte, TEXTS texts at a time."""
+    ends, out = np.concatenate([[0], np.cumsum(lengths)]), np.empty(len(lengths))
+    for start in range(0, len(lengths), TEXTS):
+        own = lengths[start : start + TEXTS]
+        mixed = keys[ends[start] : ends[start + len(own)]].astype(np.uint64) << 8
+        mixed |= np.repeat(np.arange(len(own), dtype=np.uint64), own)
+        mixed.sort()
+        mine = (mixed >> 8).astype(np.int64)
+        first = _firsts(mine)
+        found = logs[np.searchsorted(strings, mine[first])]
+        of_symbol = np.repeat(found, np.diff(np.append(first, len(mine))))
+        out[start : start + len(own)] = np.bincount((mixed & (TEXTS - 1)).astype(np.int64), of_symbol, len(own))
+    return out
 
 
 _RESULTS = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double"}
@@ -687,16 +701,20 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = to_arrow_schema(schema)
-        texts = pa.concat_tables([pa.ipc.open_stream(r).read_all() for r in left.column("rows").to_pylist()])
-        words = [tokens(t) for t in texts.column(at_text).to_pylist()]
-        keys, lengths = alphabet.strings(words, depth)
-        n_tokens, n_known, base, unknown = shared.value.rows(words)
-        del words
+        parts = [pa.ipc.open_stream(r).read_all() for r in left.column("rows").to_pylist()]
+        symbols = [alphabet.strings_of(p.column(at_text).to_pylist(), depth) for p in parts]
+        strings = np.concatenate([keys for keys, _ in symbols])
+        strings.sort()
+        strings = strings[_firsts(strings)]
         given = sorted(right.select(["g", "n_strings", "logs"]).to_pylist(), key=lambda r: r["g"])
-        values = np.concatenate([unpacked(r["logs"], r["n_strings"], 3) for r in given]) / -STEPS
-        of_text = _text_logs(keys, lengths, values)
-        made = [c if k == "rare" else pa.array(c, kinds.field(k).type) for k, c in zip((*_RESULTS, "rare"), (n_tokens, n_known, base, of_text, unknown))]
-        return pa.table([*[texts.column(c).cast(kinds.field(c).type) for c in kinds.names[:-5]], *made], names=kinds.names)
+        logs = np.concatenate([unpacked(r["logs"], r["n_strings"], 3) for r in given]) / -STEPS
+        out = []
+        for part, (keys, lengths) in zip(parts, symbols):
+            n_tokens, n_known, base, unknown = shared.value.rows(part.column(at_text).to_pylist())
+            of_text = _text_logs(keys, lengths, strings, logs)
+            made = [c if k == "rare" else pa.array(c, kinds.field(k).type) for k, c in zip((*_RESULTS, "rare"), (n_tokens, n_known, base, of_text, unknown))]
+            out.append(pa.table([*[part.column(c).cast(kinds.field(c).type) for c in kinds.names[:-5]], *made], names=kinds.names))
+        return pa.concat_tables(out)
 
     packs = chunks.where("rows is not null").select("label", "rows")
     found = packs.groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
