@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.tables import fresh, largest, pieces, written
+from plumbline.llm.tables import bucketed, fresh, largest, pieces, written
 from plumbline.session import drop_path, scratch_path, share
 
 DEPTH = 7  # symbols of the longest context
@@ -41,6 +41,7 @@ MAX_WORDS = 200_000  # entries of the broadcast table of frequent words
 WORD_BYTES = 64  # bytes of its longest word
 TASK_WORDS = 200_000  # distinct words a task holds before it passes them on
 CHUNK_SYMBOLS = 6_000_000  # of a chunk, or one text
+MAX_BUCKETS = 50_000  # of the table of chunks, which Spark bounds; a bucket may hold several chunks
 RANGE_SYMBOLS = 4_000_000  # training symbols in a range
 HEAD = 3  # newest symbols by which ranges are cut, more where one head has over HEAD_SYMBOLS
 HEAD_SYMBOLS = 64_000_000
@@ -686,11 +687,6 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
 
     inner = rows.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rows.columns)])  # clashes with no inner name
     name = {c: f"c{i}" for i, c in enumerate(rows.columns)}
-    chunks = written(chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored]), "chunks")
-    blobs = chunks.where("g is not null").select("label", "g", "n_strings", "strings", "counts")
-    contexts = passing_contexts(blobs, depth, head, cuts)
-    logs = _logarithms(blobs.where("label is not null"), contexts, depth, discounts(contexts, depth))
-
     kept = [c for c in plain.columns if c != text]
     schema = StructType([f for f in inner.schema if f.name in {name[c] for c in kept}])
     for f in StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind in {**_RESULTS, "rare": "array<binary>"}.items())):
@@ -716,9 +712,15 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
             out.append(pa.table([*[part.column(c).cast(kinds.field(c).type) for c in kinds.names[:-5]], *made], names=kinds.names))
         return pa.concat_tables(out)
 
-    packs = chunks.where("rows is not null").select("label", "rows")
-    found = packs.groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
-    parts = written(found.withColumn("rid", F.monotonically_increasing_id()), "scored")  # the ids of the rows hold from here on
+    labelled = chunked(inner, alphabet, depth, cuts, name[text], name[learn], name[scored])
+    buckets = max(sums.symbols // CHUNK_SYMBOLS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with bucketed(labelled, "chunks", "label", min(buckets, MAX_BUCKETS)) as chunks:
+        blobs = chunks.where("g is not null").select("label", "g", "n_strings", "strings", "counts")
+        contexts = passing_contexts(blobs, depth, head, cuts)
+        logs = _logarithms(blobs.where("label is not null"), contexts, depth, discounts(contexts, depth))
+        packs = chunks.where("rows is not null").select("label", "rows")
+        found = packs.groupBy("label").cogroup(logs.groupBy("label")).applyInArrow(summed, schema)
+        parts = written(found.withColumn("rid", F.monotonically_increasing_id()), "scored")  # the ids of the rows hold from here on
     words = parts.select("rid", F.explode("rare").alias("word")).join(counts, "word")
     known = words.groupBy("rid").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("log"))
     out = parts.join(known, "rid", "left")

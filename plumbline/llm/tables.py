@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +99,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Iterator[DataFrame]:
+    """The frame as a table in the shared scratch folder whose rows lie in buckets of ``key``, so that joining
+    or cogrouping it by ``key`` shuffles the other side only. The catalog forgets it at the end."""
+    spark, table_name = df.sparkSession, f"plumbline_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).format("parquet").saveAsTable(table_name)
+    try:
+        yield spark.table(table_name)
+    finally:
+        spark.sql(f"DROP TABLE {table_name}")
+
+
 def largest(df: DataFrame, value: str, limit: int) -> DataFrame:
     """The rows of the largest positive values, at most ``limit`` of them: values are put in classes of
     a sixteenth of a power of two, and the upper classes that fit are taken whole. Nothing is sorted,
