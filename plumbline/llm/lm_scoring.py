@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.tables import bucketed, fresh, largest, pieces, written
+from plumbline.llm.tables import brief_shuffles, bucketed, fresh, largest, pieces, written
 from plumbline.session import drop_path, scratch_path, share
 
 DEPTH = 7  # symbols of the longest context
@@ -659,6 +659,11 @@ def score(docs: DataFrame, training: DataFrame | Column, text: str = "text", dep
     the word counts, a row for each. Contexts and strings are dealt out by ranges of about RANGE_SYMBOLS
     training symbols, texts and logarithms by chunks; nothing of the tree is broadcast.
     """
+    with brief_shuffles(docs.sparkSession):  # each step ends in a written table
+        return _score(docs, training, text, depth)
+
+
+def _score(docs: DataFrame, training: DataFrame | Column, text: str, depth: int) -> DataFrame:
     spark = docs.sparkSession
     plain = docs.drop(*_RESULTS, "train_tokens")
     learn, scored = fresh(plain, "__learn", "__scored")

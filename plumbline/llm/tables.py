@@ -111,6 +111,19 @@ def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Iterator[DataF
         spark.sql(f"DROP TABLE {table_name}")
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a job that has ended go at once; elsewhere Spark keeps them until the
+    driver's JVM has collected the frames they belong to. For jobs that end in a written table."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def largest(df: DataFrame, value: str, limit: int) -> DataFrame:
     """The rows of the largest positive values, at most ``limit`` of them: values are put in classes of
     a sixteenth of a power of two, and the upper classes that fit are taken whole. Nothing is sorted,
