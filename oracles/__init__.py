@@ -149,6 +149,20 @@ base AS MATERIALIZED (SELECT *, {texts('l_orderkey', 'l_linenumber')} AS row_key
             SPLIT.replace("|| row_key))", "|| row_key) || content)"),
             select="SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, split FROM parted",
         ),
+        "label_validity": """
+            WITH told AS (
+              SELECT unnest([
+                {'label': 'discounted', 'v': CASE WHEN l_discount > 0.05 THEN '1' ELSE '0' END},
+                {'label': 'sold', 'v': CASE WHEN l_quantity > 0 THEN '1' WHEN l_quantity <= 0 THEN '0' END},
+                {'label': 'l_linenumber', 'v': CAST(l_linenumber AS VARCHAR)},
+                {'label': 'l_returnflag', 'v': l_returnflag},
+                {'label': 'returned', 'v': CASE l_returnflag WHEN 'R' THEN '1' WHEN 'A' THEN '0' END},
+                {'label': 'odd', 'v': CAST(l_linenumber % 2 AS VARCHAR)}]) AS t FROM lineitem),
+            counted AS (
+              SELECT t.label AS label, count(*) FILTER (t.v = '0') AS n_zero, count(*) FILTER (t.v = '1') AS n_one,
+                     count(*) FILTER (t.v IS NULL OR t.v NOT IN ('0', '1')) AS n_refused
+              FROM told GROUP BY t.label)
+            SELECT *, n_zero > 0 AND n_one > 0 AND n_refused = 0 AS usable FROM counted""",
         "class_profile": sql(
             EVENTS, SPLIT, select="SELECT split, label, count(*) AS n_rows, 3 AS n_columns FROM parted GROUP BY split, label"
         ),

@@ -26,7 +26,7 @@ from plumbline.session import keep, scratch_path
 from plumbline.sources.sinks import (
     RunLog, input_example, read_metrics, read_pointer, signature, write_importances, write_metrics, write_pointer,
 )
-from plumbline.sources.tables import assemble, class_profile, features, labels, read_csv, read_table
+from plumbline.sources.tables import assemble, class_profile, features, label_profile, labels, read_csv, read_table
 
 KEY = ["row_key"]
 RULES = [2000.0, 3000.0, 3000.0, 4000.0]  # price times discount above which a rule says 1
@@ -60,6 +60,20 @@ def label_projection(spark, sf_dir):
     return labels(lineitem_labelled(spark, sf_dir), "label")
 
 
+def label_validity(spark, sf_dir):
+    """What a fit would say to several columns as labels: a good one, one class, other numbers, text, NULLs."""
+    t = read_table(spark, f"{sf_dir}/lineitem.parquet")
+    rows = t.select(
+        (F.col("l_discount") > 0.05).cast("int").alias("discounted"),
+        (F.col("l_quantity") > 0).alias("sold"),
+        F.col("l_linenumber"),
+        F.col("l_returnflag"),
+        F.when(F.col("l_returnflag") == "R", "1").when(F.col("l_returnflag") == "A", "0").alias("returned"),
+        (F.col("l_linenumber") % 2).cast("string").alias("odd"),
+    )
+    return label_profile(rows, rows.columns)
+
+
 def assembled_features(spark, sf_dir):
     packed = assemble(features(lineitem_labelled(spark, sf_dir), "label", KEY), LINEITEM_FEATURES)
     values = packed.select(vector_to_array("features").alias("x"))
@@ -387,6 +401,7 @@ def winner_pointer(spark, sf_dir):
 QUERIES = {
     "feature_projection": feature_projection,
     "label_projection": label_projection,
+    "label_validity": label_validity,
     "assembled_features": assembled_features,
     "csv_round_trip": csv_round_trip,
     "csv_with_schema": csv_with_schema,

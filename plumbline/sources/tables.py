@@ -155,8 +155,8 @@ def check_labels(df: DataFrame, label: str) -> dict[int, int]:
 
 
 def label_group(label: str) -> Column:
-    """0 or 1 for a valid label and -1 for anything else, so a grouping stays tiny."""
-    c = F.col(_q(label)).cast("double")
+    """0 or 1 for a valid label and -1 for anything else, text that is no number too, so a grouping stays tiny."""
+    c = F.col(_q(label)).try_cast("double")
     return F.when(c == 0, 0).when(c == 1, 1).otherwise(-1)
 
 
@@ -168,6 +168,19 @@ def binary_counts(counts: dict[int, int], label: str) -> dict[int, int]:
     return counts
 
 
+def label_profile(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """Rows of class 0, of class 1 and of neither per column that might be a label, and whether a fit takes it:
+    both classes and nothing else, as ``check_labels`` has it. One pass over the table for all columns; an
+    empty table gives zeros."""
+    kinds = {"n_zero": 0, "n_one": 1, "n_refused": -1}
+    counted = [
+        F.struct(F.lit(c).alias("label"), *[F.count_if(label_group(c) == k).alias(n) for n, k in kinds.items()])
+        for c in candidates
+    ]
+    rows = df.agg(F.array(*counted).alias("found")).select(F.inline("found"))
+    return rows.withColumn("usable", (F.col("n_zero") > 0) & (F.col("n_one") > 0) & (F.col("n_refused") == 0))
+
+
 def class_profile(df: DataFrame, label: str, split: str = "split") -> DataFrame:
     """Rows per (split, class) and the width of the table without the split column."""
     width = len([c for c in df.columns if c != split])

@@ -69,6 +69,24 @@ def test_missing_feature_stops_assembly(spark):
         tables.assemble(df, ["a", "b"]).collect()
 
 
+def test_label_profile(spark):
+    df = spark.createDataFrame(
+        [("1", 0.0, None, True, 1), ("0", float("nan"), None, False, 1), ("x", 1.0, None, True, 1), ("", 1.0, None, True, 1)],
+        "`a.b` string, f double, none int, flag boolean, one int",
+    )
+    got = {r[0]: tuple(r)[1:] for r in tables.label_profile(df, df.columns).collect()}
+    assert got == {
+        "a.b": (1, 1, 2, False), "f": (1, 2, 1, False), "none": (0, 0, 4, False), "flag": (1, 3, 0, True), "one": (0, 4, 0, False),
+    }
+    for c in df.columns:
+        if got[c][-1]:
+            assert tables.check_labels(df, c) == {0: got[c][0], 1: got[c][1]}
+        else:
+            with pytest.raises(ValueError):
+                tables.check_labels(df, c)
+    assert {tuple(r)[1:] for r in tables.label_profile(df.where("false"), df.columns).collect()} == {(0, 0, 0, False)}
+
+
 def test_class_profile(spark):
     df = spark.createDataFrame([("train", 0, 1.0), ("train", 0, 2.0), ("test", 1, 3.0)], "split string, y int, a double")
     got = {(r["split"], r["y"]): (r["n_rows"], r["n_columns"]) for r in tables.class_profile(df, "y").collect()}
