@@ -606,3 +606,16 @@ def test_connected(spark):
     got = {r.node: r.label for r in components.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {v for k, v in got.items() if k <= 40} == {0} and {v for k, v in got.items() if 100 <= k <= 200} == {100}
     assert {v for k, v in got.items() if k >= 500} == {500}
+
+
+def test_jaccard_words_made_for_a_rolling_hash(spark):
+    """Words whose polynomial hashes modulo 2^64 agree for every odd base, and short ones that differ in zero bytes."""
+    swap = str.maketrans("ab", "ba")
+    morse = "a"
+    for _ in range(11):
+        morse += morse.translate(swap)
+    other = morse.translate(swap)
+    words = [morse, other, "b", "a\x00", "a", "x" * 64, "x" * 65, "x" * 8, "x" * 9, "x" * 16, "x" * 8 + "\x00"]
+    rows = [(i, w) for i, w in enumerate(words)] + [(100, f"{morse} x y {other} x y"), (101, f"{other} x y {other} x y"), (102, " ".join(words))]
+    got = [tuple(r) for r in jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=90).collect()]
+    assert sorted(got, key=repr) == jaccard_by_hand(rows, 3, 90)
