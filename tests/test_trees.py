@@ -374,3 +374,34 @@ def test_missing_feature_stops_scoring(spark, deep):
     df = spark.createDataFrame([(0.5, None, 1.0)], "a double, b double, c double")
     with pytest.raises(Exception):
         deep.predict(df).collect()
+
+
+def test_results_are_fetched_with_all_tasks_at_once(spark):
+    """Nodes of a large table are finished side by side, not one task after the other."""
+    import time
+
+    from plumbline.session import fetched
+
+    def slow(batches):
+        for batch in batches:
+            time.sleep(1)
+            yield batch
+
+    tasks = spark.range(0, 8, 1, 8).mapInArrow(slow, "id bigint")
+    assert sorted(r["id"] for r in fetched(tasks)) == list(range(8))
+    start = time.time()
+    list(fetched(tasks))
+    assert time.time() - start < 6
+
+
+@pytest.mark.parametrize("limits", [(None, 2), (3, 2), (None, 40), (0, 2)])
+def test_router_answers_like_the_tree(limits):
+    from plumbline.operators.growth import Coded, GrowSpec, grow
+
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 3)), 1)
+    y = (x[:, 0] * x[:, 1] + rng.normal(size=400) > 0).astype(np.int64)
+    tree = grow(Coded.of(x), y, np.ones(400), np.ones(400, np.int64), GrowSpec())
+    swapped = type(tree)(tree.feature, tree.cut, tree.right, tree.left, tree.w0, tree.w1, tree.n, tree.depth, tree.gain)
+    for t in (tree, swapped):
+        assert (t.router(*limits).answers(x) == t.answers(*limits)[t.leaf_of(x)]).all()
