@@ -149,3 +149,17 @@ def test_parquet_folder_by_its_files(spark, tmp_path):
     assert tables.read_table(spark, path, kind="parquet").count() == 1
     with pytest.raises(ValueError, match="kind|parquet"):
         tables.read_table(spark, path, kind="orc")
+
+
+def test_csv_types_cast_only_what_may_be_whole(spark, tmp_path, monkeypatch):
+    """Settling the types tries no cast on cells that are no whole numbers, as casts that fail are slow."""
+    from plumbline.sources import tables
+
+    path, guarded = str(tmp_path / "t"), []
+    rows = [("1:2", "1.5", "7", " 8 ", "99999999999999999999", "True"), ("x", "-2e3", "-9", "+10", "1", "false")]
+    spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string").write.csv(path, header=True)
+    when = tables.F.when
+    monkeypatch.setattr(tables.F, "when", lambda where, value: guarded.append(str(value)) or when(where, value))
+    out = tables.read_csv(spark, path)
+    assert [t for _, t in out.dtypes] == ["string", "double", "bigint", "bigint", "string", "boolean"]
+    assert sum("try_cast" in g.lower() for g in guarded) == 6
