@@ -46,8 +46,10 @@ def ranges(points: list[int]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-#: Characters that Python's tables do not know.
-UNASSIGNED = ranges([i for i in range(0x110000) if unicodedata.category(chr(i)) == "Cn"])
+#: Characters up to U+FFFF that Python's tables do not know; a class of those is one look-up a character, one
+#: with characters beyond is gone through range by range.
+UNASSIGNED = ranges([i for i in range(0x10000) if unicodedata.category(chr(i)) == "Cn"])
+BEYOND = "\U00010000-\U0010ffff"
 BYTE_OF = {s: b for b, s in enumerate(byte_signs())}
 
 
@@ -91,11 +93,11 @@ class WordBpe:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.split, self.library = regex.compile(self.pattern), None
-        self.unassigned = re.compile(f"[{UNASSIGNED}]")
+        self.unassigned, self.beyond = re.compile(f"[{UNASSIGNED}]"), re.compile(f"[{BEYOND}]")
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def __getstate__(self):
-        own = ("split", "library", "split_special", "unassigned", "known", "older")
+        own = ("split", "library", "split_special", "unassigned", "beyond", "known", "older")
         return {k: v for k, v in self.__dict__.items() if k not in own}
 
     def __setstate__(self, state):
@@ -114,10 +116,13 @@ class WordBpe:
     def _words(self, text: str) -> list[str]:
         if text.isascii():
             return self.split.findall(text.lower())
-        if self.unassigned.search(text):
+        if self._has_unassigned(text):
             return self._library_words(text)
         return self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())  # lower case letter by letter
 
+    def _has_unassigned(self, text: str) -> bool:
+        return bool(self.unassigned.search(text)) or any(unicodedata.category(c) == "Cn" for c in set(self.beyond.findall(text)))
+
     def _library_words(self, text: str) -> list[str]:
         if self.library is None:
             self.library = Tokenizer.from_str(self.file)

@@ -305,3 +305,16 @@ def test_language_sample_is_cut_before_it_is_collected(spark):
             assert 8 < len(pieces) <= 32 and sum(map(len, pieces)) <= room + 32
             assert all(any(p in t for t in whole[lang]) for p in pieces)
         assert sample == lang_id.labelled_sample(df.repartition(5), 32, chars, total)
+
+
+def test_bpe_finds_unassigned_characters_quickly(word_file):
+    """A text that is not ASCII is looked through by one look-up a character, on every plane as Python's tables say."""
+    import time
+    import unicodedata
+
+    coder = bpe.WordBpe(word_file)
+    for i in [*range(0x300, 0x600), *range(0xFFF0, 0x10200), *range(0x1F600, 0x1F800), *range(0x2FFF0, 0x30010), 0x10FFFF]:
+        assert coder._has_unassigned("é" + chr(i)) == (unicodedata.category(chr(i)) == "Cn")
+    start = time.process_time()
+    assert not coder.unassigned.search("été à la maison 中文 " * 250_000)
+    assert time.process_time() - start < 0.4
