@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -22,7 +23,9 @@ from tokenizers import Tokenizer
 from plumbline.llm.tables import map_pieces
 from plumbline.session import share
 
-CACHE = 150_000  # words of a worker's younger generation, which then becomes the older one
+CACHE = 100_000  # words of a worker's younger generation, which then becomes the older one
+BLOCK_BYTES = 1 << 16  # UTF-8 bytes of new words that are encoded together, or one word
+PIECE = 1 << 19  # bytes of text that are split into words at once
 
 #: Unicode white space as the vocabulary's normaliser understands it.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
@@ -53,6 +56,21 @@ BEYOND = "\U00010000-\U0010ffff"
 BYTE_OF = {s: b for b, s in enumerate(byte_signs())}
 
 
+def blocks(words: list[str], nbytes: int = BLOCK_BYTES) -> Iterator[list[str]]:
+    """The words in order, in blocks of at most ``nbytes`` bytes or one word: the index over a block takes a
+    few hundred bytes of memory per byte of it."""
+    start = size = 0
+    for i, word in enumerate(words):
+        own = len(word.encode("utf-8", "surrogatepass"))
+        if size and size + own > nbytes:
+            yield words[start:i]
+            start = i
+            size = 0
+        size += own
+    if start < len(words):
+        yield words[start:]
+
+
 class WordBpe:
     """A word-end BPE vocabulary read from a tokenizers file (lower case, white space dropped).
 
@@ -196,11 +214,11 @@ class WordBpe:
                 self.known[word] = np.array([self.special[word]], "<u4").tobytes()
             else:
                 new.append(word)
-        if new:
-            found = self.encode_words(new)
+        for block in blocks(new):
+            found = self.encode_words(block)
             raw = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
             ends = np.cumsum([4 * len(ids) for ids in found]).tolist()
-            self.known.update(zip(new, [raw[i:j] for i, j in zip([0, *ends], ends)]))
+            self.known.update(zip(block, [raw[i:j] for i, j in zip([0, *ends], ends)]))
 
     def decode(self, ids: list[int]) -> str:
         """The tokens with a blank between them, special ones too; the file names no other decoder. Ids that
@@ -231,7 +249,7 @@ def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids", dec
         all_ids = [b"".join(map(bpe.known.__getitem__, words)) for words in split]
         return all_ids, [bpe.decode(np.frombuffer(x, "<u4").tolist()) for x in all_ids]
 
-    return map_pieces(docs, run, [text], {ids: "binary", decoded: "string"}, keep)
+    return map_pieces(docs, run, [text], {ids: "binary", decoded: "string"}, keep, PIECE)
 
 
 def decode(encoded: DataFrame, file: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

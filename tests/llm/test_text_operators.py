@@ -79,6 +79,18 @@ def test_pair_index_merges_in_rank_order(word_file):
     assert coder.encode_words([]) == []
 
 
+def test_new_words_are_encoded_in_bounded_blocks(word_file, monkeypatch):
+    """The index over all new words of a piece at once took a worker's memory."""
+    coder, sizes = bpe.WordBpe(word_file), []
+    real = coder.encode_words
+    monkeypatch.setattr(coder, "encode_words", lambda words: sizes.append(sum(len(w.encode()) for w in words)) or real(words))
+    words = {f"näw{i:x}" for i in range(60_000)} | {"ß" * 200_000}
+    coder.learn(words)
+    assert sorted(sizes)[-1] == 400_000 and sorted(sizes)[-2] <= 1 << 16  # a longer word is a block of its own
+    whole = real(sorted(words))
+    assert [np.frombuffer(coder.known[w], "<u4").tolist() for w in sorted(words)] == whole
+
+
 def test_bpe_cache_is_bounded(word_file, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 5)
     coder = bpe.WordBpe(word_file)
