@@ -118,10 +118,11 @@ def _locate(counts: dict[str, int], position: int) -> tuple[str, int, int]:
 
 
 def _inside(rows: DataFrame, open_cuts: dict[tuple[int, int], tuple[str, int, int]]) -> DataFrame:
-    hit = F.lit(False)
-    for g, prefix in {(g, prefix) for (g, _), (prefix, _, _) in open_cuts.items()}:
-        hit = hit | ((F.col("g") == g) & F.col("h").startswith(prefix))
-    return rows.where(hit)
+    """Rows whose group and prefix hold a cut. All prefixes are equally long, so one look-up per row tells,
+    and its hash is made once for it instead of once per cut."""
+    wanted = sorted({(g, prefix) for (g, _), (prefix, _, _) in open_cuts.items()})
+    start = F.substring("h", 1, len(wanted[0][1]))
+    return rows.where(F.concat(F.col("g").cast("string"), F.lit(":"), start).isin([f"{g}:{prefix}" for g, prefix in wanted]))
 
 
 def _rank_edges(rows: DataFrame, open_cuts, digits: int) -> dict[tuple[int, int], str]:

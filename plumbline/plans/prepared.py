@@ -41,7 +41,6 @@ class Prepared:
         self.df = keep(split_with_folds(source, label, self.key_cols, seed, FOLDS))
         sizes = self.df.groupBy("split", label, "cv_fold", "grid_fold").count().collect()
         self._sizes = [r.asDict() for r in sizes]  # at most 2 x (1 + 25) rows
-        self._kept = [self.df]
         if keyless:
             df.unpersist()
 
@@ -69,10 +68,10 @@ class Prepared:
     def bins(self) -> Bins:
         return exact_bins(self.train, self.features, self.max_bins)
 
-    @cached_property
+    @property
     def binned(self) -> DataFrame:
-        """Training rows with the vector ``bins``."""
-        return self._keep(self.bins.apply(self.train).select(*self.key_cols, "bins", self.label, "cv_fold", "grid_fold"))
+        """Training rows with the vector ``bins``: a projection of the kept rows, not kept itself."""
+        return self.bins.apply(self.train).select(*self.key_cols, "bins", self.label, "cv_fold", "grid_fold")
 
     def edges(self) -> list[list[float]]:
         """Values that cut each feature of a large table into slices of like size."""
@@ -108,9 +107,4 @@ class Prepared:
         return [F.col(f"`{c}`").cast("string") for c in (*self.key_cols, *self.features, self.label, fold_col)]
 
     def release(self) -> None:
-        for df in self._kept:
-            df.unpersist()
-
-    def _keep(self, df: DataFrame) -> DataFrame:
-        self._kept.append(keep(df))
-        return df
+        self.df.unpersist()

@@ -31,7 +31,7 @@ class Rows(Prepared):
         source = spread(labelled(df.select(*features, *key_cols, label), label, key_cols), *key_cols)
         parts = {"split": F.lit("train"), "cv_fold": F.lit(0), "grid_fold": F.lit(0)}
         self.df = keep(source.withColumns(parts))
-        self._sizes, self._kept = [], [self.df]
+        self._sizes = []
 
 
 class _Columns(HasInputCols, HasLabelCol, HasPredictionCol):

@@ -38,6 +38,13 @@ def p(spark):
     prepared.release()
 
 
+def test_binned_rows_are_not_cached_a_second_time(p):
+    """A copy of the kept rows beside them took as much memory again and had one reader."""
+    assert p.binned.count() == p.rows()
+    assert not p.binned.storageLevel.useMemory and not p.binned.storageLevel.useDisk
+    assert p.df.storageLevel.useMemory
+
+
 def test_grid_sizes():
     assert {n: len(expand_grid(g)) for n, g in GRIDS.items()} == {"lr": 60, "rf": 54, "adaboost": 27, "dt": 72}
     assert list(LONG_NAMES) == ["lr", "rf", "adaboost", "dt"] == list(FAMILIES)

@@ -165,3 +165,16 @@ def test_wrong_labels_are_refused(spark):
         split.stratified_split(spark.createDataFrame([(i, 1) for i in range(50)], "k int, y int"), "y", ["k"])
     with pytest.raises(ValueError):
         split.stratified_split(spark.createDataFrame([(i, i % 3) for i in range(50)], "k int, y int"), "y", ["k"])
+
+
+def test_a_row_is_hashed_once_for_all_cuts(spark, capsys):
+    """One prefix after the other made the filter hash every row once per cut."""
+    rows = frame(spark, table(spark, 500)).select(F.col("y").alias("g"), ranking.hash_order("fold", SEED, ["k"]).alias("h"))
+    cuts = {(g, i): (f"{5 * i + g:03x}", 1, 1) for g in (0, 1) for i in range(40)}
+    inside = ranking._inside(rows, cuts)
+    inside.explain()
+    filters = [x for x in capsys.readouterr().out.splitlines() if "Filter" in x]
+    assert filters and all(x.count("md5(") <= 1 for x in filters)
+    wanted = {(g, prefix) for (g, _), (prefix, _, _) in cuts.items()}
+    expected = sorted(tuple(r) for r in rows.collect() if (r["g"], r["h"][:3]) in wanted)
+    assert expected and sorted(map(tuple, inside.collect())) == expected
