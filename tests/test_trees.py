@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions.metrics import evaluate
-from plumbline.operators import cuts, trees
-from plumbline.operators.growth import Coded, GrowSpec, TreeNodes, draws, feature_ranks, grow, middle
+from plumbline.operators import cuts, growth, trees
+from plumbline.operators.growth import Coded, GrowSpec, TreeNodes, draws, feature_ranks, grow, grow_variants, middle
 from plumbline.operators.trees import Grower, Pruning, TreeFit, cells, forest_spec, tree_spec, values
 
 RNG = np.random.default_rng(11)
@@ -131,6 +131,35 @@ def test_forests_by_hand(growers, way):
         assert by_path(tree) == tree_by_hand(X[some], Y[some], drawn[some, t].astype(float), spec, t)
 
 
+@pytest.mark.parametrize("criterion, looked_at, path", [("gini", 1, ""), ("gini", 2, "LR"), ("entropy", None, "")])
+def test_trees_of_several_leaf_limits_grow_as_one(monkeypatch, criterion, looked_at, path):
+    """They are the trees by hand, and what they have in common is cut once."""
+    cut, rows = growth.best_cuts, []
+    monkeypatch.setattr(growth, "best_cuts", lambda level, *rest: rows.append(len(level.weight)) or cut(level, *rest))
+    rng = np.random.default_rng(5)
+    w, leaves = rng.integers(1, 4, N).astype(float), [1, 2, 4]
+    spec = GrowSpec(criterion, 14, 5, max_features=looked_at, seed=3)
+    together = grow_variants(Coded.of(X), Y, w, np.ones(N, int), spec, leaves, 2, path)
+    shared = sum(rows)
+    for leaf, tree in zip(leaves, together):
+        own = trees.replace(spec, min_samples_leaf=leaf)
+        want = tree_by_hand(X, Y, w, own, 2, path)
+        assert {path + p: v for p, v in by_path(tree).items()} == {p: (f, c, a, b, n) for p, (f, c, a, b, n) in want.items()}
+        assert by_path(grow(Coded.of(X), Y, w, np.ones(N, int), own, 2, path)) == by_path(tree)
+    assert shared < 0.8 * (sum(rows) - shared)
+
+
+def test_rows_of_any_order_grow_the_same_tree():
+    """Also rows that count more than once and weights that are not whole."""
+    rng = np.random.default_rng(6)
+    w, n, order = rng.random(N) + 0.1, rng.integers(1, 5, N), rng.permutation(N)
+    spec = GrowSpec(max_depth=5, min_samples_leaf=3)
+    one, other = grow(Coded.of(X), Y, w, n, spec), grow(Coded.of(X[order]), Y[order], w[order], n[order], spec)
+    for field in ("feature", "cut", "left", "right", "n", "depth"):
+        assert (getattr(one, field) == getattr(other, field)).all()
+    assert np.allclose(one.w1, other.w1) and np.allclose(one.gain, other.gain)
+
+
 def test_draws_are_poisson_and_belong_to_the_row():
     keys = [str(i) for i in range(4000)]
     drawn = draws(1, range(16), keys)
