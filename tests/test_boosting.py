@@ -283,3 +283,21 @@ def test_real_valued_fits_are_saved(spark, table, weighted_cells, tmp_path):
     assert answers(again.prefix(2), table) == answers(fit.prefix(2), table)
     with pytest.raises(ValueError, match="algorithm"):
         BoostSpec(algorithm="SAMME.X")
+
+
+@pytest.mark.parametrize("algorithm", ["SAMME", "SAMME.R"])
+def test_stumps_are_looked_up_and_not_written(weighted_cells, monkeypatch, algorithm):
+    """On a large table stumps' log weights are told by the slices, so no state is written round after round."""
+
+    def written(*_):
+        raise AssertionError("log weights of stumps were written")
+
+    monkeypatch.setattr(boosting, "scratch_path", written)
+    specs = [BoostSpec(9, 0.5, 1, k, algorithm) for k in (None, 0, 3)]
+    near, counted = fitted(weighted_cells, specs)
+    far, again = fitted(weighted_cells, specs, local_bytes=0)
+    for f, g in zip(near, far):
+        assert [(int(t.feature[0]), float(t.cut[0])) for t in f.trees] == [(int(t.feature[0]), float(t.cut[0])) for t in g.trees]
+        assert f.alphas == pytest.approx(g.alphas) and f.errors == pytest.approx(g.errors)
+    order = ["fit", "n_trees", "label", "prediction", "n"]
+    assert sorted(counted[order].itertuples(index=False)) == sorted(again[order].itertuples(index=False))

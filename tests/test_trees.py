@@ -434,3 +434,33 @@ def test_router_answers_like_the_tree(limits):
     swapped = type(tree)(tree.feature, tree.cut, tree.right, tree.left, tree.w0, tree.w1, tree.n, tree.depth, tree.gain)
     for t in (tree, swapped):
         assert (t.router(*limits).answers(x) == t.answers(*limits)[t.leaf_of(x)]).all()
+
+
+def test_rows_of_a_large_table_travel_small(spark):
+    """A pass over a large table reads a few bytes of a row, not its values, key and fold one by one."""
+    rng, n = np.random.default_rng(6), 20_000
+    x = np.column_stack([rng.integers(0, 50, n) * 1.0, rng.random(n), rng.integers(0, 9, n) / 100])
+    df = spark.createDataFrame(pd.DataFrame({"x": x.tolist(), "label": rng.integers(0, 2, n), "fold": rng.integers(0, 5, n), "n": 1, "key": ""})).repartition(2)
+    blocks = cuts.Blocks.of(df, [list(range(1, 50)), [k / 256 for k in range(1, 256)], [k / 100 for k in range(1, 9)]])
+    sizes = blocks.rdd.map(len).collect()
+    whole = blocks.each(lambda some: [(b.x, b.vector("label")) for b in some]).collect()
+    blocks.release()
+    assert sum(sizes) < 16 * n
+    got = np.concatenate([np.column_stack(b) for b in whole])
+    want = np.array([(*r["x"], r["label"]) for r in df.collect()])
+    assert np.array_equal(got[np.lexsort(got.T)], want[np.lexsort(want.T)])
+
+
+def test_a_slice_with_several_values_may_hold_one_in_a_node(spark):
+    """All values lie in one slice; a node looks at further features where its own has one value in it."""
+    rng, n = np.random.default_rng(7), 400
+    a = rng.integers(0, 2, n) * 1.0
+    x = np.column_stack([a, 0.5 * a, rng.integers(0, 6, n)])
+    df = pd.DataFrame({"x": x.tolist(), "label": (rng.random(n) < 0.2 + 0.5 * a).astype(int)})
+    df["fold"], df["n"], df["key"] = 0, 1, [str(i) for i in range(n)]
+    table, grown = spark.createDataFrame(df).repartition(3), []
+    for way in ({}, {"local_bytes": 0, "local_rows": 10}):
+        g = Grower(table, 3, lambda: [[], [], []], **way)
+        grown.append([by_path(t) for t in g.fits([GrowSpec(max_depth=4, max_features=1, n_trees=5, bootstrap=True, seed=3)])[0]])
+        g.release()
+    assert grown[0] == grown[1]
